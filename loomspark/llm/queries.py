@@ -10,8 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, repetition, simhash
-from .common import table
+from . import bpe, langid, line_dedup, packing, quality, repetition, simhash
+from .common import remainder, table
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    seen = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
+    scored = quality.score(docs, quality.learn(docs, seen))
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +28,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tok.path("byte_bpe_50k.json"), rank_path=tok.path("byte_bpe_50k.tiktoken"), pattern=tok.PATTERN)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tok
 
@@ -35,9 +48,31 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = langid.learn(docs.where(remainder(F.col("doc_id"), 4) != 2))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op5_bpe, op6_quality_rules, op8_simhash)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op5_bpe, op6_quality_rules, op8_simhash, op9_language_id)}
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents),
+keyed AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE c.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY doc_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": LINES_SQL}

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_dedup, packing, quality, repetition, simhash
+from . import bpe, langid, line_dedup, mih, packing, quality, repetition, simhash
 from .common import remainder, table
 
 
@@ -55,8 +55,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return mih.top_k(rows, rows.where(F.col("vec_id") % 50 == 0)).withColumnRenamed("query_id", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op5_bpe, op6_quality_rules, op8_simhash, op9_language_id)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op5_bpe, op6_quality_rules, op8_simhash, op9_language_id, op10_top_k)}
 
 
 LINES_SQL = r"""
@@ -74,5 +79,15 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE c.key IS NOT NULL) AS
 FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY doc_id"""
 
 
+TOP_K_SQL = """
+WITH bits AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS b FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id, n.vec_id AS neighbour_id,
+         CAST(len(list_filter(list_zip(q.b, n.b), lambda x: x[1] <> x[2])) AS INTEGER) AS distance
+  FROM bits q JOIN bits n ON q.vec_id % 50 = 0 AND q.vec_id <> n.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank FROM pairs)
+SELECT vec_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINES_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op10_top_k": TOP_K_SQL}

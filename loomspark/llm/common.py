@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space that separates words and is stripped from line keys.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -78,9 +79,9 @@ def map_texts(df: DataFrame, work: Callable[[list], list], schema: str, *keep: s
                 made = work(part.column(kept).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, made)], names=names)
 
-    out = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep), schema])
-    names = [x.strip().split(" ")[0].strip("`") for x in out.split(",")]
-    return df.select(*keep, text).mapInArrow(run, out)
+    out = T.StructType([*(df.schema[k] for k in keep), *T.StructType.fromDDL(schema).fields])
+    names = out.fieldNames()
+    return df.select(*(F.col(f"`{k}`") for k in (*keep, text))).mapInArrow(run, out)
 
 
 def words_of(text: str | None) -> list[bytes]:

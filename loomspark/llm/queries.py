@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_dedup, mih, packing, quality, repetition, simhash
+from . import bpe, langid, line_dedup, mih, packing, pii, quality, repetition, secrets, simhash
 from .common import remainder, table
 
 
@@ -33,6 +33,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.learn(secrets.labelled_findings()))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tok
 
@@ -43,6 +47,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.rules(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -61,7 +69,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op5_bpe, op6_quality_rules, op8_simhash, op9_language_id, op10_top_k)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op4_secret_scan, op5_bpe, op6_quality_rules, op7_pii, op8_simhash, op9_language_id, op10_top_k)}
 
 
 LINES_SQL = r"""

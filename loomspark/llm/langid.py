@@ -119,3 +119,16 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
         return [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
 
     return map_texts(docs, work, "lang_pred string, score double", *keep, text=text)
+
+
+def filter_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows whose language the model names, with all their columns: texts pass through once and are not joined again."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, at):
+                yield part.filter(pa.array([shared.value.predict(t)[0] != UNKNOWN for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -64,7 +64,7 @@ def block_keys(fp: F.Column = None):
 
 
 def close_pairs(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i, j) of equal unit and at most `radius` differing bits; units lie together.
+    """Index pairs (i, j) of equal unit and at most `radius` differing bits; units lie together. fps: rows of 64-bit words.
 
     Bit planes are vertical: bit i of plane b is bit b of fingerprint i. For a lag s, plane ^ (plane >> s) holds one bit of
     the distance of every pair (i, i + s); carry-save counters add the planes up, and a lag is left as soon as no pair is
@@ -72,7 +72,7 @@ def close_pairs(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> Iter
     """
     n = len(fps)
     as_int = lambda bits: int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
-    spread = np.unpackbits(fps.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    spread = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
     varied = np.flatnonzero((spread != spread[:1]).any(0)) if n else []
     planes = [as_int(spread[:, b]) for b in varied]
     tops = (radius + 1).bit_length()
@@ -82,13 +82,16 @@ def close_pairs(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> Iter
             return
         alive = as_int(same)
         counters = [0] * tops
-        for plane in planes:
+        for at, plane in enumerate(planes):
             carry = (plane ^ (plane >> lag)) & alive
             for k in range(tops):
                 counters[k], carry = counters[k] ^ carry, counters[k] & carry
-            alive &= ~(carry | over(counters, radius))
-            if not alive:
-                break
+                if not carry:
+                    break
+            if at >= radius:
+                alive &= ~(carry | over(counters, radius))
+                if not alive:
+                    break
         if alive:
             at = np.flatnonzero(np.unpackbits(np.frombuffer(alive.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little"))
             yield at, at + lag
@@ -107,7 +110,7 @@ def over(counters: list[int], radius: int) -> int:
 
 
 def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, representative) that span the groups of close fingerprints in each unit."""
+    """Index links (member, representative) that span the groups of close fingerprints in each unit."""
     label = np.arange(len(fps))
     for i, j in close_pairs(unit, fps, radius):
         for a, b in zip(i[m := label[i] != label[j]].tolist(), j[m].tolist(), strict=True):
@@ -120,43 +123,49 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.
         while (label[label] != label).any():
             label = label[label]
     at = np.flatnonzero(label != np.arange(len(fps)))
-    return fps[at], fps[label[at]]
+    return at, label[at]
 
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(u, v): links that join all fingerprints within `radius` (3 at most) into their components."""
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"radius must be 0 to {RADIUS}")
-    keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
+    """(u, v): links that join all fingerprints of one key within `radius` into their components.
+
+    distinct: v (vertex), words array<bigint> (fingerprint), keys array<bigint>.
+    """
+    keyed = distinct.select("v", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / CHUNK).cast("int")
     units = (
-        keyed.join(sizes, "key")
-        .withColumn("own", F.pmod(F.xxhash64("fp"), parts.cast("bigint")).cast("int"))
+        distinct.select("v", "words", F.explode("keys").alias("key"))
+        .join(sizes, "key")
+        .withColumn("own", F.pmod(F.xxhash64("v"), parts.cast("bigint")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp")
+        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "v", "words")
         .repartition("key", "a", "b")
-        .sortWithinPartitions("key", "a", "b", "fp")
+        .sortWithinPartitions("key", "a", "b", "v")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = [np.empty(0, np.int64)] * 4
+        left: list[np.ndarray] = []
 
         def found(columns: list[np.ndarray]) -> pa.RecordBatch:
             edge = np.zeros(len(columns[0]), bool)
             for c in columns[:3]:
                 edge[1:] |= c[1:] != c[:-1]
-            u, v = forest(np.cumsum(edge), np.ascontiguousarray(columns[3]).view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+            i, j = forest(np.cumsum(edge), columns[4], radius)
+            return pa.RecordBatch.from_arrays([pa.array(columns[3][i]), pa.array(columns[3][j])], names=["u", "v"])
 
         for batch in batches:
-            rows = [np.concatenate([old, c.to_numpy(zero_copy_only=False)]) for old, c in zip(left, batch.columns, strict=True)]
+            if not batch.num_rows:
+                continue
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
+            rows.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+            rows = [np.concatenate(x) for x in zip(left, rows, strict=True)] if left else rows
             last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]) | (rows[2] != rows[2][-1]))
             cut = last[-1] + 1 if len(last) else 0
             if cut:
                 yield found([c[:cut] for c in rows])
             left = [c[cut:] for c in rows]
-        if len(left[0]):
+        if left:
             yield found(left)
 
     return units.mapInArrow(compare, "u bigint, v bigint")
@@ -189,15 +198,82 @@ def components(edges: DataFrame) -> DataFrame:
         if (new := state(now)) == mark:
             break
         mark = new
-    return now.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
+
+
+def grouped(own: DataFrame, keys: F.Column, words: F.Column, vertex: str, id_col: str, radius: int) -> DataFrame:
+    """own with component_id (the smallest id that links reach) and component_size. Copies are one vertex."""
+    kept = ["fp"] if vertex == "fp" else [vertex, "words", "bands"]
+    ids = [F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies")]
+    distinct = own.groupBy(vertex).agg(*ids, *(F.min(c).alias(c) for c in kept if c != vertex))
+    distinct = materialise(distinct, "distinct").withColumnRenamed(vertex, "v")
+    if vertex == "fp":
+        distinct = distinct.withColumn("fp", F.col("v"))
+    roots = components(links(distinct.select("v", words.alias("words"), keys.alias("keys")), radius))
+    placed = distinct.select("v", "first_id", "copies").join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    whole = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("component_size"))
+    by_vertex = placed.select("v", "root").join(whole, "root").select(F.col("v").alias(vertex), "component_id", "component_size")
+    return own.join(by_vertex, vertex)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = RADIUS) -> DataFrame:
-    """A row per row: id, fp, component_id (the smallest id that links reach), component_size."""
+    """A row per row: id, fp, component_id, component_size. Fingerprints within `radius` (3 at most) link, none is missed."""
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"radius must be 0 to {RADIUS}")
     own = materialise(fingerprints(docs, id_col, text, width), "fingerprints")
-    distinct = materialise(own.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    whole = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("component_size"))
-    by_fp = placed.select("fp", "root").join(whole, "root").select("fp", "component_id", "component_size")
-    return own.join(by_fp, "fp").select(id_col, "fp", "component_id", "component_size")
+    return grouped(own, block_keys(F.col("fp")), F.array("fp"), "fp", id_col, radius).select(id_col, "fp", "component_id", "component_size")
+
+
+#: For similarities: words of a longer fingerprint, and bands of least hashes that choose what is compared.
+LONG_WORDS, BANDS, BAND_ROWS = 4, 8, 4
+_MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, BANDS * BAND_ROWS + LONG_WORDS), dtype=np.uint64) | np.uint64(1)
+
+
+def scramble(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of several independent 64-bit hashes of a hash."""
+    x = (h ^ _MIX[0, k]) * _MIX[1, k]
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def sketch(text: str | None, width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """LONG_WORDS * 64 fingerprint bits, and a hash for each band; all zero without words. Repeats of a shingle count once."""
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return np.zeros(LONG_WORDS, np.uint64), np.zeros(BANDS, np.uint64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
+    h = np.unique(np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in shingles), dtype=np.uint64))
+    fp = np.empty(LONG_WORDS, np.uint64)
+    for k in range(LONG_WORDS):
+        ones, x = np.zeros(BITS, np.int64), scramble(h, k)
+        for at in range(0, len(x), 1 << 16):
+            ones += np.unpackbits(x[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        fp[k] = np.packbits(2 * ones > len(x), bitorder="little").view(np.uint64)[0]
+    least = np.array([scramble(h, LONG_WORDS + k).min() for k in range(BANDS * BAND_ROWS)]).reshape(BANDS, BAND_ROWS)
+    bands = np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)], np.uint64)
+    return fp, bands
+
+
+def reach_of(similarity: float) -> int:
+    """Bits that differ, on average, between fingerprints of two sets of one size and this Jaccard similarity."""
+    return int(round(LONG_WORDS * BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi))
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row per row: id, component_id, component_size, linked at a Jaccard similarity of word shingles.
+
+    A radius of three bits stands for a far higher similarity, so fingerprints are longer here, and what is compared bit by
+    bit are the documents that share a band of least hashes (98.5 % of the pairs at 0.8, more above). The distance then
+    stands for the similarity, give or take 0.04. Equal texts always link.
+    """
+
+    def work(texts: list) -> list:
+        made = [sketch(t, width) for t in texts]
+        lists = lambda k: pa.array([list(m[k].view(np.int64)) for m in made], pa.list_(pa.int64()))
+        return [lists(0), lists(1)]
+
+    own = map_texts(docs, work, "words array<bigint>, bands array<bigint>", id_col, text=text).withColumn("v", F.xxhash64("words", "bands"))
+    own = materialise(own, "sketches")
+    found = grouped(own, F.col("bands"), F.col("words"), "v", id_col, reach_of(similarity))
+    return found.select(id_col, "component_id", "component_size")

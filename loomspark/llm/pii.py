@@ -70,6 +70,13 @@ def ends(each: DataFrame, *keys: str) -> DataFrame:
     return each.withColumn("end", F.sum(F.char_length("gap") + F.char_length("found")).over(order).cast("int"))
 
 
+def suspects(texts: DataFrame) -> DataFrame:
+    """The texts in which some base pattern matches, valid or not: all that the entities' statistics need."""
+    text = F.col("text")
+    seen = [(F.contains(text, F.lit(NEEDS[k])) if NEEDS[k] else text.rlike("[0-9]")) & text.rlike(p) for k, p in PATTERNS.items()]
+    return texts.where(seen[0] | seen[1] | seen[2] | seen[3]).distinct()
+
+
 def base_spans(texts: DataFrame) -> DataFrame:
     """(doc, body, kind, start, end, found, left, right): what the base patterns find, with the characters around it."""
     text = F.col("text")
@@ -96,11 +103,12 @@ def tokens(text: Column) -> Column:
     return F.split(text, r"[\x20\x09-\x0D]+")
 
 
-def disclosing_terms(texts: DataFrame, spans: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, certainty: float = CERTAINTY) -> DataFrame:
-    """(term, share): words that disclose an entity, and the largest share of an entity's information that they give away.
+def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, certainty: float = CERTAINTY) -> tuple[DataFrame, DataFrame]:
+    """(term, share): words that disclose an entity, with the largest share of an entity's information that they give away,
+    and (doc, body, term): where the words that came into question stand.
 
-    Every text with base spans is compared with every other by what its entities and the words near them have in common;
-    equal texts are one. Entities and words both count texts.
+    Entities and words count texts, of which equal ones are one. A word that is too frequent for the certainty among the
+    texts with entities alone is too frequent in all of them, so only what passes there is looked for in the whole corpus.
     """
     named = F.concat_ws(":", "kind", ascii_lower(F.col("found")))
     near = spans.select("body", named.alias("entity"), "left", "right")
@@ -111,16 +119,24 @@ def disclosing_terms(texts: DataFrame, spans: DataFrame, support: int = SUPPORT,
     together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
     together = materialise(together, "term-pairs")
     entities = near.select("body", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    wanted = materialise(together.select("term").distinct(), "near-terms")
-    held = token_terms(texts).select("body", "term").join(wanted, "term", "left_semi").distinct()
-    seen = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    near_terms = materialise(together.select("term").distinct(), "near-terms")
+    among = suspect.join(spans.select("body").distinct(), "body", "left_semi")
+    few = counted(token_terms(among).join(near_terms, "term", "left_semi"), "n_few")
+    rare = together.join(few, "term").where(F.col("n_both") >= certainty * F.col("n_few"))
+    rare = materialise(rare.drop("n_few"), "rare-pairs")
+    wanted = materialise(rare.select("term").distinct(), "rare-terms")
+    held = materialise(token_terms(texts).join(wanted, "term", "left_semi"), "term-holders")
     n_texts = texts.select("body").distinct().count()
-    joined = together.join(entities, "entity").join(seen, "term")
+    joined = rare.join(entities, "entity").join(counted(held, "n_term"), "term")
     pmi = F.log2(F.col("n_both") * F.lit(float(n_texts)) / (F.col("n_term") * F.col("n_entity")))
     content = F.log2(F.lit(float(n_texts)) / F.col("n_entity"))
     share = F.when(content > 0, pmi / content).otherwise(F.lit(0.0))
     found = joined.withColumn("share", share).where((F.col("share") >= disclosure) & (F.col("n_both") >= certainty * F.col("n_term")))
-    return found.groupBy("term").agg(F.max("share").alias("share"))
+    return found.groupBy("term").agg(F.max("share").alias("share")), held
+
+
+def counted(held: DataFrame, name: str) -> DataFrame:
+    return held.select("body", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias(name))
 
 
 def token_terms(texts: DataFrame) -> DataFrame:
@@ -130,9 +146,9 @@ def token_terms(texts: DataFrame) -> DataFrame:
     return each.select(*DOC, term_of(F.col("token")).alias("term")).where(F.col("term").isNotNull())
 
 
-def term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
+def term_spans(texts: DataFrame, terms: DataFrame, held: DataFrame) -> DataFrame:
     """(doc, body, kind, start, end, found, share) of the disclosing words, wherever they occur."""
-    holders = materialise(token_terms(texts).join(terms, "term").distinct(), "term-holders")
+    holders = materialise(held.join(terms, "term").distinct(), "disclosing")
     docs = holders.select(*DOC).distinct()
     rows = texts.join(docs, same(texts, docs), "left_semi").distinct()
     zipped = F.arrays_zip(F.split("text", TOKEN, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TOKEN), 0).alias("found"))
@@ -148,9 +164,11 @@ def term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
 def detect(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, body, spans array<struct<start,rank,kind,end,found,share>>): the rows' spans, for rows that have any."""
     texts = identified(docs, id_col, text)
-    base = materialise(base_spans(texts), "base-spans")
-    terms = materialise(disclosing_terms(texts, base), "terms")
-    found = base.drop("left", "right").withColumn("share", F.lit(1.0)).unionByName(term_spans(texts, terms))
+    suspect = materialise(suspects(texts), "suspects")
+    base = materialise(base_spans(suspect), "base-spans")
+    terms, held = disclosing_terms(texts, suspect, base)
+    terms = materialise(terms, "terms")
+    found = base.drop("left", "right").withColumn("share", F.lit(1.0)).unionByName(term_spans(texts, terms, held))
     rank = F.array_position(F.array(*map(F.lit, [*KINDS, TERM])), F.col("kind")).cast("int")
     return found.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "found", "share"))).alias("spans"))
 

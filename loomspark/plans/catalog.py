@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import marts  # noqa: F401
+from . import listings, marts  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -32,13 +32,13 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def home(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = offers(spark, sf_dir).where(F.col("is_verified") & (F.col("apply_end_date") >= F.lit(AS_OF).cast("date")))
-    names = read(spark, sf_dir, "nation").where("n_nationkey % 2 = 1")
+    names = read(spark, sf_dir, "nation")
     return L.without_names(own, F.concat_ws(" ", "name", "organisation"), names, "n_name", 9)
 
 
 HOME_SQL = f"""WITH {OFFERS_SQL}, home AS (
   SELECT * FROM offers o WHERE is_verified AND apply_end_date >= DATE '{AS_OF}' AND NOT EXISTS (
-    SELECT 1 FROM nation u WHERE n_nationkey % 2 = 1 AND length(trim(n_name)) >= 9 AND position(lower(trim(n_name)) IN lower(o.name || ' ' || o.organisation)) > 0)),
+    SELECT 1 FROM nation u WHERE length(trim(n_name)) >= 9 AND position(lower(trim(n_name)) IN lower(o.name || ' ' || o.organisation)) > 0)),
 scraps AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1),
 ranked AS (SELECT home.*, coalesce(n, 0) AS scrap_count, CAST(row_number() OVER (ORDER BY is_recommended DESC, sort_order ASC NULLS LAST, apply_end_date, id) AS INTEGER) AS rn FROM home LEFT JOIN scraps ON id = l_orderkey)"""
 
@@ -47,11 +47,11 @@ def home_order() -> list:
     return [F.col("is_recommended").desc(), F.asc_nulls_last("sort_order"), F.asc("apply_end_date"), F.asc("id")]
 
 
-@query(HOME_SQL + " SELECT rn, id, name, organisation, apply_end_date, is_recommended, sort_order, scrap_count FROM ranked WHERE rn > 24 AND rn <= 48")
+@query(HOME_SQL + " SELECT rn, id, name, organisation, apply_end_date, is_recommended, coalesce(sort_order, -1) AS sort_order, scrap_count FROM ranked WHERE rn > 24 AND rn <= 48")
 def home_page(spark, sf_dir):
     rows = L.page(home(spark, sf_dir), 2, None, *home_order())
     counted = L.with_counts(rows, "id", read(spark, sf_dir, "lineitem"), "l_orderkey")
-    return counted.select("rn", "id", "name", "organisation", "apply_end_date", "is_recommended", "sort_order", "scrap_count")
+    return counted.select("rn", "id", "name", "organisation", "apply_end_date", "is_recommended", F.coalesce("sort_order", F.lit(-1)).alias("sort_order"), "scrap_count")
 
 
 @query(HOME_SQL + """ SELECT 1 AS page, 24 AS page_size, (SELECT count(*) FROM home) AS total_count,
@@ -62,10 +62,11 @@ def home_page_object(spark, sf_dir):
     return page.select("page", "page_size", "total_count", items.alias("items"))
 
 
-@query("SELECT l_orderkey AS id, count(*) AS scrap_count FROM lineitem WHERE l_orderkey IN (1, 2, 3, 5, 8, 13, 21, 99999999) GROUP BY 1")
+@query("SELECT l_orderkey AS id, count(*) AS scrap_count FROM lineitem WHERE l_orderkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1")
 def scrap_counts(spark, sf_dir):
-    log = read(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isin(1, 2, 3, 5, 8, 13, 21, 99999999))
-    return log.groupBy(F.col("l_orderkey").alias("id")).agg(F.count(F.lit(1)).alias("scrap_count"))
+    wanted = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
+    log = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")).join(wanted, "id", "left_semi")
+    return log.groupBy("id").agg(F.count(F.lit(1)).alias("scrap_count"))
 
 
 @query("""SELECT l_suppkey AS user_id, count(*) AS n_urgent FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -147,18 +148,19 @@ def ads_in_lists(spark, sf_dir):
 
 @query(f"""SELECT CAST(o_orderdate AS DATE) AS apply_end_date, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS items, count(*) AS n_items,
   CAST(CAST(o_orderdate AS DATE) - DATE '{AS_OF}' AS INTEGER) AS days_left, CAST(o_orderdate AS DATE) - DATE '{AS_OF}' BETWEEN 0 AND 6 AS is_urgent
-FROM orders WHERE o_custkey % 10 = 0 GROUP BY o_orderdate""")
+FROM orders GROUP BY o_orderdate""")
 def bookmark_calendar(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").where("o_custkey % 10 = 0").withColumn("apply_end_date", F.to_date("o_orderdate"))
+    rows = read(spark, sf_dir, "orders").withColumn("apply_end_date", F.to_date("o_orderdate"))
     days = E.calendar(rows, "apply_end_date", "o_orderkey", AS_OF)
     return days.withColumn("items", F.array_join(F.transform("items", lambda x: x.cast("string")), ","))
 
 
-@query("""SELECT s_suppkey AS id, s_suppkey % 9 = 0 OR EXISTS (SELECT 1 FROM nation WHERE n_nationkey < 3 AND s_name || ' at NATION 1' ILIKE '%' || trim(n_name) || '%') AS is_campus FROM supplier""")
+@query("""SELECT s_suppkey AS id, s_suppkey % 9 = 0 OR EXISTS (SELECT 1 FROM nation WHERE concat(s_name, CASE WHEN s_suppkey % 3 = 1 THEN ' at NATION 1' ELSE ' at NATIO 1' END) ILIKE '%' || trim(n_name) || '%') AS is_campus FROM supplier""")
 def on_campus(spark, sf_dir):
-    rows = read(spark, sf_dir, "supplier").withColumn("text", F.concat("s_name", F.lit(" at NATION 1")))
+    place = F.when(F.col("s_suppkey") % 3 == 1, " at NATION 1").otherwise(" at NATIO 1")
+    rows = read(spark, sf_dir, "supplier").withColumn("text", F.concat("s_name", place))
     rows = rows.withColumn("limits", F.when(F.col("s_suppkey") % 9 == 0, F.array(F.lit("x"))))
-    return L.on_campus(rows, "limits", ["text"], read(spark, sf_dir, "nation").where("n_nationkey < 3"), "n_name").select(F.col("s_suppkey").alias("id"), "is_campus")
+    return L.on_campus(rows, "limits", ["text"], read(spark, sf_dir, "nation"), "n_name").select(F.col("s_suppkey").alias("id"), "is_campus")
 
 
 @query("""SELECT l_orderkey AS parent, l_linenumber AS child, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber, l_partkey) AS INTEGER) AS position

@@ -56,7 +56,7 @@ def null_if_empty(arr: Column) -> Column:
 
 def distinct_filled(arr: Column) -> Column:
     """Trimmed, without blanks and repeats, null when nothing is left."""
-    return null_if_empty(F.array_distinct(F.filter(F.transform(arr, F.trim), lambda x: x != "")))
+    return null_if_empty(F.array_distinct(F.filter(F.transform(arr, lambda t: F.trim(t)), lambda x: x != "")))
 
 
 def expand(arr: Column, table: dict[str, tuple[str, ...]], keep_rest: bool = True) -> Column:
@@ -68,7 +68,7 @@ def expand(arr: Column, table: dict[str, tuple[str, ...]], keep_rest: bool = Tru
 
 def split_known(arr: Column, known: tuple[str, ...] = K.SPECIAL_INFO, legacy: dict = K.SPECIAL_INFO_LEGACY) -> Column:
     """struct<matched,extra>: values of the list, old spellings renewed, and all others."""
-    clean = F.filter(F.transform(arr, F.trim), lambda x: x != "")
+    clean = F.filter(F.transform(arr, lambda t: F.trim(t)), lambda x: x != "")
     renewed = expand(clean, legacy)
     is_known = lambda x: x.isin(*known)
     return F.struct(F.filter(renewed, is_known).alias("matched"), F.filter(renewed, lambda x: ~is_known(x)).alias("extra"))
@@ -101,7 +101,7 @@ def grades(x: Column) -> Column:
 
 def majors(major: Column, category: Column) -> Column:
     pick = F.coalesce(F.nullif(clean_text(major), F.lit("")), F.nullif(clean_text(category), F.lit("")))
-    return F.when(pick != "무관", F.filter(F.transform(F.split(pick, "[,/]"), F.trim), lambda s: s != ""))
+    return F.when(pick != "무관", F.filter(F.transform(F.split(pick, "[,/]"), lambda t: F.trim(t)), lambda s: s != ""))
 
 
 def level(x: Column) -> Column:
@@ -118,5 +118,5 @@ def json_texts(x: Column) -> Column:
 
 def allowed(arr: Column, values: tuple[str, ...]) -> Column:
     """Trimmed texts that are in the list; null is an empty list."""
-    kept = F.filter(F.transform(arr, F.trim), lambda x: x.isin(*values))
+    kept = F.filter(F.transform(arr, lambda t: F.trim(t)), lambda x: x.isin(*values))
     return F.coalesce(kept, F.expr(NONE))

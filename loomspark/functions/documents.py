@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .arrays import allowed, level
 from .dates import iso_head
 from .text import blank_to_null, number
+from .udfs import batch_udf
 
 SECRET_KEY = re.compile("(?i)secret|token|key|password|authorization|cookie|env")
 TEXT_KEY = re.compile("(?i)(?:html|body_html|content)$")
@@ -39,7 +40,7 @@ def loaded(text: str | None):
         return None
 
 
-@F.pandas_udf("string")
+@batch_udf("string")
 def cut_json(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if (x := loaded(t)) is None else json.dumps(cut(x), ensure_ascii=False, separators=(",", ":")))
 
@@ -64,7 +65,7 @@ def plain(value: str | None) -> str:
     return "\n".join(lines)
 
 
-@F.pandas_udf("string")
+@batch_udf("string")
 def plain_text(value: pd.Series) -> pd.Series:
     return value.map(plain)
 
@@ -79,7 +80,7 @@ def draft(raw: Column, supports: tuple[str, ...], statuses: tuple[str, ...]) ->
     """A draft out of untrusted JSON: every field of its type or null, lists only of what is allowed."""
     get = lambda k: F.get_json_object(raw, f"$.{k}")
     texts = lambda k: F.coalesce(F.from_json(get(k), "array<string>"), F.array().cast("array<string>"))
-    own = lambda k: F.filter(F.transform(texts(k), F.trim), lambda s: s != "")
+    own = lambda k: F.filter(F.transform(texts(k), lambda t: F.trim(t)), lambda s: s != "")
     whole = F.filter(F.transform(texts("qual_academic_year"), lambda s: number(s).cast("int")), lambda n: n.isNotNull())
     return F.struct(
         blank_to_null(get("support_amount_text")).alias("support_amount_text"),

@@ -15,6 +15,7 @@ from pyspark.sql.functions import udtf
 from . import constants as K
 from .dom import Node, parse
 from .text import clean_text
+from .udfs import batch_udf
 from .urls import DETAIL_PATH, DETAIL_QUERY, NAMED_KEY, CATEGORY_KEY, from_script, resolve_one, with_query
 
 # Where lists, menus, bodies and titles are looked for, in order.
@@ -286,7 +287,7 @@ class ListItems:
             yield i, x["title"], x["url"], x["date_text"], x["parsed_date"] or None, x["keyword_matched"]
 
 
-@F.pandas_udf(METRICS_TYPE)
+@batch_udf(METRICS_TYPE)
 def list_metrics(html: pd.Series, source: pd.Series) -> pd.DataFrame:
     names = [x.split()[0] for x in METRICS_TYPE.split(", ")]
     rows = [parse_list(h, json.loads(s))[1] for h, s in zip(html, source, strict=True)]
@@ -394,7 +395,7 @@ def parse_detail(html: str | None, page_url: str = "", content: str = "", title:
 DETAIL_TYPE = "title string, titles array<string>, content string, body_selector string, body_chars int, body_quality string, detail_date string, images array<struct<url:string,alt:string,caption:string,attribute:string>>"
 
 
-@F.pandas_udf(DETAIL_TYPE)
+@batch_udf(DETAIL_TYPE)
 def detail(html: pd.Series, page_url: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse_detail(h, u or "") for h, u in zip(html, page_url, strict=True)], columns=["title", "titles", "content", "body_selector", "body_chars", "body_quality", "detail_date", "images"])
 
@@ -431,7 +432,7 @@ def dense_text(html: str | None, most: int = 12_000) -> str:
     return max(found, key=lambda x: x[0], default=(0, ""))[1][:most]
 
 
-@F.pandas_udf("string")
+@batch_udf("string")
 def densest(html: pd.Series) -> pd.Series:
     return html.map(dense_text)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import constants as K
 from .html import squeeze
 from .text import SEGMENT
+from .udfs import batch_udf
 
 BADGE = re.compile(rf"(?i)^(?:{'|'.join(map(re.escape, K.TITLE_BADGES))})$")
 STOP = re.compile(rf"(?i)\b(?:{'|'.join(K.TITLE_STOP_WORDS)})\b", re.ASCII)
@@ -93,7 +94,7 @@ def verify(title: str | None, candidates: list[str] | None, raw_list: str | None
     return False, "title_mismatch", "title_mismatch", ""
 
 
-@F.pandas_udf("verified boolean, status string, mode string, matched string")
+@batch_udf("verified boolean, status string, mode string, matched string")
 def verified(title: pd.Series, candidates: pd.Series, raw_list: pd.Series, quality: pd.Series) -> pd.DataFrame:
     rows = [verify(*x) for x in zip(title, candidates, raw_list, quality, strict=True)]
     return pd.DataFrame(rows, columns=["verified", "status", "mode", "matched"])

@@ -225,7 +225,7 @@ def labelled(parts: dict[str, Column], sep: str = "\n\n", form: str = "[%s]\n")
 
 
 def split_list(x: Column, pattern: str = ",") -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), pattern), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), pattern), lambda t: F.trim(t)), lambda s: s != "")
 
 
 def flag(x: Column, default: bool) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import constants as K
 from .text import clean_text
+from .udfs import batch_udf
 
 ID_KEYS = "article_?no|article_?id|board_?no|board_?id|ntt_?no|idx|no|wr_id|b_idx|seq|uid|p_idx|post_id|id"
 DETAIL_QUERY = rf"(?i)[?&](?:{ID_KEYS})=\d+|[?&](?:mode|p_mode|mod|act|action)=(?:view|read|detail|document)"
@@ -129,11 +130,11 @@ def with_query(url: str, values: dict[str, str]) -> str:
     return urlunsplit(found._replace(query=urlencode(query)))
 
 
-@F.pandas_udf("string")
+@batch_udf("string")
 def resolve(value: pd.Series, page: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([resolve_one(*x) for x in zip(value, page, base, strict=True)])
 
 
-@F.pandas_udf("string")
+@batch_udf("string")
 def script_target(script: pd.Series, page: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([from_script(*x) for x in zip(script, page, base, strict=True)])

@@ -43,8 +43,12 @@ def median_positive(x: Column) -> Column:
 
 def drop_alerts(days: DataFrame, day: str, value: str, drop: float = K.DAILY_DROP_RATIO, back: int = K.QUALITY_DAYS) -> DataFrame:
     """Days with the median of up to `back` days before them, and is_drop: the value is under `drop` of that median."""
+    # one row a day: the frame is a handful of rows, and the sequence as long as the history in days
     window = Window.orderBy(day).rowsBetween(-back, -1)
-    out = days.withColumn("recent_median", F.coalesce(F.median(F.when(F.col(value) > 0, F.col(value))).over(window), F.lit(0.0)))
+    out = days.withColumn("_seen", F.array_sort(F.filter(F.collect_list(value).over(window), lambda x: x > 0)))
+    n = F.size("_seen")
+    middle = (F.get("_seen", F.floor((n - 1) / 2).cast("int")) + F.get("_seen", F.floor(n / 2).cast("int"))) / 2.0
+    out = out.withColumn("recent_median", F.when(n > 0, middle).otherwise(0.0)).drop("_seen")
     return out.withColumn("is_drop", (F.col("recent_median") > 0) & (F.col(value) / F.col("recent_median") < drop))
 
 

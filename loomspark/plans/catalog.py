@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import eligibility, listings, marts  # noqa: F401
+from . import eligibility, listings, marts, pipeline, reporting  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+
+from ..functions.udfs import batch_udf
 from pyspark.sql import functions as F
 
 ALIASES = {"ks_c_5601-1987": "cp949", "euc-kr": "cp949", "ms949": "cp949", "utf8": "utf-8"}
@@ -24,6 +26,6 @@ def decode(raw: bytes | None, header: str | None) -> tuple[str | None, str | Non
     return raw.decode("utf-8", "replace"), "utf-8"
 
 
-@F.pandas_udf("text string, charset string")
+@batch_udf("text string, charset string")
 def decoded(raw: pd.Series, header: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([decode(*x) for x in zip(raw, header, strict=True)], columns=["text", "charset"])

@@ -37,7 +37,8 @@ class Table:
         keys = list(dict.fromkeys(x for x, _ in counts))
         self.row = {x: i for i, x in enumerate(keys)}
         seen = np.full((len(keys), languages), FLOOR)
-        np.add.at(seen, ([self.row[x] for x, _ in counts], [k for _, k in counts]), list(counts.values()))
+        at = np.array([(self.row[x], k) for x, k in counts], np.int64).reshape(-1, 2).T
+        np.add.at(seen, tuple(at), list(counts.values()))
         self.logs = np.log(seen / np.maximum(seen.sum(0), 1))
 
 

@@ -61,16 +61,16 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = 1,
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = 1, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with columns _n_lines, _n_dropped and _kept (the lines that stay, joined by line feeds)."""
-    maps = keep_bitmaps(docs, min_docs, min_chars, id_col, text)
+    """(row, n_lines, n_dropped, kept): the rows as structs, so that no column clashes, and the lines that stay, joined by line feeds."""
+    maps = keep_bitmaps(docs.select(id_col, text), min_docs, min_chars, id_col, text)
     dense = F.expr("transform(sequence(0, (n_lines - 1) DIV 64), w -> coalesce(keep[CAST(w AS INT)], -1L))")
-    maps = materialise(maps.select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), dense.alias("_words")), "bitmaps")
-    rows = docs.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).withColumn("_hash", F.xxhash64("_text"))
-    joined = rows.join(maps, rows[id_col].eqNullSafe(maps["_doc"]) & (rows["_hash"] == maps["_body"]), "left")
-    lines = joined.withColumn("_lines", F.split("_text", "\n", -1))
-    stay = F.expr("filter(_lines, (x, i) -> getbit(element_at(_words, CAST(i DIV 64 AS INT) + 1), i % 64) = 1)")
-    kept = lines.withColumn("_stay", F.when(F.col("_words").isNotNull(), stay))
-    out = kept.withColumn("_n_lines", F.size("_lines").cast("bigint"))
-    out = out.withColumn("_n_dropped", F.when(F.col("_words").isNull(), F.lit(0)).otherwise(F.size("_lines") - F.size("_stay")).cast("bigint"))
-    out = out.withColumn("_kept", F.when(F.col("_words").isNull(), F.col("_text")).otherwise(F.array_join("_stay", "\n")))
-    return out.drop("_text", "_hash", "_doc", "_body", "_words", "_lines", "_stay")
+    maps = materialise(maps.select("doc", "body", dense.alias("words")), "bitmaps")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), whole.alias("text"), F.xxhash64(whole).alias("_body"))
+    joined = rows.join(maps, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_body") == F.col("body")), "left")
+    lines = joined.withColumn("lines", F.split("text", "\n", -1))
+    stay = F.expr("filter(lines, (x, i) -> getbit(element_at(words, CAST(i DIV 64 AS INT) + 1), i % 64) = 1)")
+    kept = lines.withColumn("stay", F.when(F.col("words").isNotNull(), stay))
+    dropped = F.when(F.col("words").isNull(), F.lit(0)).otherwise(F.size("lines") - F.size("stay")).cast("bigint")
+    left = F.when(F.col("words").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n"))
+    return kept.select("row", F.size("lines").cast("bigint").alias("n_lines"), dropped.alias("n_dropped"), left.alias("kept"))

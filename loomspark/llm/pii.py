@@ -35,7 +35,7 @@ DOC = ["doc", "body"]
 #: information that a word must disclose, and least probability of the entity given the word; above REMOVE a word is removed.
 REACH, SUPPORT, DISCLOSURE, CERTAINTY, REMOVE = 6, 5, 0.9, 0.8, 0.98
 TOKEN = r"[^\x20\x09-\x0D]+"
-EDGES = r"^[^\p{L}]+|[^\p{L}]+$"
+EDGES = r"^[^\p{L}]++|(?<![^\p{L}])[^\p{L}]++$"
 MIN_TERM = 4
 #: Characters around an entity that hold the words near it.
 NEAR = 200
@@ -187,13 +187,14 @@ def report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text: str = "text", remove: float = REMOVE) -> DataFrame:
-    """The rows with column _clean: base finds become their kind, disclosing words are generalised to [word] or removed."""
-    found = detect(docs, id_col, text).withColumnsRenamed({"doc": "_doc", "body": "_body", "spans": "_spans"})
-    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    joined = rows.join(found, rows[id_col].eqNullSafe(found["_doc"]) & (rows["_hash"] == found["_body"]), "left")
+    """(row, clean): the rows as structs, so that no column clashes; base finds become their kind, disclosing words are
+    generalised to [word] or removed. A null text stays null."""
+    found = detect(docs.select(id_col, text), id_col, text)
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_body"))
+    joined = rows.join(found, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_body") == F.col("body")), "left")
     instead = f"CASE WHEN s.kind <> '{TERM}' THEN concat('[', s.kind, ']') WHEN s.share >= {remove} THEN '' ELSE '[word]' END"
-    clean = f"""aggregate(_spans, struct(CAST(array() AS array<string>) AS made, 0 AS at), (a, s) ->
+    clean = f"""aggregate(spans, struct(CAST(array() AS array<string>) AS made, 0 AS at), (a, s) ->
         CASE WHEN s.start < a.at THEN a
-             ELSE struct(array_append(a.made, concat(substring(`{text}`, a.at + 1, s.start - a.at), {instead})) AS made, s.end AS at) END,
-        a -> concat(array_join(a.made, ''), substring(`{text}`, a.at + 1)))"""
-    return joined.withColumn("_clean", F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.expr(clean))).drop("_hash", "_doc", "_body", "_spans")
+             ELSE struct(array_append(a.made, concat(substring(text, a.at + 1, s.start - a.at), {instead})) AS made, s.end AS at) END,
+        a -> concat(array_join(a.made, ''), substring(text, a.at + 1)))"""
+    return joined.select("row", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.expr(clean)).alias("clean"))

@@ -25,8 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten documents share are cut out of every text; all documents stay, with n_chars as it is then."""
     found = line_dedup.drop_common_lines(docs)
-    changed = found.withColumn("text", F.col("_kept")).withColumn("n_chars", F.char_length("_kept").cast("bigint"))
-    return changed.select(*docs.columns)
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
+    return found.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +35,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat an id are one document, of which one row stays; rows without an id all stay.
     """
     named, nameless = docs.where(F.col("doc_id").isNotNull()), docs.where(F.col("doc_id").isNull())
-    near = simhash.similar_documents(named, 0.8, 5)
+    near = simhash.similar_documents(named.select("doc_id", "text"), 0.8, 5)
     stay = near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = named.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(nameless).select(*docs.columns)
+    return kept.unionByName(nameless)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are masked; all documents stay, with n_chars as it is then."""
     masked = secrets.redact(docs, secrets.learn(secrets.labelled_findings()))
-    return masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), F.col("n_chars")))
+    return masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), F.col("n_chars"))).select(*(f"`{c}`" for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,8 +39,9 @@ def write_csv(df: DataFrame, path: str, order: list[Column] | None = None) -> No
     lines = df.orderBy(*order) if order else df
     head = BOM + ",".join(f'"{c}"' if re.search('[",\r\n]', c) else c for c in df.columns)
     body = lines.select(csv_line([F.col(f"`{c}`") for c in df.columns]).alias("value"))
-    header = df.sparkSession.createDataFrame([(head,)], "value string")
-    header.withColumn("_o", F.lit(0)).unionByName(body.withColumn("_o", F.lit(1))).coalesce(1).select("value").write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    header = df.sparkSession.createDataFrame([(head, -1)], "value string, _n long")
+    numbered = header.unionByName(body.withColumn("_n", F.monotonically_increasing_id()))
+    numbered.coalesce(1).sortWithinPartitions("_n").select("value").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, lines: bool = False) -> DataFrame:

@@ -188,3 +188,22 @@ def fallback_source(sources: DataFrame, key: str, group: str, college: str, ordi
     tier = F.when(F.col("_w"), 0).when(F.col(college) == F.col("_c"), 1).otherwise(2)
     pairs = bad.join(sound, (F.col(group) == F.col("_g")) & (F.col(key) != F.col("fallback")))
     return pairs.groupBy(key).agg(F.min_by("fallback", F.struct(tier.alias("a"), F.col("_o").alias("b"))).alias("fallback"))
+
+
+def preferred_pick(rows: DataFrame, key: str, preferred: str, ordinal: str, keep: list[str]) -> DataFrame:
+    """One candidate per key: the sole one, else the first preferred one, else the first."""
+    order = F.struct(F.when(F.col(preferred), 0).otherwise(1).alias("a"), F.col(ordinal).alias("b"))
+    return rows.groupBy(key).agg(F.min_by(F.struct(*keep), order).alias("_p"), F.count(F.lit(1)).alias("n_candidates")).select(key, "n_candidates", "_p.*")
+
+
+def operation_rows(items: DataFrame, operations: str, keys: list[str], ordinal: str) -> DataFrame:
+    """Planned operations as rows, each key once: the first item that plans it keeps it."""
+    each = items.select(*items.columns, F.posexplode(operations).alias("_pos", "_o")).select(*[c for c in items.columns if c != operations], "_pos", "_o.*")
+    return first_wins(each.withColumn("_at", F.struct(ordinal, "_pos")), keys, "_at").drop("_at", "_pos")
+
+
+def renamed(units: DataFrame, name: str, scope: str, names: DataFrame, old: str, new: str) -> DataFrame:
+    """Units with names brought to their new form, where a list of (scope, old, new) has one; `is_renamed` tells which."""
+    table = names.select(F.col(scope).alias("_scope"), F.col(old).alias("_old"), F.col(new).alias("_new"))
+    joined = units.join(table, (units[scope] == table["_scope"]) & (units[name] == table["_old"]), "left")
+    return joined.withColumn("is_renamed", F.col("_new").isNotNull()).withColumn(name, F.coalesce("_new", name)).drop("_scope", "_old", "_new")

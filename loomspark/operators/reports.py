@@ -162,3 +162,14 @@ def digest(rows: DataFrame, group: str, title: str, url: str, order: str) -> Dat
     line = F.concat(F.lit("• <"), F.col(url), F.lit("|"), F.col(title), F.lit(">"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct(order, line.alias("line")))), lambda x: x["line"])
     return rows.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"), F.array_join(lines, "\n").alias("message"))
+
+
+def stage_report(events: DataFrame, source: str, stage: str, status: str, elapsed: str, stages: list[str]) -> DataFrame:
+    """One wide row per source: the last status of each stage, the total time, and the first stage that failed."""
+    last = [F.max_by(F.when(F.col(stage) == s, F.col(status)), F.when(F.col(stage) == s, F.col("ordinal"))).alias(s) for s in stages]
+    failed = F.min_by(stage, F.when(F.col(status) == "failed", F.col("ordinal")))
+    return events.groupBy(source).agg(*last, F.sum(elapsed).alias("elapsed_ms"), failed.alias("first_failed"))
+
+
+def percent(x: Column, digits: int = 1) -> Column:
+    return F.concat(F.format_string(f"%.{digits}f", x * 100), F.lit("%"))

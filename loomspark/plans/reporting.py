@@ -421,3 +421,42 @@ def densest_text(spark, sf_dir):
     from ..functions.html import densest
 
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), densest("html").alias("text"))
+
+
+@query("""SELECT c_nationkey AS nation, count(*) AS n_candidates, arg_min(c_custkey, struct_pack(a := CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE 1 END, b := c_custkey)) AS id FROM customer GROUP BY 1""")
+def preferred_candidates(spark, sf_dir):
+    rows = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("id"), (F.col("c_mktsegment") == "BUILDING").alias("preferred"))
+    return N.preferred_pick(rows, "nation", "preferred", "id", ["id"])
+
+
+@query("""SELECT s_suppkey AS id, 'ok' AS list_fetch, CASE WHEN s_suppkey % 2 = 0 THEN 'failed' ELSE 'skipped' END AS detail_fetch, CAST(s_suppkey * 9 AS BIGINT) AS elapsed_ms, CASE WHEN s_suppkey % 2 = 0 THEN 'detail_fetch' ELSE 'none' END AS first_failed FROM supplier""")
+def stage_reports(spark, sf_dir):
+    events = D.stage_events({"list_fetch": F.lit("ok"), "detail_fetch": F.when(F.col("s_suppkey") % 2 == 0, "failed")})
+    each = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.explode(events).alias("e")).select("id", "e.*", F.col("id").alias("ms"))
+    return R.stage_report(each, "id", "stage", "status", "ms", ["list_fetch", "detail_fetch"]).withColumn("first_failed", F.coalesce("first_failed", F.lit("none")))
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN n_nationkey % 4 = 0 THEN concat('NEW_', n_nationkey) ELSE n_name END AS name, n_nationkey % 4 = 0 AS is_renamed FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def renamed_units(spark, sf_dir):
+    nation = read(spark, sf_dir, "nation")
+    units = read(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("scope"))
+    names = nation.where("n_nationkey % 4 = 0").select(F.col("n_regionkey").alias("scope"), F.col("n_name").alias("old"), F.concat(F.lit("NEW_"), F.col("n_nationkey").cast("string")).alias("new"))
+    return N.renamed(units, "name", "scope", names, "old", "new").select("id", "name", "is_renamed")
+
+
+@query("""SELECT p_partkey AS id, concat('[A]', chr(10), p_name, CASE WHEN p_size % 2 = 0 THEN concat(chr(10), chr(10), '[B]', chr(10), p_brand) ELSE '' END) AS body, concat(printf('%.1f', p_size * 1.0), '%') AS share,
+  CASE WHEN p_size % 3 = 0 THEN p_brand ELSE p_type END AS first FROM part""")
+def labelled_texts(spark, sf_dir):
+    size = F.col("p_size")
+    body = T.labelled({"A": F.col("p_name"), "B": F.when(size % 2 == 0, F.col("p_brand")).otherwise(" "), "C": F.lit(None).cast("string")})
+    first = T.first_filled(F.when(size % 3 == 0, F.col("p_brand")).otherwise("  "), F.col("p_type"))
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), body.alias("body"), R.percent(size / 100).alias("share"), first.alias("first"))
+
+
+@query("""SELECT s_suppkey AS id, split_part(lower(s_name), '#', 1) AS slug, CASE s_suppkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS priority, CASE WHEN s_suppkey % 4 = 2 THEN 'of Law' ELSE '' END AS department, CASE WHEN s_suppkey % 3 = 0 THEN 'aa' ELSE 'unknown' END AS grp FROM supplier""")
+def source_derivations(spark, sf_dir):
+    k = F.col("s_suppkey")
+    level = F.get(F.array(*map(F.lit, ["University", " college", "department", "x"])), (k % 4).cast("int"))
+    path = F.when(k % 3 == 0, "data\\AA\\x.csv").otherwise("data/zz/x.csv")
+    own = F.translate("s_name", "#", "_")
+    return read(spark, sf_dir, "supplier").select(k.alias("id"), T.slug_of(own, F.lit("")).alias("slug"), T.source_priority(level).alias("priority"), T.source_department(F.lit("School of Law"), level, F.lit("")).alias("department"), T.group_of_path(path, ["aa", "bb"]).alias("grp"))

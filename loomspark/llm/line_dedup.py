@@ -66,8 +66,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int
     dense = F.expr("transform(sequence(0, (n_lines - 1) DIV 64), w -> coalesce(keep[CAST(w AS INT)], -1L))")
     maps = materialise(maps.select("doc", "body", dense.alias("words")), "bitmaps")
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), whole.alias("text"), F.xxhash64(whole).alias("_body"))
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), F.xxhash64(whole).alias("_body"))
     joined = rows.join(maps, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_body") == F.col("body")), "left")
+    # the text goes through the shuffle once, inside its row
+    joined = joined.withColumn("text", F.coalesce(F.col("row").getField(text), F.lit("")))
     lines = joined.withColumn("lines", F.split("text", "\n", -1))
     stay = F.expr("filter(lines, (x, i) -> getbit(element_at(words, CAST(i DIV 64 AS INT) + 1), i % 64) = 1)")
     kept = lines.withColumn("stay", F.when(F.col("words").isNotNull(), stay))

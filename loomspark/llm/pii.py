@@ -190,8 +190,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text: str = "text", remove
     """(row, clean): the rows as structs, so that no column clashes; base finds become their kind, disclosing words are
     generalised to [word] or removed. A null text stays null."""
     found = detect(docs.select(id_col, text), id_col, text)
-    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_body"))
-    joined = rows.join(found, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_body") == F.col("body")), "left")
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_body"))
+    joined = rows.join(found, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_body") == F.col("body")), "left").withColumn("text", F.col("row").getField(text))
     instead = f"CASE WHEN s.kind <> '{TERM}' THEN concat('[', s.kind, ']') WHEN s.share >= {remove} THEN '' ELSE '[word]' END"
     clean = f"""aggregate(spans, struct(CAST(array() AS array<string>) AS made, 0 AS at), (a, s) ->
         CASE WHEN s.start < a.at THEN a

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from . import constants as K
 from .html import squeeze

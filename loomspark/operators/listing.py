@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,11 +24,8 @@ def searched(items: DataFrame, query: str, name: str, organisation: str) -> Data
 
 def admin_search(items: DataFrame, query: str, *columns: str) -> DataFrame:
     """Items one of whose columns holds the query literally: per cent signs and underscores are no wildcards."""
-    hits = [F.contains(F.lower(F.col(c)), F.lit(query.strip().lower())) for c in columns]
-    out = hits[0]
-    for h in hits[1:]:
-        out = out | h
-    return items.where(out)
+    q = F.lit(query.strip().lower())
+    return items.where(reduce(or_, [F.contains(F.lower(F.col(c)), q) for c in columns]))
 
 
 def without_names(items: DataFrame, text: Column, names: DataFrame, name: str, least: int = 3) -> DataFrame:
@@ -45,14 +45,20 @@ def without_names(items: DataFrame, text: Column, names: DataFrame, name: str, l
 
 
 def on_campus(items: DataFrame, restricted: str, texts: list[str], names: DataFrame, name: str) -> DataFrame:
-    """is_campus: the item is restricted to institutions, or one of its texts holds an institution's name (wildcards live)."""
-    found = [r[0] for r in names.select(F.trim(name)).where(F.trim(name) != "").distinct().limit(NAME_LIMIT).collect()]
-    likes = F.array(*(F.lit(f"%{n}%") for n in found)) if found else F.array().cast("array<string>")
-    held = [ilike_any(F.col(c), likes) for c in texts]
-    out = F.coalesce(F.size(restricted) > 0, F.lit(False))
-    for h in held:
-        out = out | h
-    return items.withColumn("is_campus", out)
+    """is_campus: the item is restricted to institutions, or one of its texts holds an institution's name (wildcards live).
+
+    As above, few names become an array literal; more of them are joined.
+    """
+    wanted = names.select(F.concat(F.lit("%"), F.trim(name), F.lit("%")).alias("_like")).where(F.col("_like") != "%%").distinct()
+    found = [r["_like"] for r in wanted.orderBy("_like").limit(NAME_LIMIT + 1).collect()]
+    limited = F.coalesce(F.size(restricted) > 0, F.lit(False))
+    if len(found) <= NAME_LIMIT:
+        likes = F.array(*map(F.lit, found)) if found else F.array().cast("array<string>")
+        held = [ilike_any(F.col(c), likes) for c in texts]
+        return items.withColumn("is_campus", reduce(or_, held, limited))
+    hit = reduce(or_, [F.call_function("ilike", F.col(c), F.col("_like")) for c in texts])
+    inside = items.join(wanted, hit, "left_semi").withColumn("is_campus", F.lit(True))
+    return inside.unionByName(items.join(wanted, hit, "left_anti").withColumn("is_campus", limited))
 
 
 def ilike_any(x: Column, patterns: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
-from ..functions import constants as K
 from ..functions import decisions as D
 from ..functions import text as T
 from ..functions.html import strip_tags, title_candidates

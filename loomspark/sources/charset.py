@@ -7,7 +7,6 @@ import re
 import pandas as pd
 
 from ..functions.udfs import batch_udf
-from pyspark.sql import functions as F
 
 ALIASES = {"ks_c_5601-1987": "cp949", "euc-kr": "cp949", "ms949": "cp949", "utf8": "utf-8"}
 

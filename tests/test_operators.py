@@ -85,6 +85,14 @@ def test_matching(spark, profile, offer, want):
     assert passes(spark, profile, offer) is want
 
 
+def test_index_finds_the_same_pairs(spark):
+    profiles = frame(spark, PROFILE, [{"id": i, "university_name": f"U{i % 4}" if i % 5 else None, "school_name": f"U{i % 3}" if i % 2 else None, "gender": "FM"[i % 2]} for i in range(40)])
+    offers = frame(spark, OFFER, [OPEN | {"id": i, "qual_university": [None, [], ["U1"], ["U0", "U1", "U0"], ["U9"]][i % 5], "qual_gender": ["F", None][i % 2]} for i in range(30)])
+    pairs = lambda **k: sorted((r["a"], r["b"]) for r in M.match(profiles, offers, "2024-03-01", **k).select(F.col("p.id").alias("a"), F.col("s.id").alias("b")).collect())
+    assert pairs() == pairs(index=None) and len(pairs()) > 100
+    assert pairs(on=[("gender", "qual_gender")]) == pairs(index=None, on=[("gender", "qual_gender")])
+
+
 def test_versions(spark):
     assert passes(spark, {}, {"qual_special_info": ["free text"]}, "optimised") and not passes(spark, {}, {"qual_special_info": ["다자녀"]}, "optimised")
     assert passes(spark, {"academic_year": 2, "semester": 1}, {"qual_min_academic_year": 2}, "admission_types") and not passes(spark, {"academic_year": 1}, {"qual_min_academic_year": 2}, "admission_types")
@@ -121,6 +129,16 @@ def test_pages_are_a_partition(spark):
     assert L.page(items, None, 500, *order).count() == 50 and L.page(items, -3, 0, *order).count() == 1
 
 
+def test_many_names_are_joined(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "at the big school", None), (2, "elsewhere", ["x"]), (3, "nowhere", []), (4, None, None)], "id long, text string, limits array<string>")
+    names = spark.createDataFrame([("Big School",), ("other",), (" ",)], "name string")
+    campus = lambda: {r["id"]: r["is_campus"] for r in L.on_campus(items, "limits", ["text"], names, "name").collect()}
+    left = lambda: sorted(r["id"] for r in L.without_names(items, F.coalesce("text", F.lit("")), names, "name").collect())
+    few = campus(), left()
+    monkeypatch.setattr(L, "NAME_LIMIT", 1)
+    assert (campus(), left()) == few == ({1: True, 2: True, 3: False, 4: False}, [2, 3, 4])
+
+
 def splice(rows: list, ads: list) -> list:
     out = list(rows)
     for place, key in sorted(ads):

@@ -56,34 +56,57 @@ class Model:
                 for g in grams(w, k):
                     found[g, at[lang]] += n
             self.grams[k] = Table(found, len(at))
-        self.known: dict[str, np.ndarray] = {}
-
-    def word(self, word: str) -> np.ndarray:
-        """Scores of one word per language, less the best: only the differences tell languages apart."""
-        found = self.known.get(word)
-        if found is None:
-            at = self.words.row.get(word)
-            found = self.backed_off(word) if at is None else self.words.logs[at]
-            if len(self.known) >= REMEMBERED:
-                self.known = {}
-            self.known[word] = found = found - found.max()
-        return found
-
-    def backed_off(self, word: str) -> np.ndarray:
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(at)))
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row per word: its scores per language, less the best, since only the differences tell languages apart.
+
+        A known word has its own row. Any other is scored by its n-grams of the longest size of which one is known; each
+        step down discounts what they say.
+        """
+        out = np.zeros((len(words), len(self.languages)))
+        at = [self.words.row.get(w, -1) for w in words]
+        open_ = [i for i, k in enumerate(at) if k < 0]
+        own = [i for i, k in enumerate(at) if k >= 0]
+        out[own] = self.words.logs[[at[i] for i in own]]
         for k, table in self.grams.items():
-            hits = [at for g in grams(word, k) if (at := table.row.get(g)) is not None]
-            if hits:
-                return table.logs[hits].sum(0) / k * BACKOFF ** (LONGEST_GRAM + 1 - k)
-        return np.zeros(len(self.languages))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(WORD.findall(text.lower())) if text else None
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        total = np.array(list(map(self.word, words))).T @ np.fromiter(words.values(), float, len(words))
-        odds = np.exp(total - total.max())
-        best = int(odds.argmax())
-        return self.languages[best], float(odds[best] / odds.sum())
+            hits = [[j for g in grams(words[i], k) if (j := table.row.get(g)) is not None] for i in open_]
+            found = [i for i, h in zip(open_, hits, strict=True) if h]
+            if found:
+                sizes = [len(h) for h in hits if h]
+                flat = table.logs[[j for h in hits for j in h]]
+                out[found] = np.add.reduceat(flat, np.cumsum([0, *sizes[:-1]])) / k * BACKOFF ** (LONGEST_GRAM + 1 - k)
+            open_ = [i for i, h in zip(open_, hits, strict=True) if not h]
+        return out - out.max(1, keepdims=True) if len(words) else out
+
+    def remember(self, words: set[str]) -> None:
+        """Give new words their rows; the memory starts afresh when it is full."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, new = {}, list(words)
+        n = len(self.known)
+        while n + len(new) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[n : n + len(new)] = self.scores(new)
+        self.known.update(zip(new, range(n, n + len(new)), strict=True))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, its share of the posterior) of each text."""
+        counts = [Counter(WORD.findall(t.lower())) if t else Counter() for t in texts]
+        if self.languages:
+            self.remember(set().union(*counts))
+        out = []
+        for words in counts:
+            if not words or not self.languages:
+                out.append((UNKNOWN, 0.0))
+                continue
+            at = list(map(self.known.__getitem__, words))
+            total = np.fromiter(words.values(), float, len(words)) @ self.rows[at]
+            odds = np.exp(total - total.max())
+            best = int(odds.argmax())
+            out.append((self.languages[best], float(odds[best] / odds.sum())))
+        return out
 
 
 def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, vocabulary: int = VOCABULARY) -> Model:
@@ -116,7 +139,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(texts: list) -> list:
-        found = [shared.value.predict(t) for t in texts]
+        found = shared.value.predict(texts)
         return [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
 
     return map_texts(docs, work, "lang_pred string, score double", *keep, text=text)
@@ -130,6 +153,7 @@ def filter_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, at):
-                yield part.filter(pa.array([shared.value.predict(t)[0] != UNKNOWN for t in part.column(at).to_pylist()], pa.bool_()))
+                found = shared.value.predict(part.column(at).to_pylist())
+                yield part.filter(pa.array([x[0] != UNKNOWN for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

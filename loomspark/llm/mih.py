@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 BITS, K = 64, 10
-SHARDS, SHARD_CODES, QUERY_BLOCK = 24, 1 << 16, 4096
+SHARDS, SHARD_CODES, QUERY_BLOCK, TASKS = 24, 1 << 16, 4096, 20_000
 #: Queries that are worked on at once in a shard: the table of seen codes has so many rows.
 AT_ONCE = 256
 
@@ -153,6 +153,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     block = F.pmod(F.xxhash64(F.lit("block"), "code"), F.lit(blocks)).cast("int")
     left = entries.select("code", "ids", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     right = unique.select("code", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"))
+    # so many tasks as there are units, up to a bound: a given number is not coalesced, and a unit is work, not bytes
+    tasks = min(shards * blocks, TASKS)
+    left, right = (df.repartition(tasks, "shard", "block") for df in (left, right))
     near = (
         left.groupBy("shard", "block")
         .cogroup(right.groupBy("shard", "block"))

@@ -23,7 +23,7 @@ from .common import map_texts
 
 CANDIDATE = regex.compile(
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*+(?:-----END [A-Z ]*PRIVATE KEY-----)?"
-    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
+    r"|(?<![A-Za-z0-9+/_-])(?:A(?:KIA|SIA)[0-9A-Z]{16}(?![A-Za-z0-9+/_-])|(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2})"
 )
 AWS = regex.compile(r"A(?:KIA|SIA)[0-9A-Z]{16}")
 NEAR = 48

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -20,6 +20,7 @@ class Node:
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.parts: list[Node | str] = []
+        self.index: dict[str, list] | None = None
 
     def children(self) -> list[Node]:
         return [x for x in self.parts if isinstance(x, Node)]
@@ -58,10 +59,25 @@ class Node:
         return next((x for x in self.up() if matches(x, selector)), None)
 
     def find(self, selector: str) -> list[Node]:
-        return [x for x in self.walk() if matches(x, selector)]
+        return [x for x in self.likely(selector) if matches(x, selector)]
 
     def first(self, selector: str) -> Node | None:
-        return next((x for x in self.walk() if matches(x, selector)), None)
+        return next((x for x in self.likely(selector) if matches(x, selector)), None)
+
+    def likely(self, selector: str) -> Iterable[Node]:
+        """Descendants that may match, in document order: a whole document looks them up by tag, class and id."""
+        keys = keys_of(selector)
+        if self.parent is not None or keys is None:
+            return self.walk()
+        if self.index is None:
+            self.index = {}
+            for at, x in enumerate(self.walk()):
+                names = {x.tag, *(f".{c}" for c in x.attrs.get("class", "").split()), f"#{x.attrs.get('id')}"}
+                for name in names:
+                    self.index.setdefault(name, []).append((at, x))
+        if len(keys) == 1:
+            return [x for _, x in self.index.get(keys[0], ())]
+        return [x for _, x in sorted(dict(y for k in keys for y in self.index.get(k, ())).items())]
 
     def first_text(self, selector: str) -> str:
         found = self.first(selector)
@@ -70,6 +86,7 @@ class Node:
     def drop(self, selector: str) -> None:
         for x in self.find(selector):
             x.parent.parts = [y for y in x.parent.parts if y is not x]
+        self.index = None
 
     def html(self) -> str:
         out, todo = [], list(self.parts[::-1])
@@ -131,6 +148,18 @@ def compiled(selector: str) -> tuple:
     return tuple(chains)
 
 
+@lru_cache(maxsize=2048)
+def keys_of(selector: str) -> tuple[str, ...] | None:
+    """For each selector of a list one tag, class or id that a match must have; None if one of them has none."""
+    out = []
+    for chain in compiled(selector):
+        named = [mark + name for mark, name, *_ in chain[0][1] if name and name != "*"]
+        if not named:
+            return None
+        out.append(max(named, key=lambda n: n[0] in ".#"))
+    return tuple(dict.fromkeys(n if n[0] in ".#" else n.lower() for n in out))
+
+
 def passes(node: Node, tests: tuple) -> bool:
     for mark, name, attr, op, value, position in tests:
         if position:

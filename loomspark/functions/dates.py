@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,15 @@ def seoul_date(ts: Column) -> Column:
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("Asia/Seoul"), ts))
 
 
+def within_seoul_days(ts: Column, first: str | None = None, last: str | None = None) -> Column:
+    """The instant lies in these local days. Said on the instant itself, so that the condition reaches the scan."""
+    at = lambda day, days: F.lit(f"{date.fromisoformat(day) + timedelta(days)} 15:00:00").cast("timestamp_ntz")
+    out = F.lit(True)
+    if first:
+        out = out & (ts >= at(first, -1))
+    return out & (ts < at(last, 0)) if last else out
+
+
 def is_open(end: Column, as_of: Column) -> Column:
     """The deadline has not passed; the sentinel day is always open."""
     return (end == F.to_date(F.lit(K.ALWAYS_OPEN))) | (end >= as_of)

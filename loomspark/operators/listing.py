@@ -65,9 +65,15 @@ def ilike_any(x: Column, patterns: Column) -> Column:
     return F.coalesce(F.exists(patterns, lambda p: F.call_function("ilike", x, p)), F.lit(False))
 
 
-def with_counts(items: DataFrame, key: str, log: DataFrame, log_key: str, name: str = "scrap_count") -> DataFrame:
-    """Items with the number of their entries in the log, 0 where there is none."""
-    counts = log.groupBy(F.col(log_key).alias("_key")).agg(F.count(F.lit(1)).alias(name))
+def with_counts(items: DataFrame, key: str, log: DataFrame, log_key: str, name: str = "scrap_count", few: bool = False) -> DataFrame:
+    """Items with the number of their entries in the log, 0 where there is none.
+
+    `few`: the items are a page, so their keys go to the log and only their entries are counted and shuffled.
+    """
+    own = log.select(F.col(log_key).alias("_key"))
+    if few:
+        own = own.join(F.broadcast(items.select(F.col(key).alias("_key"))), "_key", "left_semi")
+    counts = own.groupBy("_key").agg(F.count(F.lit(1)).alias(name))
     return items.join(counts, items[key] == counts["_key"], "left").drop("_key").withColumn(name, F.coalesce(name, F.lit(0)))
 
 

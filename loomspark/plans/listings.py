@@ -50,7 +50,7 @@ def home_order() -> list:
 @query(HOME_SQL + " SELECT rn, id, name, organisation, apply_end_date, is_recommended, coalesce(sort_order, -1) AS sort_order, scrap_count FROM ranked WHERE rn > 24 AND rn <= 48")
 def home_page(spark, sf_dir):
     rows = L.page(home(spark, sf_dir), 2, None, *home_order())
-    counted = L.with_counts(rows, "id", read(spark, sf_dir, "lineitem"), "l_orderkey")
+    counted = L.with_counts(rows, "id", read(spark, sf_dir, "lineitem"), "l_orderkey", few=True)
     return counted.select("rn", "id", "name", "organisation", "apply_end_date", "is_recommended", F.coalesce("sort_order", F.lit(-1)).alias("sort_order"), "scrap_count")
 
 

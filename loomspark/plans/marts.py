@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import seoul_date
+from ..functions.dates import seoul_date, within_seoul_days
 from ..operators import engagement as E
 from .registry import query, read
 
@@ -16,10 +18,11 @@ ITEM_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 AS_OF = "2024-01-24"
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event log with its local day and its item."""
+def events(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The event log (of some days) with its local day and its item."""
     item = F.get_json_object("props", "$.k").cast("int")
-    return read(spark, sf_dir, "events").withColumn("day", seoul_date(F.col("ts"))).withColumn("item", item)
+    log = read(spark, sf_dir, "events").where(within_seoul_days(F.col("ts"), first, last))
+    return log.withColumn("day", seoul_date(F.col("ts"))).withColumn("item", item)
 
 
 @query(f"SELECT {DAY_SQL} AS day, count(DISTINCT user_id) AS active_users, count(*) AS n_events, {COUNTS_SQL} FROM events GROUP BY 1")
@@ -29,7 +32,7 @@ def daily_kpi(spark, sf_dir):
 
 @query(f"SELECT DATE '2024-03-01' AS day, count(DISTINCT user_id) AS active_users, count(*) AS n_events, {COUNTS_SQL} FROM events WHERE {DAY_SQL} = DATE '2024-03-01'")
 def day_kpi_without_events(spark, sf_dir):
-    return E.day_kpi(events(spark, sf_dir), "day", "2024-03-01", "user_id", "event_type", KINDS)
+    return E.day_kpi(events(spark, sf_dir, "2024-03-01", "2024-03-01"), "day", "2024-03-01", "user_id", "event_type", KINDS)
 
 
 @query(f"SELECT {DAY_SQL} AS day, {ITEM_SQL} AS item, count(DISTINCT user_id) AS active_users, {COUNTS_SQL} FROM events WHERE {ITEM_SQL} IS NOT NULL GROUP BY 1, 2")
@@ -58,7 +61,7 @@ rated AS (SELECT *, round(100.0 * d1_users / cohort_size, 2)::DOUBLE AS d1_rate,
 
 @query(RETENTION_SQL + " SELECT * FROM rated")
 def retention(spark, sf_dir):
-    return E.retention(events(spark, sf_dir), "day", "user_id", AS_OF)
+    return E.retention(events(spark, sf_dir, last=AS_OF), "day", "user_id")
 
 
 @query(
@@ -75,8 +78,8 @@ def latest_mature_cohorts(spark, sf_dir):
 SELECT CAST(sum(active_users) AS BIGINT) AS active_users, CAST(sum(n_events) AS BIGINT) AS n_events, CAST(sum(n_views) AS BIGINT) AS n_views
 FROM kpi WHERE day BETWEEN DATE '{AS_OF}' - 6 AND DATE '{AS_OF}'""")
 def week_totals(spark, sf_dir):
-    week = daily_kpi(spark, sf_dir).where(F.col("day").between(F.date_sub(F.lit(AS_OF).cast("date"), 6), F.lit(AS_OF).cast("date")))
-    return E.sums(week, ["active_users", "n_events", "n_views"])
+    week = events(spark, sf_dir, str(date.fromisoformat(AS_OF) - timedelta(6)), AS_OF)
+    return E.sums(E.daily_kpi(week, "day", "user_id", "event_type", KINDS), ["active_users", "n_events", "n_views"])
 
 
 @query(f"""WITH kpi AS (SELECT {DAY_SQL} AS day, {ITEM_SQL} AS item, count(*) FILTER (WHERE event_type = 'view') AS n_views FROM events GROUP BY 1, 2)

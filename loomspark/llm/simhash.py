@@ -6,7 +6,7 @@ one shingle; repeated rows give as many rows; a null id is carried and never bec
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -109,16 +109,20 @@ def over(counters: list[int], radius: int) -> int:
     return more
 
 
-def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Index links (member, representative) that span the groups of close fingerprints in each unit."""
+def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Callable[[int, int], bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index links (member, representative) that span the groups of close fingerprints in each unit.
+
+    With `verify`, a close pair links only if that agrees; pairs that are linked already are not asked about.
+    """
     label = np.arange(len(fps))
     for i, j in close_pairs(unit, fps, radius):
-        for a, b in zip(i[m := label[i] != label[j]].tolist(), j[m].tolist(), strict=True):
+        for x, y in zip(i[m := label[i] != label[j]].tolist(), j[m].tolist(), strict=True):
+            a, b = x, y
             while label[a] != a:
                 a = label[a]
             while label[b] != b:
                 b = label[b]
-            if a != b:
+            if a != b and (verify is None or verify(x, y)):
                 label[max(a, b)] = min(a, b)
         while (label[label] != label).any():
             label = label[label]
@@ -126,20 +130,22 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> tuple[np.
     return at, label[at]
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(distinct: DataFrame, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """(u, v): links that join all fingerprints of one key within `radius` into their components.
 
-    distinct: v (vertex), words array<bigint> (fingerprint), keys array<bigint>.
+    distinct: v (vertex), words array<bigint> (fingerprint), keys array<bigint>; with a similarity also `least`, the
+    sketches from which it is told for pairs within the radius.
     """
+    held = ["v", "words"] + ["least"] * (similarity is not None)
     keyed = distinct.select("v", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / CHUNK).cast("int")
     units = (
-        distinct.select("v", "words", F.explode("keys").alias("key"))
+        distinct.select(*held, F.explode("keys").alias("key"))
         .join(sizes, "key")
         .withColumn("own", F.pmod(F.xxhash64("v"), parts.cast("bigint")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "v", "words")
+        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), *held)
         .repartition("key", "a", "b")
         .sortWithinPartitions("key", "a", "b", "v")
     )
@@ -151,7 +157,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
             edge = np.zeros(len(columns[0]), bool)
             for c in columns[:3]:
                 edge[1:] |= c[1:] != c[:-1]
-            i, j = forest(np.cumsum(edge), columns[4], radius)
+            verify = None if similarity is None else lambda x, y: resemblance(columns[5][x], columns[5][y]) >= similarity
+            i, j = forest(np.cumsum(edge), columns[4], radius, verify)
             return pa.RecordBatch.from_arrays([pa.array(columns[3][i]), pa.array(columns[3][j])], names=["u", "v"])
 
         for batch in batches:
@@ -159,6 +166,10 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                 continue
             rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
             rows.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
+            if similarity is not None:
+                sketches = np.empty(batch.num_rows, object)
+                sketches[:] = [np.frombuffer(x, np.uint32) for x in batch.column(5).to_pylist()]
+                rows.append(sketches)
             rows = [np.concatenate(x) for x in zip(left, rows, strict=True)] if left else rows
             last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]) | (rows[2] != rows[2][-1]))
             cut = last[-1] + 1 if len(last) else 0
@@ -201,16 +212,11 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def grouped(own: DataFrame, keys: F.Column, words: F.Column, vertex: str, id_col: str, radius: int) -> DataFrame:
-    """own with component_id (the smallest id that links reach) and component_size. Copies are one vertex."""
-    kept = ["fp"] if vertex == "fp" else [vertex, "words", "bands"]
-    ids = [F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies")]
-    distinct = own.groupBy(vertex).agg(*ids, *(F.min(c).alias(c) for c in kept if c != vertex))
-    distinct = materialise(distinct, "distinct").withColumnRenamed(vertex, "v")
-    if vertex == "fp":
-        distinct = distinct.withColumn("fp", F.col("v"))
-    roots = components(links(distinct.select("v", words.alias("words"), keys.alias("keys")), radius))
-    placed = distinct.select("v", "first_id", "copies").join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+def grouped(own: DataFrame, distinct: DataFrame, vertex: str, id_col: str, radius: int, similarity: float | None = None) -> DataFrame:
+    """own with component_id (the smallest id that links reach) and component_size. distinct: what `links` needs, a row per vertex."""
+    ids = own.groupBy(F.col(vertex).alias("v")).agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    roots = components(links(distinct, radius, similarity))
+    placed = ids.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     whole = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("component_size"))
     by_vertex = placed.select("v", "root").join(whole, "root").select(F.col("v").alias(vertex), "component_id", "component_size")
     return own.join(by_vertex, vertex)
@@ -221,12 +227,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     if not 0 <= radius <= RADIUS:
         raise ValueError(f"radius must be 0 to {RADIUS}")
     own = materialise(fingerprints(docs, id_col, text, width), "fingerprints")
-    return grouped(own, block_keys(F.col("fp")), F.array("fp"), "fp", id_col, radius).select(id_col, "fp", "component_id", "component_size")
+    vertices = own.select(F.col("fp").alias("v")).distinct()
+    distinct = materialise(vertices, "distinct").select("v", F.array("v").alias("words"), block_keys(F.col("v")).alias("keys"))
+    return grouped(own, distinct, "fp", id_col, radius).select(id_col, "fp", "component_id", "component_size")
 
 
-#: For similarities: words of a longer fingerprint, and bands of least hashes that choose what is compared.
-LONG_WORDS, BANDS, BAND_ROWS = 4, 8, 4
-_MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, BANDS * BAND_ROWS + LONG_WORDS), dtype=np.uint64) | np.uint64(1)
+#: For similarities: words of a longer fingerprint, bands of least hashes that choose what is compared, and the size of the
+#: sketch from which a similarity is told: exact for texts of no more different shingles, else give or take 0.025.
+LONG_WORDS, BANDS, BAND_ROWS, SKETCH = 4, 8, 4, 256
+_MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, BANDS * BAND_ROWS + LONG_WORDS + 1), dtype=np.uint64) | np.uint64(1)
 
 
 def scramble(h: np.ndarray, k: int) -> np.ndarray:
@@ -237,11 +246,14 @@ def scramble(h: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def sketch(text: str | None, width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """LONG_WORDS * 64 fingerprint bits, and a hash for each band; all zero without words. Repeats of a shingle count once."""
+def sketch(text: str | None, width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """LONG_WORDS * 64 fingerprint bits, a hash for each band, the SKETCH least hashes in order. Repeats of a shingle count once.
+
+    Without words all are zero, and the sketch is empty.
+    """
     words = text.encode().lower().split() if text else []
     if not words:
-        return np.zeros(LONG_WORDS, np.uint64), np.zeros(BANDS, np.uint64)
+        return np.zeros(LONG_WORDS, np.uint64), np.zeros(BANDS, np.uint64), np.zeros(0, np.uint32)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
     h = np.unique(np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in shingles), dtype=np.uint64))
     fp = np.empty(LONG_WORDS, np.uint64)
@@ -250,30 +262,45 @@ def sketch(text: str | None, width: int, seed: int = 42) -> tuple[np.ndarray, np
         for at in range(0, len(x), 1 << 16):
             ones += np.unpackbits(x[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         fp[k] = np.packbits(2 * ones > len(x), bitorder="little").view(np.uint64)[0]
-    least = np.array([scramble(h, LONG_WORDS + k).min() for k in range(BANDS * BAND_ROWS)]).reshape(BANDS, BAND_ROWS)
-    bands = np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least)], np.uint64)
-    return fp, bands
+    low = np.array([scramble(h, LONG_WORDS + k).min() for k in range(BANDS * BAND_ROWS)]).reshape(BANDS, BAND_ROWS)
+    bands = np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(low)], np.uint64)
+    order = np.unique((scramble(h, LONG_WORDS + BANDS * BAND_ROWS) >> np.uint64(32)).astype(np.uint32))
+    return fp, bands, order[:SKETCH]
+
+
+def resemblance(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity by two sketches: the share of both among the least hashes of either."""
+    either = np.union1d(a, b)
+    if max(len(a), len(b)) == SKETCH:
+        either = either[: min(SKETCH, len(either))]
+    both = np.intersect1d(a, b, assume_unique=True)
+    return float((both <= either[-1]).sum() / len(either)) if len(either) else 1.0
 
 
-def reach_of(similarity: float) -> int:
-    """Bits that differ, on average, between fingerprints of two sets of one size and this Jaccard similarity."""
-    return int(round(LONG_WORDS * BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi))
+def reach_of(similarity: float, spread: float = 2.5) -> int:
+    """Bits within which fingerprints of two sets of one size and this Jaccard similarity differ, but for few: so many
+    standard deviations above the mean."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    n = LONG_WORDS * BITS
+    return int(np.ceil(n * p + spread * np.sqrt(n * p * (1 - p))))
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per row: id, component_id, component_size, linked at a Jaccard similarity of word shingles.
 
     A radius of three bits stands for a far higher similarity, so fingerprints are longer here, and what is compared bit by
-    bit are the documents that share a band of least hashes (98.5 % of the pairs at 0.8, more above). The distance then
-    stands for the similarity, give or take 0.04. Equal texts always link.
+    bit are the documents that share a band of least hashes (98.5 % of the pairs at 0.8, more above). Pairs within a radius
+    that 99 % of the similar ones keep are then held to the similarity by their sketches. Equal texts always link.
     """
 
     def work(texts: list) -> list:
         made = [sketch(t, width) for t in texts]
         lists = lambda k: pa.array([list(m[k].view(np.int64)) for m in made], pa.list_(pa.int64()))
-        return [lists(0), lists(1)]
+        return [lists(0), lists(1), pa.array([m[2].tobytes() for m in made], pa.binary())]
 
-    own = map_texts(docs, work, "words array<bigint>, bands array<bigint>", id_col, text=text).withColumn("v", F.xxhash64("words", "bands"))
+    own = map_texts(docs, work, "words array<bigint>, bands array<bigint>, least binary", id_col, text=text).withColumn("v", F.xxhash64("words", "bands", "least"))
     own = materialise(own, "sketches")
-    found = grouped(own, F.col("bands"), F.col("words"), "v", id_col, reach_of(similarity))
+    # copies are one vertex; which of its equal rows stays does not matter
+    vertices = own.select("v", "words", F.col("bands").alias("keys"), "least").dropDuplicates(["v"])
+    found = grouped(own.select(id_col, "v"), vertices, "v", id_col, reach_of(similarity), similarity)
     return found.select(id_col, "component_id", "component_size")

@@ -108,6 +108,14 @@ def jaccard(a: str, b: str) -> float:
     return len(x & y) / len(x | y)
 
 
+def test_sketches_tell_the_similarity():
+    for i in range(20):
+        a = prose(150 + 20 * i, i)
+        b = edited(a, i, i)
+        assert abs(S.resemblance(S.sketch(a, 5)[2], S.sketch(b, 5)[2]) - jaccard(a, b)) < (1e-9 if i < 5 else 0.1)
+    assert S.resemblance(S.sketch("", 5)[2], S.sketch(None, 5)[2]) == 1.0 and S.resemblance(S.sketch("a", 5)[2], S.sketch("", 5)[2]) == 0.0
+
+
 def test_similar_documents(spark):
     base = [prose(400, 50 + i) for i in range(25)]
     rows = [(i, t, "en", "s", 0) for i, t in enumerate(base)] + [(100 + i, edited(t, 4, i), "en", "s", 0) for i, t in enumerate(base)] + [(200 + i, edited(t, 120, i), "en", "s", 0) for i, t in enumerate(base)]
@@ -116,3 +124,13 @@ def test_similar_documents(spark):
     assert all(jaccard(texts[i], texts[100 + i]) >= 0.85 for i in range(25))
     assert sum(out[100 + i] == i for i in range(25)) >= 24
     assert all(out[i] == i and out[200 + i] == 200 + i for i in range(25))
+
+
+def test_similarity_is_kept_to(spark):
+    """Short texts have whole sketches: a pair links if and only if it reaches the similarity, but for missed bands."""
+    rows = [(i, prose(120, 300 + i // 2) if i % 2 == 0 else edited(prose(120, 300 + i // 2), 1 + i // 2 % 6, i), "en", "s", 0) for i in range(120)]
+    out = {r["doc_id"]: r["component_id"] for r in S.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    pairs = [(out[i] == out[i + 1], jaccard(rows[i][1], rows[i + 1][1])) for i in range(0, 120, 2)]
+    assert not any(same for same, j in pairs if j < 0.8)
+    near = [same for same, j in pairs if j >= 0.8]
+    assert len(near) > 10 and sum(near) >= len(near) - 1

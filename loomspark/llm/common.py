@@ -21,11 +21,16 @@ BATCH_ROWS = 512
 CHUNK_BYTES = 4 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Arrow batches are kept short, because a text can be long."""
+def short_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches short, because a text can be long. It is a setting of the session, read when a query is planned."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -79,6 +84,7 @@ def map_texts(df: DataFrame, work: Callable[[list], list], schema: str, *keep: s
                 made = work(part.column(kept).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, made)], names=names)
 
+    short_batches(df.sparkSession)
     out = T.StructType([*(df.schema[k] for k in keep), *T.StructType.fromDDL(schema).fields])
     names = out.fieldNames()
     return df.select(*(F.col(f"`{k}`") for k in (*keep, text))).mapInArrow(run, out)

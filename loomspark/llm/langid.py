@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, map_texts
+from .common import chunks, map_texts, short_batches
 
 #: Documents of each language to learn from, and its most frequent words that are kept: the model's bounds.
 SAMPLE_DOCS, VOCABULARY = 5000, 20_000
@@ -111,6 +111,7 @@ class Model:
 
 def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, vocabulary: int = VOCABULARY) -> Model:
     """Word counts per language from about sample_docs documents of each, chosen by a hash of the id."""
+    short_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {r[lang]: r["count"] for r in rows.groupBy(lang).count().collect()}
     if not sizes:
@@ -147,6 +148,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
 
 def filter_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows whose language the model names, with all their columns: texts pass through once and are not joined again."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise
+from .common import chunks, materialise, short_batches
 
 WINDOW, END_ID = 2048, 1
 #: Each length is ranked in this many groups at least, and in more where there are over GROUP_ROWS pieces to a group.
@@ -67,6 +67,7 @@ def ids_of(texts: list, path: str, rank_path: str | None, pattern: str | None) -
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, rank_path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens): every document's ids and the closing id, cut every `window` ids."""
+    short_batches(docs.sparkSession)
     out = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,7 +44,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.rules(table(spark, sf_dir, "documents"))
+    return repetition.rules(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,5 +97,29 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distan
 SELECT vec_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10"""
 
 
+RULES_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+n AS (SELECT *, len(words) AS n_words, CAST(greatest(51, floor(len(words) * 0.25) + 1) AS BIGINT) AS far FROM w),
+sizes AS (SELECT doc_id, words, n_words, unnest([4, 8, far]) AS k, unnest(['c', 'r', 'f']) AS kind FROM n),
+windows AS (SELECT doc_id, kind, k, words, unnest(range(1, n_words - k + 2)) AS i FROM sizes WHERE n_words >= k),
+hashed AS (SELECT doc_id, kind, k, i, md5(array_to_string(list_slice(words, i, i + k - 1), ' ')) AS h FROM windows),
+twice AS (SELECT doc_id, kind, k, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, kind, h) AS c FROM hashed) WHERE c > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) FILTER (WHERE kind = 'r') AS n_repeat_words, count(DISTINCT p) FILTER (WHERE kind = 'c') AS n_covered, bool_or(kind = 'f') AS far_repeat
+  FROM (SELECT doc_id, kind, unnest(CASE WHEN kind = 'f' THEN [i] ELSE range(i, i + k) END) AS p FROM twice) GROUP BY 1),
+lines AS (
+  SELECT doc_id, sum(c - 1) AS n_dup_lines
+  FROM (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1, 2) GROUP BY 1),
+base AS (
+  SELECT n.doc_id, n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_covered, 0) AS n_covered, coalesce(far_repeat, false) AS far_repeat
+  FROM n LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_covered <= 0.35 * n_words AND NOT far_repeat AS kept, n_covered
+FROM base"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINES_SQL, "op10_top_k": TOP_K_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op6_quality_rules": RULES_SQL, "op10_top_k": TOP_K_SQL}

@@ -129,7 +129,7 @@ def rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", most_cove
         m = measure(words)
         failed = (n < LEAST_WORDS) | (100 * m["n_repeat_words"] > BASE_PERCENT * n)
         far = (m["longest_repeat"] > longest_words) & (m["longest_repeat"] > longest_share * n)
-        kept = ~failed & (m["n_covered"] <= most_covered * n) & ~far
+        kept = ~failed & (m["n_covered"] <= most_covered * n + 1e-9) & ~far
         chars = [len(t) - sum(map(t.count, BLANKS)) if t else 0 for t in texts]
         symbols = [sum(map(t.count, SYMBOLS)) if t else 0 for t in texts]
         lines = [duplicate_lines(t) if t else 0 for t in texts]

@@ -130,25 +130,25 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Call
     return at, label[at]
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """(u, v): links that join all fingerprints of one key within `radius` into their components.
 
-    distinct: v (vertex), words array<bigint> (fingerprint), keys array<bigint>; with a similarity also `least`, the
-    sketches from which it is told for pairs within the radius.
+    distinct: v (vertex), keys array<bigint>. held: v and words array<bigint> (its fingerprint), for a similarity also
+    `least`, the sketch from which that is told for pairs within the radius; without it v is the fingerprint. Only vertices
+    whose keys are shared take their words along.
     """
-    held = ["v", "words"] + ["least"] * (similarity is not None)
     keyed = distinct.select("v", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / CHUNK).cast("int")
-    units = (
-        distinct.select(*held, F.explode("keys").alias("key"))
-        .join(sizes, "key")
+    shared = (
+        keyed.join(sizes, "key")
         .withColumn("own", F.pmod(F.xxhash64("v"), parts.cast("bigint")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), *held)
-        .repartition("key", "a", "b")
-        .sortWithinPartitions("key", "a", "b", "v")
+        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "v")
     )
+    wide = shared.withColumn("words", F.array("v")) if held is None else shared.join(held, "v")
+    columns = ["key", "a", "b", "v", "words"] + ["least"] * (similarity is not None)
+    units = wide.select(*columns).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "v")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[np.ndarray] = []
@@ -212,10 +212,10 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def grouped(own: DataFrame, distinct: DataFrame, vertex: str, id_col: str, radius: int, similarity: float | None = None) -> DataFrame:
-    """own with component_id (the smallest id that links reach) and component_size. distinct: what `links` needs, a row per vertex."""
+def grouped(own: DataFrame, edges: DataFrame, vertex: str, id_col: str) -> DataFrame:
+    """own with component_id (the smallest id that links reach) and component_size."""
     ids = own.groupBy(F.col(vertex).alias("v")).agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    roots = components(links(distinct, radius, similarity))
+    roots = components(edges)
     placed = ids.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     whole = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("component_size"))
     by_vertex = placed.select("v", "root").join(whole, "root").select(F.col("v").alias(vertex), "component_id", "component_size")
@@ -228,8 +228,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         raise ValueError(f"radius must be 0 to {RADIUS}")
     own = materialise(fingerprints(docs, id_col, text, width), "fingerprints")
     vertices = own.select(F.col("fp").alias("v")).distinct()
-    distinct = materialise(vertices, "distinct").select("v", F.array("v").alias("words"), block_keys(F.col("v")).alias("keys"))
-    return grouped(own, distinct, "fp", id_col, radius).select(id_col, "fp", "component_id", "component_size")
+    distinct = materialise(vertices, "distinct").select("v", block_keys(F.col("v")).alias("keys"))
+    return grouped(own, links(distinct, None, radius), "fp", id_col).select(id_col, "fp", "component_id", "component_size")
 
 
 #: For similarities: words of a longer fingerprint, bands of least hashes that choose what is compared, and the size of the
@@ -301,6 +301,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5,
     own = map_texts(docs, work, "words array<bigint>, bands array<bigint>, least binary", id_col, text=text).withColumn("v", F.xxhash64("words", "bands", "least"))
     own = materialise(own, "sketches")
     # copies are one vertex; which of its equal rows stays does not matter
-    vertices = own.select("v", "words", F.col("bands").alias("keys"), "least").dropDuplicates(["v"])
-    found = grouped(own.select(id_col, "v"), vertices, "v", id_col, reach_of(similarity), similarity)
+    distinct = own.select("v", F.col("bands").alias("keys")).dropDuplicates(["v"])
+    held = own.select("v", "words", "least").dropDuplicates(["v"])
+    found = grouped(own.select(id_col, "v"), links(distinct, held, reach_of(similarity), similarity), "v", id_col)
     return found.select(id_col, "component_id", "component_size")

@@ -7,6 +7,7 @@ one shingle; repeated rows give as many rows; a null id is carried and never bec
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from .common import map_texts, materialise
 
 BITS, BLOCKS, RADIUS = 64, 4, 3
-#: Fingerprints of one bucket that are compared in one go; larger buckets are compared chunk by chunk.
-CHUNK = 4096
+#: Fingerprints of one bucket that are compared in one go, and bytes of shingle hashes that come with them; larger buckets
+#: are compared chunk by chunk.
+CHUNK, CHUNK_SET_BYTES = 4096, 32 << 20
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -133,13 +135,14 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Call
 def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """(u, v): links that join all fingerprints of one key within `radius` into their components.
 
-    distinct: v (vertex), keys array<bigint>. held: v and words array<bigint> (its fingerprint), for a similarity also
-    `least`, the sketch from which that is told for pairs within the radius; without it v is the fingerprint. Only vertices
-    whose keys are shared take their words along.
+    distinct: v (vertex), keys array<bigint>, for a similarity also set_bytes. held: v and words array<bigint> (its
+    fingerprint), for a similarity also `shingles`, the whole set of shingle hashes to which pairs within the radius are
+    held; without it v is the fingerprint. Only vertices whose keys are shared take their words along.
     """
-    keyed = distinct.select("v", F.explode("keys").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / CHUNK).cast("int")
+    load = F.lit(1.0 / CHUNK) if similarity is None else F.greatest(F.lit(1.0 / CHUNK), F.col("set_bytes") / F.lit(float(CHUNK_SET_BYTES)))
+    keyed = distinct.select("v", F.explode("keys").alias("key"), load.alias("load"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("chunks")).where("n > 1")
+    parts = F.ceil(F.col("chunks")).cast("int")
     shared = (
         keyed.join(sizes, "key")
         .withColumn("own", F.pmod(F.xxhash64("v"), parts.cast("bigint")).cast("int"))
@@ -147,7 +150,7 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
         .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "v")
     )
     wide = shared.withColumn("words", F.array("v")) if held is None else shared.join(held, "v")
-    columns = ["key", "a", "b", "v", "words"] + ["least"] * (similarity is not None)
+    columns = ["key", "a", "b", "v", "words"] + ["shingles"] * (similarity is not None)
     units = wide.select(*columns).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "v")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +160,7 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
             edge = np.zeros(len(columns[0]), bool)
             for c in columns[:3]:
                 edge[1:] |= c[1:] != c[:-1]
-            verify = None if similarity is None else lambda x, y: resemblance(columns[5][x], columns[5][y]) >= similarity
+            verify = None if similarity is None else lambda x, y: similar(columns[5][x], columns[5][y], similarity)
             i, j = forest(np.cumsum(edge), columns[4], radius, verify)
             return pa.RecordBatch.from_arrays([pa.array(columns[3][i]), pa.array(columns[3][j])], names=["u", "v"])
 
@@ -167,9 +170,9 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
             rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
             rows.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
             if similarity is not None:
-                sketches = np.empty(batch.num_rows, object)
-                sketches[:] = [np.frombuffer(x, np.uint32) for x in batch.column(5).to_pylist()]
-                rows.append(sketches)
+                sets = np.empty(batch.num_rows, object)
+                sets[:] = [np.frombuffer(x, np.uint64) for x in batch.column(5).to_pylist()]
+                rows.append(sets)
             rows = [np.concatenate(x) for x in zip(left, rows, strict=True)] if left else rows
             last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]) | (rows[2] != rows[2][-1]))
             cut = last[-1] + 1 if len(last) else 0
@@ -232,76 +235,122 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return grouped(own, links(distinct, None, radius), "fp", id_col).select(id_col, "fp", "component_id", "component_size")
 
 
-#: For similarities: words of a longer fingerprint, bands of least hashes that choose what is compared, and the size of the
-#: sketch from which a similarity is told: exact for texts of no more different shingles, else give or take 0.025.
-LONG_WORDS, BANDS, BAND_ROWS, SKETCH = 4, 8, 4, 256
-_MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, BANDS * BAND_ROWS + LONG_WORDS + 1), dtype=np.uint64) | np.uint64(1)
+#: For similarities: words of a longer fingerprint, and bands of least hashes that choose what is compared. A band holds a
+#: pair at 0.8 with probability 0.41, so all of them miss 5 of 100 million.
+LONG_WORDS, BANDS, BAND_ROWS = 4, 32, 4
+_MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, BANDS * BAND_ROWS + LONG_WORDS), dtype=np.uint64) | np.uint64(1)
 
 
-def scramble(h: np.ndarray, k: int) -> np.ndarray:
-    """The k-th of several independent 64-bit hashes of a hash."""
-    x = (h ^ _MIX[0, k]) * _MIX[1, k]
+def scramble(h: np.ndarray, ks: slice) -> np.ndarray:
+    """Several independent 64-bit hashes of each hash, a row for each of them."""
+    x = (h ^ _MIX[0, ks, None]) * _MIX[1, ks, None]
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    x ^= x >> np.uint64(32)
+    return x
 
 
-def sketch(text: str | None, width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """LONG_WORDS * 64 fingerprint bits, a hash for each band, the SKETCH least hashes in order. Repeats of a shingle count once.
-
-    Without words all are zero, and the sketch is empty.
-    """
+def shingle_set(text: str | None, width: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of the different shingles, in order; a text of fewer words is one shingle, a text without words has none."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return np.zeros(LONG_WORDS, np.uint64), np.zeros(BANDS, np.uint64), np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint64)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
-    h = np.unique(np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in shingles), dtype=np.uint64))
-    fp = np.empty(LONG_WORDS, np.uint64)
-    for k in range(LONG_WORDS):
-        ones, x = np.zeros(BITS, np.int64), scramble(h, k)
-        for at in range(0, len(x), 1 << 16):
-            ones += np.unpackbits(x[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        fp[k] = np.packbits(2 * ones > len(x), bitorder="little").view(np.uint64)[0]
-    low = np.array([scramble(h, LONG_WORDS + k).min() for k in range(BANDS * BAND_ROWS)]).reshape(BANDS, BAND_ROWS)
-    bands = np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(low)], np.uint64)
-    order = np.unique((scramble(h, LONG_WORDS + BANDS * BAND_ROWS) >> np.uint64(32)).astype(np.uint32))
-    return fp, bands, order[:SKETCH]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in shingles), dtype=np.uint64))
+
+
+def vertex(h: np.ndarray) -> int:
+    """A hash of a whole set, as a signed long."""
+    x = xxhash.xxh64_intdigest(h.tobytes())
+    return x - (1 << 64) if x >> 63 else x
+
+
+def sketch(text: str | None, width: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """LONG_WORDS * 64 fingerprint bits, a hash for each band, and the shingle set itself. Without words all bits are zero."""
+    h = shingle_set(text, width, seed)
+    if not len(h):
+        return np.zeros(LONG_WORDS, np.uint64), np.zeros(BANDS, np.uint64), h
+    ones, low = np.zeros((LONG_WORDS, BITS), np.int64), np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(h), 2048):
+        part = h[at : at + 2048]
+        bits = np.unpackbits(scramble(part, slice(0, LONG_WORDS)).view(np.uint8).reshape(LONG_WORDS, -1, 8), axis=2, bitorder="little")
+        ones += bits.sum(1, dtype=np.int64)
+        low = np.minimum(low, scramble(part, slice(LONG_WORDS, None)).min(1))
+    fp = np.packbits(2 * ones > len(h), axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return fp, np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(low.reshape(BANDS, BAND_ROWS))], np.uint64), h
 
 
 def resemblance(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity by two sketches: the share of both among the least hashes of either."""
-    either = np.union1d(a, b)
-    if max(len(a), len(b)) == SKETCH:
-        either = either[: min(SKETCH, len(either))]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return float((both <= either[-1]).sum() / len(either)) if len(either) else 1.0
+    """Jaccard similarity of two ordered sets; two empty ones are equal."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return float(not len(b))
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return both / (len(a) + len(b) - both)
 
 
-def reach_of(similarity: float, spread: float = 2.5) -> int:
-    """Bits within which fingerprints of two sets of one size and this Jaccard similarity differ, but for few: so many
-    standard deviations above the mean."""
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two ordered sets resemble each other so much; sizes that are too different tell without a look inside."""
+    return min(len(a), len(b)) >= similarity * max(len(a), len(b)) - 1e-9 and resemblance(a, b) >= similarity
+
+
+def reach_of(similarity: float, spread: float = 6.0) -> int:
+    """Bits within which fingerprints of two sets of this Jaccard similarity differ: so many standard deviations above the
+    mean of the worst case.
+
+    For large sets of one size, which differ most, a bit differs with the probability that the angle gives. The votes of
+    small sets can tie, which may put it higher, so those are counted out; from MANY on the two agree closely.
+    """
     p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    p = max([p, *(odds_of(c, a, b) for c in range(1, MANY) for a in range(c) for b in range(a, c) if c >= similarity * (c + a + b) - 1e-9)])
     n = LONG_WORDS * BITS
     return int(np.ceil(n * p + spread * np.sqrt(n * p * (1 - p))))
 
 
+#: Shingles in common below which the odds of a differing bit are counted out.
+MANY = 48
+
+
+def odds_of(common: int, a: int, b: int) -> float:
+    """Probability that a bit of two fingerprints differs: sets with so many shingles in common and of their own."""
+    ones = lambda n: np.array([comb(n, k) / 2.0**n for k in range(n + 1)])
+    c = np.arange(common + 1)[:, None]
+    up = lambda own: ((2 * (c + np.arange(own + 1)) > common + own) * ones(own)).sum(1)
+    x, y = up(a), up(b)
+    return float((ones(common) * (x * (1 - y) + y * (1 - x))).sum())
+
+
 def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per row: id, component_id, component_size, linked at a Jaccard similarity of word shingles.
 
     A radius of three bits stands for a far higher similarity, so fingerprints are longer here, and what is compared bit by
-    bit are the documents that share a band of least hashes (98.5 % of the pairs at 0.8, more above). Pairs within a radius
-    that 99 % of the similar ones keep are then held to the similarity by their sketches. Equal texts always link.
+    bit are the documents that share a band of least hashes. Both only choose: documents that reach each other within the
+    radius are a group, and within a group the whole shingle sets decide every link. Equal texts always link.
     """
+    longs = lambda xs: pa.array([list(x.view(np.int64)) for x in xs], pa.list_(pa.int64()))
 
     def work(texts: list) -> list:
-        made = [sketch(t, width) for t in texts]
-        lists = lambda k: pa.array([list(m[k].view(np.int64)) for m in made], pa.list_(pa.int64()))
-        return [lists(0), lists(1), pa.array([m[2].tobytes() for m in made], pa.binary())]
-
-    own = map_texts(docs, work, "words array<bigint>, bands array<bigint>, least binary", id_col, text=text).withColumn("v", F.xxhash64("words", "bands", "least"))
-    own = materialise(own, "sketches")
-    # copies are one vertex; which of its equal rows stays does not matter
-    distinct = own.select("v", F.col("bands").alias("keys")).dropDuplicates(["v"])
-    held = own.select("v", "words", "least").dropDuplicates(["v"])
-    found = grouped(own.select(id_col, "v"), links(distinct, held, reach_of(similarity), similarity), "v", id_col)
-    return found.select(id_col, "component_id", "component_size")
+        fps, bands, sets = zip(*(sketch(t, width) for t in texts), strict=True)
+        return [[vertex(h) for h in sets], longs(fps), longs(bands), pa.array([h.nbytes for h in sets], pa.int64())]
+
+    def whole(texts: list) -> list:
+        sets = [shingle_set(t, width) for t in texts]
+        return [[vertex(h) for h in sets], pa.array([h.tobytes() for h in sets], pa.binary())]
+
+    if not 0.8 <= similarity <= 1:
+        raise ValueError("similarity must be 0.8 to 1: the bands are made for no less")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
+    own = materialise(map_texts(rows, work, "v bigint, words array<bigint>, bands array<bigint>, set_bytes bigint", "id", "body"), "sketches")
+    # copies are one vertex; all of its rows have one set, so which of them stands for it does not matter
+    radius = reach_of(similarity)
+    near = components(links(own.select("v", F.col("bands").alias("keys")).dropDuplicates(["v"]), own.select("v", "words").dropDuplicates(["v"]), radius))
+    groups = materialise(near.union(near.select("root", "root")).distinct().toDF("v", "root"), "groups")
+    one = own.join(groups, "v").groupBy("v", "root").agg(F.min(F.struct("id", "body")).alias("of"), F.first("words").alias("words"), F.first("set_bytes").alias("set_bytes"))
+    one = materialise(one.select("v", "root", "words", "set_bytes", "of.id", "of.body"), "members")
+    texts = rows.join(one.select(F.col("v").alias("vertex"), F.col("words"), F.col("id").alias("of_id"), F.col("body").alias("of_body")), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("body") == F.col("of_body")))
+    held = map_texts(texts.select("vertex", "words", "text"), whole, "v bigint, shingles binary", "vertex", "words").where("v = vertex")
+    held = materialise(held.select("v", "words", "shingles").dropDuplicates(["v"]), "shingles")
+    found = links(one.select("v", F.array("root").alias("keys"), "set_bytes"), held, radius, similarity)
+    out = grouped(own.select("id", "v"), found, "v", "id")
+    return out.select(F.col("id").alias(id_col), "component_id", "component_size")

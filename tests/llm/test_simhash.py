@@ -134,3 +134,15 @@ def test_similarity_is_kept_to(spark):
     assert not any(same for same, j in pairs if j < 0.8)
     near = [same for same, j in pairs if j >= 0.8]
     assert len(near) > 10 and sum(near) >= len(near) - 1
+
+
+def test_long_texts_are_held_to_the_similarity_exactly(spark):
+    """Sets far beyond any sketch: no pair at or above the similarity is missed, none below it links."""
+    rows = []
+    for i in range(60):
+        text = prose(1200, 900 + i)
+        rows += [(2 * i, text, "en", "s", 0), (2 * i + 1, edited(text, 20 + i % 14, i), "en", "s", 0)]
+    out = {r["doc_id"]: r["component_id"] for r in S.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    truth = [jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(0, 120, 2)]
+    assert 15 < sum(truth) < 45
+    assert [out[i] == out[i + 1] for i in range(0, 120, 2)] == truth

@@ -16,7 +16,7 @@ from . import constants as K
 from .dom import Node, parse
 from .text import clean_text
 from .udfs import batch_udf
-from .urls import DETAIL_PATH, DETAIL_QUERY, NAMED_KEY, CATEGORY_KEY, from_script, resolve_one, with_query
+from .urls import DETAIL_PATH, DETAIL_QUERY, NAMED_KEY, CATEGORY_KEY, from_script, from_site, resolve_one, with_query
 
 # Where lists, menus, bodies and titles are looked for, in order.
 BOARDS = (
@@ -179,9 +179,9 @@ class ListParse:
             data = link.get("data-href") or link.get("data-url") or link.get("data-link")
             c["navigation"] += bool(href or onclick or data)
             c["event_urls"] += bool(onclick or data or href.lower().startswith("javascript:"))
-            direct = resolve_one(data or href, list_url, source.get("base_url")) or from_script(onclick, list_url, source.get("base_url"))
+            direct = resolve_one(data or href, list_url, source.get("base_url")) or from_site(source.get("source_id"), onclick, list_url) or from_script(onclick, list_url, source.get("base_url"))
             if direct.split("#")[0] == list_url and onclick:
-                direct = from_script(onclick, list_url, source.get("base_url"))
+                direct = from_site(source.get("source_id"), onclick, list_url) or from_script(onclick, list_url, source.get("base_url"))
             inferred = "" if direct else form_target(page, link, list_url)
             url = direct or inferred
             if not url:

@@ -124,6 +124,37 @@ def from_script(script: str | None, page: str, base: str | None = None) -> str:
     return ""
 
 
+#: Click handlers of some sources, by the start of the source's id: the call, and the parameters that its arguments become.
+_HANYANG = "_kr_ac_hanyang_bbs_web_portlet_BbsPortlet_"
+SITE_HANDLERS = {
+    "cau_": (r"goView\s*\(\s*['\"]?(\d+)['\"]?\s*\)", {"no": r"\1"}),
+    "ewha_": (r"viewArticle\s*\(\s*['\"]?(\d+)['\"]?\s*\)", {"articleNo": r"\1"}),
+    "hanyang_": (
+        r"viewMessage\s*\(\s*['\"]?(\d+)['\"]?",
+        {"p_p_id": "kr_ac_hanyang_bbs_web_portlet_BbsPortlet", "p_p_lifecycle": "0", "p_p_state": "normal", "p_p_mode": "view", f"{_HANYANG}action": "view_message", f"{_HANYANG}messageId": r"\1"},
+    ),
+    "uos_": (r"fnView\s*\(\s*['\"]?(\d+)['\"]?\s*,\s*['\"]?(\d+)['\"]?", {"sort": r"\1", "seq": r"\2", "identified": "anonymous"}),
+}
+
+
+def from_site(source_id: str | None, script: str | None, page: str) -> str:
+    """The address that a click handler of a known source leads to, empty for others. Parameters that are there keep their place."""
+    import re
+
+    name, text = " ".join((source_id or "").split()).lower(), " ".join((script or "").split())
+    for start, (call, values) in SITE_HANDLERS.items():
+        if name.startswith(start) and (found := re.search(call, text, re.I | re.A)):
+            url, new = urlsplit(page), {k: found.expand(v) for k, v in values.items()}
+            query: dict = {}
+            for at, (k, v) in enumerate(parse_qsl(url.query, keep_blank_values=True)):
+                query.setdefault(k if k in new else (k, at), (k, new.get(k, v)))
+            for k, v in new.items():
+                query.setdefault(k, (k, v))
+            path = re.sub(r"(?i)/(?:allList|list)\.do$", "/view.do", url.path) if start == "uos_" else url.path
+            return urlunsplit(url._replace(path=path, query=urlencode(list(query.values()))))
+    return ""
+
+
 def with_query(url: str, values: dict[str, str]) -> str:
     found = urlsplit(url)
     query = [kv for kv in parse_qsl(found.query, keep_blank_values=True) if kv[0] not in values] + list(values.items())

@@ -231,3 +231,22 @@ def test_decisions(spark):
 def test_title_quality(spark):
     q = lambda t, raw, own: one(spark, T.title_quality(F.lit(t), F.lit(raw), F.lit(own)))
     assert [q("", "x", True), q("제목 작성일", "제목", True), q("제목", "제목" + "긴 글 " * 40, False), q("제목", "제목", True)] == ["missing", "contaminated", "contaminated", "clean"]
+
+
+def test_click_handlers_of_sources():
+    page = "https://x.example.com/notice/list.do?page=1&no=4"
+    assert urls.from_site("cau_main", "goView( '77' )", page) == "https://x.example.com/notice/list.do?page=1&no=77"
+    assert urls.from_site("EWHA_1", "return viewArticle(12);", page) == page + "&articleNo=12"
+    name = "kr_ac_hanyang_bbs_web_portlet_BbsPortlet"
+    assert urls.from_site("hanyang_a", "viewMessage(5, 'x')", page) == f"{page}&p_p_id={name}&p_p_lifecycle=0&p_p_state=normal&p_p_mode=view&_{name}_action=view_message&_{name}_messageId=5"
+    assert urls.from_site("uos_a", "fnView('1', '23')", page) == "https://x.example.com/notice/view.do?page=1&no=4&sort=1&seq=23&identified=anonymous"
+    assert urls.from_site("other", "goView(77)", page) == "" and urls.from_site("cau_main", "viewArticle(12)", page) == "" and urls.from_site(None, None, page) == ""
+
+
+def test_list_links_of_a_known_source():
+    from loomspark.functions.html import parse_list
+
+    rows = "".join(f'<tr><td><a href="#" onclick="goView({n})">2024 scholarship notice number {n}</a></td><td>2024-03-0{n}</td></tr>' for n in (1, 2, 3))
+    html = f"<html><body><table><tbody>{rows}</tbody></table></body></html>"
+    source = {"source_id": "cau_main", "list_url": "https://x.example.com/notice/list.do"}
+    assert [x["url"] for x in parse_list(html, source)[0]] == [f"https://x.example.com/notice/list.do?no={n}" for n in (1, 2, 3)]

@@ -74,14 +74,19 @@ def chunks(batch: pa.RecordBatch, text_at: int = 1, limit: int = CHUNK_BYTES) ->
         yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, work: Callable[[list], list], schema: str, *keep: str, text: str = "text") -> DataFrame:
-    """Columns `keep` and what `work` gives for each list of texts (None for null), as columns in the order of `schema`."""
+def map_texts(df: DataFrame, work: Callable[..., list], schema: str, *keep: str, text: str = "text", use: str | None = None) -> DataFrame:
+    """Columns `keep` and what `work` gives for each list of texts (None for null), as columns in the order of `schema`.
+
+    `use` names one of `keep` whose values `work` gets as well.
+    """
     kept = len(keep)
+    used = None if use is None else keep.index(use)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, kept):
-                made = work(part.column(kept).to_pylist())
+                more = () if used is None else (part.column(used).to_pylist(),)
+                made = work(part.column(kept).to_pylist(), *more)
                 yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, made)], names=names)
 
     short_batches(df.sparkSession)

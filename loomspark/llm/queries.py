@@ -34,7 +34,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"), secrets.learn(secrets.labelled_findings()))
+    import public_tokenizers as tok
+
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.ready(tok.path("byte_bpe_50k.tiktoken")))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,13 +32,10 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents with a similarity of 0.8 (shingles of five words) the one with the smallest id stays.
 
-    Rows that repeat an id are one document, of which one row stays; rows without an id all stay.
+    Rows without an id are compared like any others and come last in the choice; rows that share an id are told apart by
+    their texts.
     """
-    named, nameless = docs.where(F.col("doc_id").isNotNull()), docs.where(F.col("doc_id").isNull())
-    near = simhash.similar_documents(named.select("doc_id", "text"), 0.8, 5)
-    stay = near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = named.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(nameless)
+    return simhash.keep_one(docs, 0.8, 5)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """SimHash near-duplicates: bit-sliced comparison of fingerprints that share a block, then connected components.
 
 Cases: a null, empty or blank text has fingerprint zero and links like any other; a text of fewer words than a shingle is
-one shingle; repeated rows give as many rows; a null id is carried and never becomes a component id unless it is alone.
+one shingle; repeated rows give as many rows; a null id is carried and never becomes a component id unless it is alone;
+rows that share an id are rows of their own; ties go to the smallest id; an empty table gives no rows; other columns are
+carried inside a struct where they are carried at all, so no name clashes.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts, materialise
@@ -48,7 +50,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wi
     return map_texts(docs, work, "fp bigint", id_col, text=text)
 
 
-def block_keys(fp: F.Column = None):
+def block_keys(fp: Column) -> Column:
     """16 keys of 28 bits and a table number: two fingerprints within RADIUS share one key at least.
 
     Three differing bits leave one of four 16-bit blocks equal, and one of four 12-bit parts of the other 48 bits.
@@ -321,8 +323,17 @@ def odds_of(common: int, a: int, b: int) -> float:
     return float((ones(common) * (x * (1 - y) + y * (1 - x))).sum())
 
 
-def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per row: id, component_id, component_size, linked at a Jaccard similarity of word shingles.
+def row_key(id_col: str, text: str) -> list[Column]:
+    """128 bits that tell rows apart by id and text, null ids and texts included."""
+    both = F.struct(F.col(id_col).isNull(), F.col(text).isNull(), F.col(id_col), F.col(text))
+    return [F.xxhash64(both).alias("k1"), F.xxhash64(F.lit("second"), both).alias("k2")]
+
+
+ROW = ["k1", "k2"]
+
+
+def similar_rows(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(id, k1, k2, v) of each row, and (u, v): links that join the vertices of a component. A vertex is a set of shingles.
 
     A radius of three bits stands for a far higher similarity, so fingerprints are longer here, and what is compared bit by
     bit are the documents that share a band of least hashes. Both only choose: documents that reach each other within the
@@ -340,17 +351,35 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5,
 
     if not 0.8 <= similarity <= 1:
         raise ValueError("similarity must be 0.8 to 1: the bands are made for no less")
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
-    own = materialise(map_texts(rows, work, "v bigint, words array<bigint>, bands array<bigint>, set_bytes bigint", "id", "body"), "sketches")
+    rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text), F.col(text).alias("text"))
+    own = materialise(map_texts(rows, work, "v bigint, words array<bigint>, bands array<bigint>, set_bytes bigint", "id", *ROW), "sketches")
     # copies are one vertex; all of its rows have one set, so which of them stands for it does not matter
     radius = reach_of(similarity)
     near = components(links(own.select("v", F.col("bands").alias("keys")).dropDuplicates(["v"]), own.select("v", "words").dropDuplicates(["v"]), radius))
     groups = materialise(near.union(near.select("root", "root")).distinct().toDF("v", "root"), "groups")
-    one = own.join(groups, "v").groupBy("v", "root").agg(F.min(F.struct("id", "body")).alias("of"), F.first("words").alias("words"), F.first("set_bytes").alias("set_bytes"))
-    one = materialise(one.select("v", "root", "words", "set_bytes", "of.id", "of.body"), "members")
-    texts = rows.join(one.select(F.col("v").alias("vertex"), F.col("words"), F.col("id").alias("of_id"), F.col("body").alias("of_body")), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("body") == F.col("of_body")))
+    one = own.join(groups, "v").groupBy("v", "root").agg(F.min(F.struct(*ROW)).alias("of"), F.first("words").alias("words"), F.first("set_bytes").alias("set_bytes"))
+    one = materialise(one.select("v", "root", "words", "set_bytes", "of.*"), "members")
+    texts = rows.join(one.select(F.col("v").alias("vertex"), "words", *ROW), ROW)
     held = map_texts(texts.select("vertex", "words", "text"), whole, "v bigint, shingles binary", "vertex", "words").where("v = vertex")
     held = materialise(held.select("v", "words", "shingles").dropDuplicates(["v"]), "shingles")
     found = links(one.select("v", F.array("root").alias("keys"), "set_bytes"), held, radius, similarity)
-    out = grouped(own.select("id", "v"), found, "v", "id")
-    return out.select(F.col("id").alias(id_col), "component_id", "component_size")
+    return own.select("id", *ROW, "v"), found
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row per row: id, component_id (the smallest id that links reach), component_size, linked at a Jaccard similarity of
+    word shingles (see `similar_rows`)."""
+    own, found = similar_rows(docs, similarity, width, id_col, text)
+    return grouped(own, found, "v", "id").select(F.col("id").alias(id_col), "component_id", "component_size")
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest id, rows without an id last, and of rows with one
+    id that of the smallest hash. Rows that share an id and differ in text are different rows; rows alike in both are one."""
+    own, found = similar_rows(docs, similarity, width, id_col, text)
+    roots = components(found)
+    placed = own.join(roots, "v", "left").select("id", *ROW, F.coalesce("root", "v").alias("root"))
+    stay = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", *ROW)).alias("first")).select(*(F.col(f"first.{k}").alias(k) for k in ROW))
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), *row_key(id_col, text))
+    kept = rows.join(stay, ROW, "left_semi").groupBy(*ROW).agg(F.first("row").alias("row"))
+    return kept.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -1,17 +1,26 @@
 """Personal data: base patterns, and terms that would give a protected entity away.
 
-Only DataFrame functions. The values that the base patterns find are the protected entities. From the corpus comes, for
-each word that stands near an entity, how often the two share a text and how often the word occurs at all. By its pointwise
-mutual information with the entity, against the entity's own information content, a word discloses some share of it; words
-above the threshold are sanitised wherever they occur.
+Only DataFrame functions. The values that the base patterns find are the protected entities, in a normal form. A term is a
+word; from the corpus come the texts that hold it, those that hold the entity, and those that hold both. With p the share of
+texts with the entity and q the smoothed share among the texts with the term, the term discloses 1 - log q / log p of the
+entity's information (their pointwise mutual information over the entity's own content). Terms above the threshold are
+sanitised wherever they occur: generalised to what kind of word they are, or removed where they disclose nearly all.
+
+What one text holds tells nothing, since all its words share that text with the entity, and a near copy is the same text once
+more: two independent texts at least must hold both. Texts are independent unless one of SEEDS least hashes of their
+five-word windows agrees. Entities that stand in the same texts are one class, and so are terms, so that lists that repeat
+each other do not multiply into pairs.
 
 Cases: null and empty texts have no spans; texts are taken whole, and every pattern runs in time that is linear in them;
 texts that are equal count once in the statistics, so copies alone disclose nothing; repeated rows come out as often as
-they came in; null ids are told apart by their text; an empty table gives none.
+they came in; null ids are told apart by their text; ties go to the larger share; an empty table gives no rows; other columns
+are neither read nor changed (`sanitise` carries them in a struct, so no name clashes).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,14 +40,16 @@ NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 KINDS = list(PATTERNS)
 TERM = "term"
 DOC = ["doc", "body"]
-#: Words on each side of an entity that are looked at; texts that must share word and entity; share of the entity's
-#: information that a word must disclose, and least probability of the entity given the word; above REMOVE a word is removed.
-REACH, SUPPORT, DISCLOSURE, CERTAINTY, REMOVE = 6, 5, 0.9, 0.8, 0.98
-TOKEN = r"[^\x20\x09-\x0D]+"
-EDGES = r"^[^\p{L}]++|(?<![^\p{L}])[^\p{L}]++$"
-MIN_TERM = 4
-#: Characters around an entity that hold the words near it.
-NEAR = 200
+#: Share of the entity's information that a term must disclose; above REMOVE it is removed; texts of the smoothing, in which
+#: the term would meet the entity no more often than any text does.
+DISCLOSURE, REMOVE, PRIOR = 0.9, 0.98, 1.0
+#: Least hashes that tell near copies, and words of the windows that they are taken over.
+SEEDS, WINDOW_WORDS = 16, 5
+#: A term: letters, marks and digits, with single apostrophes and hyphens inside; two characters at least.
+WORD = r"[\p{L}\p{M}\p{N}]++(?:['\u2019-][\p{L}\p{M}\p{N}]++)*+"
+MIN_TERM = 2
+#: Characters of the blocks that a text is cut into before pieces are taken out of it.
+BLOCK = 4096
 
 
 def valid(kind: Column, found: Column) -> Column:
@@ -54,6 +65,14 @@ def valid(kind: Column, found: Column) -> Column:
     )
 
 
+def entity_of(kind: Column, found: Column) -> Column:
+    """The normal form of a value: digits of cards and phones, parts of an ip without leading zeros, an e-mail in lower case
+    and without a +tag."""
+    email = F.regexp_replace(ascii_lower(found), r"\+[^@]*@", "@")
+    ip = F.array_join(F.transform(F.split(found, r"\."), lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")), ".")
+    return F.concat_ws(":", kind, F.when(kind == "email", email).when(kind == "ip", ip).otherwise(F.regexp_replace(found, "[^0-9]", "")))
+
+
 def identified(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(doc, body, text): the id, a hash of the text that tells rows of one id apart, the text with null as empty."""
     return docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc", F.xxhash64("text").alias("body"), "text")
@@ -78,123 +97,170 @@ def suspects(texts: DataFrame) -> DataFrame:
 
 
 def base_spans(texts: DataFrame) -> DataFrame:
-    """(doc, body, kind, start, end, found, left, right): what the base patterns find, with the characters around it."""
+    """(doc, body, kind, start, end, found): what the base patterns find."""
     text = F.col("text")
     tried = F.array(*(F.when(F.contains(text, F.lit(need)) if need else text.rlike("[0-9]"), F.lit(k)) for k, need in NEEDS.items()))
     rows = texts.select(*DOC, "text", F.explode(F.array_compact(tried)).alias("kind"))
     choose = lambda f: F.coalesce(*(F.when(F.col("kind") == k, f(p)) for k, p in PATTERNS.items()))
     hits = rows.withColumn("hits", choose(lambda p: F.regexp_extract_all("text", F.lit(p), 0))).where(F.size("hits") > 0)
     gaps = hits.select(*DOC, "kind", "hits", choose(lambda p: F.split("text", p, -1)).alias("gaps"))
-    zipped = F.arrays_zip("gaps", "hits", F.slice("gaps", 2, F.size("hits")).alias("next"))
-    each = gaps.select(*DOC, "kind", F.posexplode(zipped).alias("nth", "z")).where(F.col("z.hits").isNotNull())
-    each = each.select(*DOC, "kind", "nth", F.col("z.gaps").alias("gap"), F.col("z.hits").alias("found"), F.substring("z.next", 1, NEAR).alias("right"))
-    each = each.withColumn("left", F.substring("gap", -NEAR, NEAR)).dropDuplicates([*DOC, "kind", "nth"])
+    each = gaps.select(*DOC, "kind", F.posexplode(F.arrays_zip("gaps", "hits")).alias("nth", "z")).where(F.col("z.hits").isNotNull())
+    each = each.select(*DOC, "kind", "nth", F.col("z.gaps").alias("gap"), F.col("z.hits").alias("found")).dropDuplicates([*DOC, "kind", "nth"])
     spans = ends(each, *DOC, "kind").withColumn("start", F.col("end") - F.char_length("found"))
-    return spans.where(valid(F.col("kind"), F.col("found"))).select(*DOC, "kind", "start", "end", "found", "left", "right")
+    return spans.where(valid(F.col("kind"), F.col("found"))).select(*DOC, "kind", "start", "end", "found")
 
 
-def term_of(token: Column) -> Column:
-    """A word without what is no letter at its ends, lower-cased; null unless letters remain, MIN_TERM of them or more."""
-    core = ascii_lower(F.regexp_replace(token, EDGES, ""))
-    return F.when((F.char_length(core) >= MIN_TERM) & ~core.rlike(r"\P{L}"), core)
+def term_hashes(texts: DataFrame, *keep: str) -> DataFrame:
+    """Columns `keep` and `term`: the hash of each different word of a text."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))
+    each = texts.select(*keep, F.explode(words).alias("word")).where(F.char_length("word") >= MIN_TERM)
+    return each.select(*keep, F.xxhash64("word").alias("term"))
 
 
-def tokens(text: Column) -> Column:
-    return F.split(text, r"[\x20\x09-\x0D]+")
+def copy_marks(texts: DataFrame) -> DataFrame:
+    """(body, marks): SEEDS least hashes of the windows of a text's words; near copies share some of them."""
+    words = texts.select("body", F.split(F.lower("text"), r"[\x20\x09-\x0D]+").alias("words"))
+    windows = F.transform("words", lambda w, i: F.xxhash64(w, *(F.get("words", i + k) for k in range(1, WINDOW_WORDS))))
+    least = lambda seed: F.array_min(F.transform("h", lambda x: F.xxhash64(F.lit(seed), x)))
+    return words.select("body", windows.alias("h")).select("body", F.array(*map(least, range(SEEDS))).alias("marks"))
 
 
-def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, certainty: float = CERTAINTY) -> tuple[DataFrame, DataFrame]:
-    """(term, share): words that disclose an entity, with the largest share of an entity's information that they give away,
-    and (doc, body, term): where the words that came into question stand.
+def classes(held: DataFrame, member: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Members that stand in the same texts are one class: (member, class) and (class, n, body), for two texts and more."""
+    digest = held.groupBy(member).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("body")).alias("a"), F.bit_xor(F.xxhash64(F.lit("second"), "body")).alias("b"))
+    own = materialise(digest.where("n > 1").select(member, F.xxhash64("n", "a", "b").alias(name), F.col("n").alias(f"{name}_n")), name)
+    first = own.groupBy(name, f"{name}_n").agg(F.min(member).alias(member))
+    return own, held.join(first, member).select(name, f"{name}_n", "body")
 
-    Entities and words count texts, of which equal ones are one. A word that is too frequent for the certainty among the
-    texts with entities alone is too frequent in all of them, so only what passes there is looked for in the whole corpus.
-    """
-    named = F.concat_ws(":", "kind", ascii_lower(F.col("found")))
-    near = spans.select("body", named.alias("entity"), "left", "right")
-    left = F.slice(F.reverse(tokens(F.col("left"))), 1, REACH)
-    right = F.slice(tokens(F.col("right")), 1, REACH)
-    words = F.array_distinct(F.array_compact(F.transform(F.concat(left, right), term_of)))
-    pairs = near.select("body", "entity", F.explode(words).alias("term")).distinct()
-    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    together = materialise(together, "term-pairs")
-    entities = near.select("body", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    near_terms = materialise(together.select("term").distinct(), "near-terms")
-    among = suspect.join(spans.select("body").distinct(), "body", "left_semi")
-    few = counted(token_terms(among).join(near_terms, "term", "left_semi"), "n_few")
-    rare = together.join(few, "term").where(F.col("n_both") >= certainty * F.col("n_few"))
-    rare = materialise(rare.drop("n_few"), "rare-pairs")
-    wanted = materialise(rare.select("term").distinct(), "rare-terms")
-    held = materialise(token_terms(texts).join(wanted, "term", "left_semi"), "term-holders")
-    n_texts = texts.select("body").distinct().count()
-    joined = rare.join(entities, "entity").join(counted(held, "n_term"), "term")
-    pmi = F.log2(F.col("n_both") * F.lit(float(n_texts)) / (F.col("n_term") * F.col("n_entity")))
-    content = F.log2(F.lit(float(n_texts)) / F.col("n_entity"))
-    share = F.when(content > 0, pmi / content).otherwise(F.lit(0.0))
-    found = joined.withColumn("share", share).where((F.col("share") >= disclosure) & (F.col("n_both") >= certainty * F.col("n_term")))
-    return found.groupBy("term").agg(F.max("share").alias("share")), held
-
-
-def counted(held: DataFrame, name: str) -> DataFrame:
-    return held.select("body", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias(name))
 
+def share_of(n_both: Column, n_term: Column, n_entity: Column, n_texts: int) -> Column:
+    """Share of the entity's information that the term discloses, smoothed."""
+    p = n_entity / F.lit(float(max(1, n_texts)))
+    q = (n_both + PRIOR * p) / (n_term + PRIOR)
+    return F.when(p < 1, 1 - F.ln(q) / F.ln(p)).otherwise(F.lit(0.0))
 
-def token_terms(texts: DataFrame) -> DataFrame:
-    """(doc, body, term) of every word that can be a term."""
-    words = F.array_distinct(tokens(F.col("text")))
-    each = texts.select(*DOC, F.explode(words).alias("token")).where(F.char_length("token") >= MIN_TERM)
-    return each.select(*DOC, term_of(F.col("token")).alias("term")).where(F.col("term").isNotNull())
 
+def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, disclosure: float = DISCLOSURE) -> tuple[DataFrame, DataFrame] | None:
+    """(term, share): words that disclose an entity, with the largest share of an entity's information that they give away,
+    and (doc, body, term): where the words that came into question stand. None where no word can disclose any.
 
-def term_spans(texts: DataFrame, terms: DataFrame, held: DataFrame) -> DataFrame:
-    """(doc, body, kind, start, end, found, share) of the disclosing words, wherever they occur."""
-    holders = materialise(held.join(terms, "term").distinct(), "disclosing")
-    docs = holders.select(*DOC).distinct()
-    rows = texts.join(docs, same(texts, docs), "left_semi").distinct()
-    zipped = F.arrays_zip(F.split("text", TOKEN, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TOKEN), 0).alias("found"))
+    Words are counted among the texts with entities first. That count is no larger than the one in the whole corpus, so what
+    is too frequent there already is not looked for in the corpus.
+    """
+    entities = materialise(spans.select("body", entity_of(F.col("kind"), F.col("found")).alias("entity")).distinct(), "entities")
+    _, standing = classes(entities, "entity", "e")
+    standing = materialise(standing, "entity-texts")
+    if standing.isEmpty():
+        return None
+    n_texts = texts.select("body").distinct().count()
+    among = suspect.dropDuplicates(["body"]).join(standing.select("body").distinct(), "body", "left_semi")
+    among = materialise(among.select("body", "text"), "entity-holders")
+    members, words = classes(materialise(term_hashes(among, "body"), "entity-words"), "term", "t")
+    least = F.least("e_n", "t_n")
+    pairs = standing.join(words, "body").where(share_of(least, F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
+    marks = copy_marks(among)
+    apart = [F.min(F.col("marks")[k]) < F.max(F.col("marks")[k]) for k in range(SEEDS)]
+    together = pairs.join(marks, "body").groupBy("e", "e_n", "t", "t_n").agg(F.count(F.lit(1)).alias("n_both"), reduce(Column.__and__, apart).alias("apart"))
+    together = together.where("apart AND n_both > 1").where(share_of(F.col("n_both"), F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
+    together = materialise(together.select("e_n", "t", "n_both"), "term-pairs")
+    wanted = materialise(members.join(together.select("t").distinct(), "t", "left_semi").select("term", "t"), "wanted-terms")
+    if wanted.isEmpty():
+        return None
+    held = materialise(term_hashes(texts, *DOC).join(wanted, "term", "left_semi"), "term-holders")
+    counted = held.select("body", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    shares = together.join(wanted, "t").join(counted, "term").withColumn("share", share_of(F.col("n_both"), F.col("n_term"), F.col("e_n"), n_texts))
+    return shares.where(F.col("share") >= disclosure).groupBy("term").agg(F.max("share").alias("share")), held
+
+
+def term_spans(rows: DataFrame, holders: DataFrame) -> DataFrame:
+    """(doc, body, kind, start, end, found, share) of the disclosing words in their holders' texts."""
+    zipped = F.arrays_zip(F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), 0).alias("found"))
     each = rows.select(*DOC, F.posexplode(zipped).alias("nth", "z")).select(*DOC, "nth", "z.gap", "z.found").where(F.col("found").isNotNull())
-    each = ends(each, *DOC).withColumn("term", term_of(F.col("found"))).where(F.col("term").isNotNull())
-    start = F.col("end") - F.char_length("found") + F.char_length(F.regexp_extract("found", r"^[^\p{L}]*", 0))
-    each = each.withColumn("start", start.cast("int")).withColumn("end", F.col("start") + F.char_length("term"))
+    each = ends(each, *DOC).withColumn("start", F.col("end") - F.char_length("found")).withColumn("term", F.xxhash64(F.lower("found")))
     hit = each.join(holders, same(each, holders) & (each["term"] == holders["term"]))
-    word = F.regexp_replace("found", EDGES, "")
-    return hit.select(each["doc"], each["body"], F.lit(TERM).alias("kind"), "start", "end", word.alias("found"), "share")
+    return hit.select(each["doc"], each["body"], F.lit(TERM).alias("kind"), "start", "end", "found", "share")
+
 
+def clear_of_base(spans: DataFrame) -> DataFrame:
+    """The spans without terms that overlap a base span."""
+    by = Window.partitionBy(*DOC).orderBy("start")
+    base_end, base_start = (F.when(F.col("kind") != TERM, F.col(c)) for c in ("end", "start"))
+    left = F.max(base_end).over(by.rangeBetween(Window.unboundedPreceding, 0))
+    right = F.min(base_start).over(by.rangeBetween(0, Window.unboundedFollowing))
+    held = spans.withColumn("left", left).withColumn("right", right)
+    return held.where((F.col("kind") != TERM) | (F.coalesce(F.col("left") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("right") >= F.col("end"), F.lit(True)))).drop("left", "right")
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, body, spans array<struct<start,rank,kind,end,found,share>>): the rows' spans, for rows that have any."""
+
+def detect(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc, body, kind, rank, start, end, found, share): every span; and (doc, body, text) of all rows that have any."""
     texts = identified(docs, id_col, text)
     suspect = materialise(suspects(texts), "suspects")
-    base = materialise(base_spans(suspect), "base-spans")
-    terms, held = disclosing_terms(texts, suspect, base)
-    terms = materialise(terms, "terms")
-    found = base.drop("left", "right").withColumn("share", F.lit(1.0)).unionByName(term_spans(texts, terms, held))
+    base = materialise(base_spans(suspect).withColumn("share", F.lit(1.0)), "base-spans")
     rank = F.array_position(F.array(*map(F.lit, [*KINDS, TERM])), F.col("kind")).cast("int")
-    return found.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "found", "share"))).alias("spans"))
+    found = disclosing_terms(texts, suspect, base.drop("share"))
+    if found is None:
+        return base.withColumn("rank", rank), suspect
+    terms, held = found
+    holders = materialise(held.join(terms, "term").distinct(), "disclosing")
+    docs_with = holders.select(*DOC).distinct()
+    rows = materialise(texts.join(docs_with, same(texts, docs_with), "left_semi").select("doc", "body", "text").distinct(), "holder-texts")
+    spans = materialise(clear_of_base(base.unionByName(term_spans(rows, holders))).withColumn("rank", rank), "spans")
+    return spans, suspect.unionByName(rows).dropDuplicates(DOC)
+
+
+def islands(spans: DataFrame) -> DataFrame:
+    """(doc, body, islands): spans that overlap are one, in place of which its first kind stands; an array in their order."""
+    by = Window.partitionBy(*DOC).orderBy("start", "rank")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")
+    shape = F.when(F.col("found").rlike(r"\p{N}"), "[number]").when(F.col("found").rlike(r"^\p{Lu}"), "[name]").otherwise("[word]")
+    instead = F.when(F.col("kind") != TERM, F.concat(F.lit("["), F.col("kind"), F.lit("]"))).when(F.col("share") >= REMOVE, "").otherwise(shape)
+    each = spans.withColumn("instead", instead).withColumn("first", first).withColumn("island", F.sum("first").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = each.groupBy(*DOC, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("instead", F.struct("start", "rank")).alias("instead"))
+    return merged.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", "end", "instead"))).alias("islands"))
+
+
+def cleaned(text: str, found: str) -> Column:
+    """The text with every island replaced. It is cut into blocks first, so that a piece costs its own length and no more."""
+    cut = lambda a, b: f"substring(array_join(slice(_blocks, ({a}) DIV {BLOCK} + 1, greatest(0, (({b}) - 1) DIV {BLOCK} - ({a}) DIV {BLOCK} + 1)), ''), ({a}) % {BLOCK} + 1, greatest(0, ({b}) - ({a})))"
+    before = f"(CASE WHEN i = 0 THEN 0 ELSE {found}[i - 1].end END)"
+    parts = f"transform({found}, (s, i) -> concat({cut(before, 's.start')}, s.instead))"
+    last = f"element_at({found}, -1).end"
+    return F.expr(f"concat(array_join({parts}, ''), {cut(last, f'char_length({text})')})")
+
+
+def replaced(rows: DataFrame) -> DataFrame:
+    """rows (text, islands, ...) with column `clean`; rows without islands keep their text."""
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), 0)
+    held = rows.withColumn("_blocks", F.when(F.col("islands").isNotNull(), blocks))
+    return held.withColumn("clean", F.when(F.col("islands").isNull(), F.col("text")).otherwise(cleaned("text", "islands"))).drop("_blocks")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per row: id, counts of the base kinds, base_sha256 and spans."""
-    found = detect(docs, id_col, text)
+    """A row per row: id, counts of the base kinds, base_sha256, spans, n_term, and the digest of the sanitised text."""
+    spans, texts = detect(docs, id_col, text)
     listed = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    gathered = spans.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
     base = F.filter("spans", lambda x: x["kind"] != TERM)
-    counts = [F.expr(f"CAST(size(filter(spans, x -> x.kind = '{k}')) AS BIGINT) AS n_{k}") for k in KINDS]
-    digests = materialise(found.select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")), "pii")
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_hash"))
+    counts = [F.expr(f"CAST(size(filter(spans, x -> x.kind = '{k}')) AS BIGINT) AS n_{k}") for k in (*KINDS, TERM)]
+    digests = gathered.select(*DOC, *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    cut = islands(spans)
+    clean = replaced(texts.join(cut, same(texts, cut)).select(texts["doc"], texts["body"], "text", "islands")).select("doc", "body", F.sha2("clean", 256).alias("clean_sha256"))
+    digests = digests.join(clean, same(digests, clean)).select(digests["doc"].alias("_doc"), digests["body"].alias("_body"), *(f"n_{k}" for k in (*KINDS, TERM)), "base_sha256", "spans", "clean_sha256")
+    digests = materialise(digests, "pii")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(whole).alias("_hash"), F.sha2(whole, 256).alias("_sha"))
     joined = rows.join(digests, rows["_id"].eqNullSafe(digests["_doc"]) & (rows["_hash"] == digests["_body"]), "left")
-    none = [F.coalesce(f"n_{k}", F.lit(0)).cast("bigint").alias(f"n_{k}") for k in KINDS]
-    return joined.select(F.col("_id").alias(id_col), *none, F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
+    none = {k: F.coalesce(f"n_{k}", F.lit(0)).cast("bigint").alias(f"n_{k}") for k in (*KINDS, TERM)}
+    empty = F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256")
+    return joined.select(F.col("_id").alias(id_col), *(none[k] for k in KINDS), empty, F.coalesce("spans", F.lit("")).alias("spans"), none[TERM], F.coalesce("clean_sha256", "_sha").alias("sanitised_sha256"))
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text: str = "text", remove: float = REMOVE) -> DataFrame:
-    """(row, clean): the rows as structs, so that no column clashes; base finds become their kind, disclosing words are
-    generalised to [word] or removed. A null text stays null."""
-    found = detect(docs.select(id_col, text), id_col, text)
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, clean): the rows as structs, so that no column clashes; base finds become their kind, disclosing words what kind
+    of word they are, or nothing. A null text stays null."""
+    spans, _ = detect(docs.select(id_col, text), id_col, text)
+    found = materialise(islands(spans), "islands")
     rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.col(id_col).alias("_doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_body"))
     joined = rows.join(found, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_body") == F.col("body")), "left").withColumn("text", F.col("row").getField(text))
-    instead = f"CASE WHEN s.kind <> '{TERM}' THEN concat('[', s.kind, ']') WHEN s.share >= {remove} THEN '' ELSE '[word]' END"
-    clean = f"""aggregate(spans, struct(CAST(array() AS array<string>) AS made, 0 AS at), (a, s) ->
-        CASE WHEN s.start < a.at THEN a
-             ELSE struct(array_append(a.made, concat(substring(text, a.at + 1, s.start - a.at), {instead})) AS made, s.end AS at) END,
-        a -> concat(array_join(a.made, ''), substring(text, a.at + 1)))"""
-    return joined.select("row", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.expr(clean)).alias("clean"))
+    return replaced(joined).select("row", "clean")

@@ -103,7 +103,7 @@ RULES_SQL = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
-n AS (SELECT *, len(words) AS n_words, CAST(greatest(51, floor(len(words) * 0.25) + 1) AS BIGINT) AS far FROM w),
+n AS (SELECT *, len(words) AS n_words, 51 AS far FROM w),
 sizes AS (SELECT doc_id, words, n_words, unnest([4, 8, far]) AS k, unnest(['c', 'r', 'f']) AS kind FROM n),
 windows AS (SELECT doc_id, kind, k, words, unnest(range(1, n_words - k + 2)) AS i FROM sizes WHERE n_words >= k),
 hashed AS (SELECT doc_id, kind, k, i, md5(array_to_string(list_slice(words, i, i + k - 1), ' ')) AS h FROM windows),

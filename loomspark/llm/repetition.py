@@ -1,7 +1,8 @@
 """Quality rules on repetition: a suffix array over a text's words, its longest-common-prefix intervals, and their spans.
 
 Cases: null, empty and blank texts have no words (base_failed, not kept); texts are taken whole; suffixes of different
-texts never compare equal, so texts can share one array; ties and repeated rows are handled like any other.
+texts never compare equal, so texts can share one array; ties and repeated rows are handled like any other; an empty table
+gives no rows; other columns are not read, so no name clashes.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from .common import BLANKS, map_texts, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW, LEAST_WORDS, BASE_PERCENT = 8, 20, 30
-#: The method's own limits: fraction of words under repeats of at least MIN_REPEAT words, and words of the longest repeat
-#: (whose length is held against the text's, since a long text may quote itself).
-MIN_REPEAT, MOST_COVERED, LONGEST_WORDS, LONGEST_SHARE = 4, 0.35, 50, 0.25
+#: The method's own limits: fraction of words under repeats of at least MIN_REPEAT words, and words of the longest repeat. The
+#: latter is a number, not a share: a share large enough to matter would have failed the base rule before. It is the length of
+#: a passage that no text repeats by chance or as a refrain.
+MIN_REPEAT, MOST_COVERED, LONGEST_WORDS = 4, 0.35, 50
 
 
 def suffix_ranks(rank: np.ndarray) -> list[np.ndarray]:
@@ -26,7 +28,7 @@ def suffix_ranks(rank: np.ndarray) -> list[np.ndarray]:
     suffixes that still share their prefix; one that is alone keeps its rank.
     """
     n = len(rank)
-    levels, step = [rank], 1
+    levels, step = [rank.astype(np.int32)], 1
     open_ = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
     while len(open_):
         rank = levels[-1]
@@ -120,7 +122,7 @@ def duplicate_lines(text: str) -> int:
     return count
 
 
-def rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", most_covered: float = MOST_COVERED, longest_words: int = LONGEST_WORDS, longest_share: float = LONGEST_SHARE) -> DataFrame:
+def rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", most_covered: float = MOST_COVERED, longest_words: int = LONGEST_WORDS) -> DataFrame:
     """A row per row: the counts, base_failed, and kept: not base_failed and within both limits on repetition."""
 
     def work(texts: list) -> list:
@@ -128,7 +130,7 @@ def rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", most_cove
         n = np.array([len(w) for w in words], np.int64)
         m = measure(words)
         failed = (n < LEAST_WORDS) | (100 * m["n_repeat_words"] > BASE_PERCENT * n)
-        far = (m["longest_repeat"] > longest_words) & (m["longest_repeat"] > longest_share * n)
+        far = m["longest_repeat"] > longest_words
         kept = ~failed & (m["n_covered"] <= most_covered * n + 1e-9) & ~far
         chars = [len(t) - sum(map(t.count, BLANKS)) if t else 0 for t in texts]
         symbols = [sum(map(t.count, SYMBOLS)) if t else 0 for t in texts]

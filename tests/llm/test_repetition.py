@@ -59,3 +59,13 @@ def test_base_columns(spark, tables, edges):
         assert got["base_failed"] == (len(words) < 20 or 100 * repeated > 30 * len(words))
         assert not (got["base_failed"] and got["kept"])
     assert out[101]["kept"] and not out[100]["kept"]
+
+
+def test_a_long_passage_that_comes_twice(spark):
+    """It is a small share of a long text, which the base rule lets through."""
+    passage = prose(400, 77)
+    rows = [(1, f"{prose(3000, 5, 9)} {passage} {prose(2500, 6, 8)} {passage}", "en", "s", 0), (2, f"{prose(3000, 5, 9)} {passage} {prose(2500, 6, 8)}", "en", "s", 0)]
+    rows.append((3, rows[1][1] + " " + " ".join(passage.split()[:50]), "en", "s", 0))
+    out = {r["doc_id"]: r for r in R.rules(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r["base_failed"] for r in out.values())
+    assert [out[i]["kept"] for i in (1, 2, 3)] == [False, True, True] and out[1]["longest_repeat"] >= 400

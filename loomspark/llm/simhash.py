@@ -357,8 +357,9 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_co
     radius = reach_of(similarity)
     near = components(links(own.select("v", F.col("bands").alias("keys")).dropDuplicates(["v"]), own.select("v", "words").dropDuplicates(["v"]), radius))
     groups = materialise(near.union(near.select("root", "root")).distinct().toDF("v", "root"), "groups")
-    one = own.join(groups, "v").groupBy("v", "root").agg(F.min(F.struct(*ROW)).alias("of"), F.first("words").alias("words"), F.first("set_bytes").alias("set_bytes"))
-    one = materialise(one.select("v", "root", "words", "set_bytes", "of.*"), "members")
+    # copies come down to one row before they meet anything: a vertex may hold a third of all rows
+    one = own.groupBy("v").agg(F.min(F.struct(*ROW)).alias("of"), F.first("words").alias("words"), F.first("set_bytes").alias("set_bytes"))
+    one = materialise(one.join(groups, "v").select("v", "root", "words", "set_bytes", "of.*"), "members")
     texts = rows.join(one.select(F.col("v").alias("vertex"), "words", *ROW), ROW)
     held = map_texts(texts.select("vertex", "words", "text"), whole, "v bigint, shingles binary", "vertex", "words").where("v = vertex")
     held = materialise(held.select("v", "words", "shingles").dropDuplicates(["v"]), "shingles")
@@ -378,8 +379,9 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: s
     id that of the smallest hash. Rows that share an id and differ in text are different rows; rows alike in both are one."""
     own, found = similar_rows(docs, similarity, width, id_col, text)
     roots = components(found)
-    placed = own.join(roots, "v", "left").select("id", *ROW, F.coalesce("root", "v").alias("root"))
-    stay = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", *ROW)).alias("first")).select(*(F.col(f"first.{k}").alias(k) for k in ROW))
+    first = own.groupBy("v").agg(F.min(F.struct(F.col("id").isNull(), "id", *ROW)).alias("first"))
+    placed = first.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    stay = placed.groupBy("root").agg(F.min("first").alias("first")).select(*(F.col(f"first.{k}").alias(k) for k in ROW))
     rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), *row_key(id_col, text))
     kept = rows.join(stay, ROW, "left_semi").groupBy(*ROW).agg(F.first("row").alias("row"))
     return kept.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

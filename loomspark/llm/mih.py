@@ -5,9 +5,12 @@ share costs no more than any other. Entries are dealt into shards; in a shard, c
 query's segment radii grow one segment at a time until the k-th verified distance lies within what is covered: after radius
 t in the first j + 1 of m segments and t - 1 in the rest, every code within t * m + j bits has been seen.
 
+Codes are as wide as the longest vector needs, in words of 64 bits; segments do not cross words.
+
 Cases: null ids, and vectors that are null or hold nulls, are neither queries nor neighbours; dimensions beyond a vector's
 length count as not positive; a query never finds its own row, ties go to the smaller id, and where there are fewer than k
 other rows the query has that many; an empty table gives none. Rows that repeat an id are one entry if their code is one.
+Other columns are not read, so no name clashes.
 """
 
 from __future__ import annotations
@@ -23,50 +26,62 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-BITS, K = 64, 10
+WORD, K = 64, 10
 SHARDS, SHARD_CODES, QUERY_BLOCK, TASKS = 24, 1 << 16, 4096, 20_000
 #: Queries that are worked on at once in a shard: the table of seen codes has so many rows.
 AT_ONCE = 256
 
 
-def codes(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, code): bit d is set where component d is positive. At most BITS components are taken; more is an error."""
+def words_for(vectors: DataFrame, vector: str = "embedding") -> int:
+    """Words of 64 bits that the codes of these vectors need."""
+    longest = vectors.agg(F.max(F.size(vector))).first()[0]
+    return max(1, -(-(longest or 0) // WORD))
+
+
+def codes(vectors: DataFrame, words: int, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(id, code): bit d is set where component d is positive; a code is its words as bytes, the lowest first."""
     kind = vectors.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = b.column(1).to_pylist()
-            if any(r is not None and len(r) > BITS for r in rows):
-                raise ValueError(f"codes have {BITS} bits; a vector has more components")
-            bits = np.zeros((len(rows), BITS), bool)
+            bits = np.zeros((len(rows), words * WORD), bool)
             good = [r is not None and None not in r for r in rows]
             for i, r in enumerate(rows):
                 if good[i]:
                     bits[i, : len(r)] = np.asarray(r) > 0
-            out = np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, mask=~np.array(good, bool))], names=[id_col, "code"])
+            packed = np.packbits(bits, axis=1, bitorder="little")
+            out = [row.tobytes() if ok else None for row, ok in zip(packed, good, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=[id_col, "code"])
 
-    found = vectors.select(id_col, vector).mapInArrow(run, f"`{id_col}` {kind}, code bigint")
+    found = vectors.select(id_col, vector).mapInArrow(run, f"`{id_col}` {kind}, code binary")
     return found.where(F.col("code").isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), "code")
 
 
+def as_words(column: pd.Series) -> np.ndarray:
+    """Codes as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column), "<u8").reshape(len(column), -1)
+
+
 class Index:
     """Codes by the values of their segments."""
 
     def __init__(self, found: np.ndarray):
         self.codes = found
+        self.bits = found.shape[1] * WORD
         width = min(16, max(8, int(np.log2(max(2, len(found))))))
-        self.m = -(-BITS // width)
-        cuts = np.linspace(0, BITS, self.m + 1).astype(int)
+        cuts = np.linspace(0, WORD, -(-WORD // width) + 1).astype(int).tolist()
         self.segments = []
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            value = self.values(found, lo, hi)
-            start = np.r_[0, np.cumsum(np.bincount(value, minlength=1 << (hi - lo)))]
-            self.segments.append((int(lo), int(hi), start, np.argsort(value, kind="stable")))
+        for word in range(found.shape[1]):
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                value = self.values(found, word, lo, hi)
+                start = np.r_[0, np.cumsum(np.bincount(value, minlength=1 << (hi - lo)))]
+                self.segments.append((word, lo, hi, start, np.argsort(value, kind="stable")))
+        self.m = len(self.segments)
 
     @staticmethod
-    def values(x: np.ndarray, lo: int, hi: int) -> np.ndarray:
-        return ((x >> np.uint64(lo)) & np.uint64((1 << int(hi - lo)) - 1)).astype(np.int64)
+    def values(x: np.ndarray, word: int, lo: int, hi: int) -> np.ndarray:
+        return ((x[:, word] >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)).astype(np.int64)
 
     def nearest(self, queries: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, code, distance) of all codes as near as the k-th nearest row; a code counts as `weights` rows."""
@@ -79,19 +94,19 @@ class Index:
     def block(self, queries: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n, size = len(queries), len(self.codes)
         seen = np.zeros((n, size), bool)
-        count = np.zeros((n, BITS + 1), np.int64)
-        best = np.full(n, BITS)  # the distance of the k-th row so far
+        count = np.zeros((n, self.bits + 1), np.int64)
+        best = np.full(n, self.bits)  # the distance of the k-th row so far
         open_ = np.arange(n)
         want = min(k, int(weights.sum()))
         found = []
-        for radius in range(BITS + 1):
-            for j, (lo, hi, start, order) in enumerate(self.segments):
+        for radius in range(WORD + 1):
+            for j, (word, lo, hi, start, order) in enumerate(self.segments):
                 if not len(open_):
                     break
                 if radius > hi - lo:
                     continue
                 masks = np.array([sum(1 << b for b in x) for x in combinations(range(hi - lo), radius)], np.int64)
-                own = self.values(queries[open_], lo, hi)
+                own = self.values(queries[open_], word, lo, hi)
                 for part in range(0, len(masks), 1024):
                     probe = own[:, None] ^ masks[None, part : part + 1024]
                     first, many = start[probe], start[probe + 1] - start[probe]
@@ -103,15 +118,15 @@ class Index:
                     new = ~seen[q, code]
                     q, code = q[new], code[new]
                     seen[q, code] = True
-                    d = np.bitwise_count(queries[q] ^ self.codes[code]).astype(np.int64)
+                    d = np.bitwise_count(queries[q] ^ self.codes[code]).sum(1, dtype=np.int64)
                     np.add.at(count, (q, d), weights[code])
                     near = d <= best[q]
                     found.append((q[near], code[near], d[near]))
                 reach = np.cumsum(count[open_], axis=1)
                 enough = reach >= want
-                best[open_] = np.where(enough.any(1), enough.argmax(1), BITS)
+                best[open_] = np.where(enough.any(1), enough.argmax(1), self.bits)
                 covered = radius * self.m + j
-                open_ = open_[~(enough.any(1) & (best[open_] <= covered))]
+                open_ = open_[~((enough.any(1) & (best[open_] <= covered)) | seen[open_].all(1))]
             if not len(open_):
                 break
         q, c, d = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ((),) * 3))
@@ -122,12 +137,11 @@ class Index:
 def search_shard(entries: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     """(query, distance, id): the k nearest rows of a shard for each query code."""
     if not len(entries) or not len(queries):
-        return pd.DataFrame({"query": np.zeros(0, np.int64), "distance": np.zeros(0, np.int32), "id": np.zeros(0, np.int64)})
+        return pd.DataFrame({"query": np.zeros(0, object), "distance": np.zeros(0, np.int32), "id": np.zeros(0, np.int64)})
     ids = entries["ids"].tolist()
     many = np.fromiter(map(len, ids), np.int64, len(ids))
     flat, begin = np.concatenate(ids).astype(np.int64), np.cumsum(many) - many
-    codes_, asked = (x["code"].to_numpy(np.int64).view(np.uint64) for x in (entries, queries))
-    q, c, d = Index(codes_).nearest(asked, many, k)
+    q, c, d = Index(as_words(entries["code"])).nearest(as_words(queries["code"]), many, k)
     rows = np.repeat(np.arange(len(q)), many[c])
     found = flat[np.repeat(begin[c], many[c]) + np.arange(len(rows)) - np.repeat(np.cumsum(many[c]) - many[c], many[c])]
     q, d = q[rows], d[rows]
@@ -135,13 +149,14 @@ def search_shard(entries: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.Dat
     q, d, found = q[order], d[order], found[order]
     place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
     keep = place < k
-    return pd.DataFrame({"query": asked.view(np.int64)[q[keep]], "distance": d[keep].astype(np.int32), "id": found[keep]})
+    return pd.DataFrame({"query": queries["code"].to_numpy()[q[keep]], "distance": d[keep].astype(np.int32), "id": found[keep]})
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, neighbour_id, distance): for each row of `queries`, which are rows of `vectors`, its k nearest others."""
-    coded = materialise(codes(vectors, id_col, vector), "codes")
-    asked = codes(queries, id_col, vector).distinct()
+    words = words_for(vectors, vector)
+    coded = materialise(codes(vectors, words, id_col, vector), "codes")
+    asked = codes(queries, words, id_col, vector).distinct()
     first = Window.partitionBy("code").orderBy("id")
     least = coded.distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1)
     entries = materialise(least.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "entries")
@@ -159,7 +174,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     near = (
         left.groupBy("shard", "block")
         .cogroup(right.groupBy("shard", "block"))
-        .applyInPandas(lambda a, b: search_shard(a, b, k + 1), "query bigint, distance int, id bigint")
+        .applyInPandas(lambda a, b: search_shard(a, b, k + 1), "query binary, distance int, id bigint")
     )
     best = Window.partitionBy("query").orderBy("distance", "id")
     merged = materialise(near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place"), "nearest")

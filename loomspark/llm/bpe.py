@@ -1,14 +1,17 @@
 """Byte-level BPE with public rank files: padded numpy matrices merge many words at once; ids decode back to bytes.
 
-Cases: null and empty texts have no ids; texts of any length are taken whole; words longer than the widest matrix are
-merged one by one with a heap, by the same rule (the leftmost pair of lowest rank first).
+Words of similar length are rows of one matrix. Each round every row merges its pair of lowest rank, the leftmost and, from
+there on, each further one of the same pair that does not overlap: the order in which one merge at a time would take them,
+as long as what a merge makes new pairs of ranks above it. Vocabularies without that property merge the leftmost alone.
+
+Cases: null and empty texts have no ids; texts and words of any length are taken whole (a matrix of long words has fewer
+rows); repeated rows are encoded alike; an empty table gives no rows; other columns are not read, so no name clashes.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -19,9 +22,8 @@ from .common import map_texts
 
 #: White_Space of Unicode, which \s means in the pattern: the regex module's own \s differs in a few control characters.
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-WIDEST = 128
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers, and cells of a matrix.
+REMEMBERED, CELLS = 400_000, 1 << 20
 NONE = np.int64(1) << 40
 
 
@@ -84,12 +86,25 @@ class Encoder:
             for cut in range(1, len(token)):
                 if (a := self.ranks.get(token[:cut])) is not None and (b := self.ranks.get(token[cut:])) is not None:
                     pairs[a, b] = rank
-        self.pairs, self.table = pairs, PairTable(pairs)
+        self.table = PairTable(pairs)
+        self.rising = False
+        self.rising = self.is_proper()
         self.pattern = pattern_of(pattern)
         self.known: dict[str, tuple[int, str, bytes]] = {}
 
-    def matrix(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of words of similar length. Each round every open row merges its leftmost pair of lowest rank; pads move out."""
+    def is_proper(self) -> bool:
+        """Whether every token is two parts just before its own merge. Then a merge never makes a pair that can still meet a
+        lower rank: up to there the bytes of that pair would have merged as they do alone."""
+        longer = sorted((t for t in self.ranks if len(t) > 1), key=len)
+        for k in range(0, len(longer), 4096):
+            part = longer[k : k + 4096]
+            if any(len(ids) != 2 for ids in self.matrix(part, np.array([self.ranks[t] for t in part], np.int64))):
+                return False
+        return True
+
+    def matrix(self, words: list[bytes], below: np.ndarray | None = None) -> list[list[int]]:
+        """Ids of words of similar length. Each round every open row merges its pair of lowest rank; pads move out. `below`
+        gives ranks at which the rows stop."""
         n, width = len(words), max(map(len, words))
         ids = np.full((n, width + 1), -1, np.int64)
         sizes = np.fromiter(map(len, words), np.int64, n)
@@ -100,9 +115,8 @@ class Encoder:
         ranks = self.table(ids[:, :-1], ids[:, 1:])
         while len(row):
             at = ranks.argmin(1)
-            lanes = np.arange(len(row))
-            best = ranks[lanes, at]
-            over = best >= NONE
+            best = ranks[np.arange(len(row)), at]
+            over = best >= (NONE if below is None else below[row])
             if over.any():
                 for r, x in zip(row[over].tolist(), ids[over].tolist(), strict=True):
                     out[r] = x[: x.index(-1)]
@@ -110,56 +124,64 @@ class Encoder:
                 row, ids, ranks, at, best = row[keep], ids[keep], ranks[keep], at[keep], best[keep]
                 if not len(row):
                     break
-                lanes = np.arange(len(row))
-            ids[lanes, at] = best
-            shift = np.arange(ids.shape[1] - 1) > at[:, None]
-            ids[:, :-1] = np.where(shift, ids[:, 1:], ids[:, :-1])
-            ids[:, -1] = -1
-            ranks[:, :-1] = np.where(shift[:, :-1], ranks[:, 1:], ranks[:, :-1])
-            ranks[:, -1] = NONE
-            ranks[lanes, at] = self.table(ids[lanes, at], ids[lanes, at + 1])
-            before = np.maximum(at - 1, 0)
-            ranks[lanes, before] = np.where(at > 0, self.table(ids[lanes, before], ids[lanes, before + 1]), ranks[lanes, before])
-            if ids.shape[1] > 4 and (ids[:, -3] < 0).all():
-                ids, ranks = np.ascontiguousarray(ids[:, :-1]), np.ascontiguousarray(ranks[:, :-1])
+            lowest = ranks == best[:, None]
+            if self.rising and np.count_nonzero(lowest) > len(row):
+                ids, ranks = self.merge_all(ids, ranks, lowest, best)
+            else:
+                ids, ranks = self.merge_first(ids, ranks, at, best)
         return out
 
-    def long(self, word: bytes) -> list[int]:
-        """The same for one word of any length, in n log n steps."""
-        ids = self.bytes[np.frombuffer(word, np.uint8)].tolist()
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank = lambda a, b: self.pairs.get((ids[a], ids[b]))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank(i, i + 1)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i] if ids[i] == a else n
-            if j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j] = r, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (x := rank(i, after[i])) is not None:
-                    heapq.heappush(heap, (x, i, ids[i], ids[after[i]]))
-            if before[i] >= 0 and (x := rank(before[i], i)) is not None:
-                heapq.heappush(heap, (x, before[i], ids[before[i]], ids[i]))
-        return [x for x in ids if x >= 0]
+    def merge_first(self, ids: np.ndarray, ranks: np.ndarray, at: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One merge a row, at `at`."""
+        lanes = np.arange(len(ids))
+        ids[lanes, at] = best
+        shift = np.arange(ids.shape[1] - 1) > at[:, None]
+        ids[:, :-1] = np.where(shift, ids[:, 1:], ids[:, :-1])
+        ids[:, -1] = -1
+        ranks[:, :-1] = np.where(shift[:, :-1], ranks[:, 1:], ranks[:, :-1])
+        ranks[:, -1] = NONE
+        ranks[lanes, at] = self.table(ids[lanes, at], ids[lanes, at + 1])
+        before = np.maximum(at - 1, 0)
+        ranks[lanes, before] = np.where(at > 0, self.table(ids[lanes, before], ids[lanes, before + 1]), ranks[lanes, before])
+        if ids.shape[1] > 4 and (ids[:, -3] < 0).all():
+            ids, ranks = np.ascontiguousarray(ids[:, :-1]), np.ascontiguousarray(ranks[:, :-1])
+        return ids, ranks
+
+    def merge_all(self, ids: np.ndarray, ranks: np.ndarray, lowest: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every merge of the row's pair, from the left; of pairs that overlap (a run of one id) every other one."""
+        n, width = lowest.shape
+        place = np.arange(width)
+        run = place - np.maximum.accumulate(np.where(lowest, -1, place), axis=1) - 1
+        hit = lowest & (run % 2 == 0)
+        ids[:, :-1][hit] = np.broadcast_to(best[:, None], hit.shape)[hit]
+        stay = np.ones(ids.shape, bool)
+        stay[:, 1:] = ~hit
+        left = stay.sum(1)
+        valid = int((stay & (ids >= 0)).sum(1).max())
+        wide = max(4, valid + 1)
+        within = np.arange(ids.shape[1]) < left[:, None]
+        packed, made, kept = np.full(ids.shape, -1, np.int64), np.zeros(ids.shape, bool), np.full(ids.shape, NONE, np.int64)
+        packed[within] = ids[stay]
+        made[within] = np.pad(hit, ((0, 0), (0, 1)))[stay]
+        kept[within] = np.pad(ranks, ((0, 0), (0, 1)), constant_values=NONE)[stay]
+        wide = min(wide, ids.shape[1])
+        ids, made, ranks = packed[:, :wide].copy(), made[:, : wide - 1], kept[:, : wide - 1].copy()
+        fresh = made.copy()
+        fresh[:, :-1] |= made[:, 1:]
+        r, c = np.nonzero(fresh)
+        ranks[r, c] = self.table(ids[r, c], ids[r, c + 1])
+        return ids, ranks
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         raw = [w.encode() for w in words]
         out: list[list[int]] = [[]] * len(raw)
         buckets: dict[int, list[int]] = {}
         for i, w in enumerate(raw):
-            buckets.setdefault((len(w) + 3) // 4 if len(w) <= WIDEST else -1, []).append(i)
+            buckets.setdefault((len(w) + 3) // 4, []).append(i)
         for size, at in buckets.items():
-            if size < 0:
-                for i in at:
-                    out[i] = self.long(raw[i])
-                continue
-            for k in range(0, len(at), 8192):
-                part = at[k : k + 8192]
+            rows = min(8192, max(1, CELLS // max(1, 4 * size)))
+            for k in range(0, len(at), rows):
+                part = at[k : k + rows]
                 for i, ids in zip(part, self.matrix([raw[i] for i in part]), strict=True):
                     out[i] = ids
         return out

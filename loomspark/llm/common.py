@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -35,22 +36,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where the master is local and the setting unset
+    is there one of our own; on a cluster a folder of this machine would be empty on all others, so that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="loomspark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
+    """Write df as Parquet in the shared folder and read it back: lineage is cut, lost executors lose nothing. The table is
+    read whenever a result is, so it stays until the driver ends, or until `release`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomspark-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    store, at = store_of(spark, path)
+    store.deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_of(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as it knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table of `materialise` that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        store, at = store_of(table.sparkSession, path)
+        store.delete(at, True)
+
+
 def remainder(doc_id: Column, of: int) -> Column:
     """crc32(doc_id as text) mod `of`; null for a null id."""
     return F.crc32(doc_id.cast("string")) % of

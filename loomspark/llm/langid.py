@@ -1,7 +1,8 @@
 """Language by words first: known words by their log frequency per language, unseen words by ever shorter n-grams.
 
 Cases: null texts and texts without a letter are `und` with score 0; with nothing to learn from, every text is `und`;
-texts are taken whole; repeated rows and ties (the first language in order wins) are handled like any other.
+texts are taken whole; repeated rows and ties (the first language in order wins) are handled like any other; other columns,
+whatever their names, are carried or left alone.
 """
 
 from __future__ import annotations
@@ -12,13 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, map_texts, short_batches
+from .common import chunks, map_texts, materialise, short_batches
 
-#: Documents of each language to learn from, and its most frequent words that are kept: the model's bounds.
-SAMPLE_DOCS, VOCABULARY = 5000, 20_000
+#: Documents of each language to learn from, and documents in all, however many languages there are: the model's bounds. All
+#: words of those documents are learned.
+SAMPLE_DOCS, SAMPLE_ALL = 2000, 40_000
 LONGEST_GRAM, BACKOFF, FLOOR = 4, 0.7, 0.5
 UNKNOWN = "und"
 REMEMBERED = 300_000
@@ -92,7 +94,8 @@ class Model:
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, its share of the posterior) of each text."""
+        """(language, score) of each text. The score is the language's share of the posterior, with the log odds over the
+        square root of the number of words: words of one text depend on each other, so all of their odds would claim too much."""
         counts = [Counter(WORD.findall(t.lower())) if t else Counter() for t in texts]
         if self.languages:
             self.remember(set().union(*counts))
@@ -103,22 +106,20 @@ class Model:
                 continue
             at = list(map(self.known.__getitem__, words))
             total = np.fromiter(words.values(), float, len(words)) @ self.rows[at]
-            odds = np.exp(total - total.max())
+            odds = np.exp((total - total.max()) / np.sqrt(words.total()))
             best = int(odds.argmax())
             out.append((self.languages[best], float(odds[best] / odds.sum())))
         return out
 
 
-def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, vocabulary: int = VOCABULARY) -> Model:
-    """Word counts per language from about sample_docs documents of each, chosen by a hash of the id."""
+def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, sample_all: int = SAMPLE_ALL) -> Model:
+    """Word counts per language from about sample_docs documents of each (sample_all of all), chosen by a hash of the id."""
     short_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r[lang]: r["count"] for r in rows.groupBy(lang).count().collect()}
-    if not sizes:
-        return Model([])
-    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_docs / n))))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(id_col)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.where(draw < F.element_at(share, F.col(lang)))
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = materialise(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    most = min(sample_docs, sample_all / max(1, sizes.count()))
+    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.join(sizes, "lang").where(draw * F.col("n") < most).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,14 +130,13 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: s
                 flat = [(k, w, n) for k, c in by.items() for w, n in c.items()]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
-    counts = chosen.select(lang, text).mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    kept = counts.withColumn("place", place).where(F.col("place") <= vocabulary)
-    return Model(sorted((r["lang"], r["word"], r["n"]) for r in kept.collect()))
+    counts = chosen.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    found = counts.toArrow()  # the words of the sample
+    return Model(sorted(zip(*(c.to_pylist() for c in found.columns), strict=True)))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns `keep`, lang_pred and score. The model is bounded by its vocabulary, so it may go with the tasks."""
+    """Columns `keep`, lang_pred and score. The model is bounded by its sample, so it may go with the tasks."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(texts: list) -> list:

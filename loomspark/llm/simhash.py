@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialise
+from .common import map_texts, materialise, release
 
 BITS, BLOCKS, RADIUS = 64, 4, 3
 #: Fingerprints of one bucket that are compared in one go, and bytes of shingle hashes that come with them; larger buckets
@@ -210,7 +210,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialise(edges.where("u != v").distinct(), "links")
     mark = state(now)
     while mark[0]:
-        now = materialise(star(star(now, True), False), "links")
+        before, now = now, materialise(star(star(now, True), False), "links")
+        release(before)
         if (new := state(now)) == mark:
             break
         mark = new

@@ -140,36 +140,50 @@ def share_of(n_both: Column, n_term: Column, n_entity: Column, n_texts: int) ->
     return F.when(p < 1, 1 - F.ln(q) / F.ln(p)).otherwise(F.lit(0.0))
 
 
+def apart() -> Column:
+    """Whether some of a group's texts (column marks) are independent: no least hash is the same in all of them."""
+    return reduce(Column.__and__, [F.min(F.col("marks")[k]) < F.max(F.col("marks")[k]) for k in range(SEEDS)])
+
+
 def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, disclosure: float = DISCLOSURE) -> tuple[DataFrame, DataFrame] | None:
     """(term, share): words that disclose an entity, with the largest share of an entity's information that they give away,
     and (doc, body, term): where the words that came into question stand. None where no word can disclose any.
 
-    Words are counted among the texts with entities first. That count is no larger than the one in the whole corpus, so what
-    is too frequent there already is not looked for in the corpus.
+    Only entities with independent texts go on. Their words are counted in ever more texts: those with such entities, those
+    with any entity, a sixteenth of the corpus, and all of it. Each count is no larger than the next, so a word that is too
+    frequent already drops out, and the pass over the whole corpus looks for rare words alone.
     """
     entities = materialise(spans.select("body", entity_of(F.col("kind"), F.col("found")).alias("entity")).distinct(), "entities")
-    _, standing = classes(entities, "entity", "e")
-    standing = materialise(standing, "entity-texts")
+    standing = materialise(classes(entities, "entity", "e")[1], "entity-texts")
     if standing.isEmpty():
         return None
-    n_texts = texts.select("body").distinct().count()
-    among = suspect.dropDuplicates(["body"]).join(standing.select("body").distinct(), "body", "left_semi")
-    among = materialise(among.select("body", "text"), "entity-holders")
-    members, words = classes(materialise(term_hashes(among, "body"), "entity-words"), "term", "t")
-    least = F.least("e_n", "t_n")
-    pairs = standing.join(words, "body").where(share_of(least, F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
-    marks = copy_marks(among)
-    apart = [F.min(F.col("marks")[k]) < F.max(F.col("marks")[k]) for k in range(SEEDS)]
-    together = pairs.join(marks, "body").groupBy("e", "e_n", "t", "t_n").agg(F.count(F.lit(1)).alias("n_both"), reduce(Column.__and__, apart).alias("apart"))
-    together = together.where("apart AND n_both > 1").where(share_of(F.col("n_both"), F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
-    together = materialise(together.select("e_n", "t", "n_both"), "term-pairs")
-    wanted = materialise(members.join(together.select("t").distinct(), "t", "left_semi").select("term", "t"), "wanted-terms")
-    if wanted.isEmpty():
+    once = suspect.dropDuplicates(["body"]).select("body", "text")
+    among = materialise(once.join(standing.select("body").distinct(), "body", "left_semi"), "entity-holders")
+    marks = materialise(copy_marks(among), "copy-marks")
+    alone = standing.join(marks, "body").groupBy("e").agg(apart().alias("apart")).where("apart").select("e")
+    standing = materialise(standing.join(alone, "e", "left_semi"), "independent-entity-texts")
+    if standing.isEmpty():
         return None
-    held = materialise(term_hashes(texts, *DOC).join(wanted, "term", "left_semi"), "term-holders")
-    counted = held.select("body", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    shares = together.join(wanted, "t").join(counted, "term").withColumn("share", share_of(F.col("n_both"), F.col("n_term"), F.col("e_n"), n_texts))
-    return shares.where(F.col("share") >= disclosure).groupBy("term").agg(F.max("share").alias("share")), held
+    n_texts = texts.select("body").distinct().count()
+    few = among.join(standing.select("body").distinct(), "body", "left_semi")
+    members, words = classes(materialise(term_hashes(few, "body"), "entity-words"), "term", "t")
+    pairs = standing.join(words, "body").where(share_of(F.least("e_n", "t_n"), F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
+    counts = pairs.groupBy("e", "e_n", "t", "t_n").agg(F.count(F.lit(1)).alias("n_both")).where("n_both > 1")
+    strong = counts.where(share_of(F.col("n_both"), F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
+    together = pairs.join(strong.select("e", "t", "n_both"), ["e", "t"]).join(marks, "body")
+    together = together.groupBy("t", "e", "e_n", "n_both").agg(apart().alias("apart")).where("apart").select("t", "e_n", "n_both").distinct()
+    found = materialise(together.join(members, "t").select("term", "e_n", "n_both").distinct(), "term-pairs")
+    held = None
+    for part, rows in (("suspect", suspect), ("sample", texts.where(F.pmod("body", F.lit(16)) == 0)), ("whole", texts)):
+        wanted = materialise(found.select("term").distinct(), f"wanted-{part}")
+        if wanted.isEmpty():
+            return None
+        held = materialise(term_hashes(rows, *DOC).join(wanted, "term", "left_semi"), f"term-holders-{part}")
+        counted = held.select("body", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+        placed = found.select("term", "e_n", "n_both").join(counted, "term", "left")
+        shared = placed.withColumn("share", share_of(F.col("n_both"), F.greatest("n_term", "n_both"), F.col("e_n"), n_texts))
+        found = materialise(shared.where(F.col("share") >= disclosure).select("term", "e_n", "n_both", "share"), f"shares-{part}")
+    return found.groupBy("term").agg(F.max("share").alias("share")), held
 
 
 def term_spans(rows: DataFrame, holders: DataFrame) -> DataFrame:

@@ -5,13 +5,16 @@ Only DataFrame functions. A line's key is the line without ASCII white space at
 meets in no one task, and sorted by document and position; a document's first occurrence is the row whose predecessor is
 of another document. What goes back to the documents is a bitmap: 64 lines a word, words with nothing dropped left out.
 
-Cases: a null or empty text is one empty line, which is always kept; rows repeated with id and text count as one document
-and come out as often as they came in; null ids are documents too, told apart by their text; an empty table gives none.
+A document is an id: rows that share one count once, whatever their texts. Rows without an id are documents by their text.
+
+Cases: a null or empty text is one empty line, which is always kept; repeated rows come out as often as they came in; every
+row loses its own lines, also where another row has its id; an empty table gives no rows; other columns travel in a struct,
+so no name clashes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANKS, ascii_lower, materialise
@@ -21,6 +24,16 @@ KEY = ["h1", "h2"]
 DOC = ["doc", "body"]
 
 
+def owner() -> list[Column]:
+    """What is one document: the id, or else the text."""
+    return [F.col("doc"), F.when(F.col("doc").isNull(), F.col("body")).alias("nameless")]
+
+
+def salt(salts: int) -> Column:
+    """Where a document's occurrences of a key are dealt to."""
+    return F.pmod(F.xxhash64(*owner()), F.lit(salts)).cast("int").alias("salt")
+
+
 def identified(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(doc, body, text): the id, a hash of the text that tells rows of one id apart, the text with null as empty."""
     return docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc", F.xxhash64("text").alias("body"), "text")
@@ -37,11 +50,10 @@ def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
 
 def first_occurrences(lines: DataFrame, salts: int) -> DataFrame:
     """(h1, h2, salt, n): documents that hold a key, by salt, from a stream of range-partitioned, sorted occurrences."""
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64(*DOC), F.lit(salts)).cast("int"))
-    ranged = salted.select(*KEY, "salt", *DOC, "pos").repartitionByRange(*KEY, "salt")
-    stream = Window.partitionBy(*KEY, "salt").orderBy(*DOC, "pos")
-    before = F.lag(F.struct(*DOC)).over(stream)
-    first = before.isNull() | ~before.eqNullSafe(F.struct(*DOC))
+    ranged = lines.select(*KEY, salt(salts), *owner(), "pos").repartitionByRange(*KEY, "salt")
+    stream = Window.partitionBy(*KEY, "salt").orderBy("doc", "nameless", "pos")
+    before = F.lag(F.struct("doc", "nameless")).over(stream)
+    first = before.isNull() | ~before.eqNullSafe(F.struct("doc", "nameless"))
     return ranged.withColumn("first", first).groupBy(*KEY, "salt").agg(F.count_if("first").alias("n"))
 
 
@@ -53,7 +65,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = 1,
     by_salt = materialise(first_occurrences(lines, salts), "line-counts")
     common = by_salt.groupBy(*KEY).agg(F.sum("n").alias("n_docs")).where(F.col("n_docs") >= min_docs)
     dropped = by_salt.join(common, KEY).select(*KEY, "salt")
-    hit = lines.withColumn("salt", F.pmod(F.xxhash64(*DOC), F.lit(salts)).cast("int")).join(dropped, [*KEY, "salt"], "left_semi")
+    hit = lines.withColumn("salt", salt(salts)).join(dropped, [*KEY, "salt"], "left_semi")
     bit = F.expr("shiftleft(1L, pos % 64)")
     words = hit.groupBy(*DOC, F.expr("CAST(pos DIV 64 AS INT)").alias("word")).agg(F.bit_or(bit).alias("bits"), F.max("n_lines").alias("n_lines"))
     entry = F.struct("word", F.bitwise_not("bits"))

@@ -75,18 +75,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 LINES_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
-  FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'without id ' || md5(coalesce(text, ''))) AS document, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT r, document, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM docs),
 keyed AS (
-  SELECT doc_id, pos, line,
+  SELECT r, document, pos, line,
          translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines),
-common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE c.key IS NOT NULL) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
-FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY doc_id"""
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT document) >= 10),
+kept AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE c.key IS NOT NULL) AS n_dropped,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+  FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM docs JOIN kept USING (r)"""
 
 
 TOP_K_SQL = """

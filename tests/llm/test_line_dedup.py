@@ -18,8 +18,9 @@ def key(line: str) -> str:
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(BLANK))
 
 
-def brute(texts: list, least: int = 10) -> list:
-    seen = Counter(k for t in set(enumerate(texts)) for k in {key(x) for x in (t[1] or "").split("\n")} if k)
+def brute(texts: list, least: int = 10, ids: list | None = None) -> list:
+    owners = [i if i is not None else f"nameless {t}" for i, t in zip(ids or range(len(texts)), texts, strict=True)]
+    seen = Counter(k for _, k in {(o, key(x)) for o, t in zip(owners, texts, strict=True) for x in (t or "").split("\n")} if k)
     out = []
     for t in texts:
         lines = (t or "").split("\n")
@@ -51,3 +52,19 @@ def test_repeated_rows_are_one_document(spark):
     rows = [(1, "only here", "en", "s", 0)] * 12 + [(None, f"no id {i}\nshared by nulls", "en", "s", 0) for i in range(10)]
     out = L.drop_common_lines(spark.createDataFrame(rows, SCHEMA)).select("row.doc_id", "n_dropped", "kept").collect()
     assert sorted((r["doc_id"] or 0, r["n_dropped"]) for r in out) == [(0, 1)] * 10 + [(1, 0)] * 12
+
+
+def test_an_id_is_one_document(spark, tables):
+    """Ten texts under one id are one document; the query, its SQL and the definition agree."""
+    import duckdb
+
+    ids = [7] * 10 + [None] * 12 + [1, 2, 3, 4, 5, 6, 8, 9, 10, 11]
+    texts = [f"shared by one id\nown {i}\nby all" for i in range(10)] + [f"nameless {i}\nby all\nby the nameless" for i in range(11)] + ["nameless 0\nby all\nby the nameless"]
+    texts += ["by all\nby ten" if i != 4 else None for i in range(10)]
+    sf = tables(documents=spark.createDataFrame([(i, t, "en", "s", 0) for i, t in zip(ids, texts, strict=True)], SCHEMA))
+    got = sorted((r["doc_id"] or 0, r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in Q.op3_line_dedup(spark, sf).collect())
+    assert got == sorted((i or 0, *x) for i, x in zip(ids, brute(texts, ids=ids), strict=True))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet/*.parquet')")
+    assert got == sorted((i or 0, n, d, h) for i, n, d, h in con.execute(Q.LINES_SQL).fetchall())
+    assert sum(d for _, _, d, _ in got) == 31 + 12

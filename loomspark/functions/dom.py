@@ -10,8 +10,9 @@ from html.parser import HTMLParser
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An open tag of the key is closed by a new one of the value.
 CLOSED_BY = {"li": {"li"}, "p": {"p", "div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "section", "article"}, "tr": {"tr", "tbody"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
-STEP = re.compile(r"\s*([>\s])\s*(?=[\w.#*\[:])")
-PART = re.compile(r"([.#]?)([\w-]+|\*)|\[([\w-]+)(?:([*^$~]?=)[\"']?([^\"'\]]*?)[\"']?(?:\s+i)?)?\]|:(first-child|last-child)")
+STEP = re.compile(r"\s*([>\s])\s*(?=[\w.#*\[:])(?![^\[]*\])")
+#: A mark and a name; or an attribute, how it is compared, its value, and whether case is let go; or a position.
+PART = re.compile(r"([.#]?)([\w-]+|\*)|\[([\w-]+)(?:([*^$~]?=)[\"']?([^\"'\]]*?)[\"']?(\s+i)?)?\]|:(first-child|last-child|first-of-type)")
 
 
 class Node:
@@ -161,14 +162,14 @@ def keys_of(selector: str) -> tuple[str, ...] | None:
 
 
 def passes(node: Node, tests: tuple) -> bool:
-    for mark, name, attr, op, value, position in tests:
+    for mark, name, attr, op, value, fold, position in tests:
         if position:
-            siblings = node.parent.children() if node.parent else [node]
-            ok = siblings[0 if position == "first-child" else -1] is node
+            siblings = [x for x in (node.parent.children() if node.parent else [node]) if position != "first-of-type" or x.tag == node.tag]
+            ok = siblings[-1 if position == "last-child" else 0] is node
         elif attr:
             own = node.attrs.get(attr)
-            have, want = (own or "").lower(), value.lower()
-            ok = own is not None and {"": True, "=": own == value, "*=": want in have, "^=": have.startswith(want), "$=": have.endswith(want), "~=": want in have.split()}[op]
+            have, want = (x.lower() if fold else x for x in (own or "", value))
+            ok = own is not None and {"": True, "=": have == want, "*=": want in have, "^=": have.startswith(want), "$=": have.endswith(want), "~=": want in have.split()}[op]
         elif mark == ".":
             ok = name in node.attrs.get("class", "").split()
         elif mark == "#":

@@ -1,96 +1,97 @@
-"""Is a detail page the notice that the list named? Titles are compared in a fixed order of ways; the first that fits wins."""
+"""Is a detail page the notice that the list named? A table of ways in which titles can be one; the first that fits wins."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import cached_property
 
 import pandas as pd
 
 from . import constants as K
-from .html import squeeze
-from .text import SEGMENT
+from .lists import squeeze
 from .udfs import batch_udf
 
-BADGE = re.compile(rf"(?i)^(?:{'|'.join(map(re.escape, K.TITLE_BADGES))})$")
+SHORT_BADGE = re.compile(rf"(?i)^(?:{'|'.join(map(re.escape, K.TITLE_BADGES))})$")
 STOP = re.compile(rf"(?i)\b(?:{'|'.join(K.TITLE_STOP_WORDS)})\b", re.ASCII)
-LAYERS = (
-    r"^\d+[.)]\s*", r"(?i)^(?:new|n|신규)\s+", r"(?i)^(?:all|공통|국제|서울)\s+", r"(?i)^(?:제목|subject|title)\s*[:：]\s*",
-    r"(?i)^\[[^\]]*(?:notice|공지|일반공지|장학|학사|학부)[^\]]*\]\s*", r"(?i)^(?:notice|공지|일반공지|장학공지|학사공지)\s+",
-)
-# What may stand around a title without making it another one.
-SUFFIX = re.compile(r"(?i)^(?:(?:대학원|학부|일반|공지|새 글|new|hit|views?|조회수?)\s*\d*\s*)+$")
-LIST_BEFORE = re.compile(r"(?i)^(?:(?:\d{2,4}\s+){1,3}|undergraduate|graduate|대학원|학부|학사|행사|새 글|공지|일반공지|치과대학|대학\s*)+$")
-LIST_AFTER = re.compile(r"(?i)^(?:안내|attach file|new|updated|hit|views?|조회수?|작성일|\d{1,4}\s*)+$")
-DETAIL_BEFORE = re.compile("^(?:공지|일반공지|학사|학부|대학원)$")
-DETAIL_AFTER = re.compile(r"(?i)^(?:updated|new|hit\s*\d*|views?\s*\d*)$")
+BRACKETS = re.compile(r"\[([^\]]*)\]")
 
 
 def normal(text: str | None) -> str:
-    bracket = lambda m: " " if not (inner := squeeze(m.group(1))) or (len(inner) <= 12 and BADGE.match(inner)) else f" {inner} "
-    out = re.sub(r"\[([^\]]*)\]", bracket, squeeze(text).lower())
-    return squeeze(STOP.sub(" ", re.sub(r"[\W_]+", " ", out)))
-
-
-def peeled(text: str | None) -> str:
-    """Without leading badges, four layers at most."""
-    now = squeeze(text)
-    for _ in range(4):
-        out = now
-        for pattern in LAYERS:
-            out = re.sub(pattern, "", out)
-        if (out := out.strip()) == now:
-            break
-        now = out
-    return now
-
-
-def around(outer: str, inner: str) -> tuple[str, str] | None:
-    at = outer.find(inner)
-    return None if at < 0 else (outer[:at].strip(), outer[at + len(inner) :].strip())
-
-
-def way_of(title: str, wanted: str, bare: str, raw: str) -> str:
-    """How a candidate equals the list's title; empty if it does not."""
-    have = normal(raw)
-    parts = [p for p in (normal(peeled(s)) for s in re.split(SEGMENT, squeeze(raw))) if p]
-    if have == wanted:
-        return "normalized_exact"
-    if bare and normal(peeled(raw)) == bare:
-        return "notice_prefix_stripped_exact"
-    if (first := normal(re.split(SEGMENT, squeeze(raw))[0])) and first in (wanted, bare):
-        return "detail_title_site_suffix_stripped"
-    if any(p in (wanted, bare) for p in parts):
-        return "detail_title_segment_match"
-    rest = have[len(wanted) :].strip() if have.startswith(wanted) else ""
-    if rest and len(rest) <= 20 and SUFFIX.match(rest):
-        return "detail_title_metadata_suffix_stripped"
-    if re.search(r"(?:\.{2,}|…)$", squeeze(title)) and have.startswith(wanted) and len(have) - len(wanted) <= 40:
-        return "truncated_list_title_prefix"
-    fits = lambda edges, before, after: edges is not None and (not edges[0] or bool(before.match(edges[0]))) and (not edges[1] or bool(after.match(edges[1])))
-    if fits(around(wanted, have), LIST_BEFORE, LIST_AFTER):
-        return "list_metadata_stripped"
-    if fits(around(have, wanted), DETAIL_BEFORE, DETAIL_AFTER):
-        return "detail_metadata_stripped"
-    return ""
+    """Letters and digits in lower case, without known badges in brackets (of 12 characters at most) and stop words."""
+
+    def opened(m: re.Match) -> str:
+        inner = squeeze(m.group(1))
+        return " " if len(inner) <= 12 and (not inner or SHORT_BADGE.match(inner)) else f" {inner} "
+
+    return squeeze(STOP.sub(" ", re.sub(r"[\W_]+", " ", BRACKETS.sub(opened, squeeze(text).lower()))))
+
+
+def peeled(text: str | None, passes: int = 4) -> str:
+    """Without leading badges, so many layers at most."""
+    layers = [squeeze(text)]
+    while len(layers) <= passes and (len(layers) < 2 or layers[-1] != layers[-2]):
+        layers.append(layers[-1])
+        for pattern in K.TITLE_LAYERS:
+            layers[-1] = re.sub(pattern, "", layers[-1])
+        layers[-1] = layers[-1].strip()
+    return layers[-1]
+
+
+class Titles:
+    """A list's title and one candidate for the detail's, in the forms in which they are compared."""
+
+    def __init__(self, listed: str, raw: str):
+        self.listed, self.raw = squeeze(listed), raw
+        self.want, self.have, self.bare = normal(listed), normal(raw), normal(peeled(listed))
+
+    @cached_property
+    def segments(self) -> list[str]:
+        return re.split(K.TITLE_SEGMENT, self.raw)
+
+    def is_wanted(self, text: str) -> bool:
+        return text != "" and text in (self.want, self.bare)
+
+    def beyond(self) -> str | None:
+        """What follows the list's title in the candidate; None where that does not start with it."""
+        return self.have[len(self.want) :].strip() if self.have.startswith(self.want) else None
+
+    @staticmethod
+    def dressed(outer: str, inner: str, before: str, after: str) -> bool:
+        """Whether outer is inner with nothing but such words around it."""
+        left, held, right = outer.partition(inner)
+        return bool(held) and all(not edge.strip() or bool(re.match(p, edge.strip())) for edge, p in ((left, before), (right, after)))
+
+
+#: The ways, in their order.
+MODES: tuple[tuple[str, Callable[[Titles], bool]], ...] = (
+    ("normalized_exact", lambda t: t.have == t.want),
+    ("notice_prefix_stripped_exact", lambda t: t.bare != "" and normal(peeled(t.raw)) == t.bare),
+    ("detail_title_site_suffix_stripped", lambda t: t.is_wanted(normal(t.segments[0]))),
+    ("detail_title_segment_match", lambda t: any(t.is_wanted(normal(peeled(s))) for s in t.segments)),
+    ("detail_title_metadata_suffix_stripped", lambda t: bool(t.beyond()) and len(t.beyond()) <= 20 and bool(re.match(K.TITLE_SUFFIX, t.beyond()))),
+    ("truncated_list_title_prefix", lambda t: bool(re.search(r"(?:\.{2,}|…)$", t.listed)) and t.have.startswith(t.want) and len(t.have) - len(t.want) <= 40),
+    ("list_metadata_stripped", lambda t: t.dressed(t.want, t.have, K.BEFORE_LIST_TITLE, K.AFTER_LIST_TITLE)),
+    ("detail_metadata_stripped", lambda t: t.dressed(t.have, t.want, K.BEFORE_DETAIL_TITLE, K.AFTER_DETAIL_TITLE)),
+)
 
 
 def verify(title: str | None, candidates: list[str] | None, raw_list: str | None = "", quality: str | None = "clean") -> tuple[bool, str, str, str]:
     """(verified, status, mode, matched title)."""
-    wanted, bare = normal(title), normal(peeled(title))
-    if len(wanted) < 4:
-        return False, "title_unavailable", "title_unavailable", ""
+    no = lambda status, mode="": (False, status, mode or status, "")
+    want, row, clean = normal(title), normal(raw_list), squeeze(quality) != "contaminated"
+    if len(want) < 4:
+        return no("title_unavailable")
     usable = [squeeze(c) for c in (candidates if candidates is not None else []) if len(normal(c)) >= 4]
     if not usable:
-        return False, "detail_title_unavailable", "detail_title_unavailable", ""
-    contaminated = squeeze(quality) == "contaminated"
+        return no("detail_title_unavailable")
     for raw in usable:
-        if mode := way_of(title or "", wanted, bare, raw):
+        titles = Titles(title or "", raw)
+        if mode := next((name for name, fits in MODES if fits(titles)), ""):
             return True, "title_match", mode, raw
-        if not contaminated and squeeze(raw_list) and normal(raw) in normal(raw_list) and normal(raw) in wanted:
-            return False, "weak_raw_list_contains_detail_title", "raw_list_contains_detail_title_only", ""
-    if contaminated:
-        return False, "list_title_not_clean", "list_title_quality_failed", ""
-    return False, "title_mismatch", "title_mismatch", ""
+        if clean and row and titles.have in row and titles.have in want:
+            return no("weak_raw_list_contains_detail_title", "raw_list_contains_detail_title_only")
+    return no("title_mismatch") if clean else no("list_title_not_clean", "list_title_quality_failed")
 
 
 @batch_udf("verified boolean, status string, mode string, matched string")

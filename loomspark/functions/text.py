@@ -34,22 +34,19 @@ def first_filled(*columns: Column) -> Column:
 
 def offer_name(x: Column) -> Column:
     """Display name: semesters, years, emptied brackets and stray separators go; an emptied name stays as it was."""
-    out = sub(x, r"[12]\s*학기|(?:19|20)\d{2}\s*[-.]\s*[12]\s*학기?")
-    out = sub(out, r"(?:19|20)\d{2}\s*(?:년(?:도)?|학년도)?")
-    out = sub(out, r"[\[(（]\s*[\])）]")
-    out = sub(out, r"\s*[-–—|·,/]\s*$")
+    out = x
+    for pattern in K.OFFER_NAME_CUTS:
+        out = sub(out, pattern)
     out = sub(sub(out, r"\s{2,}", " "), r"^[\s\-–—|·,/]+|[\s\-–—|·,/]+$")
     return F.coalesce(blank_to_null(out), x)
 
 
 def list_title(x: Column) -> Column:
     """A title from a list, without leading badges and trailing counters."""
-    day = r"\d{4}[./-]\d{1,2}[./-]\d{1,2}"
-    out = sub(clean_text(x), rf"(?i)^(?:{day}\s+)?(?:undergraduate|graduate)\s+")
-    out = sub(out, r"^(?:행사|공지|학사|장학)?\s*새\s*글\s+")
-    out = sub(out, r"(?i)\s+attach[_ ]?file$")
-    out = sub(out, r"(?i)\s+(?:hits?|views?)\s*\d+\s*(?:updated)?$")
-    return F.trim(sub(out, rf"(?i)\s+new\s+{day}$"))
+    out = clean_text(x)
+    for pattern in K.LIST_TITLE_TRIMS:
+        out = sub(out, pattern)
+    return F.trim(out)
 
 
 def identity_title(x: Column) -> Column:
@@ -63,35 +60,22 @@ def identity_title(x: Column) -> Column:
     return F.trim(sub(sub(out, f"(?<=[A-Za-z0-9_])(?:{other})(?=[A-Za-z0-9_])", " "), r"\s+", " "))
 
 
-PREFIXES = (
-    r"^\d+[.)]\s*",
-    r"(?i)^(?:new|n|신규)\s+",
-    r"(?i)^(?:all|공통|국제|서울)\s+",
-    r"(?i)^(?:제목|subject|title)\s*[:：]\s*",
-    r"(?i)^\[[^\]]*(?:notice|공지|일반공지|장학|학사|학부)[^\]]*\]\s*",
-    r"(?i)^(?:notice|공지|일반공지|장학공지|학사공지)\s+",
-)
-
-
 def strip_prefixes(x: Column, passes: int = 4) -> Column:
     """Leading badges go, layer by layer; each pass that changes nothing is the last, so running on is harmless."""
     out = clean_text(x)
     for _ in range(passes):
-        for p in PREFIXES:
+        for p in K.TITLE_LAYERS:
             out = sub(out, p)
         out = F.trim(out)
     return out
 
 
-SEGMENT = r"\s*(?:\||>|::| - | – | — )\s*"
-
-
 def first_segment(x: Column) -> Column:
-    return F.element_at(F.split(clean_text(x), SEGMENT, -1), 1)
+    return F.element_at(F.split(clean_text(x), K.TITLE_SEGMENT, -1), 1)
 
 
 def segments(x: Column) -> Column:
-    return F.filter(F.transform(F.split(clean_text(x), SEGMENT, -1), lambda s: identity_title(strip_prefixes(s))), lambda s: s != "")
+    return F.filter(F.transform(F.split(clean_text(x), K.TITLE_SEGMENT, -1), lambda s: identity_title(strip_prefixes(s))), lambda s: s != "")
 
 
 def name_stem(x: Column) -> Column:
@@ -237,13 +221,11 @@ def flag(x: Column, default: bool) -> Column:
 def title_quality(title: Column, raw: Column, own_node: Column) -> Column:
     """missing, contaminated or clean. own_node: the title is the whole text of its link or of a title element."""
     t, r = clean_text(title), clean_text(raw)
-    longer = F.length(r) > F.length(t) + 60
-    noise = rf"(?i){LEFT}(?:views?|hits?|writer|author|created|updated|period|department){RIGHT}|조회\s*\d+|작성일|등록일|담당부서"
-    span = r"\d{4}[./-]\d{1,2}[./-]\d{1,2}\s*[~～-]"
-    bad = t.rlike(noise) | (t.rlike(span) & ~own_node) | (~own_node & longer) | ((F.length(t) > 160) & longer)
+    longer = F.length(r) > F.length(t) + K.RAW_BEYOND_TITLE
+    bad = t.rlike(K.TITLE_NOISE) | (t.rlike(K.TITLE_DATE_RANGE) & ~own_node) | (~own_node & longer) | ((F.length(t) > K.LONG_TITLE) & longer)
     return F.when(t == "", "missing").when(bad, "contaminated").otherwise("clean")
 
 
 def menu_title(x: Column) -> Column:
     t = clean_text(x)
-    return (F.length(t) <= 1) | t.rlike(rf"(?i)^(?:{'|'.join(K.MENU_TITLES)})$")
+    return (F.length(t) <= 1) | t.rlike(K.TITLE_MENU)

@@ -356,7 +356,7 @@ def html_titles(spark, sf_dir):
 @query()
 def page_details(spark, sf_dir):
     """Titles, body, quality and images of every page."""
-    from ..functions.html import detail
+    from ..functions.details import detail
 
     found = read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), detail("html", "url").alias("d"))
     return found.select("id", "d.title", "d.content", "d.body_selector", "d.body_chars", "d.body_quality", F.size("d.images").alias("n_images"))
@@ -381,7 +381,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {LISTS_SQL} SELECT id, ordinal, title, url, date_text, replace(date_text, '.', '-') AS parsed_date, c_custkey % 3 = 0 AS keyword_matched FROM lists")
 def list_items(spark, sf_dir):
-    from ..functions.html import ListItems
+    from ..functions.lists import ListItems
 
     spark.udtf.register("list_items", ListItems)
     list_pages(spark, sf_dir).createOrReplaceTempView("_list_pages")
@@ -391,7 +391,7 @@ def list_items(spark, sf_dir):
 @query(f"""WITH {LISTS_SQL} SELECT id, CASE WHEN id % 2 = 0 THEN 'A_CONFIGURED_SELECTOR' ELSE 'B_COMMON_BOARD' END AS strategy, id % 2 > 0 AS recovered, CAST(count(*) AS INTEGER) AS n_items, CAST(count(*) AS INTEGER) AS dated,
   CAST(count(*) FILTER (WHERE c_custkey % 3 = 0) AS INTEGER) AS keyword_matches FROM lists GROUP BY 1""")
 def list_metrics(spark, sf_dir):
-    from ..functions.html import list_metrics as metrics
+    from ..functions.lists import list_metrics as metrics
 
     found = list_pages(spark, sf_dir).select("id", metrics("html", "source").alias("m"))
     return found.select("id", "m.strategy", "m.recovered", "m.n_items", "m.dated", "m.keyword_matches")
@@ -399,7 +399,7 @@ def list_metrics(spark, sf_dir):
 
 @query()
 def page_metrics(spark, sf_dir):
-    from ..functions.html import list_metrics
+    from ..functions.lists import list_metrics
 
     source = F.to_json(F.struct(F.col("url").alias("list_url")))
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), list_metrics("html", source).alias("m")).select("id", "m.*")
@@ -408,7 +408,7 @@ def page_metrics(spark, sf_dir):
 @query()
 def title_identity(spark, sf_dir):
     """Whether each page's detail is the notice that its heading names."""
-    from ..functions.html import detail
+    from ..functions.details import detail
     from ..functions.identity import verified
 
     rows = read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), strip_tags(F.regexp_extract("html", "<h1>(.*?)</h1>", 1)).alias("title"), detail("html", "url").alias("d"))
@@ -417,7 +417,7 @@ def title_identity(spark, sf_dir):
 
 @query()
 def densest_text(spark, sf_dir):
-    from ..functions.html import densest
+    from ..functions.details import densest
 
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), densest("html").alias("text"))
 

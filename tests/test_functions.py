@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspark.functions import arrays as A
-from loomspark.functions import dates, documents, dom, html, identity, urls
+from loomspark.functions import dates, details, documents, dom, identity, lists, urls
 from loomspark.functions import decisions as D
 from loomspark.functions import text as T
 
@@ -148,29 +148,29 @@ SOURCE = {"list_url": "https://x.example.com/notice/list.do"}
 
 
 def test_list_strategies():
-    items, m = html.parse_list(BOARD, SOURCE | {"list_item_selector": "tbody tr"})
+    items, m = lists.parse_list(BOARD, SOURCE | {"list_item_selector": "tbody tr"})
     assert [x["url"][-2:] for x in items] == ["11", "12"] and m["strategy"] == "A_CONFIGURED_SELECTOR" and m["pagination"] == 1
     assert [x["parsed_date"] for x in items] == ["2024-03-02", "2024-03-01"] and [x["keyword_matched"] for x in items] == [True, False]
-    items, m = html.parse_list(BOARD, SOURCE | {"list_item_selector": ".gone"})
+    items, m = lists.parse_list(BOARD, SOURCE | {"list_item_selector": ".gone"})
     assert len(items) == 2 and m["strategy"] == "B_COMMON_BOARD" and m["recovered"] and m["selector_matches"] == 0
     anchors = '<div class="post"><a href="/board/view?seq=5">등록금 지원 공고문</a> 2024-01-05</div><div><a href="/about">About us</a></div>'
-    items, m = html.parse_list(anchors, SOURCE)
+    items, m = lists.parse_list(anchors, SOURCE)
     assert [x["url"] for x in items] == ["https://x.example.com/board/view?seq=5"] and m["strategy"] == "C_HEURISTIC_ANCHOR"
 
 
 def test_list_evidence():
     menu = "<table><tbody>" + "<tr><td><a href='/x'>홈</a></td></tr>" * 4 + "</tbody></table>"
-    items, m = html.parse_list(menu, SOURCE | {"list_item_selector": "tr"})
+    items, m = lists.parse_list(menu, SOURCE | {"list_item_selector": "tr"})
     assert not items and m["menu"] and m["menu_rate"] == 1.0
-    _, m = html.parse_list("<table><tbody><tr><td colspan='3'>등록된 글이 없습니다</td></tr></tbody></table>", SOURCE)
+    _, m = lists.parse_list("<table><tbody><tr><td colspan='3'>등록된 글이 없습니다</td></tr></tbody></table>", SOURCE)
     assert m["empty_state"]
     noisy = '<table><tbody><tr><td><a href="/v.do?no=1">안내 조회 12</a></td><td>2024.01.01</td></tr></tbody></table>'
-    items, m = html.parse_list(noisy, SOURCE | {"list_item_selector": "tr"})
+    items, m = lists.parse_list(noisy, SOURCE | {"list_item_selector": "tr"})
     assert not items and m["contaminated"] == 1
     posted = '<form name="f" action="/b/view.do"><input type="hidden" name="boardId" value="3"><input type="hidden" name="csrf" value="x"></form><script>function view(n) { document.f.boardId.value = n;\n}</script><ul class="notice-list"><li><a href="#" onclick="view(42)">공지 하나입니다</a> 2024-01-01</li></ul>'
-    items, _ = html.parse_list(posted, SOURCE)
+    items, _ = lists.parse_list(posted, SOURCE)
     assert [x["url"] for x in items] == ["https://x.example.com/b/view.do?boardId=42"]
-    _, m = html.parse_list('<ul class="notice-list"><li><a href="#" onclick="jf_view(1)">공지 하나입니다</a> 2024-01-01</li></ul>', SOURCE)
+    _, m = lists.parse_list('<ul class="notice-list"><li><a href="#" onclick="jf_view(1)">공지 하나입니다</a> 2024-01-01</li></ul>', SOURCE)
     assert m["manual_evidence"] == 1
 
 
@@ -178,17 +178,17 @@ def test_detail():
     page = """<html><head><title>장학 공지 | 대학</title><meta property="og:title" content="장학 공지 안내문"></head><body><header>x</header>
     <div class="view-title">장학 공지 안내문</div><div class="view-content"><p>""" + "본문 문장입니다. " * 20 + """</p>
     <figure><img src="a.png" alt="그림" width="300"><figcaption>설명</figcaption></figure><img src="pixel.gif" width="1"><img srcset="s.png 1x, l.png 2x"></div></body></html>"""
-    d = html.parse_detail(page, "https://x.example.com/n/1", expected="장학 공지 안내문")
+    d = details.parse_detail(page, "https://x.example.com/n/1", expected="장학 공지 안내문")
     assert d["title"] == "장학 공지 안내문" and d["body_selector"] == ".view-content" and d["body_quality"] == "clean"
     assert [i["url"] for i in d["images"]] == ["https://x.example.com/n/a.png", "https://x.example.com/n/l.png"] and d["images"][0]["caption"] == "설명"
-    assert html.parse_detail("<p>short</p>")["body_quality"] == "empty_or_boilerplate" and html.parse_detail(None)["title"] == ""
-    assert "본문" in html.dense_text(page) and html.dense_text("") == ""
+    assert details.parse_detail("<p>short</p>")["body_quality"] == "empty_or_boilerplate" and details.parse_detail(None)["title"] == ""
+    assert "본문" in details.dense_text(page) and details.dense_text("") == ""
 
 
 def test_dom():
     root = dom.parse("<div id=a class='x y'><p>one<p>two<br><span data-k='Ab c'>three</span></div><div><p>four")
     assert [p.text() for p in root.find("#a > p")] == ["one", "two three"] or [p.text() for p in root.find("#a > p")] == ["one", "twothree"]
-    assert len(root.find("div.x.y, [data-k*='ab']")) == 2 and root.first("div p:first-child").text() == "one"
+    assert len(root.find("div.x.y, [data-k*='ab' i]")) == 2 and not root.find("[data-k*='ab']") and root.first("div p:first-child").text() == "one"
     assert root.find("div > span") == [] and len(root.find("div span")) == 1
     assert len(dom.parse("<div>" * 5000 + "deep").first("div").text()) == 4
 
@@ -244,7 +244,7 @@ def test_click_handlers_of_sources():
 
 
 def test_list_links_of_a_known_source():
-    from loomspark.functions.html import parse_list
+    from loomspark.functions.lists import parse_list
 
     rows = "".join(f'<tr><td><a href="#" onclick="goView({n})">2024 scholarship notice number {n}</a></td><td>2024-03-0{n}</td></tr>' for n in (1, 2, 3))
     html = f"<html><body><table><tbody>{rows}</tbody></table></body></html>"

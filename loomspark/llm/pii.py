@@ -84,9 +84,10 @@ def same(a: DataFrame, b: DataFrame) -> Column:
 
 
 def ends(each: DataFrame, *keys: str) -> DataFrame:
-    """Matches with column `end`, from the gaps between them."""
+    """Matches with columns `start` and `end`, from the lengths of the gaps between them."""
     order = Window.partitionBy(*keys).orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    return each.withColumn("end", F.sum(F.char_length("gap") + F.char_length("found")).over(order).cast("int"))
+    placed = each.withColumn("end", F.sum(F.col("gap") + F.char_length("found")).over(order).cast("int"))
+    return placed.withColumn("start", F.col("end") - F.char_length("found"))
 
 
 def suspects(texts: DataFrame) -> DataFrame:
@@ -105,8 +106,7 @@ def base_spans(texts: DataFrame) -> DataFrame:
     hits = rows.withColumn("hits", choose(lambda p: F.regexp_extract_all("text", F.lit(p), 0))).where(F.size("hits") > 0)
     gaps = hits.select(*DOC, "kind", "hits", choose(lambda p: F.split("text", p, -1)).alias("gaps"))
     each = gaps.select(*DOC, "kind", F.posexplode(F.arrays_zip("gaps", "hits")).alias("nth", "z")).where(F.col("z.hits").isNotNull())
-    each = each.select(*DOC, "kind", "nth", F.col("z.gaps").alias("gap"), F.col("z.hits").alias("found")).dropDuplicates([*DOC, "kind", "nth"])
-    spans = ends(each, *DOC, "kind").withColumn("start", F.col("end") - F.char_length("found"))
+    spans = ends(each.select(*DOC, "kind", "nth", F.char_length("z.gaps").alias("gap"), F.col("z.hits").alias("found")), *DOC, "kind")
     return spans.where(valid(F.col("kind"), F.col("found"))).select(*DOC, "kind", "start", "end", "found")
 
 
@@ -157,8 +157,8 @@ def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, dis
     standing = materialise(classes(entities, "entity", "e")[1], "entity-texts")
     if standing.isEmpty():
         return None
-    once = suspect.dropDuplicates(["body"]).select("body", "text")
-    among = materialise(once.join(standing.select("body").distinct(), "body", "left_semi"), "entity-holders")
+    holding = suspect.join(standing.select("body").distinct(), "body", "left_semi")
+    among = materialise(holding.select("body", "text").dropDuplicates(["body"]), "entity-holders")
     marks = materialise(copy_marks(among), "copy-marks")
     alone = standing.join(marks, "body").groupBy("e").agg(apart().alias("apart")).where("apart").select("e")
     standing = materialise(standing.join(alone, "e", "left_semi"), "independent-entity-texts")
@@ -189,8 +189,8 @@ def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, dis
 def term_spans(rows: DataFrame, holders: DataFrame) -> DataFrame:
     """(doc, body, kind, start, end, found, share) of the disclosing words in their holders' texts."""
     zipped = F.arrays_zip(F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), 0).alias("found"))
-    each = rows.select(*DOC, F.posexplode(zipped).alias("nth", "z")).select(*DOC, "nth", "z.gap", "z.found").where(F.col("found").isNotNull())
-    each = ends(each, *DOC).withColumn("start", F.col("end") - F.char_length("found")).withColumn("term", F.xxhash64(F.lower("found")))
+    each = rows.select(*DOC, F.posexplode(zipped).alias("nth", "z")).select(*DOC, "nth", F.char_length("z.gap").alias("gap"), "z.found").where(F.col("found").isNotNull())
+    each = ends(each, *DOC).withColumn("term", F.xxhash64(F.lower("found")))
     hit = each.join(holders, same(each, holders) & (each["term"] == holders["term"]))
     return hit.select(each["doc"], each["body"], F.lit(TERM).alias("kind"), "start", "end", "found", "share")
 
@@ -219,7 +219,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple
     docs_with = holders.select(*DOC).distinct()
     rows = materialise(texts.join(docs_with, same(texts, docs_with), "left_semi").select("doc", "body", "text").distinct(), "holder-texts")
     spans = materialise(clear_of_base(base.unionByName(term_spans(rows, holders))).withColumn("rank", rank), "spans")
-    return spans, suspect.unionByName(rows).dropDuplicates(DOC)
+    return spans, suspect.unionByName(rows.join(suspect, same(rows, suspect), "left_anti"))
 
 
 def islands(spans: DataFrame) -> DataFrame:

@@ -151,10 +151,10 @@ def plan_summary(items: DataFrame, operations: str) -> DataFrame:
 def missing_parents(selected: DataFrame, item: list[str], operation: str, parents: dict[str, list[str]]) -> DataFrame:
     """Operations whose item lacks an operation that they depend on, with the names of what is missing."""
     table = F.create_map(*(x for k, v in parents.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
-    wanted = selected.withColumn("_parent", F.explode(F.coalesce(F.element_at(table, F.col(operation)), F.array().cast("array<string>"))))
-    have = selected.select(*item, F.col(operation).alias("_parent")).distinct()
-    lost = wanted.select(*item, operation, "_parent").distinct().join(have, [*item, "_parent"], "left_anti")
-    return lost.groupBy(*item, operation).agg(F.array_sort(F.collect_set("_parent")).alias("missing_parents"))
+    planned = selected.groupBy(*item).agg(F.collect_set(operation).alias("_have"))  # names are few, however many rows
+    each = planned.select(*item, "_have", F.explode("_have").alias(operation))
+    lost = F.array_except(F.coalesce(F.element_at(table, F.col(operation)), F.array().cast("array<string>")), F.col("_have"))
+    return each.select(*item, operation, F.array_sort(lost).alias("missing_parents")).where(F.size("missing_parents") > 0)
 
 
 def selected(operations: DataFrame, item: str, order: str, reasons: str, most: int) -> DataFrame:
@@ -183,11 +183,14 @@ def resolved_names(rows: DataFrame, key: str, variants: str, scope: str, units:
 
 def fallback_source(sources: DataFrame, key: str, group: str, college: str, ordinal: str, broken: str, wide: str) -> DataFrame:
     """(key, fallback): for broken sources the group's wide source, else the first sound one of the college, else of the group."""
-    sound = sources.where(~F.col(broken)).select(F.col(key).alias("fallback"), F.col(group).alias("_g"), F.col(college).alias("_c"), F.col(ordinal).alias("_o"), F.col(wide).alias("_w"))
+    sound = sources.where(~F.col(broken)).select(F.col(key).alias("_key"), F.col(group).alias("_g"), F.col(college).alias("_c"), F.col(ordinal).alias("_o"), F.col(wide).alias("_w"))
+    first = lambda df, *by: df.groupBy(*by).agg(F.min_by("_key", "_o").alias("_key"))
     bad = sources.where(broken).select(key, group, college)
-    tier = F.when(F.col("_w"), 0).when(F.col(college) == F.col("_c"), 1).otherwise(2)
-    pairs = bad.join(sound, (F.col(group) == F.col("_g")) & (F.col(key) != F.col("fallback")))
-    return pairs.groupBy(key).agg(F.min_by("fallback", F.struct(tier.alias("a"), F.col("_o").alias("b"))).alias("fallback"))
+    # each scope's first sound source is one row, so the broken ones meet three rows and not all of their group
+    found = bad.join(first(sound.where("_w"), "_g").withColumnRenamed("_key", "_wide"), F.col(group) == F.col("_g"), "left").drop("_g")
+    found = found.join(first(sound, "_g", "_c").withColumnRenamed("_key", "_near"), (F.col(group) == F.col("_g")) & (F.col(college) == F.col("_c")), "left").drop("_g", "_c")
+    found = found.join(first(sound, "_g").withColumnRenamed("_key", "_any"), F.col(group) == F.col("_g"), "left")
+    return found.select(key, F.coalesce("_wide", "_near", "_any").alias("fallback")).where(F.col("fallback").isNotNull())
 
 
 def preferred_pick(rows: DataFrame, key: str, preferred: str, ordinal: str, keep: list[str]) -> DataFrame:

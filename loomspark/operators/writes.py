@@ -6,7 +6,10 @@ its date partitions, so that a rerun replaces exactly what it computed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -103,3 +106,14 @@ def changed(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str])
     for c in columns:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_{c}"))
     return new.join(before, keys).where(differs).select(*new.columns)
+
+
+def touched(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], stamp: str, now: Column) -> DataFrame:
+    """The stored rows with the new values of `columns`, and `stamp` set to now where one of them changed; rows that are not
+    written stay as they are."""
+    fresh = new.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *(F.col(c).alias(f"_new_{c}") for c in columns), F.lit(True).alias("_written"))
+    joined = old.join(fresh, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)], "left")
+    written = F.coalesce("_written", F.lit(False))
+    differs = written & reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in columns])
+    values = {c: F.when(written, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns} | {stamp: F.when(differs, now).otherwise(F.col(stamp)).alias(stamp)}
+    return joined.select(*(values.get(c, F.col(c)) for c in old.columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import eligibility, listings, marts, pipeline, reporting, values  # noqa: F401
+from . import eligibility, exchange, listings, marts, pipeline, reporting, values  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,28 +84,11 @@ def detect_shape(spark: SparkSession, path: str) -> str:
     return first[0] if first else "candidate-list"
 
 
-def field(row: Column | None, *names: str) -> Column:
-    """The first of a JSON text's fields that is not blank."""
-    return F.coalesce(*(F.nullif(F.trim(F.get_json_object(row, f"$.{n}")), F.lit("")) for n in names))
-
-
-def feed_items(feed: DataFrame, body: str, path: str, mapping: dict[str, list[str]], since: str | None = None, day: str | None = None, cap: int | None = None) -> DataFrame:
-    """Items of JSON list responses: fields by their synonyms, items without id or title out, ids once, recent ones, so many a source.
-
-    feed has source_key, page and `body` (JSON); `path` leads to the list. Reading stops behind a page that is empty or
-    brings nothing new.
-    """
-    pages = feed.select("source_key", "page", F.from_json(F.get_json_object(body, path), "array<string>").alias("_items"))
-    each = pages.select("source_key", "page", F.posexplode("_items").alias("_nth", "_item"))
-    rows = each.select("source_key", "page", "_nth", *(field(F.col("_item"), *names).alias(k) for k, names in mapping.items()))
-    rows = rows.where(F.col("id").isNotNull() & F.col("title").isNotNull())
-    from ..operators.notices import first_n, first_wins
-
-    rows = rows.withColumn("_order", F.struct("page", "_nth"))
-    rows = first_wins(rows, ["source_key", "id"], "_order")
-    fresh = rows.groupBy("source_key", "page").agg(F.count(F.lit(1)).alias("_n"))
-    stale = feed.select("source_key", "page").join(fresh, ["source_key", "page"], "left_anti").groupBy("source_key").agg(F.min("page").alias("_stop"))
-    rows = rows.join(stale, "source_key", "left").where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop"))).drop("_stop")
-    if since and day:
-        rows = rows.where(F.coalesce(F.col(day) >= F.lit(since), F.lit(True)))
-    return (first_n(rows, ["source_key"], "_order", cap) if cap else rows).drop("_order", "_nth")
+def workspace(spark: SparkSession) -> str:
+    """A folder that driver and executors share, for tables that are written to be read again: spark.checkpoint.dir, else the
+    warehouse."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{found}/loomspark-files-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path

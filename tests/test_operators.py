@@ -13,7 +13,7 @@ from loomspark.operators import notices as N
 from loomspark.operators import reports as R
 from loomspark.operators import tree
 from loomspark.operators import writes as W
-from loomspark.sources import charset, files, sqldump
+from loomspark.sources import adapters, charset, files, sqldump
 from loomspark.streaming import views
 
 PROFILE = {
@@ -215,12 +215,26 @@ def test_reports_by_day(spark, tmp_path):
 
 
 def test_feed(spark):
-    page = lambda *ids: '{"data":{"list":[' + ",".join(f'{{"no":"{i}","subject":"t{i}","day":"2024-01-{i:02d}"}}' for i in ids) + "]}}"
-    feed = spark.createDataFrame([("s", 1, page(1, 2)), ("s", 2, page(2, 3)), ("s", 3, page(1)), ("s", 4, page(9)), ("t", 1, '{"data":{"list":[{"no":"5"}]}}')], "source_key string, page int, body string")
-    mapping = {"id": ["id", "no"], "title": ["title", "subject"], "day": ["day"]}
-    rows = lambda **k: sorted(r["id"] for r in files.feed_items(feed, "body", "$.data.list", mapping, **k).collect())
-    assert rows() == ["1", "2", "3"]  # page 3 brought nothing new, so page 4 was not read; a title is needed
-    assert rows(since="2024-01-02", day="day") == ["2", "3"] and rows(cap=1) == ["1"]
+    page = lambda *ids: '{"notices":[' + ",".join(f'{{"_id":"{i}","title":" t{i} ","createdAt":"2024-01-{i:02d}T00:00:00Z"}}' for i in ids) + "]}"
+    bodies = [("s", 1, page(1, 2)), ("s", 2, page(2, 3)), ("s", 3, page(1)), ("s", 4, page(9)), ("t", 1, '{"notices":[{"_id":"5"}, {"_id":"6","title":"u"}]}')]
+    feed = spark.createDataFrame([(k, "https://x.example.com/list?c=1", n, b) for k, n, b in bodies], "source_key string, list_url string, page int, body string")
+    rows = lambda **k: sorted(r["id"] for r in adapters.feed_items(feed, adapters.adapter(" Hanyang_IS"), **k).collect())
+    assert rows() == ["1", "2", "3", "6"]  # page 3 brought nothing new, so page 4 was not read; a title is needed
+    assert rows(as_of="2024-01-03", lookback_days=1) == ["2", "3"] and rows(as_of="2024-01-03", lookback_days=1, keep_undated=True) == ["2", "3", "6"] and rows(cap=1) == ["1", "6"]
+    first = adapters.feed_items(feed, adapters.ADAPTERS["hanyang_is"]).where("id = '1'").first()
+    assert (first["url"], first["title"]) == ("https://x.example.com/notices/1", "t1")
+
+
+def test_adapters(spark):
+    get = lambda name, body, **k: [tuple(r) for r in adapters.feed_items(spark.createDataFrame([("s", "https://x.example.com/a/list.do", 1, body, {"MENU_ID": "7", "SITE_NO": ""})], "source_key string, list_url string, page int, body string, f map<string,string>"), adapters.adapter(name), **k).select("id", "title", "url", "date_text", "content").collect()]
+    portal = '{"data":{"list":[{"BBS_SEQ":5,"SUBJECT":"a","WRITE_DT":"2024.01.02","CATEGORY_NM1":"c","WRITER_NM":"w"},{"BBS_SEQ":6,"SUBJECT":"b","LINK_URL_YN":"y","LINK_URL":"http://z.example.com/q"}]}}'
+    assert get("cau_portal", portal, form="f") == [("5", "a", "https://x.example.com/cms/FR_CON/BoardView.do?MENU_ID=7&BBS_SEQ=5", "2024.01.02", "[c] w"), ("6", "b", "https://z.example.com/q", None, "")]
+    assert get("korea_medicine", '{"list":[{"articleNo":3,"title":"t","createdDt":1704067200000,"content":"x"}]}', as_of="2024-01-02", lookback_days=3) == [("3", "t", "https://x.example.com/kr/college/notice/view.do?articleNo=3", "1704067200000", "x")]
+    assert get("yonsei_communication", '[{"id":"k","title":"t","date":"2024-01-01","contentfile":"f"}]') == [("k", "t", "https://x.example.com/notice.html?id=k", "2024-01-01", "f")]
+    assert get("cau_artech", '{"data":{"newsList":[{"id":1,"title":"t","updatedAt":"2024-01-01"}]}}')[0][2] == "https://x.example.com/news/1" and adapters.adapter("none") is None
+    page = spark.createDataFrame([("s", "https://x.example.com/a/list.do", 1, "<a href='?act=view&uid=1'>One (Jan 2, 2024)</a><a href='?act=list'>no</a><a href='?act=view&amp;uid=2'>Two</a>")], "source_key string, list_url string, page int, body string")
+    found = adapters.feed_items(adapters.links_as_json(page, "body"), adapters.ADAPTERS["yonsei_uic"], as_of="2024-01-10", keep_undated=True).select("title", "url", "date_text").collect()
+    assert [tuple(r) for r in found] == [("One", "https://x.example.com/a/list.do?act=view&uid=1", "Jan 2, 2024"), ("Two", "https://x.example.com/a/list.do?act=view&uid=2", None)]
 
 
 def test_sql_dump(spark, tmp_path):

@@ -75,15 +75,20 @@ def suppress_repeats(searches: DataFrame, session: str, order: str, query: str)
 def spaced_views(views: DataFrame, keys: list[str], ts: str, seconds: int = 300) -> DataFrame:
     """Views that count: each at least `seconds` after the last one that counted.
 
-    The anchor is the last counted view, which no window frame knows; a fold over a key's sorted times does, and keeps it
-    on the JVM. A key's times are one array: (user, item) pairs, whose views are few.
+    The anchor is the last counted view, which no window frame knows; a fold over sorted times does, and keeps it on the JVM.
+    A view that comes so long after the one before it counts whatever came earlier, so times are folded run by run: what is
+    gathered in one row is a run without such a gap, not a key's whole history.
     """
-    at = F.unix_seconds(F.col(ts).cast("timestamp"))
-    times = views.groupBy(*keys).agg(F.array_sort(F.collect_list(at)).alias("_at"))
+    order = Window.partitionBy(*keys).orderBy("_at")
+    timed = views.select(*keys, F.unix_seconds(F.col(ts).cast("timestamp")).alias("_at"))
+    fresh = F.coalesce((F.col("_at") - F.lag("_at").over(order) >= seconds).cast("int"), F.lit(0))
+    runs = timed.withColumn("_fresh", fresh).withColumn("_run", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    times = runs.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list("_at")).alias("_at"))
     start = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("n"))
     counts = lambda a, t: a["last"].isNull() | (t - a["last"] >= seconds)
     step = lambda a, t: F.when(counts(a, t), F.struct(t.alias("last"), (a["n"] + 1).alias("n"))).otherwise(a)
-    return times.select(*keys, F.size("_at").cast("bigint").alias("n_views"), F.aggregate("_at", start, step, lambda a: a["n"]).alias("n_counted"))
+    each = times.select(*keys, F.size("_at").cast("bigint").alias("n"), F.aggregate("_at", start, step, lambda a: a["n"]).alias("c"))
+    return each.groupBy(*keys).agg(F.sum("n").alias("n_views"), F.sum("c").alias("n_counted"))
 
 
 def toggled(log: DataFrame, keys: list[str], order: str, action: str, on: str = "add") -> DataFrame:

@@ -76,12 +76,21 @@ def repoint(rows: DataFrame, column: str, merged: DataFrame, key: str) -> DataFr
 MOVES = {"promote": ("new", "promoted"), "reject": ("new", "rejected"), "restore": ("rejected", "new")}
 
 
-def review_states(log: DataFrame, item: str, order: str, action: str) -> DataFrame:
-    """(item, status): moves in order from "new"; a move that does not start at the state it finds is ignored."""
-    moves = log.groupBy(item).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(action).alias("do")))).alias("_moves"))
+def review_states(log: DataFrame, item: str, order: str, action: str, part: Column | None = None) -> DataFrame:
+    """(item, status): moves in order from "new"; a move that does not start at the state it finds is ignored.
+
+    `part` cuts the order into stretches (it must not fall as the order grows). What a stretch does to each state is worked
+    out by itself, so a long history is no single task's; stretches are then composed in their order.
+    """
+    states = list(dict.fromkeys(x for move in MOVES.values() for x in move))
     to = F.create_map(*(F.lit(x) for k, (a, b) in MOVES.items() for x in (f"{a}:{k}", b)))
     step = lambda state, m: F.coalesce(F.element_at(to, F.concat(state, F.lit(":"), m["do"])), state)
-    return moves.select(item, F.aggregate("_moves", F.lit("new"), step).alias("status"))
+    stretch = F.lit(0) if part is None else part
+    moves = log.groupBy(item, stretch.alias("_part")).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(action).alias("do")))).alias("_moves"))
+    done = moves.select(item, "_part", F.create_map(*(x for s in states for x in (F.lit(s), F.aggregate("_moves", F.lit(s), step)))).alias("_does"))
+    whole = done.groupBy(item).agg(F.array_sort(F.collect_list(F.struct("_part", F.array(*(F.element_at("_does", s) for s in states)).alias("to")))).alias("_parts"))
+    at = F.create_map(*(F.lit(x) for k, s in enumerate(states) for x in (s, k)))
+    return whole.select(item, F.aggregate("_parts", F.lit("new"), lambda state, p: F.get(p["to"], F.element_at(at, state))).alias("status"))
 
 
 def run_log(spark, path: str, run_id: str, work) -> DataFrame:

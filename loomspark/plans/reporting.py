@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..functions import constants as K
 from ..functions import decisions as D
 from ..functions import text as T
 from ..functions.html import strip_tags, title_candidates
@@ -38,13 +39,13 @@ def quality_totals(spark, sf_dir):
     return R.quality_totals(groups(spark, sf_dir))
 
 
-DAYS_SQL = "days AS (SELECT CAST(ts AS DATE) AS day, count(*) FILTER (WHERE event_type = 'purchase' AND value > 60) AS n FROM events GROUP BY 1)"
+DAYS_SQL = "days AS (SELECT CAST(ts AS DATE) AS day, count(*) FILTER (WHERE event_type = 'purchase') AS n FROM events GROUP BY 1)"
 
 
 @query(f"""WITH {DAYS_SQL}, m AS (SELECT a.day, a.n, coalesce((SELECT median(b.n) FROM (SELECT c.day, c.n FROM days c WHERE c.day < a.day ORDER BY c.day DESC LIMIT 7) b WHERE b.n > 0), 0.0) AS recent_median FROM days a)
 SELECT day, n, recent_median, recent_median > 0 AND n / recent_median < 0.5 AS is_drop FROM m""")
 def daily_drop_alerts(spark, sf_dir):
-    days = read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count_if((F.col("event_type") == "purchase") & (F.col("value") > 60)).alias("n"))
+    days = read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count_if(F.col("event_type") == "purchase").alias("n"))
     return R.drop_alerts(days, "day", "n")
 
 
@@ -99,13 +100,18 @@ def review_feedback(spark, sf_dir):
     return R.feedback(docs, "grp", "s")
 
 
-@query("SELECT tag, count(*) AS n_rows FROM (SELECT CASE doc_id % 6 WHEN 0 THEN 'spam_page' WHEN 1 THEN 'duplicate' WHEN 2 THEN 'not_scholarship' WHEN 3 THEN 'expired' ELSE 'untagged' END AS tag FROM documents) GROUP BY 1")
+NOTES = ("[%s] bad", " already  중복 %s", "Not Scholarship: %s", "%s 기간 종료", "just %s", "[a b] %s", " %s closed")
+NOTE_SQL = "trim(replace(([" + ", ".join(f"'{n}'" for n in NOTES) + "])[CAST(doc_id % 7 AS INTEGER) + 1], '%s', source))"
+
+
+@query(rf"""SELECT tag, count(*) AS n_rows FROM (SELECT CASE WHEN regexp_matches(n, '^\[[a-z0-9_]+\]', 'i') THEN lower(regexp_extract(n, '^\[([A-Za-z0-9_]+)\]', 1)) WHEN regexp_matches(n, '중복|duplicate', 'i') THEN 'duplicate' WHEN regexp_matches(n, '장학\s*아님|not\s*scholarship', 'i') THEN 'not_scholarship'
+  WHEN regexp_matches(n, '기간\s*종료|마감|expired|closed', 'i') THEN 'expired' ELSE 'untagged' END AS tag FROM (SELECT {NOTE_SQL} AS n FROM documents)) GROUP BY 1""")
 def reject_tags(spark, sf_dir):
-    notes = F.array(*map(F.lit, ["[SPAM_page] bad", " already  중복 ", "Not Scholarship at all", "기간 종료", "just so"]))
-    note = F.get(notes, (F.col("doc_id") % 6).cast("int"))
+    note = F.replace(F.get(F.array(*map(F.lit, NOTES)), (F.col("doc_id") % 7).cast("int")), F.lit("%s"), F.col("source"))
     return read(spark, sf_dir, "documents").groupBy(T.reject_tag(note).alias("tag")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+
 @query("SELECT count(*) AS seen, count(*) FILTER (WHERE q) AS labelled, count(*) FILTER (WHERE q AND g) AS good, count(*) FILTER (WHERE q AND g AND t) AS clean FROM (SELECT l.doc_id IS NOT NULL AS q, quality = 1 AS g, toxic = 0 AS t FROM documents d LEFT JOIN labels l USING (doc_id))")
 def label_funnel(spark, sf_dir):
     joined = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
@@ -157,15 +163,16 @@ def digests(spark, sf_dir):
     return R.digest(rows, "o_orderpriority", "o_orderstatus", "url", "o_orderkey").withColumnRenamed("o_orderpriority", "grp")
 
 
-COMPARE_SQL = """WITH a AS (SELECT DISTINCT CASE WHEN n = 'NATION_7' THEN 'NATION_8' ELSE n END AS name FROM (SELECT concat('NATION_', s_nationkey) AS n FROM supplier WHERE s_acctbal > 5000)),
-b AS (SELECT DISTINCT CASE WHEN n = 'NATION_7' THEN 'NATION_8' ELSE n END AS name FROM (SELECT concat('NATION_', c_nationkey) AS n FROM customer WHERE c_acctbal > 9800) WHERE n <> 'NATION_3'),
+COMPARE_SQL = """WITH a AS (SELECT DISTINCT CASE WHEN n = 'N7' THEN 'N8' ELSE n END AS name FROM (SELECT concat('N', p_size) AS n FROM part)),
+b AS (SELECT DISTINCT CASE WHEN n = 'N7' THEN 'N8' ELSE n END AS name FROM (SELECT concat('N', CAST(l_quantity AS INTEGER) + 10) AS n FROM lineitem) WHERE n <> 'N33'),
 c AS (SELECT coalesce(a.name, b.name) AS name, CASE WHEN b.name IS NULL THEN 'crawler_only' WHEN a.name IS NULL THEN 'db_only' ELSE 'overlap' END AS status FROM a FULL JOIN b ON a.name = b.name)"""
 
 
 def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = lambda df, c: df.select(F.concat(F.lit("NATION_"), F.col(c).cast("string")).alias("n"))
-    a = C.canonical(label(read(spark, sf_dir, "supplier").where("s_acctbal > 5000"), "s_nationkey"), "n", {"NATION_7": "NATION_8"})
-    b = C.canonical(label(read(spark, sf_dir, "customer").where("c_acctbal > 9800"), "c_nationkey"), "n", {"NATION_7": "NATION_8"}, ["NATION_3"])
+    """Sizes of parts against quantities of lines, ten apart."""
+    label = lambda df, c: df.select(F.concat(F.lit("N"), c.cast("int").cast("string")).alias("n"))
+    a = C.canonical(label(read(spark, sf_dir, "part"), F.col("p_size")), "n", {"N7": "N8"})
+    b = C.canonical(label(read(spark, sf_dir, "lineitem"), F.col("l_quantity").cast("int") + 10), "n", {"N7": "N8"}, ["N33"])
     return C.full(a, b, "crawler_only", "db_only")
 
 
@@ -184,24 +191,34 @@ def required_ids(spark, sf_dir):
     return C.required(read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id")), "id", read(spark, sf_dir, "supplier"), "s_nationkey")
 
 
-@query("""SELECT o_orderkey AS id, CASE o_orderkey % 8 WHEN 0 THEN 'dead_link_candidate' WHEN 1 THEN 'blocked_or_rate_limited' WHEN 2 THEN 'server_error' WHEN 3 THEN 'reachable' WHEN 4 THEN 'other_http' WHEN 5 THEN 'timeout_or_network' WHEN 6 THEN 'dead_link_candidate' ELSE 'timeout_or_network' END AS category,
-  coalesce(c_name, 'unknown') AS owner FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0""")
+@query("""WITH o AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 > 0 THEN CAST(200 + o_orderkey % 331 AS INTEGER) END AS s, concat(o_orderpriority, CASE o_custkey % 3 WHEN 0 THEN ' Request Timeout' WHEN 1 THEN ' getaddrinfo ENOTFOUND' ELSE '' END) AS m FROM orders)
+SELECT o_orderkey AS id, CASE WHEN s IN (404, 410, 451) THEN 'dead_link_candidate' WHEN s IN (403, 429) THEN 'blocked_or_rate_limited' WHEN s >= 500 THEN 'server_error' WHEN s BETWEEN 200 AND 399 THEN 'reachable' WHEN s IS NOT NULL THEN 'other_http'
+  WHEN m ILIKE '%timeout%' THEN 'timeout_or_network' WHEN m ILIKE '%enotfound%' THEN 'dead_link_candidate' ELSE 'timeout_or_network' END AS category, coalesce(c_name, 'unknown') AS owner FROM o LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0""")
 def dead_links(spark, sf_dir):
-    k = (F.col("o_orderkey") % 8).cast("int")
-    status = F.get(F.array(*map(F.lit, [404, 429, 503, 204, 400])), k)
-    message = F.get(F.array(*map(F.lit, ["", "", "", "", "", "Request Timeout", "getaddrinfo ENOTFOUND", "odd"])), k)
+    key = F.col("o_orderkey")
+    status = F.when(key % 4 > 0, key % 331 + 200)
+    message = F.concat("o_orderpriority", F.get(F.array(*map(F.lit, [" Request Timeout", " getaddrinfo ENOTFOUND", ""])), (F.col("o_custkey") % 3).cast("int")))
     owners = read(spark, sf_dir, "customer").where("c_acctbal > 0").select("c_custkey", "c_name")
     rows = read(spark, sf_dir, "orders").join(owners, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return rows.select(F.col("o_orderkey").alias("id"), D.dead_link(status, message).alias("category"), F.coalesce("c_name", F.lit("unknown")).alias("owner"))
+    return rows.select(key.alias("id"), D.dead_link(status, message).alias("category"), F.coalesce("c_name", F.lit("unknown")).alias("owner"))
+
+
 
+TROUBLES = ("", "socket hang up", "bad thing", "DNS lookup", "Login needed: required", "Too many requests", "ETIMEDOUT")
 
-@query("""SELECT l_orderkey AS id, l_linenumber AS line, count(*) AS n, CASE l_linenumber WHEN 1 THEN 'AUTH_OR_CAPTCHA_REQUIRED' WHEN 2 THEN 'BOT_BLOCKED_OR_RATE_LIMITED' WHEN 3 THEN 'URL_DEAD_HTTP_404_410' WHEN 4 THEN 'SERVER_ERROR_5XX' WHEN 5 THEN 'TIMEOUT_OR_CONNECTION_ABORTED' WHEN 6 THEN 'TLS_OR_CERTIFICATE_EXCEPTION' ELSE 'URL_DEAD_DNS' END AS failure FROM lineitem GROUP BY ALL""")
+
+@query(rf"""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE 395 + l_partkey % 120 END AS INTEGER) AS s, ([{", ".join(f"'{t}'" for t in TROUBLES)}])[CAST(l_suppkey % 7 AS INTEGER) + 1] AS t, CASE WHEN l_linenumber % 2 = 0 THEN 'unable_to_verify_leaf' ELSE l_returnflag END AS c FROM lineitem),
+m AS (SELECT *, lower(t) AS m FROM l)
+SELECT failure, count(*) AS n, sum(l_orderkey)::BIGINT AS of FROM (SELECT l_orderkey, CASE WHEN s IN (401, 403) OR regexp_matches(m, 'captcha|login|required|unauthorized|forbidden') THEN 'AUTH_OR_CAPTCHA_REQUIRED' WHEN s = 429 OR regexp_matches(m, 'rate.?limit|too many requests|blocked|bot') THEN 'BOT_BLOCKED_OR_RATE_LIMITED'
+  WHEN s IN (404, 410) THEN 'URL_DEAD_HTTP_404_410' WHEN s >= 500 THEN 'SERVER_ERROR_5XX' WHEN regexp_matches(m, 'timeout|aborted|terminated|socket|econnreset|etimedout') THEN 'TIMEOUT_OR_CONNECTION_ABORTED' WHEN regexp_matches(upper(c), 'CERT|TLS|SSL|UNABLE_TO_VERIFY') THEN 'TLS_OR_CERTIFICATE_EXCEPTION'
+  WHEN regexp_matches(m, 'enotfound|getaddrinfo|dns') THEN 'URL_DEAD_DNS' ELSE 'UNKNOWN_NEEDS_MANUAL_REVIEW' END AS failure FROM m) GROUP BY 1""")
 def fetch_failures(spark, sf_dir):
-    k = F.col("l_linenumber")
-    status = F.get(F.array(*map(F.lit, [0, 403, 429, 410, 500])), k)
-    message = F.get(F.array(*map(F.lit, ["", "", "", "", "", "socket hang up", "bad thing", "DNS lookup"])), k)
-    code = F.when(k == 6, "unable_to_verify_leaf").otherwise("")
-    return read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id"), k.alias("line"), D.fetch_failure(status, message, code).alias("failure")).agg(F.count(F.lit(1)).alias("n"))
+    status = F.when(F.col("l_partkey") % 3 == 0, 0).otherwise(F.col("l_partkey") % 120 + 395)
+    message = F.get(F.array(*map(F.lit, TROUBLES)), (F.col("l_suppkey") % 7).cast("int"))
+    code = F.when(F.col("l_linenumber") % 2 == 0, "unable_to_verify_leaf").otherwise(F.col("l_returnflag"))
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", D.fetch_failure(status, message, code).alias("failure"))
+    return rows.groupBy("failure").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("of"))
+
 
 
 DECIDE_SQL = """WITH c AS (SELECT o_orderkey AS id, o_orderkey % 3 AS crawled, o_custkey % 3 AS links, o_custkey % 2 AS valid_links, o_orderkey % 5 AS keyword_matches, o_orderkey % 7 AS samples, o_custkey % 5 AS fetched, o_custkey % 4 AS verified, o_orderkey % 11 = 0 AS menu FROM orders),
@@ -233,10 +250,12 @@ def access_profiles(spark, sf_dir):
     return read(spark, sf_dir, "supplier").select(k.alias("id"), F.array_join(D.access_profiles(c), "|").alias("profiles"))
 
 
-@query("""SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN CASE WHEN s_suppkey % 3 = 0 THEN CASE WHEN s_suppkey % 10 < 5 THEN 'js_suspect' ELSE 'selector_miss' END WHEN s_suppkey % 5 = 0 THEN 'link_extract_fail' ELSE 'ok' END WHEN s_suppkey % 10 < 5 THEN 'js_suspect' ELSE 'fallback_scan' END AS bucket FROM supplier""")
+@query("""WITH s AS (SELECT c_custkey AS id, c_custkey % 2 = 0 AS sel, c_nationkey = 3 AS fw, c_custkey % 10 AS a, CAST(c_acctbal AS INTEGER) AS b, c_nationkey % 3 AS i, c_custkey % 5 AS l FROM customer), t AS (SELECT *, fw OR a < 5 OR b < 300 AS thin FROM s)
+SELECT id, CASE WHEN sel AND i = 0 AND thin THEN 'js_suspect' WHEN sel AND i = 0 THEN 'selector_miss' WHEN sel AND l = 0 THEN 'link_extract_fail' WHEN sel THEN 'ok' WHEN thin THEN 'js_suspect' ELSE 'fallback_scan' END AS bucket FROM t""")
 def structure_buckets(spark, sf_dir):
-    k = F.col("s_suppkey")
-    return read(spark, sf_dir, "supplier").select(k.alias("id"), D.structure_bucket(k % 2 == 0, F.lit(False), k % 10, F.lit(900), k % 3, k % 5).alias("bucket"))
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    return read(spark, sf_dir, "customer").select(k.alias("id"), D.structure_bucket(k % 2 == 0, n == 3, k % 10, F.round("c_acctbal").cast("int"), n % 3, k % 5).alias("bucket"))
+
 
 
 @query("SELECT s_suppkey AS id, unnest(['list_fetch', 'list_decode', 'list_parse', 'notice_url_resolution', 'pagination_check', 'detail_fetch', 'detail_content_extract', 'candidate_filter', 'final_result']) AS stage, unnest(['ok', 'skipped', 'ok', 'skipped', 'skipped', CASE WHEN s_suppkey % 2 = 0 THEN 'failed' ELSE 'skipped' END, 'skipped', 'skipped', 'skipped']) AS status FROM supplier")
@@ -300,44 +319,72 @@ def resynced(spark, sf_dir):
     return W.resync(rows, nation, "c_nationkey", "n_nationkey", "name", "n_name").select("id", "name", "is_changed")
 
 
-@query("""WITH RECURSIVE m AS (SELECT user_id, event_id, CASE event_type WHEN 'purchase' THEN 'promote' WHEN 'error' THEN 'reject' WHEN 'signup' THEN 'restore' END AS act, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type IN ('purchase', 'error', 'signup') AND value > 150),
+@query("""WITH RECURSIVE m AS (SELECT user_id, event_id, CASE event_type WHEN 'purchase' THEN 'promote' WHEN 'error' THEN 'reject' WHEN 'signup' THEN 'restore' END AS act, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type IN ('purchase', 'error', 'signup')),
 s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, 'new' AS status FROM m UNION ALL
   SELECT m.user_id, m.n, CASE WHEN s.status = 'new' AND act = 'promote' THEN 'promoted' WHEN s.status = 'new' AND act = 'reject' THEN 'rejected' WHEN s.status = 'rejected' AND act = 'restore' THEN 'new' ELSE s.status END FROM s JOIN m ON m.user_id = s.user_id AND m.n = s.n + 1)
 SELECT user_id, arg_max(status, n) AS status FROM s GROUP BY 1""")
 def review_states(spark, sf_dir):
     kinds = F.create_map(*map(F.lit, ["purchase", "promote", "error", "reject", "signup", "restore"]))
-    log = read(spark, sf_dir, "events").withColumn("act", F.element_at(kinds, F.col("event_type"))).where(F.col("act").isNotNull() & (F.col("value") > 150))
-    return W.review_states(log, "user_id", "event_id", "act")
+    log = read(spark, sf_dir, "events").withColumn("act", F.element_at(kinds, F.col("event_type"))).where(F.col("act").isNotNull())
+    return W.review_states(log, "user_id", "event_id", "act", F.expr("event_id DIV 1000"))
 
 
-@query("""SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN '장애인(본인)|장애인(가정)|다자녀' WHEN 1 THEN '북한이탈주민' WHEN 2 THEN '' WHEN 3 THEN '한부모가정' ELSE '' END AS matched, CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'x' WHEN 2 THEN '' WHEN 3 THEN 'free text' ELSE '' END AS extra FROM customer""")
+SPECIAL_SQL = "[" + ", ".join(f"'{x}'" for x in K.SPECIAL_INFO) + "]"
+
+
+@query(rf"""WITH v AS (SELECT c_custkey AS id, [c_mktsegment, {SPECIAL_SQL}[CAST(c_custkey % 17 AS INTEGER) + 1], concat(' ', {SPECIAL_SQL}[CAST(c_nationkey % 17 AS INTEGER) + 1], ' '), CASE c_custkey % 5 WHEN 0 THEN '장애인' WHEN 1 THEN '새터민' WHEN 2 THEN '  ' ELSE c_mktsegment END] AS a FROM customer),
+r AS (SELECT id, flatten(list_transform(list_filter(list_transform(a, lambda x: trim(x)), lambda x: x <> ''), lambda x: CASE x WHEN '장애인' THEN ['장애인(본인)', '장애인(가정)'] WHEN '새터민' THEN ['북한이탈주민'] ELSE [x] END)) AS a FROM v),
+d AS (SELECT id, list_filter(a, lambda x, i: list_position(a, x) = i) AS a FROM r)
+SELECT id, array_to_string(list_filter(a, lambda x: list_contains({SPECIAL_SQL}, x)), '|') AS matched, array_to_string(list_filter(a, lambda x: NOT list_contains({SPECIAL_SQL}, x)), '|') AS extra FROM d""")
 def split_special_info(spark, sf_dir):
-    lists = [["장애인", " 다자녀 ", "장애인(본인)"], ["새터민", "x", "x"], [], ["한부모가정", "free text", " "], [" "]]
-    values = F.get(F.array(*(F.array(*map(F.lit, v)) if v else F.array().cast("array<string>") for v in lists)), (F.col("c_custkey") % 5).cast("int"))
-    found = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), A.split_known(values).alias("s"))
+    known = F.array(*map(F.lit, K.SPECIAL_INFO))
+    k = F.col("c_custkey")
+    last = F.when(k % 5 == 0, "장애인").when(k % 5 == 1, "새터민").when(k % 5 == 2, "  ").otherwise(F.col("c_mktsegment"))
+    values = F.array("c_mktsegment", F.get(known, (k % 17).cast("int")), F.concat(F.lit(" "), F.get(known, (F.col("c_nationkey") % 17).cast("int")), F.lit(" ")), last)
+    found = read(spark, sf_dir, "customer").select(k.alias("id"), A.split_known(values).alias("s"))
     return found.select("id", F.array_join("s.matched", "|").alias("matched"), F.array_join("s.extra", "|").alias("extra"))
 
 
-@query("""SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN '재학' WHEN 1 THEN '수료|졸업예정' WHEN 2 THEN '재학|휴학' ELSE '' END AS stored, CASE c_custkey % 4 WHEN 0 THEN '재학' WHEN 1 THEN '졸업' WHEN 2 THEN '휴학' ELSE '' END AS feed,
-  CASE c_custkey % 4 WHEN 0 THEN '해외연수비|등록금' WHEN 1 THEN '생활비' WHEN 2 THEN '기타' ELSE '' END AS benefits, CASE c_custkey % 4 WHEN 0 THEN '1|3' WHEN 1 THEN '' WHEN 2 THEN '6' ELSE '2|4' END AS grades FROM customer""")
+
+STATUSES = ("재학", "휴학", "수료/졸업유예", "신입생", "초과이수기", "수료", "졸업예정", "졸업", "other")
+FEED = ("enrolled", " Prospective", "FRESHMAN ", "leave", "leave_of_absence", "graduate_expected", "graduated", "?")
+GRANTS = ("해외 ", "유학 체재 ", "등록금 ", "학비", "생활 ", "연구 ", "학업 장려 ", "")
+
+
+def one_sql(names: tuple[str, ...], key: str) -> str:
+    return "([" + ", ".join(f"'{x}'" for x in names) + f"])[CAST({key} % {len(names)} AS INTEGER) + 1]"
+
+
+@query(rf"""WITH v AS (SELECT c_custkey AS id, [{one_sql(STATUSES, "c_custkey")}, {one_sql(STATUSES, "c_nationkey")}] AS s, lower(trim({one_sql(FEED, "c_custkey")})) AS f, trim(concat({one_sql(GRANTS, "c_custkey")}, {one_sql(GRANTS, "c_nationkey")}, CASE WHEN c_custkey % 7 = 0 THEN '무엇' ELSE '' END)) AS b,
+  concat(c_custkey % 9, ', ', c_nationkey % 8, ' ', c_custkey % 5) AS g FROM customer),
+e AS (SELECT *, flatten(list_transform(s, lambda x: CASE WHEN x IN ('재학', '신입생') THEN ['재학'] WHEN x = '휴학' THEN ['휴학'] WHEN x = 'other' THEN [] ELSE ['수료', '졸업예정'] END)) AS t, list_filter([CASE WHEN regexp_matches(b, '해외|유학|연수|체재') THEN '해외연수비' END, CASE WHEN regexp_matches(b, '등록금|학비') THEN '등록금' END,
+  CASE WHEN regexp_matches(b, '생활|체재') THEN '생활비' END, CASE WHEN regexp_matches(b, '연구') THEN '연구비' END, CASE WHEN regexp_matches(b, '학업|장려') THEN '학업장려금' END], lambda x: x IS NOT NULL) AS k, list_filter(list_transform(regexp_split_to_array(g, '[,\s]+'), lambda x: CAST(x AS INTEGER)), lambda x: x BETWEEN 1 AND 6) AS y FROM v)
+SELECT id, array_to_string(list_filter(t, lambda x, i: list_position(t, x) = i), '|') AS stored, CASE WHEN f = 'enrolled' THEN '재학' WHEN f IN ('prospective', 'freshman') THEN '신입생' WHEN f IN ('leave', 'leave_of_absence') THEN '휴학' WHEN f = 'graduate_expected' THEN '졸업예정' WHEN f = 'graduated' THEN '졸업' ELSE '' END AS feed,
+  CASE WHEN len(k) = 0 AND b <> '' THEN '기타' ELSE array_to_string(k, '|') END AS benefits, array_to_string(list_filter(y, lambda x, i: list_position(y, x) = i), '|') AS grades FROM e""")
 def label_maps(spark, sf_dir):
-    pick = lambda xs: F.get(F.array(*map(F.lit, xs)), (F.col("c_custkey") % 4).cast("int"))
-    lists = [["신입생"], ["수료/졸업유예", "졸업"], ["재학", "휴학", "신입생"], ["other"]]
-    stored = A.stored_enrollment(F.get(F.array(*(F.array(*map(F.lit, v)) for v in lists)), (F.col("c_custkey") % 4).cast("int")))
-    feed = A.feed_enrollment(pick([" Enrolled", "graduated", "leave_of_absence", "?"]))
-    benefits = A.benefit_kinds(pick(["해외 유학 등록금", "생활 지원", "무엇", " "]))
-    grades = A.grades(pick(["1, 3 1", "무관", "6 7 0", "2,4"]))
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    one = lambda names, key: F.get(F.array(*map(F.lit, names)), (key % len(names)).cast("int"))
+    stored = A.stored_enrollment(F.array(one(STATUSES, k), one(STATUSES, n)))
+    benefits = A.benefit_kinds(F.concat(one(GRANTS, k), one(GRANTS, n), F.when(k % 7 == 0, "무엇").otherwise("")))
+    grades = A.grades(F.concat((k % 9).cast("string"), F.lit(", "), (n % 8).cast("string"), F.lit(" "), (k % 5).cast("string")))
     shown = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), "|")
-    return read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), shown(stored).alias("stored"), shown(feed).alias("feed"), shown(benefits).alias("benefits"), shown(grades).alias("grades"))
+    return read(spark, sf_dir, "customer").select(k.alias("id"), shown(stored).alias("stored"), shown(A.feed_enrollment(one(FEED, k))).alias("feed"), shown(benefits).alias("benefits"), shown(grades).alias("grades"))
 
 
-@query("""SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'ok:42' WHEN 1 THEN 'missing:' WHEN 2 THEN 'invalid:' ELSE 'invalid:' END AS parsed, CASE c_custkey % 4 WHEN 0 THEN 1234.5 WHEN 1 THEN 0.0 WHEN 2 THEN 3000000 ELSE -1 END AS num,
-  CASE c_custkey % 4 WHEN 0 THEN '010-1234-5678' WHEN 1 THEN '021-234-5678' WHEN 2 THEN 'x12' ELSE '' END AS phone FROM customer""")
+
+@query(r"""WITH v AS (SELECT c_custkey AS id, concat(([' ', '', '-', '0'])[CAST(c_custkey % 4 AS INTEGER) + 1], CASE WHEN c_custkey % 9 > 0 THEN c_custkey END, (['', ' ', 'x', '.0', ''])[CAST(c_custkey % 5 AS INTEGER) + 1]) AS p,
+  concat(c_custkey, ',', c_nationkey + 100, (['원', ' 000', '.5', 'abc'])[CAST(c_nationkey % 4 AS INTEGER) + 1]) AS n, concat('010 ', c_custkey * 37 % 10000, (['-', ' ', ''])[CAST(c_custkey % 3 AS INTEGER) + 1], c_nationkey * 401) AS t FROM customer),
+d AS (SELECT *, trim(p) AS q, TRY_CAST(regexp_replace(n, '[,\s원]', '', 'g') AS DOUBLE) AS x, regexp_replace(t, '\D', '', 'g') AS y FROM v)
+SELECT id, CASE WHEN q = '' THEN 'missing:' WHEN regexp_matches(q, '^\d+$') AND CAST(TRY_CAST(q AS HUGEINT) AS BIGINT) > 0 THEN concat('ok:', TRY_CAST(q AS BIGINT)) ELSE 'invalid:' END AS parsed, coalesce(x, -1.0) AS num,
+  CASE length(y) WHEN 11 THEN concat(y[1:3], '-', y[4:7], '-', y[8:11]) WHEN 10 THEN concat(y[1:3], '-', y[4:6], '-', y[7:10]) ELSE t END AS phone FROM d""")
 def parsed_numbers(spark, sf_dir):
-    pick = lambda xs: F.get(F.array(*map(F.lit, xs)), (F.col("c_custkey") % 4).cast("int"))
-    p = T.positive_int(pick([" 42 ", "  ", "0", "4x"]))
-    num = F.coalesce(T.number(pick(["1,234.5원", " ", "3 000,000", "abc"])), F.lit(-1.0))
-    return read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat_ws(":", p["status"], F.coalesce(p["value"].cast("string"), F.lit(""))).alias("parsed"), num.alias("num"), T.phone(pick(["010 1234 5678", "021-234-5678", "x12", ""])).alias("phone"))
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    one = lambda names, key: F.get(F.array(*map(F.lit, names)), (key % len(names)).cast("int"))
+    p = T.positive_int(F.concat(one((" ", "", "-", "0"), k), F.when(k % 9 > 0, k.cast("string")).otherwise(""), one(("", " ", "x", ".0", ""), k)))
+    num = F.coalesce(T.number(F.concat(k.cast("string"), F.lit(","), (n + 100).cast("string"), one(("원", " 000", ".5", "abc"), n))), F.lit(-1.0))
+    phone = T.phone(F.concat(F.lit("010 "), (k * 37 % 10000).cast("string"), one(("-", " ", ""), k), (n * 401).cast("string")))
+    return read(spark, sf_dir, "customer").select(k.alias("id"), F.concat_ws(":", p["status"], F.coalesce(p["value"].cast("string"), F.lit(""))).alias("parsed"), num.alias("num"), phone.alias("phone"))
+
 
 
 PAGE_TEXT_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '(?i)&nbsp;', ' ', 'g'), '(?i)&amp;', '&', 'g'), '(?i)&lt;', '<', 'g'), '(?i)&gt;', '>', 'g'), '(?i)&quot;', '"', 'g'), '\s+', ' ', 'g'))"""
@@ -362,24 +409,24 @@ def page_details(spark, sf_dir):
     return found.select("id", "d.title", "d.content", "d.body_selector", "d.body_chars", "d.body_quality", F.size("d.images").alias("n_images"))
 
 
-LISTS_SQL = """lists AS (SELECT c_nationkey AS id, c_custkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS ordinal, concat('Notice ', c_name, CASE WHEN c_custkey % 3 = 0 THEN ' scholarship' ELSE '' END) AS title,
-  concat('https://x.example.com/notice/view.do?no=', c_custkey) AS url, concat('2024.01.', lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0')) AS date_text FROM customer)"""
+LISTS_SQL = """lists AS (SELECT doc_id // 20 AS id, doc_id, CAST(row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS INTEGER) AS ordinal, concat('Notice ', doc_id, ' of ', source, CASE WHEN doc_id % 3 = 0 THEN ' scholarship' ELSE '' END) AS title,
+  concat('https://x.example.com/notice/view.do?no=', doc_id) AS url, concat('2024.01.', lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0')) AS date_text FROM documents)"""
 
 
 def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, html, source): a list page for each nation, with a menu, and a row for each of its customers."""
-    key = F.col("c_custkey")
-    title = F.concat(F.lit("Notice "), "c_name", F.when(key % 3 == 0, " scholarship").otherwise(""))
+    """(id, html, source): list pages with a menu and twenty documents each."""
+    key = F.col("doc_id")
+    title = F.concat(F.lit("Notice "), key.cast("string"), F.lit(" of "), "source", F.when(key % 3 == 0, " scholarship").otherwise(""))
     day = F.concat(F.lit("2024.01."), F.lpad((key % 28 + 1).cast("string"), 2, "0"))
     row = F.concat(F.lit('<tr><td><a href="/notice/view.do?no='), key.cast("string"), F.lit('">'), title, F.lit("</a></td><td>"), day, F.lit("</td></tr>"))
-    rows = read(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("id")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("row")))).alias("rows"))
+    rows = read(spark, sf_dir, "documents").groupBy(F.expr("doc_id DIV 20").alias("id")).agg(F.array_sort(F.collect_list(F.struct("doc_id", row.alias("row")))).alias("rows"))
     body = F.array_join(F.transform("rows", lambda x: x["row"]), "")
     html = F.concat(F.lit('<html><body><nav><a href="/home">Home</a></nav><table><tbody>'), body, F.lit("</tbody></table></body></html>"))
     source = F.to_json(F.struct(F.lit("https://x.example.com/notice/list.do").alias("list_url"), F.when(F.col("id") % 2 == 0, "table tr").alias("list_item_selector")))
     return rows.select("id", html.alias("html"), source.alias("source"))
 
 
-@query(f"WITH {LISTS_SQL} SELECT id, ordinal, title, url, date_text, replace(date_text, '.', '-') AS parsed_date, c_custkey % 3 = 0 AS keyword_matched FROM lists")
+@query(f"WITH {LISTS_SQL} SELECT id, ordinal, title, url, date_text, replace(date_text, '.', '-') AS parsed_date, doc_id % 3 = 0 AS keyword_matched FROM lists")
 def list_items(spark, sf_dir):
     from ..functions.lists import ListItems
 
@@ -389,7 +436,7 @@ def list_items(spark, sf_dir):
 
 
 @query(f"""WITH {LISTS_SQL} SELECT id, CASE WHEN id % 2 = 0 THEN 'A_CONFIGURED_SELECTOR' ELSE 'B_COMMON_BOARD' END AS strategy, id % 2 > 0 AS recovered, CAST(count(*) AS INTEGER) AS n_items, CAST(count(*) AS INTEGER) AS dated,
-  CAST(count(*) FILTER (WHERE c_custkey % 3 = 0) AS INTEGER) AS keyword_matches FROM lists GROUP BY 1""")
+  CAST(count(*) FILTER (WHERE doc_id % 3 = 0) AS INTEGER) AS keyword_matches FROM lists GROUP BY 1""")
 def list_metrics(spark, sf_dir):
     from ..functions.lists import list_metrics as metrics
 

@@ -139,11 +139,18 @@ def sort_by_scraps(spark, sf_dir):
     return sorted_list(spark, sf_dir, "scraps")
 
 
-@query()
+ADS_SQL = """WITH RECURSIVE r AS (SELECT c_nationkey AS list, c_custkey AS id, c_custkey % 6 = 5 AS ad, c_custkey // 7 % 11 AS place FROM customer), a AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY place, id) AS nth FROM r WHERE ad AND place > 0),
+base AS (SELECT list, coalesce(list(id ORDER BY id) FILTER (WHERE NOT (ad AND place > 0)), []) AS ids FROM r GROUP BY 1),
+walk AS (SELECT list, ids, CAST(0 AS BIGINT) AS nth FROM base UNION ALL SELECT w.list, list_concat(list_append(w.ids[1:a.place - 1], a.id), w.ids[a.place:]), a.nth FROM walk w JOIN a ON a.list = w.list AND a.nth = w.nth + 1),
+done AS (SELECT list, arg_max(ids, nth) AS ids FROM walk GROUP BY 1)
+SELECT list, unnest(range(len(ids))) AS position, unnest(ids) AS id FROM done"""
+
+
+@query(ADS_SQL)
 def ads_in_lists(spark, sf_dir):
-    rows = read(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("list"), F.col("n_nationkey").alias("id"), ((F.col("n_nationkey") % 5 == 0) & (F.col("n_nationkey") > 0)).alias("ad"), (F.col("n_nationkey") % 4).alias("place"))
-    rows = rows.withColumn("position", F.col("id"))
-    return L.place_ads(rows, "list", "position", "id", "ad", "place")
+    key = F.col("c_custkey")
+    rows = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("list"), key.alias("id"), (key % 6 == 5).alias("ad"), F.expr("c_custkey DIV 7 % 11").alias("place"))
+    return L.place_ads(rows.withColumn("position", F.col("id")), "list", "position", "id", "ad", "place")
 
 
 @query(f"""SELECT CAST(o_orderdate AS DATE) AS apply_end_date, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS items, count(*) AS n_items,

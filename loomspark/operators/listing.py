@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import offer_name
 
-NAME_LIMIT = 10_000
-
-
 def searched(items: DataFrame, query: str, name: str, organisation: str) -> DataFrame:
     """Items whose name, display name or organisation holds the query, case aside; a blank query keeps all."""
     q = query.strip().lower()
@@ -28,41 +25,48 @@ def admin_search(items: DataFrame, query: str, *columns: str) -> DataFrame:
     return items.where(reduce(or_, [F.contains(F.lower(F.col(c)), q) for c in columns]))
 
 
-def without_names(items: DataFrame, text: Column, names: DataFrame, name: str, least: int = 3) -> DataFrame:
-    """Items whose text holds none of the names of `least` characters or more, case aside.
+#: Characters of a name by which texts that may hold it are found.
+GRAM = 3
 
-    A substring condition has no key to join on. Names are a short reference list; where they are few they become one
-    array literal and no join is left, beyond that a broadcast anti join tests them.
-    """
-    wanted = names.select(F.lower(F.trim(name)).alias("_name")).where(F.char_length("_name") >= least).distinct()
-    found = [r["_name"] for r in wanted.orderBy("_name").limit(NAME_LIMIT + 1).collect()]
-    low = F.lower(text)
-    if not found:
-        return items
-    if len(found) <= NAME_LIMIT:
-        return items.where(~F.exists(F.array(*map(F.lit, found)), lambda n: F.contains(low, n)))
-    return items.join(wanted, F.contains(low, F.col("_name")), "left_anti")
 
+def grams(text: Column) -> Column:
+    """All different runs of 0 to GRAM characters of a text."""
+    runs = lambda n: F.when(F.char_length(text) >= n, F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n))))
+    return F.array_distinct(F.flatten(F.array_compact(F.array(F.array(F.lit("")), *(runs(n) for n in range(1, GRAM + 1))))))
 
-def on_campus(items: DataFrame, restricted: str, texts: list[str], names: DataFrame, name: str) -> DataFrame:
-    """is_campus: the item is restricted to institutions, or one of its texts holds an institution's name (wildcards live).
 
-    As above, few names become an array literal; more of them are joined.
+def texts_with(texts: DataFrame, text: str, names: DataFrame, name: str, wild: bool) -> DataFrame:
+    """The different texts (lower case) that hold one of the names (lower case, per cent signs and underscores live if `wild`).
+
+    A substring condition has no key to join on; the last characters of a name's last literal part are one. Texts meet the
+    names that end like something in them by an equal key, and the condition itself decides. The plan is the same for any
+    number of names.
     """
-    wanted = names.select(F.concat(F.lit("%"), F.trim(name), F.lit("%")).alias("_like")).where(F.col("_like") != "%%").distinct()
-    found = [r["_like"] for r in wanted.orderBy("_like").limit(NAME_LIMIT + 1).collect()]
-    limited = F.coalesce(F.size(restricted) > 0, F.lit(False))
-    if len(found) <= NAME_LIMIT:
-        likes = F.array(*map(F.lit, found)) if found else F.array().cast("array<string>")
-        held = [ilike_any(F.col(c), likes) for c in texts]
-        return items.withColumn("is_campus", reduce(or_, held, limited))
-    hit = reduce(or_, [F.call_function("ilike", F.col(c), F.col("_like")) for c in texts])
-    inside = items.join(wanted, hit, "left_semi").withColumn("is_campus", F.lit(True))
-    return inside.unionByName(items.join(wanted, hit, "left_anti").withColumn("is_campus", limited))
-
-
-def ilike_any(x: Column, patterns: Column) -> Column:
-    return F.coalesce(F.exists(patterns, lambda p: F.call_function("ilike", x, p)), F.lit(False))
+    part = F.try_element_at(F.filter(F.split(F.col(name), "[%_]"), lambda p: p != ""), F.lit(-1)) if wild else F.col(name)
+    keyed = names.select(F.col(name).alias("_name"), F.coalesce(F.when(F.char_length(part) > GRAM, F.right(part, F.lit(GRAM))).otherwise(part), F.lit("")).alias("_gram")).distinct()
+    each = texts.select(F.col(text).alias("_text")).where(F.col("_text").isNotNull()).distinct()
+    each = each.select("_text", F.explode(grams(F.col("_text"))).alias("_gram"))
+    holds = F.call_function("ilike", F.col("_text"), F.concat(F.lit("%"), "_name", F.lit("%"))) if wild else F.contains("_text", F.col("_name"))
+    return each.join(keyed, "_gram").where(holds).select("_text").distinct()
+
+
+def without_names(items: DataFrame, text: Column, names: DataFrame, name: str, least: int = 3) -> DataFrame:
+    """Items whose text holds none of the names of `least` characters or more, case aside."""
+    wanted = names.select(F.lower(F.trim(name)).alias("_name")).where(F.char_length("_name") >= least)
+    rows = items.withColumn("_low", F.lower(text))
+    found = texts_with(rows, "_low", wanted, "_name", wild=False)
+    return rows.join(found, F.col("_low") == F.col("_text"), "left_anti").drop("_low")
+
+
+def on_campus(items: DataFrame, restricted: str, texts: list[str], names: DataFrame, name: str) -> DataFrame:
+    """is_campus: the item is restricted to institutions, or one of its texts holds an institution's name (wildcards live)."""
+    wanted = names.select(F.lower(F.trim(name)).alias("_name")).where(F.col("_name") != "")
+    rows, held = items, F.coalesce(F.size(restricted) > 0, F.lit(False))
+    for i, c in enumerate(texts):
+        found = texts_with(items.select(F.lower(c).alias("_low")), "_low", wanted, "_name", wild=True).select(F.col("_text").alias(f"_text{i}"))
+        rows = rows.join(found, F.lower(c) == F.col(f"_text{i}"), "left")
+        held = held | F.col(f"_text{i}").isNotNull()
+    return rows.withColumn("is_campus", held).drop(*(f"_text{i}" for i in range(len(texts))))
 
 
 def with_counts(items: DataFrame, key: str, log: DataFrame, log_key: str, name: str = "scrap_count", few: bool = False) -> DataFrame:

@@ -457,14 +457,14 @@ def list_metrics(spark, sf_dir):
     return found.select("id", "m.strategy", "m.recovered", "m.n_items", "m.dated", "m.keyword_matches")
 
 
-@query("""SELECT page_id AS id, 'B_COMMON_BOARD' AS strategy, false AS recovered, CAST(NULL AS INTEGER) AS selector_matches, 0.0 AS menu_rate, false AS menu, false AS empty_state, CAST(contains(html, 'page=') AS INTEGER) AS pagination,
+@query("""SELECT page_id AS id, 'B_COMMON_BOARD' AS strategy, false AS recovered, -1 AS selector_matches, 0.0 AS menu_rate, false AS menu, false AS empty_state, CAST(contains(html, 'page=') AS INTEGER) AS pagination,
   0 AS n_nodes, 0 AS n_items, 0 AS links, 0 AS valid_links, 0 AS board, 0 AS menu_text, 0 AS menu_container, 0 AS manual_evidence, 0 AS event_urls, 0 AS contaminated, 0 AS pattern_rejected, 0 AS dated, 0 AS keyword_matches FROM pages""")
 def page_metrics(spark, sf_dir):
     """Pages that are no lists: no board, and links in menus alone."""
     from ..functions.lists import list_metrics
 
     source = F.to_json(F.struct(F.col("url").alias("list_url")))
-    return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), list_metrics("html", source).alias("m")).select("id", "m.*")
+    return read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), list_metrics("html", source).alias("m")).select("id", "m.*").withColumn("selector_matches", F.coalesce("selector_matches", F.lit(-1)))
 
 
 @query(rf"""WITH {PAGE_SQL}, n AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(lower(spaced), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), '\b(?:notice|scholarship)\b', ' ', 'g'), '\s+', ' ', 'g')) AS want FROM p)

@@ -171,13 +171,13 @@ def elapsed(spark, sf_dir):
 @query(
     rf"""WITH v AS (SELECT p_partkey AS id, concat({said_sql('p_partkey', '', ' ', '1,')}, CAST(p_size - 5 AS VARCHAR), {said_sql('p_partkey // 3', '', '.9', '원')}) AS raw, [p_brand, ' ', p_type, concat(p_brand, ' '), ''] AS a, CASE WHEN p_size % 4 = 0 THEN ['  ', ''] END AS b FROM part),
 l AS (SELECT *, floor(TRY_CAST(regexp_replace(raw, '[,\s원]', '', 'g') AS DOUBLE)) AS n, list_filter(list_transform(a, lambda x: trim(x)), lambda x: x <> '') AS t FROM v)
-SELECT id, CASE WHEN n BETWEEN 0 AND 10 THEN CAST(n AS INTEGER) END AS level, array_to_string(list_filter(t, lambda x, i: list_position(t, x) = i), ';') AS filled, b IS NOT NULL AS blank FROM l"""
+SELECT id, CASE WHEN n BETWEEN 0 AND 10 THEN CAST(n AS INTEGER) ELSE -1 END AS level, array_to_string(list_filter(t, lambda x, i: list_position(t, x) = i), ';') AS filled, b IS NOT NULL AS blank FROM l"""
 )
 def levels(spark, sf_dir):
     raw = F.concat(said("id", "", " ", "1,"), (F.col("p_size") - 5).cast("string"), F.get(F.array(*map(F.lit, ("", ".9", "원"))), F.expr("CAST(id DIV 3 % 3 AS INT)")))
     own = A.distinct_filled(F.array("p_brand", F.lit(" "), "p_type", F.concat("p_brand", F.lit(" ")), F.lit("")))
     none = F.when(F.col("p_size") % 4 == 0, F.array(F.lit("  "), F.lit("")))
-    return parts(spark, sf_dir).select("id", A.level(raw).alias("level"), F.array_join(own, ";").alias("filled"), (none.isNotNull() & A.distinct_filled(none).isNull()).alias("blank"))
+    return parts(spark, sf_dir).select("id", F.coalesce(A.level(raw), F.lit(-1)).alias("level"), F.array_join(own, ";").alias("filled"), (none.isNotNull() & A.distinct_filled(none).isNull()).alias("blank"))
 
 
 @query(
@@ -232,7 +232,7 @@ def block_texts(spark, sf_dir):
 
 
 @query(
-    """SELECT p_partkey AS id, p_name AS amount, CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN p_type ELSE '' END AS kinds, CASE WHEN p_size % 2 = 0 THEN '2024-05-01' END AS day, CAST(p_size AS DOUBLE) AS chosen, CASE WHEN p_size - 1 <= 10 THEN CAST(p_size - 1 AS INTEGER) END AS lowest, concat(p_brand, ';', p_name) AS majors, CAST(NULL AS VARCHAR) AS note FROM part"""
+    """SELECT p_partkey AS id, p_name AS amount, CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN p_type ELSE '' END AS kinds, CASE WHEN p_size % 2 = 0 THEN '2024-05-01' END AS day, CAST(p_size AS DOUBLE) AS chosen, CASE WHEN p_size - 1 <= 10 THEN CAST(p_size - 1 AS INTEGER) ELSE -1 END AS lowest, concat(p_brand, ';', p_name) AS majors, CAST(NULL AS VARCHAR) AS note FROM part"""
 )
 def drafts(spark, sf_dir):
     raw = F.to_json(
@@ -243,7 +243,7 @@ def drafts(spark, sf_dir):
     )
     d = parts(spark, sf_dir).select("id", J.draft(raw, ("ECONOMY", "PROMO"), ("재학",)).alias("d"))
     join = lambda c: F.array_join(F.col(f"d.{c}"), ";")
-    return d.select("id", F.col("d.support_amount_text").alias("amount"), join("support_types").alias("kinds"), F.col("d.apply_start_date").alias("day"), F.col("d.selection_count").alias("chosen"), F.col("d.qual_income_level_min").alias("lowest"), join("qual_major").alias("majors"), "d.note")
+    return d.select("id", F.col("d.support_amount_text").alias("amount"), join("support_types").alias("kinds"), F.col("d.apply_start_date").alias("day"), F.col("d.selection_count").alias("chosen"), F.coalesce("d.qual_income_level_min", F.lit(-1)).alias("lowest"), join("qual_major").alias("majors"), "d.note")
 
 
 @query(

@@ -92,3 +92,10 @@ def workspace(spark: SparkSession) -> str:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows, written and read back: what they came from is not computed again, and a lost executor costs a task."""
+    path = workspace(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -129,14 +129,19 @@ def test_pages_are_a_partition(spark):
     assert L.page(items, None, 500, *order).count() == 50 and L.page(items, -3, 0, *order).count() == 1
 
 
-def test_many_names_are_joined(spark, monkeypatch):
-    items = spark.createDataFrame([(1, "at the big school", None), (2, "elsewhere", ["x"]), (3, "nowhere", []), (4, None, None)], "id long, text string, limits array<string>")
-    names = spark.createDataFrame([("Big School",), ("other",), (" ",)], "name string")
-    campus = lambda: {r["id"]: r["is_campus"] for r in L.on_campus(items, "limits", ["text"], names, "name").collect()}
-    left = lambda: sorted(r["id"] for r in L.without_names(items, F.coalesce("text", F.lit("")), names, "name").collect())
-    few = campus(), left()
-    monkeypatch.setattr(L, "NAME_LIMIT", 1)
-    assert (campus(), left()) == few == ({1: True, 2: True, 3: False, 4: False}, [2, 3, 4])
+def test_names_in_texts(spark):
+    items = spark.createDataFrame([(1, "at the big school", None), (2, "elsewhere", ["x"]), (3, "nowhere", []), (4, None, None), (5, "an BIG-SCHOOL", None), (6, "ab", None), (7, "zq", None)], "id long, text string, limits array<string>")
+    names = spark.createDataFrame([("Big School",), ("big_school",), ("other",), (" ",), ("a%b",)], "name string")
+    assert {r["id"] for r in L.on_campus(items, "limits", ["text"], names, "name").where("is_campus").collect()} == {1, 2, 5, 6}
+    assert sorted(r["id"] for r in L.without_names(items, F.col("text"), names, "name").collect()) == [2, 3, 4, 5, 6, 7]
+    anything = spark.createDataFrame([("__",), ("%%%",)], "name string")
+    assert {r["id"] for r in L.on_campus(items, "limits", ["text"], anything, "name").where("is_campus").collect()} == {1, 2, 3, 5, 6, 7}
+
+
+def test_deep_trees(spark):
+    chain = [(i, i - 1 if i else None) for i in range(40)] + [(100, 101), (101, 100), (102, 101)]
+    found = {r["id"]: r["path_ids"] for r in tree.paths(spark.createDataFrame(chain, "id long, parent long"), "id", "parent").collect()}
+    assert found == {i: list(range(i + 1)) for i in range(40)}
 
 
 def splice(rows: list, ads: list) -> list:

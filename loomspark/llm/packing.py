@@ -6,7 +6,8 @@ comes closest to the window, and uses it as often as the counts allow. Pieces th
 the pieces of their length.
 
 Cases: a null or empty text is the one closing id; a text of any length is cut, never shortened; repeated rows are packed
-as often as they come; an empty table gives no pieces. Rows with the same id are told apart only by their ranks.
+as often as they come; an empty table gives no pieces; ties in length are dealt out by hash. Rows with the same id are told
+apart only by their ranks. Other columns are not read, so no name clashes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from .common import chunks, materialise, short_batches
 
 WINDOW, END_ID = 2048, 1
 #: Each length is ranked in this many groups at least, and in more where there are over GROUP_ROWS pieces to a group.
-GROUPS, GROUP_ROWS = 64, 200_000
+GROUPS, GROUP_ROWS, SALTS = 64, 200_000, 64
 
 
 @lru_cache(maxsize=2)
@@ -57,8 +58,8 @@ def ids_of(texts: list, path: str, rank_path: str | None, pattern: str | None) -
         for t in texts:
             try:
                 out.append(enc.encode(t or "", allowed_special="all"))
-            except BaseException as e:  # its pattern engine gives up on long runs of blanks, with an error of its own kind
-                if isinstance(e, KeyboardInterrupt | SystemExit | MemoryError):
+            except BaseException as e:  # its pattern engine gives up on long runs of blanks, with an error that is no Exception
+                if type(e).__name__ != "PanicException":
                     raise
                 out.append(tokenizer(path).encode(t or "", add_special_tokens=False).ids)
         return out
@@ -66,11 +67,13 @@ def ids_of(texts: list, path: str, rank_path: str | None, pattern: str | None) -
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, rank_path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, start, length, ids_crc32, doc_tokens): every document's ids and the closing id, cut every `window` ids."""
+    """(id, start, length, ids_crc32, doc_tokens, salt): every document's ids and the closing id, cut every `window` ids. The
+    salt goes round within a task, so that rows that are alike in all else can be dealt out."""
     short_batches(docs.sparkSession)
-    out = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+    out = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, salt bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             for part in chunks(batch):
                 row, start, length, crc, total = [], [], [], [], []
@@ -85,7 +88,9 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, rank_path: str | No
                         crc.append(zlib.crc32(piece))
                         total.append(n)
                 ids = part.column(0).take(pa.array(row, pa.int32()))
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, pa.int64()) for x in (start, length, crc, total))], names=[id_col, "start", "length", "ids_crc32", "doc_tokens"])
+                salt = [(seen + k) % SALTS for k in range(len(row))]
+                seen += len(row)
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, pa.int64()) for x in (start, length, crc, total, salt))], names=[id_col, "start", "length", "ids_crc32", "doc_tokens", "salt"])
 
     return docs.select(id_col, text).mapInArrow(run, out)
 
@@ -169,7 +174,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, rank_path: str | None
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset): a row per piece."""
     cut = materialise(pieces(docs, path, window, rank_path, pattern, id_col, text), "pieces")
     groups = max(GROUPS, -(-cut.count() // GROUP_ROWS))
-    group = F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(groups)).cast("int")
+    group = F.pmod(F.xxhash64(id_col, "start", "ids_crc32", "salt"), F.lit(groups)).cast("int")
     by_group = cut.groupBy("length", group.alias("grp")).count()
     histogram = {r["length"]: r["n"] for r in by_group.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     places = Places(plan(histogram, window), window)

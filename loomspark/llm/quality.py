@@ -4,7 +4,9 @@ Boosting goes round the features, one shallow tree each, so that every feature a
 table over its bins. A score is the sum of table entries, put through the logistic function.
 
 Cases: null and empty texts have features like any text (all zero) and get a score; with no labelled rows, or rows of one
-label only, every score is the smoothed share of label 1; texts are taken whole; repeated rows score alike.
+label only, every score is the smoothed share of label 1; texts are taken whole; repeated rows score alike; of several
+labels of one id the largest counts, of pairs that gain alike the first; an empty table gives no rows; other columns are not
+read, so no name clashes.
 """
 
 from __future__ import annotations

@@ -68,3 +68,28 @@ def test_repeated_rows_and_nulls_per_stage(spark, edges):
 def test_pipeline_runs(spark, tables, edges):
     out = pipeline.run(spark, folder(spark, tables, edges))
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_different_texts_under_one_id(spark, tables):
+    """Rows that share an id are rows of their own in every query: each has its own result."""
+    texts = [prose(40 + i, 60 + i) for i in range(6)] + [f'a{i}@b.example token = "{"0123456789abcdef" * 2}{i}"' for i in range(3)]
+    docs = spark.createDataFrame([(5, t, "en", "s", 0) for t in texts] + [(None, t, "en", "s", 0) for t in texts], SCHEMA)
+    sf = folder(spark, tables, docs)
+    alone = {}
+    for name in PER_ROW:
+        out = Q.queries()[name](spark, sf).drop("score", "held_out", "component_id", "top_score").collect()
+        assert len(out) == 18 and sum(r["doc_id"] is None for r in out) == 9
+        by = [sorted((r.asDict() | {"doc_id": 0}).items(), key=str) for r in out]
+        alone[name] = len({str(x) for x in by})
+    assert alone["op5_bpe"] == alone["op3_line_dedup"] == alone["op7_pii"] == alone["op8_simhash"] == 9
+    assert Q.op2_packing(spark, sf).count() == 18
+
+
+def test_very_long_texts(spark, tables):
+    """Half a million characters in each of several shapes."""
+    n = 500_000
+    texts = ["a" * n, "ab " * (n // 3), "é漢" * (n // 2), "\n" * n, "1" * n, " " * n, "x@y.z " * (n // 6), prose(60_000, 1), "a=\"b\" " * (n // 6)]
+    docs = spark.createDataFrame([(i, t, "en" if i % 2 else "fr", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    sf = folder(spark, tables, docs)
+    for name in DOCUMENT_QUERIES:
+        assert Q.queries()[name](spark, sf).select("doc_id").distinct().count() == len(texts), name

@@ -62,3 +62,13 @@ def test_index_is_exact(n, words):
         own = np.sort(d[q == i])
         assert (own[: len(true)] == true).all() and (own >= 0).all() and len(own) >= len(true)
         assert set(c[q == i].tolist()) == set(np.flatnonzero(far <= true[-1]).tolist())
+
+
+def test_clashing_columns(spark, tables):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=64).tolist(), 0) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("own") for c in ("id", "code", "ids", "query", "distance", "rank", "shard", "block", "place")})
+    got = {(r["vec_id"], r["rank"], r["neighbour_id"], r["distance"]) for r in Q.op10_top_k(spark, tables(embeddings=df)).collect()}
+    assert got == brute([(i, v) for i, v, _ in rows], 10)

@@ -173,3 +173,26 @@ def stage_report(events: DataFrame, source: str, stage: str, status: str, elapse
 
 def percent(x: Column, digits: int = 1) -> Column:
     return F.concat(F.format_string(f"%.{digits}f", x * 100), F.lit("%"))
+
+
+def numbered_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Rows with `_place`, the rank of their key from 1. Keys are range-partitioned and counted per partition, so no task sees
+    all of them."""
+    from ..sources.files import written
+
+    ranged = written(rows.select(key).distinct().repartitionByRange(F.col(key)).withColumn("_part", F.spark_partition_id()))
+    before = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each partition
+    base = before.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    own = ranged.withColumn("_nth", F.row_number().over(Window.partitionBy("_part").orderBy(key)))
+    placed = own.join(base.select("_part", "_base"), "_part").select(key, (F.col("_base") + F.col("_nth")).alias("_place"))
+    return rows.join(placed, key)
+
+
+def tree_integrity(nodes: DataFrame, node: str, path: str, sources: dict[str, DataFrame], profiles: DataFrame, unit: str, older: list[str]) -> DataFrame:
+    """One row: rows of the tables that the tree was made of, its nodes, paths that do not end at their node, and profiles
+    that name an older unit but none of the tree."""
+    total = row_counts(sources).agg(F.sum("n_rows").alias("legacy_total"))
+    ends = F.try_element_at(F.col(path), F.lit(-1))
+    tree = nodes.agg(F.count(F.lit(1)).alias("node_total"), F.count_if(~ends.eqNullSafe(F.col(node))).alias("broken_paths"))
+    lost = profiles.agg(F.count_if(F.col(unit).isNull() & F.coalesce(*(F.col(c).cast("string") for c in older)).isNotNull()).alias("unmapped_profiles"))
+    return total.join(tree).join(lost)

@@ -126,3 +126,11 @@ def touched(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str],
     differs = written & reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in columns])
     values = {c: F.when(written, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in columns} | {stamp: F.when(differs, now).otherwise(F.col(stamp)).alias(stamp)}
     return joined.select(*(values.get(c, F.col(c)) for c in old.columns))
+
+
+def ingested(calls: DataFrame, fields: list[str], payload: str, user: Column, now: Column) -> DataFrame:
+    """Calls of the event endpoint as rows of the log: who called and when, missing fields as null, a missing payload empty."""
+    have = set(calls.columns)
+    given = [(F.col(c) if c in have else F.lit(None).cast("string")).alias(c) for c in fields]
+    extra = F.coalesce(F.col(payload), F.lit("{}")) if payload in have else F.lit("{}")
+    return calls.select(*given, user.alias("user_id"), now.alias("created_at"), extra.alias(payload))

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import notices as N
+from ..operators import reports as R
+from ..operators import tree
 from ..operators import writes as W
-from ..sources import adapters, charset, files, sqldump
+from ..sources import adapters, charset, files, sqldump, sqltext
 from .registry import query, read
 
 
@@ -163,3 +165,81 @@ def changed_count(spark, sf_dir):
     old = read(spark, sf_dir, "customer").select(key.alias("id"), F.when(key % 6 != 5, F.col("c_name")).alias("name"))
     new = read(spark, sf_dir, "customer").select(key.alias("id"), F.when(key % 3 == 0, F.concat("c_name", F.lit("!"))).when(key % 3 == 1, F.col("c_name")).alias("name"))
     return W.changed(old, new, ["id"], ["name"]).agg(F.count(F.lit(1)).alias("n_changed"))
+
+
+@query(
+    """SELECT CAST((row_number() OVER (ORDER BY p_partkey) - 1) // 50 AS INTEGER) AS part, p_partkey AS id, concat('(', p_partkey, '::bigint, ''', p_name, '''''s'', ', CASE WHEN p_size % 4 = 0 THEN 'null' ELSE concat('''', p_type, '''::public.kind') END, ', ''{"brand":"', p_brand, '"}''::jsonb)') AS row FROM part"""
+)
+def seed_rows(spark, sf_dir):
+    """Parts as seed statements of fifty rows; each row's text is taken out of its statement again."""
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat("p_name", F.lit("'s")).alias("name"), F.when(F.col("p_size") % 4 > 0, F.col("p_type")).alias("kind"), F.to_json(F.struct(F.col("p_brand").alias("brand"))).alias("metadata"))
+    text = sqltext.seed_statements(rows, "parts", "id", {"id": ("number", "bigint"), "name": ("text", ""), "kind": ("text", "public.kind"), "metadata": ("json", "")}, 50)
+    inner = F.regexp_extract("statement", r"(?s)from \(values\n  (.*)\n\) as v", 1)
+    each = text.select("part", F.explode(F.split(inner, ",\n  ")).alias("row"))
+    return each.select("part", F.regexp_extract("row", r"^\((\d+)", 1).cast("bigint").alias("id"), "row")
+
+
+@query("""SELECT n_nationkey AS id, concat('t_', n_nationkey) AS table_name, CASE WHEN n_nationkey % 3 = 0 THEN 'a,b' ELSE 'id' END AS target,
+  CASE n_nationkey % 3 WHEN 0 THEN 'a,b;id' WHEN 1 THEN 'id' ELSE '' END AS targets, n_nationkey % 3 < 2 AS ok FROM nation""")
+def schema_preflight(spark, sf_dir):
+    """A schema's text with a table for each nation: a unique and a primary key, a primary key alone, or none."""
+    k = F.col("n_nationkey")
+    body = F.when(k % 3 == 0, F.concat(F.lit("  id bigint primary key (id),\n  constraint u_"), k.cast("string"), F.lit(' unique ( "a",  b )'))).when(k % 3 == 1, "  id bigint,\n  primary key (id)").otherwise("  id bigint")
+    one = F.concat(F.lit("create table if not exists public.t_"), k.cast("string"), F.lit(" (\n"), body, F.lit("\n);\n"))
+    nation = read(spark, sf_dir, "nation")
+    schema = nation.agg(F.array_join(F.array_sort(F.collect_list(one)), "\n").alias("text"))
+    wanted = nation.select(F.concat(F.lit("t_"), k.cast("string")).alias("table_name"), F.when(k % 3 == 0, ' a, "b"').otherwise("id ").alias("target"))
+    found = sqltext.preflight(wanted, sqltext.conflict_targets(schema, "text"))
+    return found.select(F.expr("CAST(substring(table_name, 3) AS BIGINT)").alias("id"), "table_name", "target", F.array_join("targets", ";").alias("targets"), "ok")
+
+
+@query("""SELECT p_partkey AS id, concat('<tr><td>', p_partkey, '</td><td>&lt;', p_name, ' &amp; &quot;', p_brand, '&quot;<br/>x</td><td>', CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END, '</td></tr>') AS row FROM part""")
+def word_rows(spark, sf_dir):
+    """A table for word processors, read back line by line."""
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("<"), "p_name", F.lit(' & "'), "p_brand", F.lit('"\nx')).alias("text"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).alias("kind"))
+    path = files.workspace(spark)
+    files.write_word(rows, path, "Parts & more", [F.asc("id")])
+    lines = spark.read.text(path).where(F.startswith("value", F.lit("<tr><td>")))
+    return lines.select(F.regexp_extract("value", r"^<tr><td>(\d+)", 1).cast("bigint").alias("id"), F.col("value").alias("row"))
+
+
+@query("""SELECT (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + 1 AS legacy_total, (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + 1 AS node_total, 0 AS broken_paths,
+  (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 4 > 0) AS unmapped_profiles""")
+def tree_integrity(spark, sf_dir):
+    from .eligibility import nodes
+
+    made = nodes(spark, sf_dir)
+    key = F.col("c_custkey")
+    people = read(spark, sf_dir, "customer").select(F.when(key % 3 > 0, F.col("c_nationkey") + 1000).alias("unit"), F.when(key % 4 > 0, F.col("c_nationkey")).alias("department"), F.lit(None).cast("string").alias("college"))
+    sources = {"region": read(spark, sf_dir, "region"), "nation": read(spark, sf_dir, "nation"), "root": spark.range(1)}
+    found = R.tree_integrity(tree.paths(made, "id", "parent"), "id", "path_ids", sources, people, "unit", ["department", "college"])
+    return found.select("legacy_total", "node_total", F.col("broken_paths").cast("int").alias("broken_paths"), "unmapped_profiles")
+
+
+@query("""SELECT event_id, event_type AS event_name, CAST(NULL AS VARCHAR) AS page_path, user_id, coalesce(CASE WHEN event_id % 3 > 0 THEN props END, '{}') AS metadata FROM events""")
+def ingested_events(spark, sf_dir):
+    calls = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.col("event_type").alias("event_name"), F.when(F.col("event_id") % 3 > 0, F.col("props")).alias("metadata"))
+    rows = W.ingested(calls, ["event_id", "event_name", "page_path"], "metadata", F.col("user_id"), F.col("ts"))
+    return rows.drop("created_at")
+
+
+@query("""SELECT 'orders' AS run_id, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) THEN 'failure' ELSE 'success' END AS status
+UNION ALL SELECT 'suppliers', CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)) THEN 'failure' ELSE 'success' END""")
+def guarded_runs(spark, sf_dir):
+    """Two runs that refuse to apply where a reference is missing; each leaves a row on how it went."""
+    path = files.workspace(spark)
+
+    def apply(child: DataFrame, key: str, parent: DataFrame, parent_key: str):
+        def work() -> None:
+            if R.orphans(child, key, parent, parent_key, "missing").first()["n_rows"]:
+                raise ValueError("references are missing")
+
+        return work
+
+    customer = read(spark, sf_dir, "customer")
+    for name, work in (("orders", apply(read(spark, sf_dir, "orders"), "o_custkey", customer, "c_custkey")), ("suppliers", apply(customer, "c_custkey", read(spark, sf_dir, "supplier"), "s_suppkey"))):
+        try:
+            W.run_log(spark, path, name, work)
+        except ValueError:
+            continue  # recorded
+    return spark.read.parquet(path).select("run_id", "status")

@@ -99,3 +99,40 @@ def written(df: DataFrame) -> DataFrame:
     path = workspace(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+PAGE_HEAD = """<!DOCTYPE html>
+<html lang="{lang}">
+<head>
+  <meta charset="utf-8" />
+  <title>{title}</title>
+  <style>table {{ border-collapse: collapse; width: 100%; }} th, td {{ border: 1px solid #888; padding: 4px; vertical-align: top; }}</style>
+</head>
+<body>
+  <h1>{title}</h1>
+  <table>
+    <thead><tr>{cells}</tr></thead>
+    <tbody>"""
+PAGE_TAIL = "    </tbody>\n  </table>\n</body>\n</html>"
+
+
+def markup(value: Column) -> Column:
+    """A text as the content of an element, line ends as breaks."""
+    out = F.coalesce(value.cast("string"), F.lit(""))
+    for raw, by in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\n", "<br/>")):
+        out = F.replace(out, F.lit(raw), F.lit(by))
+    return out
+
+
+def table_row(columns: list[Column]) -> Column:
+    return F.concat(F.lit("<tr>"), *(x for c in columns for x in (F.lit("<td>"), markup(c), F.lit("</td>"))), F.lit("</tr>"))
+
+
+def write_word(df: DataFrame, path: str, title: str, order: list[Column] | None = None, lang: str = "ko") -> None:
+    """A document that word processors open: one table, a byte order mark first. For reports: one task writes it."""
+    rows = (df.orderBy(*order) if order else df).select(table_row([F.col(f"`{c}`") for c in df.columns]).alias("value"))
+    shown = df.sparkSession.range(1).select(*(markup(F.lit(x)) for x in (title, *df.columns))).first()
+    head = BOM + PAGE_HEAD.format(lang=lang, title=shown[0], cells="".join(f"<th>{c}</th>" for c in shown[1:]))
+    edges = df.sparkSession.createDataFrame([(head, -1), (PAGE_TAIL, 1 << 62)], "value string, _n long")
+    numbered = edges.unionByName(rows.withColumn("_n", F.monotonically_increasing_id()))
+    numbered.coalesce(1).sortWithinPartitions("_n").select("value").write.mode("overwrite").text(path)

@@ -89,8 +89,8 @@ def test_index_finds_the_same_pairs(spark):
     profiles = frame(spark, PROFILE, [{"id": i, "university_name": f"U{i % 4}" if i % 5 else None, "school_name": f"U{i % 3}" if i % 2 else None, "gender": "FM"[i % 2]} for i in range(40)])
     offers = frame(spark, OFFER, [OPEN | {"id": i, "qual_university": [None, [], ["U1"], ["U0", "U1", "U0"], ["U9"]][i % 5], "qual_gender": ["F", None][i % 2]} for i in range(30)])
     pairs = lambda **k: sorted((r["a"], r["b"]) for r in M.match(profiles, offers, "2024-03-01", **k).select(F.col("p.id").alias("a"), F.col("s.id").alias("b")).collect())
-    assert pairs() == pairs(index=None) and len(pairs()) > 100
-    assert pairs(on=[("gender", "qual_gender")]) == pairs(index=None, on=[("gender", "qual_gender")])
+    assert pairs() == pairs(index=()) and len(pairs()) > 100
+    assert pairs(on=[("gender", "qual_gender")]) == pairs(index=(), on=[("gender", "qual_gender")])
 
 
 def test_versions(spark):

@@ -1,9 +1,11 @@
 """Exact top-k by Hamming distance with incremental multi-index hashing.
 
 Codes are the signs of vectors. Rows of one code are one entry with its k + 1 smallest ids, so a vector that many rows
-share costs no more than any other. Entries are dealt into shards; in a shard, codes are indexed by their segments, and a
-query's segment radii grow one segment at a time until the k-th verified distance lies within what is covered: after radius
-t in the first j + 1 of m segments and t - 1 in the rest, every code within t * m + j bits has been seen.
+share costs no more than any other. Entries are dealt into shards, each to one place; queries stream past every shard. In a
+shard, codes are indexed by their segments, and a query's segment radii grow one segment at a time until the k-th verified
+distance lies within what is covered: after radius t in the first j + 1 of m segments and t - 1 in the rest, every code
+within t * m + j bits has been seen. Whether a code has been seen before follows from its own distances per segment, so no
+table of pairs is kept.
 
 Codes are as wide as the longest vector needs, in words of 64 bits; segments do not cross words.
 
@@ -19,16 +21,17 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
 
 WORD, K = 64, 10
-SHARDS, SHARD_CODES, QUERY_BLOCK, TASKS = 24, 1 << 16, 4096, 20_000
-#: Queries that are worked on at once in a shard: the table of seen codes has so many rows.
+#: Shards at least, and codes of a shard: with 64 bits its index takes some 150 MB.
+SHARDS, SHARD_CODES = 24, 1 << 21
+#: Queries that are worked on at once in a shard.
 AT_ONCE = 256
 
 
@@ -58,7 +61,7 @@ def codes(vectors: DataFrame, words: int, id_col: str = "vec_id", vector: str =
     return found.where(F.col("code").isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), "code")
 
 
-def as_words(column: pd.Series) -> np.ndarray:
+def as_words(column: list[bytes]) -> np.ndarray:
     """Codes as rows of 64-bit words."""
     return np.frombuffer(b"".join(column), "<u8").reshape(len(column), -1)
 
@@ -76,7 +79,7 @@ class Index:
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 value = self.values(found, word, lo, hi)
                 start = np.r_[0, np.cumsum(np.bincount(value, minlength=1 << (hi - lo)))]
-                self.segments.append((word, lo, hi, start, np.argsort(value, kind="stable")))
+                self.segments.append((word, lo, hi, start, np.argsort(value, kind="stable").astype(np.int32)))
         self.m = len(self.segments)
 
     @staticmethod
@@ -91,13 +94,23 @@ class Index:
             out.append((q + at, c, d))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
+    def fresh(self, x: np.ndarray, at: int, radius: int) -> np.ndarray:
+        """Whether codes (x: their differences to their queries) that match in segment `at` within `radius` were met nowhere
+        before: the segments before it are farther, those behind it are not nearer."""
+        new = np.ones(len(x), bool)
+        for j, (word, lo, hi, *_) in enumerate(self.segments):
+            if j != at:
+                far = np.bitwise_count(self.values(x, word, lo, hi))
+                new &= (far > radius) if j < at else (far >= radius)
+        return new
+
     def block(self, queries: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n, size = len(queries), len(self.codes)
-        seen = np.zeros((n, size), bool)
+        n = len(queries)
         count = np.zeros((n, self.bits + 1), np.int64)
         best = np.full(n, self.bits)  # the distance of the k-th row so far
         open_ = np.arange(n)
-        want = min(k, int(weights.sum()))
+        every = int(weights.sum())
+        want = min(k, every)
         found = []
         for radius in range(WORD + 1):
             for j, (word, lo, hi, start, order) in enumerate(self.segments):
@@ -115,10 +128,10 @@ class Index:
                     within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                     code = order[np.repeat(first, many) + within]
                     q = open_[np.repeat(who, many)]
-                    new = ~seen[q, code]
-                    q, code = q[new], code[new]
-                    seen[q, code] = True
-                    d = np.bitwise_count(queries[q] ^ self.codes[code]).sum(1, dtype=np.int64)
+                    x = queries[q] ^ self.codes[code]
+                    d = np.bitwise_count(x).sum(1, dtype=np.int64)
+                    new = self.fresh(x, j, radius)
+                    q, code, d = q[new], code[new], d[new]
                     np.add.at(count, (q, d), weights[code])
                     near = d <= best[q]
                     found.append((q[near], code[near], d[near]))
@@ -126,7 +139,7 @@ class Index:
                 enough = reach >= want
                 best[open_] = np.where(enough.any(1), enough.argmax(1), self.bits)
                 covered = radius * self.m + j
-                open_ = open_[~((enough.any(1) & (best[open_] <= covered)) | seen[open_].all(1))]
+                open_ = open_[~((enough.any(1) & (best[open_] <= covered)) | (reach[:, -1] == every))]
             if not len(open_):
                 break
         q, c, d = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ((),) * 3))
@@ -134,22 +147,59 @@ class Index:
         return q[keep], c[keep], d[keep]
 
 
-def search_shard(entries: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """(query, distance, id): the k nearest rows of a shard for each query code."""
-    if not len(entries) or not len(queries):
-        return pd.DataFrame({"query": np.zeros(0, object), "distance": np.zeros(0, np.int32), "id": np.zeros(0, np.int64)})
-    ids = entries["ids"].tolist()
-    many = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat, begin = np.concatenate(ids).astype(np.int64), np.cumsum(many) - many
-    q, c, d = Index(as_words(entries["code"])).nearest(as_words(queries["code"]), many, k)
-    rows = np.repeat(np.arange(len(q)), many[c])
-    found = flat[np.repeat(begin[c], many[c]) + np.arange(len(rows)) - np.repeat(np.cumsum(many[c]) - many[c], many[c])]
-    q, d = q[rows], d[rows]
-    order = np.lexsort((found, d, q))
-    q, d, found = q[order], d[order], found[order]
-    place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-    keep = place < k
-    return pd.DataFrame({"query": queries["code"].to_numpy()[q[keep]], "distance": d[keep].astype(np.int32), "id": found[keep]})
+class Shard:
+    """Entries of a shard as they come in, and their index once a query asks."""
+
+    def __init__(self) -> None:
+        self.codes: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+        self.many: list[np.ndarray] = []
+        self.index: Index | None = None
+
+    def add(self, codes_: np.ndarray, ids: pa.ListArray) -> None:
+        self.codes.append(codes_)
+        self.ids.append(ids.flatten().to_numpy(zero_copy_only=False))
+        self.many.append(pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64))
+
+    def nearest(self, asked: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, distance, id): the k nearest rows for each query code."""
+        if self.index is None:
+            self.index = Index(np.concatenate(self.codes))
+            self.flat, self.weights = np.concatenate(self.ids), np.concatenate(self.many)
+            self.begin = np.cumsum(self.weights) - self.weights
+        q, c, d = self.index.nearest(asked, self.weights, k)
+        many = self.weights[c]
+        rows = np.repeat(np.arange(len(q)), many)
+        ids = self.flat[np.repeat(self.begin[c], many) + np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)]
+        q, d = q[rows], d[rows]
+        order = np.lexsort((ids, d, q))
+        q, d, ids = q[order], d[order], ids[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q, side="left") < k
+        return q[keep], d[keep], ids[keep]
+
+
+def stream(k: int):
+    """Works on rows (shard, asks, code, ids), a shard's entries before the queries that ask it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shard = None, Shard()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            number, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            cuts = np.flatnonzero((np.diff(number) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(number)], strict=True):
+                part = batch.slice(lo, hi - lo)
+                if number[lo] != at:
+                    at, shard = number[lo], Shard()
+                code = part.column(2).to_pylist()
+                if not asks[lo]:
+                    shard.add(as_words(code), part.column(3))
+                elif shard.codes:
+                    q, d, ids = shard.nearest(as_words(code), k)
+                    yield pa.RecordBatch.from_arrays([pa.array(code, pa.binary()).take(pa.array(q)), pa.array(d, pa.int32()), pa.array(ids, pa.int64())], names=["query", "distance", "id"])
+
+    return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -162,20 +212,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     entries = materialise(least.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "entries")
     shards = max(SHARDS, -(-entries.count() // SHARD_CODES))
     asked = materialise(asked, "queries")
-    unique = asked.select("code").distinct()
-    blocks = max(1, -(-unique.count() // QUERY_BLOCK))
-    shard = F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64(F.lit("block"), "code"), F.lit(blocks)).cast("int")
-    left = entries.select("code", "ids", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = unique.select("code", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"))
-    # so many tasks as there are units, up to a bound: a given number is not coalesced, and a unit is work, not bytes
-    tasks = min(shards * blocks, TASKS)
-    left, right = (df.repartition(tasks, "shard", "block") for df in (left, right))
-    near = (
-        left.groupBy("shard", "block")
-        .cogroup(right.groupBy("shard", "block"))
-        .applyInPandas(lambda a, b: search_shard(a, b, k + 1), "query binary, distance int, id bigint")
-    )
+    shard = F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int").alias("shard")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    held = entries.select(shard, F.lit(False).alias("asks"), "code", F.col("ids").cast("array<bigint>").alias("ids"))
+    asking = asked.select("code").distinct().select(every, F.lit(True).alias("asks"), "code", F.lit(None).cast("array<bigint>").alias("ids"))
+    # a given number of tasks is not coalesced: a shard is work, not bytes
+    dealt = held.unionByName(asking).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+    near = dealt.mapInArrow(stream(k + 1), "query binary, distance int, id bigint")
     best = Window.partitionBy("query").orderBy("distance", "id")
     merged = materialise(near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place"), "nearest")
     pairs = asked.select(F.col("id").alias("query_id"), F.col("code").alias("query")).join(merged, "query").where("id != query_id")

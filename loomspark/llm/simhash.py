@@ -67,6 +67,19 @@ def block_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
+def longer_keys(fp: Column, key: Column) -> Column:
+    """Four keys of nine bits more for a key: of what it leaves over, 36 bits, two fingerprints within RADIUS share a part.
+
+    Keys are hashes; two that fall together only bring strangers into one bucket, where their distance tells them apart.
+    """
+    block, part = (F.shiftrightunsigned(key, 28) / BLOCKS).cast("int"), (F.shiftrightunsigned(key, 28) % BLOCKS).cast("int")
+    cut = lambda x, at, width: [x.bitwiseAND(F.lit((1 << at) - 1)).bitwiseOR(F.shiftleft(F.shiftrightunsigned(x, at + width), at)) if at + width < 64 else x.bitwiseAND(F.lit((1 << at) - 1))][0]
+    choose = lambda n, xs: F.coalesce(*(F.when(n == k, x) for k, x in enumerate(xs)))
+    rest = choose(block, [cut(fp, 16 * i, 16) for i in range(BLOCKS)])
+    left = choose(part, [cut(rest, 12 * j, 12).bitwiseAND(F.lit((1 << 36) - 1)) for j in range(BLOCKS)])
+    return F.array(*(F.xxhash64(key, F.lit(p), F.shiftrightunsigned(left, 9 * p).bitwiseAND(F.lit(511))) for p in range(4)))
+
+
 def close_pairs(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j) of equal unit and at most `radius` differing bits; units lie together. fps: rows of 64-bit words.
 
@@ -143,7 +156,16 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
     """
     load = F.lit(1.0 / CHUNK) if similarity is None else F.greatest(F.lit(1.0 / CHUNK), F.col("set_bytes") / F.lit(float(CHUNK_SET_BYTES)))
     keyed = distinct.select("v", F.explode("keys").alias("key"), load.alias("load"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("chunks")).where("n > 1")
+    sized = lambda df: df.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("chunks")).where("n > 1")
+    sizes = sized(keyed)
+    if held is None:
+        # a bucket beyond one chunk is split by longer keys, of which again no close pair misses all
+        sizes = materialise(sizes, "bucket-sizes")
+        hot = sizes.where(F.col("n") > CHUNK).select("key")
+        if not hot.isEmpty():
+            again = keyed.join(hot, "key", "left_semi").select("v", F.explode(longer_keys(F.col("v"), F.col("key"))).alias("key"), "load")
+            keyed = keyed.join(hot, "key", "left_anti").select("v", "key", "load").unionByName(again)
+            sizes = sized(keyed)
     parts = F.ceil(F.col("chunks")).cast("int")
     shared = (
         keyed.join(sizes, "key")

@@ -76,6 +76,8 @@ def test_keys_miss_no_pair(spark):
 
     df = spark.createDataFrame(rows, "i long, a long, b long")
     assert df.where(~F.arrays_overlap(S.block_keys(F.col("a")), S.block_keys(F.col("b")))).count() == 0
+    finer = lambda c: F.flatten(F.transform(S.block_keys(F.col(c)), lambda k: S.longer_keys(F.col(c), k)))
+    assert df.where(~F.arrays_overlap(finer("a"), finer("b"))).count() == 0
 
 
 @pytest.mark.parametrize("chunk", [4096, 8])

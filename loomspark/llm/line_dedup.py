@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, ascii_lower, materialise
+from .common import BLANKS, ascii_lower, identified, materialise
 
 MIN_DOCS = 10
 KEY = ["h1", "h2"]
@@ -34,11 +34,6 @@ def salt(salts: int) -> Column:
     return F.pmod(F.xxhash64(*owner()), F.lit(salts)).cast("int").alias("salt")
 
 
-def identified(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc, body, text): the id, a hash of the text that tells rows of one id apart, the text with null as empty."""
-    return docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc", F.xxhash64("text").alias("body"), "text")
-
-
 def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """(h1, h2, doc, body, pos, n_lines) of every line whose key has at least min_chars code points."""
     lines = docs.select(*DOC, F.split(ascii_lower(F.col("text")), "\n", -1).alias("lines"))

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import ascii_lower, identified, materialise
 
 # The base patterns, in the order of their kinds. A match starts at the end of the last match or where the
 # character before is none of its own, which is the leftmost place; runs are possessive, because nothing follows that
@@ -73,11 +73,6 @@ def entity_of(kind: Column, found: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind == "email", email).when(kind == "ip", ip).otherwise(F.regexp_replace(found, "[^0-9]", "")))
 
 
-def identified(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc, body, text): the id, a hash of the text that tells rows of one id apart, the text with null as empty."""
-    return docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc", F.xxhash64("text").alias("body"), "text")
-
-
 def same(a: DataFrame, b: DataFrame) -> Column:
     """The rows are of one document, null ids included."""
     return a["doc"].eqNullSafe(b["doc"]) & (a["body"] == b["body"])

@@ -76,7 +76,7 @@ def with_counts(items: DataFrame, key: str, log: DataFrame, log_key: str, name:
     """
     own = log.select(F.col(log_key).alias("_key"))
     if few:
-        own = own.join(F.broadcast(items.select(F.col(key).alias("_key"))), "_key", "left_semi")
+        own = own.join(items.select(F.col(key).alias("_key")), "_key", "left_semi")  # Spark knows a page's size by its limit
     counts = own.groupBy("_key").agg(F.count(F.lit(1)).alias(name))
     return items.join(counts, items[key] == counts["_key"], "left").drop("_key").withColumn(name, F.coalesce(name, F.lit(0)))
 

@@ -7,9 +7,9 @@ entity's information (their pointwise mutual information over the entity's own c
 sanitised wherever they occur: generalised to what kind of word they are, or removed where they disclose nearly all.
 
 What one text holds tells nothing, since all its words share that text with the entity, and a near copy is the same text once
-more: two independent texts at least must hold both. Texts are independent unless one of SEEDS least hashes of their
-five-word windows agrees. Entities that stand in the same texts are one class, and so are terms, so that lists that repeat
-each other do not multiply into pairs.
+more, however many there are: two independent texts at least must hold both. Of the texts that do, one must have none of
+SEEDS least hashes of five-word windows in common with the first. Entities that stand in the same texts are one class, and so
+are terms, so that lists that repeat each other do not multiply into pairs.
 
 Cases: null and empty texts have no spans; texts are taken whole, and every pattern runs in time that is linear in them;
 texts that are equal count once in the statistics, so copies alone disclose nothing; repeated rows come out as often as
@@ -19,8 +19,6 @@ are neither read nor changed (`sanitise` carries them in a struct, so no name cl
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,9 +133,11 @@ def share_of(n_both: Column, n_term: Column, n_entity: Column, n_texts: int) ->
     return F.when(p < 1, 1 - F.ln(q) / F.ln(p)).otherwise(F.lit(0.0))
 
 
-def apart() -> Column:
-    """Whether some of a group's texts (column marks) are independent: no least hash is the same in all of them."""
-    return reduce(Column.__and__, [F.min(F.col("marks")[k]) < F.max(F.col("marks")[k]) for k in range(SEEDS)])
+def independent(held: DataFrame, *keys: str) -> DataFrame:
+    """The groups (by keys) in which a text shares no least hash with the first one. held: keys, body, marks."""
+    first = held.groupBy(*keys).agg(F.min_by("marks", "body").alias("first"))
+    alike = F.exists(F.zip_with("marks", "first", lambda a, b: a.eqNullSafe(b)), lambda same: same)
+    return held.join(first, list(keys)).where(~alike).select(*keys).distinct()
 
 
 def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, disclosure: float = DISCLOSURE) -> tuple[DataFrame, DataFrame] | None:
@@ -155,8 +155,7 @@ def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, dis
     holding = suspect.join(standing.select("body").distinct(), "body", "left_semi")
     among = materialise(holding.select("body", "text").dropDuplicates(["body"]), "entity-holders")
     marks = materialise(copy_marks(among), "copy-marks")
-    alone = standing.join(marks, "body").groupBy("e").agg(apart().alias("apart")).where("apart").select("e")
-    standing = materialise(standing.join(alone, "e", "left_semi"), "independent-entity-texts")
+    standing = materialise(standing.join(independent(standing.join(marks, "body"), "e"), "e", "left_semi"), "independent-entity-texts")
     if standing.isEmpty():
         return None
     n_texts = texts.select("body").distinct().count()
@@ -165,8 +164,8 @@ def disclosing_terms(texts: DataFrame, suspect: DataFrame, spans: DataFrame, dis
     pairs = standing.join(words, "body").where(share_of(F.least("e_n", "t_n"), F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
     counts = pairs.groupBy("e", "e_n", "t", "t_n").agg(F.count(F.lit(1)).alias("n_both")).where("n_both > 1")
     strong = counts.where(share_of(F.col("n_both"), F.col("t_n"), F.col("e_n"), n_texts) >= disclosure)
-    together = pairs.join(strong.select("e", "t", "n_both"), ["e", "t"]).join(marks, "body")
-    together = together.groupBy("t", "e", "e_n", "n_both").agg(apart().alias("apart")).where("apart").select("t", "e_n", "n_both").distinct()
+    both = materialise(pairs.select("e", "e_n", "t", "body").join(strong.select("e", "t", "n_both"), ["e", "t"]).join(marks, "body"), "shared-texts")
+    together = independent(both, "t", "e", "e_n", "n_both").select("t", "e_n", "n_both").distinct()
     found = materialise(together.join(members, "t").select("term", "e_n", "n_both").distinct(), "term-pairs")
     held = None
     for part, rows in (("suspect", suspect), ("sample", texts.where(F.pmod("body", F.lit(16)) == 0)), ("whole", texts)):

@@ -160,6 +160,23 @@ def test_names_behind_other_addresses(spark):
     assert all(out[i].startswith("term:5:12,") and out[i].count("term") == 1 for i in range(4))
 
 
+def test_many_near_copies_disclose_nothing(spark):
+    """Sixty texts that are edits of one share an address and all their rare words; one letter of its own does not."""
+    rnd = random.Random(5)
+    base = [f"rare{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(2):
+            words[rnd.randrange(120)] = f"own{i}x{rnd.random()}"
+        rows.append((i, " ".join(words) + " mail hidden@one.example", "en", "s", 0))
+    rows += [(100 + i, " ".join(f"f{i}x{k}" for k in range(60)), "en", "s", 0) for i in range(300)]
+    assert all(r["n_term"] == 0 for r in pii.report(spark.createDataFrame(rows, SCHEMA)).collect())
+    rows.append((500, " ".join(f"other{k}" for k in range(60)) + " rare7 hidden@one.example", "en", "s", 0))
+    out = {r["doc_id"]: r["n_term"] for r in pii.report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out[500] == 1 and sum(out[i] == 1 for i in range(60)) >= 57 and out[100] == 0
+
+
 def test_sanitise(spark, edges):
     assert pii.sanitise(edges).count() == edges.count()
     text = ("é" * 5000 + " a@b.example ") * 3 + "4111 1111 1111 1111" + "x" * 9000

@@ -45,19 +45,24 @@ class Table:
 
 
 class Model:
-    """Tables of words and of n-grams of each size."""
+    """Tables of words and of n-grams of each size. `gram_counts` are (size, language, n-gram, n); without them they are
+    counted here."""
 
-    def __init__(self, counts: list[tuple[str, str, int]]):
+    def __init__(self, counts: list[tuple[str, str, int]], gram_counts: list[tuple[int, str, str, int]] | None = None):
         self.languages = sorted({lang for lang, _, _ in counts})
         at = {x: i for i, x in enumerate(self.languages)}
         self.words = Table({(w, at[lang]): n for lang, w, n in counts}, len(at))
-        self.grams = {}
-        for k in range(LONGEST_GRAM, 0, -1):
-            found: Counter = Counter()
-            for lang, w, n in counts:
-                for g in grams(w, k):
-                    found[g, at[lang]] += n
-            self.grams[k] = Table(found, len(at))
+        if gram_counts is None:
+            own: Counter = Counter()
+            for k in range(1, LONGEST_GRAM + 1):
+                for lang, w, n in counts:
+                    for g in grams(w, k):
+                        own[k, lang, g] += n
+            gram_counts = [(*x, n) for x, n in own.items()]
+        found: dict[int, dict] = {k: {} for k in range(LONGEST_GRAM, 0, -1)}
+        for k, lang, g, n in gram_counts:
+            found[k][g, at[lang]] = n
+        self.grams = {k: Table(x, len(at)) for k, x in found.items()}
         self.known: dict[str, int] = {}
         self.rows = np.zeros((1024, len(at)))
 
@@ -131,8 +136,17 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: s
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
     counts = chosen.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    found = counts.toArrow()  # the words of the sample
-    return Model(sorted(zip(*(c.to_pylist() for c in found.columns), strict=True)))
+    counts = materialise(counts, "words")
+    listed = lambda df: sorted(zip(*(c.to_pylist() for c in df.toArrow().columns), strict=True))
+    return Model(listed(counts), listed(gram_table(counts)))  # the words of the sample and their n-grams
+
+
+def gram_table(counts: DataFrame) -> DataFrame:
+    """(size, lang, gram, n) of the n-grams of 1 to LONGEST_GRAM characters in counted words; from 2 on their ends show."""
+    cut = lambda k: f"transform(sequence(1, greatest(1, char_length(w{k}) - {k - 1})), i -> struct({k} AS size, substring(w{k}, i, {k}) AS gram))"
+    padded = [("word" if k == 1 else "concat('^', word, '$')") + f" AS w{k}" for k in range(1, LONGEST_GRAM + 1)]
+    each = counts.selectExpr("lang", "n", *padded).selectExpr("lang", "n", f"explode(concat({', '.join(map(cut, range(1, LONGEST_GRAM + 1)))})) AS g")
+    return each.where("char_length(g.gram) = g.size").groupBy("g.size", "lang", "g.gram").agg(F.sum("n").alias("n"))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -159,6 +159,15 @@ def test_language_learns_every_word_of_its_sample(spark):
     assert set(words) <= set(model.words.row) and len(model.languages) == 31
 
 
+def test_grams_are_counted_alike(spark):
+    counts = [("a", "tarota", 5), ("a", "é", 2), ("b", "ta", 3), ("b", "漢字語", 1), ("b", "x", 1)]
+    counted = [tuple(r) for r in L.gram_table(spark.createDataFrame(counts, "lang string, word string, n long")).collect()]
+    one, other = L.Model(counts), L.Model(counts, counted)
+    for k in range(1, L.LONGEST_GRAM + 1):
+        assert set(one.grams[k].row) == set(other.grams[k].row)
+        assert all(np.allclose(one.grams[k].logs[one.grams[k].row[g]], other.grams[k].logs[other.grams[k].row[g]]) for g in one.grams[k].row)
+
+
 def test_language_backs_off_to_shorter_grams():
     model = L.Model([("a", "tarota", 5), ("b", "milenmi", 5)])
     assert [x[0] for x in model.predict(["tarotatar", "milenx", None, "123"])] == ["a", "b", "und", "und"]

@@ -250,3 +250,31 @@ def test_list_links_of_a_known_source():
     html = f"<html><body><table><tbody>{rows}</tbody></table></body></html>"
     source = {"source_id": "cau_main", "list_url": "https://x.example.com/notice/list.do"}
     assert [x["url"] for x in parse_list(html, source)[0]] == [f"https://x.example.com/notice/list.do?no={n}" for n in (1, 2, 3)]
+
+
+def test_selectors_in_their_order():
+    """Every selector of the tables is one that the tree understands, and the first that matches wins."""
+    from loomspark.functions import selectors as S
+
+    for table in (S.BOARDS, S.DETAIL_TITLES, S.DETAIL_BODIES, S.EXTRACTION_BODIES, (S.MENUS, S.PAGERS, S.CONTEXTS, S.LINKS, S.LIST_TITLES, S.EMPTY_STATES, S.EXPECTED_TITLES, S.CLUTTER)):
+        for selector in table:
+            assert all(tests for chain in dom.compiled(selector) for _, tests in chain), selector
+    page = "<div class='bbs-view'><header class='top'><h2 class='t'>First here</h2></header></div><div id='bo_v_title'>Second here</div><div class='board-view-title-wrap'><h4>Third here</h4></div>"
+    assert details.titles_of(dom.parse(page))[:3] == ["First here", "Third here", "Second here"]
+    box = "<div class='board-write-box'><dl><dt>x</dt><dd>Of its type</dd><dd>second</dd></dl></div><table class='tbl-list_new'><tr><td colspan='2'>Wide cell</td></tr><tr><td colspan='2'>no</td></tr></table>"
+    assert details.titles_of(dom.parse(box))[:2] == ["Wide cell", "Of its type"]
+    assert dom.parse("<nav aria-label='Page numbers'>1</nav>").first(S.PAGERS) and not dom.parse("<a href='?PAGE=2'>2</a>").first(S.PAGERS)
+    rows = "".join(f"<div style='height:85px;float:left'><a href='/view.do?no={n}'>Notice number {n}</a> 2024-01-0{n}</div>" for n in (1, 2))
+    items, m = lists.parse_list(f"<div class='divbox'>{rows}</div>", SOURCE)
+    assert (m["strategy"], m["n_items"]) == ("B_COMMON_BOARD", 2)
+    item = "<div class='hyu-list-body-item' role='listitem'><a href='/view.do?no=7'><span class='txt_bx'><p>Inner title</p></span> more</a> 2024-01-01</div>"
+    assert [x["title"] for x in lists.parse_list(item, SOURCE)[0]] == ["Inner title"]
+
+
+def test_addresses_of_forms():
+    page = "<form action='view.do'><input id='boardId'></form><ul class='notice-list'><li><a href='#' onclick=\"goView('42')\">Notice of a form</a> 2024-01-01</li></ul>"
+    items, _ = lists.parse_list(page, SOURCE | {"list_url": "https://x.example.com/a/list.do?menu=3"})
+    assert [x["url"] for x in items] == ["https://x.example.com/a/view.do?menu=3&boardId=42"]
+    handler = "<script>function view(id){\n document.f.seq2.value = id; document.f.action = '/read';\n}</script><form name='f'><input name='seq2'><input type='hidden' name='k' value='v'><input type='hidden' name='csrf_token' value='no'><input name='mode'></form>"
+    items, _ = lists.parse_list(handler + "<ul class='notice-list'><li><a href='javascript:view(9)'>Notice of a handler</a> 2024-01-01</li></ul>", SOURCE)
+    assert [x["url"] for x in items] == ["https://x.example.com/read?k=v&seq2=9&mode=view"]

@@ -129,10 +129,13 @@ def over(counters: list[int], radius: int) -> int:
 def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Callable[[int, int], bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Index links (member, representative) that span the groups of close fingerprints in each unit.
 
-    With `verify`, a close pair links only if that agrees; pairs that are linked already are not asked about.
+    With `verify`, a close pair links only if that agrees; pairs that are linked already are not asked about. Once every unit
+    is one group, no further pair can matter.
     """
-    label = np.arange(len(fps))
+    label, apart = np.arange(len(fps)), len(fps) - len(np.unique(unit))
     for i, j in close_pairs(unit, fps, radius):
+        if not apart:
+            break
         for x, y in zip(i[m := label[i] != label[j]].tolist(), j[m].tolist(), strict=True):
             a, b = x, y
             while label[a] != a:
@@ -141,6 +144,7 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Call
                 b = label[b]
             if a != b and (verify is None or verify(x, y)):
                 label[max(a, b)] = min(a, b)
+                apart -= 1
         while (label[label] != label).any():
             label = label[label]
     at = np.flatnonzero(label != np.arange(len(fps)))

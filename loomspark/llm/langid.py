@@ -143,10 +143,11 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: s
 
 def gram_table(counts: DataFrame) -> DataFrame:
     """(size, lang, gram, n) of the n-grams of 1 to LONGEST_GRAM characters in counted words; from 2 on their ends show."""
-    cut = lambda k: f"transform(sequence(1, greatest(1, char_length(w{k}) - {k - 1})), i -> struct({k} AS size, substring(w{k}, i, {k}) AS gram))"
-    padded = [("word" if k == 1 else "concat('^', word, '$')") + f" AS w{k}" for k in range(1, LONGEST_GRAM + 1)]
+    # characters first: a substring costs as much as what lies before it, and a word can be long
+    cut = lambda k: f"transform(sequence(0, greatest(0, size(c{k}) - {k})), i -> struct({k} AS size, concat({', '.join(f'get(c{k}, i + {m})' for m in range(k))}) AS gram))"
+    padded = [f"regexp_extract_all({'word' if k == 1 else chr(39).join(('concat(', '^', ', word, ', '$', ')'))}, '(?s).', 0) AS c{k}" for k in range(1, LONGEST_GRAM + 1)]
     each = counts.selectExpr("lang", "n", *padded).selectExpr("lang", "n", f"explode(concat({', '.join(map(cut, range(1, LONGEST_GRAM + 1)))})) AS g")
-    return each.where("char_length(g.gram) = g.size").groupBy("g.size", "lang", "g.gram").agg(F.sum("n").alias("n"))
+    return each.where("g.gram IS NOT NULL").groupBy("g.size", "lang", "g.gram").agg(F.sum("n").alias("n"))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 from datetime import date
 
@@ -85,9 +86,15 @@ def detect_shape(spark: SparkSession, path: str) -> str:
 
 
 def workspace(spark: SparkSession) -> str:
-    """A folder that driver and executors share, for tables that are written to be read again: spark.checkpoint.dir, else the
-    warehouse."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    """A folder that driver and executors share, for tables that are written to be read again: spark.checkpoint.dir. Only where
+    the master is local and the setting unset is there one of our own; on a cluster a folder of this machine would be empty on
+    all others, so that is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="loomspark-")
+        spark.conf.set("spark.checkpoint.dir", found)
     path = f"{found}/loomspark-files-{uuid.uuid4().hex}"
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, line_dedup, mih, packing, pii, quality, repetition, secrets, simhash
+from . import bpe, clicks, hilbert, interactions, langid, line_dedup, mih, packing, pii, quality, repetition, secrets, simhash
 from .common import remainder, table
 
 
@@ -70,8 +70,23 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mih.top_k(rows, rows.where(F.col("vec_id") % 50 == 0)).withColumnRenamed("query_id", "vec_id")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hilbert.assign(table(spark, sf_dir, "documents"), 8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_click_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clicks.deduplicate(clicks.batched(table(spark, sf_dir, "clicks")))
+    return found.select(*(c for c in found.columns if c != "digest"), F.lower(F.hex("digest")).alias("hash"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = interactions.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("part", "filter_order", F.col("step").cast("int").alias("step"), *(F.col(c).cast("bigint").alias(c) for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op4_secret_scan, op5_bpe, op6_quality_rules, op7_pii, op8_simhash, op9_language_id, op10_top_k)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op3_line_dedup, op4_secret_scan, op5_bpe, op6_quality_rules, op7_pii, op8_simhash, op9_language_id, op10_top_k, op11_sharding, op12_click_dedup, op13_filter_audit)}
 
 
 LINES_SQL = r"""
@@ -123,5 +138,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM base"""
 
 
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+least AS (SELECT text, min(doc_id) AS first FROM d GROUP BY 1),
+marks AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY 1),
+flags AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS INT)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(d.doc_id > first, false) AS INT) AS fails
+  FROM d JOIN least USING (text) LEFT JOIN marks ON d.doc_id = marks.doc_id),
+f AS (SELECT unnest(range(5)) AS f, unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.f, b.f, c.f, d.f, e.f] AS fs
+  FROM f a JOIN f b ON b.f <> a.f JOIN f c ON c.f NOT IN (a.f, b.f) JOIN f d ON d.f NOT IN (a.f, b.f, c.f) JOIN f e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, fs[step] AS f, CAST(coalesce(list_sum(list_transform(fs[1:step - 1], lambda x: 1 << x)), 0) AS BIGINT) AS b
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+pairs AS (SELECT DISTINCT f, b FROM steps),
+counts AS (
+  SELECT part, f, b, count(*) FILTER (fails & (b | (1 << f)) = 0) AS kept, count(*) FILTER (fails & b = 0 AND fails & (1 << f) <> 0) AS removed,
+    count(*) FILTER (fails & b <> 0 AND fails & (1 << f) <> 0) AS redundant, count(*) FILTER (fails = 1 << f) AS unique_fails,
+    count(*) FILTER (fails & b = 0 AND fails & (1 << f) <> 0 AND good) AS good_lost, count(*) FILTER (fails & b = 0 AND fails & (1 << f) <> 0 AND toxic) AS toxic_lost
+  FROM flags, pairs GROUP BY 1, 2, 3),
+worth AS (SELECT part, f, CAST(sum(removed) AS BIGINT) AS shapley FROM counts JOIN steps USING (f, b) GROUP BY 1, 2)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley
+FROM steps JOIN counts USING (f, b) JOIN worth USING (part, f)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINES_SQL, "op6_quality_rules": RULES_SQL, "op10_top_k": TOP_K_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op6_quality_rules": RULES_SQL, "op10_top_k": TOP_K_SQL, "op13_filter_audit": AUDIT_SQL}

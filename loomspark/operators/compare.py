@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import placed
+
 
 def canonical(names: DataFrame, column: str, aliases: dict[str, str], excluded: list[str] | None = None) -> DataFrame:
     """Distinct names with aliases replaced, blank and excluded ones gone."""
@@ -31,8 +33,10 @@ def summary(compared: DataFrame, left_only: str, right_only: str) -> DataFrame:
     )
 
 
-def collated(names: DataFrame, column: str, locale: str = "ko") -> DataFrame:
-    return names.orderBy(F.collate(F.col(column), locale))
+def collated(names: DataFrame, column: str, locale: str = "ko", place: str | None = None) -> DataFrame:
+    """Names in the order of a language, those that it takes for equal by their code points; with `place`, their places in it."""
+    order = F.collate(F.col(column), locale).asc(), F.asc(column)
+    return names.orderBy(*order) if place is None else placed(names, *order, name=place)
 
 
 def required(wanted: DataFrame, key: str, existing: DataFrame, existing_key: str) -> DataFrame:

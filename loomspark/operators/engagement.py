@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import written
+from .ranks import placed_within, same
+
 
 def kinds_of(kind: str, kinds: dict[str, str]) -> list[Column]:
     return [F.count_if(F.col(kind) == v).alias(k) for k, v in kinds.items()]
@@ -72,15 +75,29 @@ def suppress_repeats(searches: DataFrame, session: str, order: str, query: str)
     return searches.withColumn("_before", before).where(~F.col("_before").eqNullSafe(F.col(query))).drop("_before")
 
 
+#: Views of a key from which on its history is not folded in one task.
+LONG = 100_000
+
+
 def spaced_views(views: DataFrame, keys: list[str], ts: str, seconds: int = 300) -> DataFrame:
-    """Views that count: each at least `seconds` after the last one that counted.
+    """Views that count: each at least `seconds` after the last one that counted. (keys, n_views, n_counted)
 
-    The anchor is the last counted view, which no window frame knows; a fold over sorted times does, and keeps it on the JVM.
-    A view that comes so long after the one before it counts whatever came earlier, so times are folded run by run: what is
-    gathered in one row is a run without such a gap, not a key's whole history.
+    The anchor is the last counted view, which no window frame knows. Keys with few views are folded; of keys with many the
+    chain of counted views is found by doubled pointers, in many tasks.
     """
-    order = Window.partitionBy(*keys).orderBy("_at")
     timed = views.select(*keys, F.unix_seconds(F.col(ts).cast("timestamp")).alias("_at"))
+    many = written(timed.groupBy(*keys).agg(F.count("_at").alias("_n")).where(F.col("_n") > LONG).select(*keys))
+    if many.isEmpty():
+        return folded(timed, keys, seconds)
+    other = many.select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)))
+    on = same(keys, other.columns)
+    return folded(timed.join(other, on, "left_anti"), keys, seconds).unionByName(chained(timed.join(other, on, "left_semi"), keys, seconds))
+
+
+def folded(timed: DataFrame, keys: list[str], seconds: int) -> DataFrame:
+    """Counted views by a fold over sorted times, on the JVM. A view that comes so long after the one before it counts whatever
+    came earlier, so times are folded run by run: what is gathered in one row is a run without such a gap."""
+    order = Window.partitionBy(*keys).orderBy("_at")
     fresh = F.coalesce((F.col("_at") - F.lag("_at").over(order) >= seconds).cast("int"), F.lit(0))
     runs = timed.withColumn("_fresh", fresh).withColumn("_run", F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     times = runs.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list("_at")).alias("_at"))
@@ -91,6 +108,37 @@ def spaced_views(views: DataFrame, keys: list[str], ts: str, seconds: int = 300)
     return each.groupBy(*keys).agg(F.sum("n").alias("n_views"), F.sum("c").alias("n_counted"))
 
 
+def chained(timed: DataFrame, keys: list[str], seconds: int) -> DataFrame:
+    """Counted views by pointers: a view's next counted one is the first that comes `seconds` later or more.
+
+    Where that is follows from places: sorted together, a moment `seconds` after a view stands behind as many views as come
+    before it. The first view of a key counts; with pointers over 1, 2, 4, ... counted views the known part of the chain
+    doubles in each round, so a chain of n takes log n rounds.
+    """
+    if seconds <= 0:
+        return timed.where("_at IS NOT NULL").groupBy(*keys).agg(F.count("_at").alias("n_views"), F.count("_at").alias("n_counted"))
+    each = timed.where("_at IS NOT NULL").groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n"))
+    own = placed_within(each, keys, F.asc("_at"), name="_place")
+    both = own.select(*keys, "_at", "_place", F.lit(1).alias("_kind")).unionByName(own.select(*keys, (F.col("_at") + seconds).alias("_at"), "_place", F.lit(0).alias("_kind")))
+    found = placed_within(both, keys, F.asc("_at"), F.asc("_kind"), name="_rank").where("_kind = 0")
+    names = [f"_key{i}" for i in range(len(keys))]
+    renamed = lambda df, *more: df.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), *more)
+    jump = found.select(*keys, "_place", (F.col("_rank") - F.col("_place") + 1).alias("_next"))
+    last = renamed(own.groupBy(*keys).agg(F.max("_place").alias("_last")), "_last")
+    jump = written(jump.join(last, same(keys, names)).where("_next <= _last").select(*keys, "_place", "_next"))
+    chain = written(last.select(*(F.col(n).alias(k) for k, n in zip(keys, names, strict=True)), F.lit(1).cast("bigint").alias("_place")))
+    while True:
+        to = renamed(jump, F.col("_place").alias("_from"), F.col("_next").alias("_to"))
+        more = written(chain.join(to, same(keys, names) & (F.col("_place") == F.col("_from"))).select(*keys, F.col("_to").alias("_place")))
+        if more.isEmpty():
+            break
+        chain = written(chain.unionByName(more))
+        jump = written(jump.join(to, same(keys, names) & (F.col("_next") == F.col("_from"))).select(*keys, "_place", F.col("_to").alias("_next")))
+    counted = renamed(chain.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_counted")), "n_counted")
+    total = own.groupBy(*keys).agg(F.sum("_n").alias("n_views"))
+    return total.join(counted, same(keys, names)).select(*keys, "n_views", "n_counted")
+
+
 def toggled(log: DataFrame, keys: list[str], order: str, action: str, on: str = "add") -> DataFrame:
     """What is switched on: the last entry of each key decides."""
     last = log.groupBy(*keys).agg(F.max_by(action, order).alias("_last"))

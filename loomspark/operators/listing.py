@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import offer_name
+from .containment import marked
+from .ranks import placed, placed_within, same
+
 
 def searched(items: DataFrame, query: str, name: str, organisation: str) -> DataFrame:
     """Items whose name, display name or organisation holds the query, case aside; a blank query keeps all."""
@@ -25,48 +28,17 @@ def admin_search(items: DataFrame, query: str, *columns: str) -> DataFrame:
     return items.where(reduce(or_, [F.contains(F.lower(F.col(c)), q) for c in columns]))
 
 
-#: Characters of a name by which texts that may hold it are found.
-GRAM = 3
-
-
-def grams(text: Column) -> Column:
-    """All different runs of 0 to GRAM characters of a text."""
-    runs = lambda n: F.when(F.char_length(text) >= n, F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n))))
-    return F.array_distinct(F.flatten(F.array_compact(F.array(F.array(F.lit("")), *(runs(n) for n in range(1, GRAM + 1))))))
-
-
-def texts_with(texts: DataFrame, text: str, names: DataFrame, name: str, wild: bool) -> DataFrame:
-    """The different texts (lower case) that hold one of the names (lower case, per cent signs and underscores live if `wild`).
-
-    A substring condition has no key to join on; the last characters of a name's last literal part are one. Texts meet the
-    names that end like something in them by an equal key, and the condition itself decides. The plan is the same for any
-    number of names.
-    """
-    part = F.try_element_at(F.filter(F.split(F.col(name), "[%_]"), lambda p: p != ""), F.lit(-1)) if wild else F.col(name)
-    keyed = names.select(F.col(name).alias("_name"), F.coalesce(F.when(F.char_length(part) > GRAM, F.right(part, F.lit(GRAM))).otherwise(part), F.lit("")).alias("_gram")).distinct()
-    each = texts.select(F.col(text).alias("_text")).where(F.col("_text").isNotNull()).distinct()
-    each = each.select("_text", F.explode(grams(F.col("_text"))).alias("_gram"))
-    holds = F.call_function("ilike", F.col("_text"), F.concat(F.lit("%"), "_name", F.lit("%"))) if wild else F.contains("_text", F.col("_name"))
-    return each.join(keyed, "_gram").where(holds).select("_text").distinct()
-
-
 def without_names(items: DataFrame, text: Column, names: DataFrame, name: str, least: int = 3) -> DataFrame:
     """Items whose text holds none of the names of `least` characters or more, case aside."""
     wanted = names.select(F.lower(F.trim(name)).alias("_name")).where(F.char_length("_name") >= least)
-    rows = items.withColumn("_low", F.lower(text))
-    found = texts_with(rows, "_low", wanted, "_name", wild=False)
-    return rows.join(found, F.col("_low") == F.col("_text"), "left_anti").drop("_low")
+    return marked(items, [F.lower(text)], wanted, "_name", False, "_held").where(~F.col("_held")).drop("_held")
 
 
 def on_campus(items: DataFrame, restricted: str, texts: list[str], names: DataFrame, name: str) -> DataFrame:
     """is_campus: the item is restricted to institutions, or one of its texts holds an institution's name (wildcards live)."""
     wanted = names.select(F.lower(F.trim(name)).alias("_name")).where(F.col("_name") != "")
-    rows, held = items, F.coalesce(F.size(restricted) > 0, F.lit(False))
-    for i, c in enumerate(texts):
-        found = texts_with(items.select(F.lower(c).alias("_low")), "_low", wanted, "_name", wild=True).select(F.col("_text").alias(f"_text{i}"))
-        rows = rows.join(found, F.lower(c) == F.col(f"_text{i}"), "left")
-        held = held | F.col(f"_text{i}").isNotNull()
-    return rows.withColumn("is_campus", held).drop(*(f"_text{i}" for i in range(len(texts))))
+    rows = marked(items, [F.lower(c) for c in texts], wanted, "_name", True, "_held")
+    return rows.withColumn("is_campus", F.coalesce(F.size(restricted) > 0, F.lit(False)) | F.col("_held")).drop("_held")
 
 
 def with_counts(items: DataFrame, key: str, log: DataFrame, log_key: str, name: str = "scrap_count", few: bool = False) -> DataFrame:
@@ -82,15 +54,15 @@ def with_counts(items: DataFrame, key: str, log: DataFrame, log_key: str, name:
 
 
 def ranked(items: DataFrame, *order: Column, name: str = "rn") -> DataFrame:
-    """Items numbered in a total order. One global sequence needs one task: filter first."""
-    return items.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """Items numbered from 1 in a total order, dealt out by range."""
+    return placed(items, *order, name=name).withColumn(name, F.col(name).cast("int"))
 
 
 def page(items: DataFrame, number: int | None, size: int | None, *order: Column) -> DataFrame:
     """One page; page and size are clamped (1 and up; 1 to 50, 24 unless given). Only the page's rows leave their tasks."""
     number, size = max(1 if number is None else number, 1), max(min(24 if size is None else size, 50), 1)
     upto = items.orderBy(*order).limit(number * size)
-    numbered = ranked(upto, *order)
+    numbered = upto.withColumn("rn", F.row_number().over(Window.orderBy(*order)))  # the pages so far, no more
     return numbered.where(F.col("rn") > (number - 1) * size)
 
 
@@ -117,14 +89,35 @@ def sort_keys(mode: str, end: str, created: str, views: str, scraps: str, recomm
 def place_ads(rows: DataFrame, group: str, position: str, key: str, is_ad: str, place: str) -> DataFrame:
     """Rows of each list with advertisements at the places they ask for; column `position` is renumbered from 0.
 
-    Insertion is sequential, each shifting what follows, so a fold over the advertisements of one list does it.
+    Advertisements are put in one after the other, by place and key, each at its place or at the end, and shift what follows.
+    Where everything ends up follows from counts, without a list in one row:
+
+    - slots are taken from the left. The i-th advertisement asks for slot e = min(place, rows + i), and these grow with i; the
+      slots that are taken are i + max(e - i so far).
+    - advertisements that ask for one slot push each other on, the last one stays: who sits where is a stack, and a stack's
+      n-th push to a depth is popped by its n-th pop from there.
+    - the other rows fill the free slots in their order: a row with r rows before it stands behind the advertisements that have
+      at most r free slots before them. Rows and advertisements sorted by that number are in their final order.
+
+    Only advertisements meet in windows, list by list. Rows are dealt out by range of (list, order), so a list can be any size.
     """
     wants = F.coalesce(F.col(is_ad) & (F.col(place) > 0), F.lit(False))
-    row = F.struct(F.col(position).cast("bigint").alias("at"), F.col(key).alias("id"))
-    lists = rows.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.when(~wants, row))), lambda x: x["id"]).alias("_base"),
-        F.array_sort(F.collect_list(F.when(wants, F.struct(F.col(place).cast("bigint").alias("at"), F.col(key).alias("id"))))).alias("_ads"),
-    )
-    put = lambda a, x: F.array_insert(a, F.least(x["at"], F.size(a).cast("bigint") + 1).cast("int"), x["id"])
-    placed = lists.select(group, F.posexplode(F.aggregate("_ads", F.col("_base"), put)).alias(position, key))
-    return placed.withColumn(position, F.col(position).cast("bigint"))
+    own = rows.select(F.col(group).alias("_list"), F.col(position).cast("bigint").alias("_at"), F.col(key).alias("_key"), F.col(place).cast("bigint").alias("_place"), wants.alias("_ad"))
+    base = placed_within(own.where(~F.col("_ad")).select("_list", "_at", "_key"), ["_list"], F.asc("_at"), F.asc("_key"), name="_free", first=0)
+    sizes = base.groupBy(F.col("_list").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    by = Window.partitionBy("_list").orderBy("_place", "_key")
+    ads = own.where("_ad").select("_list", "_place", "_key", F.row_number().over(by).cast("bigint").alias("_i"))
+    ads = ads.join(sizes, same(["_list"], ["_of"]), "left").withColumn("_asks", F.least("_place", F.coalesce("_rows", F.lit(0)) + F.col("_i")))
+    ads = ads.withColumn("_free", F.max(F.col("_asks") - F.col("_i")).over(Window.partitionBy("_list").orderBy("_i")))
+
+    event = lambda slot, pops, k: F.struct(slot.alias("slot"), F.lit(pops).alias("pops"), F.col("_i").alias("i"), k.alias("key"))
+    each = ads.select("_list", F.inline(F.array(event(F.col("_asks"), 0, F.col("_key")), event(F.col("_free") + F.col("_i"), 1, F.lit(None).cast(dict(own.dtypes)["_key"])))))
+    order = Window.partitionBy("_list").orderBy("slot", "pops", "i")
+    deep = each.withColumn("_depth", F.sum(F.lit(1) - F.lit(2) * F.col("pops")).over(order) + F.col("pops"))
+    nth = deep.withColumn("_nth", F.row_number().over(Window.partitionBy("_list", "_depth", "pops").orderBy("slot", "i")))
+    seated = nth.groupBy("_list", "_depth", "_nth").agg(F.max("key").alias("_key"), F.max(F.when(F.col("pops") == 1, F.col("slot"))).alias("_slot"))
+
+    line = base.select("_list", "_free", F.lit(1).alias("_kind"), "_key").unionByName(ads.select("_list", "_free", F.lit(0).alias("_kind"), "_key"))
+    final = placed_within(line, ["_list"], F.asc("_free"), F.asc("_kind"), F.asc("_key"), name="_slot").where("_kind = 1")
+    out = final.select("_list", "_slot", "_key").unionByName(seated.select("_list", "_slot", "_key"))
+    return out.select(F.col("_list").alias(group), (F.col("_slot") - 1).cast("bigint").alias(position), F.col("_key").alias(key))

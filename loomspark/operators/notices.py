@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decisions as D
 from ..functions.text import clean_text
+from .ranks import placed, ranked
 
 
 def first_wins(rows: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
@@ -57,8 +58,8 @@ def best_of(rows: DataFrame, key: list[str], priority: str, ordinal: str, keep:
 
 def numbered_ids(rows: DataFrame, prefix: str, ordinal: str, name: str = "source_id") -> DataFrame:
     """prefix_001, prefix_002, ... in order; the number grows past three digits where it must."""
-    nth = F.row_number().over(Window.orderBy(ordinal))
-    return rows.withColumn(name, F.concat(F.lit(f"{prefix}_"), F.format_string("%03d", nth)))
+    nth = placed(rows, F.asc(ordinal), name="_nth_of_all")
+    return nth.withColumn(name, F.concat(F.lit(f"{prefix}_"), F.format_string("%03d", "_nth_of_all"))).drop("_nth_of_all")
 
 
 def first_n(rows: DataFrame, by: list[str], ordinal: str, n: int) -> DataFrame:
@@ -160,7 +161,8 @@ def missing_parents(selected: DataFrame, item: list[str], operation: str, parent
 def selected(operations: DataFrame, item: str, order: str, reasons: str, most: int) -> DataFrame:
     """Operations with their reasons of exclusion; items beyond the first `most` that have none are over the limit."""
     clear = F.when(F.size(reasons) == 0, F.col(order))
-    place = operations.groupBy(item).agg(F.min(clear).alias("_first")).where(F.col("_first").isNotNull()).withColumn("_place", F.dense_rank().over(Window.orderBy("_first"))).select(item, "_place")
+    firsts = operations.groupBy(item).agg(F.min(clear).alias("_first")).where(F.col("_first").isNotNull())
+    place = ranked(firsts, ["_first"], "_place", dense=True).select(item, "_place")
     joined = operations.join(place, item, "left")
     over = (F.size(reasons) == 0) & (F.col("_place") > most)
     return joined.withColumn(reasons, F.when(over, F.array(F.lit("max_items_limit_reached"))).otherwise(F.col(reasons))).drop("_place")

@@ -10,7 +10,9 @@ Rows that are alike in all columns of an order meet in one partition, so an orde
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +46,26 @@ def placed(rows: DataFrame, *order: Column, name: str = "place", first: int = 1)
     return out.select(*rows.columns, (F.col("_base") + F.col("_nth") + F.lit(first)).cast("bigint").alias(name))
 
 
+def same(left: list[str], right: list[str]) -> Column:
+    """Keys that are equal, nulls too."""
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)])
+
+
+def placed_within(rows: DataFrame, by: list[str], *order: Column, name: str = "place", first: int = 1) -> DataFrame:
+    """Rows with `name`: their places within their group, gapless from `first`.
+
+    Rows are dealt out by (group, order), so a group of any size is as many partitions as it needs. What a row's place still
+    lacks is the number of its group's rows in the partitions before: one row for each group and partition.
+    """
+    kept, _, _ = in_ranges(rows, [*map(F.col, by), *order])
+    own = [f"_k{i}" for i in range(len(by))]
+    runs = kept.groupBy(F.col("_part").alias("_p"), *(F.col(c).alias(k) for c, k in zip(by, own, strict=True))).agg(F.min("_nth").alias("_low"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*own).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("_p", *own, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low")).alias("_shift"))
+    out = kept.join(runs, (F.col("_part") == F.col("_p")) & same(by, own))
+    return out.select(*rows.columns, (F.col("_nth") + F.col("_shift") + F.lit(first)).cast("bigint").alias(name))
+
+
 def sums_before(rows: DataFrame, order: list[str], weight: str, name: str = "before") -> tuple[DataFrame, int]:
     """Rows with `name`, the sum of `weight` (whole numbers) over all rows before them in the order; and the sum over all rows."""
     kept, base, total = in_ranges(rows, [F.col(c) for c in order], F.col(weight))
@@ -65,8 +87,4 @@ def ranked(rows: DataFrame, keys: list[str], name: str = "place", dense: bool =
     else:
         before, _ = sums_before(each, own, "_n", name)
         ranks = before.withColumn(name, F.col(name) + 1).drop("_n")
-    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own, strict=True)]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    return rows.join(ranks, on).drop(*own)
+    return rows.join(ranks, same(keys, own)).drop(*own)

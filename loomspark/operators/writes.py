@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(stored: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
-    """The stored rows whose keys are not fresh, and the fresh rows."""
+def upsert(stored: DataFrame, fresh: DataFrame, keys: list[str], ordinal: str | None = None) -> DataFrame:
+    """The stored rows whose keys are not fresh, and the fresh rows; with `ordinal`, of several fresh rows of a key the last.
+    To rewrite only the partitions that change, see operators.guarded."""
+    if ordinal is not None:
+        fresh = fresh.groupBy(*keys).agg(F.max_by(F.struct(*fresh.columns), ordinal).alias("_row")).select("_row.*")
     return stored.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
 
 

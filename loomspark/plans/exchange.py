@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import guarded
 from ..operators import notices as N
 from ..operators import reports as R
 from ..operators import tree
@@ -61,18 +62,22 @@ def run_document_items(spark, sf_dir):
     return items.select("run_key", "source_index", "source_key", "item_index", "item.title", F.col("item.discovered_url").alias("url"), F.col("item.assets")[0]["filename"].alias("asset"))
 
 
-@query("SELECT 0 AS id, 'collector-output' AS shape UNION ALL SELECT 1, 'synthetic-compatible' UNION ALL SELECT 2, 'collector-report' UNION ALL SELECT 3, 'candidate-list'")
+@query("""SELECT s_suppkey AS id, CASE s_suppkey % 5 WHEN 0 THEN 'collector-output' WHEN 1 THEN 'synthetic-compatible' WHEN 2 THEN 'collector-report' ELSE 'candidate-list' END AS shape FROM supplier""")
 def document_shapes(spark, sf_dir):
-    """One document of each of the four shapes, the first with a mark of the byte order."""
-    two = run_documents(spark, sf_dir).where("run_key IN ('run-0', 'run-1')").select("run_key", "value")
-    nations = read(spark, sf_dir, "nation").agg(F.to_json(F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("k"), F.col("n_name").alias("title"))))).alias("list"))
-    texts = [two.where("run_key = 'run-0'").select(F.concat(F.lit(files.BOM), "value").alias("value")), two.where("run_key = 'run-1'").select("value"), nations.select(F.concat(F.lit('{"newNotices":'), "list", F.lit("}")).alias("value")), nations.select(F.col("list").alias("value"))]
-    found = []
-    for k, text in enumerate(texts):
-        path = files.workspace(spark)
-        text.coalesce(1).write.text(path)
-        found.append((k, files.detect_shape(spark, path)))
-    return spark.createDataFrame(found, "id int, shape string")
+    """A folder of documents of all shapes, a file for each supplier, some with a mark of the byte order."""
+    k, name = F.col("s_suppkey"), F.to_json(F.struct(F.col("s_name").alias("title")))
+    items = F.concat(F.lit("["), name, F.lit("]"))
+    text = (
+        F.when(k % 5 == 0, F.concat(F.lit(files.BOM + '{"collector_output_version": 2, "sources": '), items, F.lit("}")))
+        .when(k % 5 == 1, F.concat(F.lit('{"sources":'), items, F.lit(', "newNotices": 1}')))
+        .when(k % 5 == 2, F.concat(F.lit(' {"'), F.when(k % 2 == 0, "newNotices").otherwise("perSource"), F.lit('":'), items, F.lit("}")))
+        .when(k % 5 == 3, F.concat(F.lit('{"sources": {}, "items": '), items, F.lit("}")))
+        .otherwise(items)
+    )
+    path = files.workspace(spark)
+    read(spark, sf_dir, "supplier").select("s_suppkey", text.alias("value")).write.partitionBy("s_suppkey").text(path)
+    found = files.detect_shapes(spark, path)
+    return found.select(F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("bigint").alias("id"), "shape")
 
 
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS id, concat(p_name, '''s (', p_brand, '), x') AS name, CASE WHEN p_size % 2 = 0 THEN CAST(p_retailprice AS VARCHAR) END AS price, CASE WHEN p_partkey % 3 = 0 THEN p_type END AS kind FROM part""")
@@ -243,3 +248,33 @@ def guarded_runs(spark, sf_dir):
         except ValueError:
             continue  # recorded
     return spark.read.parquet(path).select("run_id", "status")
+
+
+@query("""SELECT 'orders' AS table_name, o_orderpriority AS part, count(*) AS n_rows, CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS BIGINT) AS n_new FROM orders GROUP BY 2
+UNION ALL SELECT 'customers', CAST(c_nationkey AS VARCHAR), count(*), CAST(sum(CASE WHEN c_nationkey < 5 THEN 1 ELSE 0 END) AS BIGINT) FROM customer GROUP BY 2""")
+def guarded_apply(spark, sf_dir):
+    """Two tables that change together: a first state, a run that fails between them, one that a check refuses, and the
+    failed run again, which takes over what it had staged. Partitions that no run brings stay as they were written."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.lit("old").alias("state"))
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.lit("old").alias("state"))
+    types = lambda df: ", ".join(f"{c} {t}" for c, t in df.dtypes)
+    store = guarded.Store(spark, files.workspace(spark), {"orders": ("o_orderpriority", types(orders)), "customers": ("c_nationkey", types(customers))})
+
+    def references(tables: dict[str, DataFrame]) -> str | None:
+        return "orders without their customers" if R.orphans(tables["orders"], "o_custkey", tables["customers"], "c_custkey", "missing").first()["n_rows"] else None
+
+    def fails(tables: DataFrame) -> DataFrame:
+        return tables.withColumn("state", F.raise_error(F.lit("lost between two tables")).cast("string"))
+
+    store.apply("first", {"orders": orders, "customers": customers}, [references])
+    urgent, near = orders.where("o_orderpriority = '1-URGENT'").withColumn("state", F.lit("new")), customers.where("c_nationkey < 5").withColumn("state", F.lit("new"))
+    for run, brought in (("second", {"orders": urgent, "customers": fails(near)}), ("refused", {"customers": near.where("c_custkey < 0").unionByName(near.where("c_nationkey = 0").withColumn("c_custkey", -F.col("c_custkey")))})):
+        try:
+            store.apply(run, brought, [references])
+        except Exception:
+            continue  # the state is as it was: what follows would find it out
+        raise AssertionError(f"{run} should have failed")
+    store.apply("second", {"orders": urgent, "customers": near}, [references])
+    each = [(t, store.tables[t][0]) for t in store.tables]
+    found = [store.table(t).groupBy(F.col(c).cast("string").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("state") == "new").alias("n_new")).select(F.lit(t).alias("table_name"), "part", "n_rows", "n_new") for t, c in each]
+    return found[0].unionByName(found[1])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import seoul_date, within_seoul_days
 from ..operators import engagement as E
+from ..streaming import feed
+from ..streaming import views as V
 from .registry import query, read
 
 KINDS = {"n_views": "view", "n_clicks": "click", "n_purchases": "purchase", "n_signups": "signup", "n_errors": "error"}
@@ -30,6 +32,36 @@ def daily_kpi(spark, sf_dir):
     return E.daily_kpi(events(spark, sf_dir), "day", "user_id", "event_type", KINDS)
 
 
+def fed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log as it may come in: in four batches by a hash of the event, so events are late by any number of days, and every fifth
+    of them a second time in a later batch."""
+    log = events(spark, sf_dir).select("event_id", "user_id", "event_type", "day", "item")
+    first = F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int")
+    again = F.when(F.col("event_id") % 5 == 0, F.array(first, F.least(first + 1, F.lit(3)))).otherwise(F.array(first))
+    return log.withColumn("batch", F.explode(again))
+
+
+@query(f"SELECT {DAY_SQL} AS day, count(DISTINCT user_id) AS active_users, count(*) AS n_events, {COUNTS_SQL} FROM events GROUP BY 1")
+def streamed_daily_kpi(spark, sf_dir):
+    """The daily KPIs from a stream of late and repeated events over several starts: the same as those of the whole log."""
+
+    def start(stream: DataFrame, base: str):
+        feed.keep_versions(V.users_of_days(stream, "day", "user_id"), base, "users").awaitTermination()
+        return feed.keep_versions(V.counts_of_days(stream, "day", KINDS), base, "counts")
+
+    base = feed.played(fed(spark, sf_dir), "batch", start)
+    users, counts = feed.latest(spark, base, "users", ["day"]), feed.latest(spark, base, "counts", ["day"])
+    return counts.join(users, "day", "left").select("day", F.coalesce("active_users", F.lit(0)).alias("active_users"), "n_events", *KINDS)
+
+
+@query(f"SELECT DISTINCT {ITEM_SQL} AS item FROM events WHERE {ITEM_SQL} IS NOT NULL")
+def streamed_new_items(spark, sf_dir):
+    """Items as they are seen for the first time, over several starts: each once."""
+    rows = fed(spark, sf_dir).where(F.col("item").isNotNull()).select("item", "batch")
+    base = feed.played(rows, "batch", lambda stream, at: feed.keep_versions(V.new_items(stream, "item"), at, "items", "append"))
+    return spark.read.parquet(f"{base}/items").select("item")
+
+
 @query(f"SELECT DATE '2024-03-01' AS day, count(DISTINCT user_id) AS active_users, count(*) AS n_events, {COUNTS_SQL} FROM events WHERE {DAY_SQL} = DATE '2024-03-01'")
 def day_kpi_without_events(spark, sf_dir):
     return E.day_kpi(events(spark, sf_dir, "2024-03-01", "2024-03-01"), "day", "2024-03-01", "user_id", "event_type", KINDS)

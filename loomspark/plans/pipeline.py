@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import arrays as A
 from ..functions import decisions as D
 from ..functions import keys, urls
 from ..functions import text as T
 from ..functions.dates import in_lookback, not_ended, parse_date
 from ..functions.html import strip_tags
+from ..operators import containment as H
 from ..operators import notices as N
 from .registry import query, read
 
@@ -285,9 +285,7 @@ def fuzzy_distinct_on(spark, sf_dir):
     part = read(spark, sf_dir, "part")
     a = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), "p_brand", "p_type")
     b = part.select(F.col("p_partkey").alias("other"), F.col("p_name").alias("other_name"), "p_brand", "p_type").withColumn("word", F.substring_index("other_name", " ", 1))
-    pairs = a.join(b, ["p_brand", "p_type"]).where((F.col("id") != F.col("other")) & A.contains_either(F.col("name"), F.col("word")))
-    first = F.struct(-F.length("other_name"), "other")
-    return pairs.groupBy("id").agg(F.min_by(F.struct("other", "other_name"), first).alias("b")).select("id", "b.other", "b.other_name")
+    return H.longest_held(a, "id", "name", b, "other", "word", "other_name", ["p_brand", "p_type"])
 
 
 @query("""SELECT doc_id AS id, keyword, CAST(strpos(lower(text), keyword) - 1 AS INTEGER) AS offset_start FROM documents, (SELECT unnest(['the', 'license', 'zzz', 'que']) AS keyword) WHERE strpos(lower(text), keyword) > 0""")

@@ -341,7 +341,5 @@ def blockers(spark, sf_dir):
 
 @query("""WITH n AS (SELECT DISTINCT concat(CASE WHEN p_size % 2 = 0 THEN '나' ELSE '가' END, p_type, p_size) AS name FROM part) SELECT name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS place FROM n""")
 def collated_names(spark, sf_dir):
-    from pyspark.sql import Window
-
     names = read(spark, sf_dir, "part").select(F.concat(F.when(F.col("p_size") % 2 == 0, "나").otherwise("가"), "p_type", F.col("p_size").cast("string")).alias("name")).distinct()
-    return C.collated(names, "name").withColumn("place", F.row_number().over(Window.orderBy(F.collate("name", "ko"))))
+    return C.collated(names, "name", place="place").withColumn("place", F.col("place").cast("int"))

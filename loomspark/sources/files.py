@@ -37,13 +37,17 @@ def csv_line(columns: list[Column]) -> Column:
 
 
 def write_csv(df: DataFrame, path: str, order: list[Column] | None = None) -> None:
-    """One file with a byte order mark and CRLF line ends, as spreadsheets want it. For reports: one task writes it."""
-    lines = df.orderBy(*order) if order else df
+    """Files with a byte order mark, a header and CRLF line ends, as spreadsheets want them; rows in order over the files, as many
+    as the sort has partitions. Each file is whole by itself, and `read_csv` reads the folder."""
     head = BOM + ",".join(f'"{c}"' if re.search('[",\r\n]', c) else c for c in df.columns)
-    body = lines.select(csv_line([F.col(f"`{c}`") for c in df.columns]).alias("value"))
-    header = df.sparkSession.createDataFrame([(head, -1)], "value string, _n long")
-    numbered = header.unionByName(body.withColumn("_n", F.monotonically_increasing_id()))
-    numbered.coalesce(1).sortWithinPartitions("_n").select("value").write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    if df.isEmpty():
+        df.sparkSession.range(1).select(F.lit(head).alias("value")).write.mode("overwrite").option("lineSep", "\r\n").text(path)
+        return
+    # the row that a partition begins with, after the sort, takes the header along
+    begins = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = (df.orderBy(*order) if order else df).select(csv_line([F.col(f"`{c}`") for c in df.columns]).alias("value"), begins.alias("_first"))
+    value = F.when(F.col("_first"), F.concat(F.lit(head + "\r\n"), "value")).otherwise(F.col("value"))
+    lines.select(value.alias("value")).write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, lines: bool = False) -> DataFrame:
@@ -70,9 +74,10 @@ def run_items(documents: DataFrame) -> DataFrame:
     return each.select("run_key", "source_index", F.lower(F.trim("_s.source_key")).alias("source_key"), F.posexplode("_s.items").alias("item_index", "item"))
 
 
-def detect_shape(spark: SparkSession, path: str) -> str:
-    """collector-output, synthetic-compatible, collector-report or candidate-list, by the fields at the top of one document."""
-    head = spark.read.text(path, wholetext=True).select(F.ltrim(F.regexp_replace("value", f"^{BOM}", "")).alias("t")).limit(1)
+def detect_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, shape) of every document in a folder, by the fields at its top: collector-output, synthetic-compatible,
+    collector-report or candidate-list. Each document is looked at in the task that reads it."""
+    head = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.ltrim(F.regexp_replace("value", f"^{BOM}", "")).alias("t"))
     is_list = lambda name: F.startswith(F.ltrim(F.coalesce(F.get_json_object("t", f"$.{name}"), F.lit(""))), F.lit("["))
     version = F.coalesce(F.get_json_object("t", "$.collector_output_version"), F.lit("")) != ""
     shape = (
@@ -81,8 +86,7 @@ def detect_shape(spark: SparkSession, path: str) -> str:
         .when(is_list("newNotices") | is_list("perSource"), "collector-report")
         .otherwise("candidate-list")
     )
-    first = head.select(shape).first()
-    return first[0] if first else "candidate-list"
+    return head.select("path", shape.alias("shape"))
 
 
 def workspace(spark: SparkSession) -> str:
@@ -136,10 +140,11 @@ def table_row(columns: list[Column]) -> Column:
 
 
 def write_word(df: DataFrame, path: str, title: str, order: list[Column] | None = None, lang: str = "ko") -> None:
-    """A document that word processors open: one table, a byte order mark first. For reports: one task writes it."""
-    rows = (df.orderBy(*order) if order else df).select(table_row([F.col(f"`{c}`") for c in df.columns]).alias("value"))
+    """A document that word processors open, a byte order mark first, as parts that make it up in the order of their names: the
+    head is the first line of the sort and the end its last, so no task has all rows."""
     shown = df.sparkSession.range(1).select(*(markup(F.lit(x)) for x in (title, *df.columns))).first()
     head = BOM + PAGE_HEAD.format(lang=lang, title=shown[0], cells="".join(f"<th>{c}</th>" for c in shown[1:]))
-    edges = df.sparkSession.createDataFrame([(head, -1), (PAGE_TAIL, 1 << 62)], "value string, _n long")
-    numbered = edges.unionByName(rows.withColumn("_n", F.monotonically_increasing_id()))
-    numbered.coalesce(1).sortWithinPartitions("_n").select("value").write.mode("overwrite").text(path)
+    edges = df.sparkSession.createDataFrame([(head, 0), (PAGE_TAIL, 2)], "_fixed string, _kind int")
+    rows = df.withColumns({"_kind": F.lit(1), "_n": F.monotonically_increasing_id(), "_fixed": F.lit(None).cast("string")}).unionByName(edges, allowMissingColumns=True)
+    lines = rows.orderBy("_kind", *(order or [F.asc("_n")])).select(F.coalesce("_fixed", table_row([F.col(f"`{c}`") for c in df.columns])).alias("value"))
+    lines.write.mode("overwrite").text(path)

@@ -1,4 +1,4 @@
-"""The event log as a stream: daily KPIs, new items, views that count. The batch forms are in operators.engagement."""
+"""The event log as a stream: daily KPIs with exact users, new items, views that count. The batch forms are in operators.engagement."""
 
 from __future__ import annotations
 
@@ -18,19 +18,22 @@ def read_events(spark: SparkSession, path: str, schema: str = EVENT, files_per_b
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
-def daily_kpi(events: DataFrame, kinds: dict[str, str], late: str = "1 day") -> DataFrame:
-    """KPIs per local day (which starts at 15:00 UTC); events that are late by more than `late` are left out.
+def counts_of_days(events: DataFrame, day: str, kinds: dict[str, str], key: str = "event_id", kind: str = "event_type") -> DataFrame:
+    """Events per day, each event once however often and late it comes. State: the keys of all events, and a row per day."""
+    counts = [F.count_if(F.col(kind) == v).alias(k) for k, v in kinds.items()]
+    return events.dropDuplicates([key]).groupBy(day).agg(F.count(F.lit(1)).alias("n_events"), *counts)
 
-    Distinct users can't be counted exactly in bounded state; a sketch of them can.
-    """
-    day = F.window("ts", "1 day", startTime="15 hours")
-    counts = [F.count_if(F.col("event_type") == v).alias(k) for k, v in kinds.items()]
-    own = events.withWatermark("ts", late).groupBy(day.alias("w")).agg(F.approx_count_distinct("user_id").alias("active_users"), F.count(F.lit(1)).alias("n_events"), *counts)
-    return own.select(F.to_date(F.col("w.start") + F.expr("INTERVAL 9 HOURS")).alias("day"), "active_users", "n_events", *kinds)
+
+def users_of_days(events: DataFrame, day: str, user: str) -> DataFrame:
+    """Distinct users per day, exactly: a first step lets each user of a day pass once, a second one counts them. State: the
+    pairs of day and user, and a row per day; nothing is forgotten, so late events count, and count once."""
+    return events.where(F.col(user).isNotNull()).select(day, user).dropDuplicates([day, user]).groupBy(day).agg(F.count(F.lit(1)).alias("active_users"))
 
 
-def new_items(items: DataFrame, key: str, ts: str, remember: str = "30 days") -> DataFrame:
-    """Items whose key was not seen within `remember`."""
+def new_items(items: DataFrame, key: str, ts: str | None = None, remember: str | None = None) -> DataFrame:
+    """Items whose key was not seen before; what has been seen stays seen, unless `remember` bounds how long (by `ts`)."""
+    if remember is None:
+        return items.dropDuplicates([key])
     return items.withWatermark(ts, remember).dropDuplicatesWithinWatermark([key])
 
 

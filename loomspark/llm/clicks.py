@@ -48,7 +48,15 @@ WINDOW = np.dtype([("click", "<i8"), ("start", "<i8"), ("digest", "V32"), ("repe
 ROWS = "bucket bigint, click_id bigint, hour bigint, digest binary, n bigint, crc bigint, event_time timestamp"
 CLOSED = "click_id bigint, start_hour bigint, n_repeats bigint, n_conflicts bigint, conflict_crc bigint, digest binary"
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-SETTINGS = {"spark.sql.streaming.stateStore.providerClass": STORE, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "true"}
+#: A start has a batch or two, so stores are closed as soon as they have committed: each open one holds a folder of megabytes,
+#: and those of earlier starts would stay until maintenance comes round.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": STORE,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "true",
+}
 
 
 def fold(open_windows: np.ndarray, click: np.ndarray, hour: np.ndarray, digest: np.ndarray, opens: np.ndarray, n: np.ndarray, crc: np.ndarray, span: int = SPAN_HOURS) -> tuple[np.ndarray, np.ndarray]:

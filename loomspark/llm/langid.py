@@ -1,30 +1,38 @@
 """Language by words first: known words by their log frequency per language, unseen words by ever shorter n-grams.
 
+Words and n-grams are counted in Spark, by their 64-bit hashes; what the driver gets are Arrow columns, a row for each word or
+n-gram with its counts in all languages. The model is those hashes in order and a matrix of log frequencies: a look-up is a binary
+search in numpy. It is made of a sample of documents that is bounded in documents and in bytes, and its own size is checked
+before it goes out to the tasks: a model that is too large is made again of half the sample.
+
 Cases: null texts and texts without a letter are `und` with score 0; with nothing to learn from, every text is `und`;
-texts are taken whole; repeated rows and ties (the first language in order wins) are handled like any other; other columns,
-whatever their names, are carried or left alone.
+texts are taken whole; repeated rows and ties (the first language in order wins) are handled like any other; rows of one id are
+drawn by their texts, each on its own; other columns, whatever their names, are carried or left alone.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, map_texts, materialise, short_batches
 
-#: Documents of each language to learn from, and documents in all, however many languages there are: the model's bounds. All
-#: words of those documents are learned.
-SAMPLE_DOCS, SAMPLE_ALL = 2000, 40_000
+#: Documents of each language to learn from, documents in all and bytes of their texts in all, however many languages there are
+#: (each has its share of both); and bytes of the model, which is larger only where nearly all words are different.
+SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_BYTES = 2000, 40_000, 128 << 20
+MODEL_BYTES = 192 << 20
 LONGEST_GRAM, BACKOFF, FLOOR = 4, 0.7, 0.5
 UNKNOWN = "und"
 REMEMBERED = 300_000
 WORD = regex.compile(r"\p{L}+")
+SEED = 42  # that of Spark's xxhash64
 
 
 def grams(word: str, size: int) -> list[str]:
@@ -32,39 +40,35 @@ def grams(word: str, size: int) -> list[str]:
     return [padded[i : i + size] for i in range(len(padded) - size + 1)]
 
 
+def hashed(texts: Iterable[str]) -> np.ndarray:
+    """XXH64 as signed longs, as Spark has them."""
+    return np.fromiter((xxhash.xxh64_intdigest(t.encode(), SEED) for t in texts), np.uint64).view(np.int64)
+
+
 class Table:
-    """Log frequencies per language: a row of the matrix for each key."""
+    """Log frequencies per language: a row of the matrix for each hash, in ascending order of the hashes."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, seen = keys[order], counts[order] + FLOOR
+        self.logs = np.log(seen / np.maximum(seen.sum(0), 1)).astype(np.float32)
 
-    def __init__(self, counts: dict[tuple[str, int], float], languages: int):
-        keys = list(dict.fromkeys(x for x, _ in counts))
-        self.row = {x: i for i, x in enumerate(keys)}
-        seen = np.full((len(keys), languages), FLOOR)
-        at = np.array([(self.row[x], k) for x, k in counts], np.int64).reshape(-1, 2).T
-        np.add.at(seen, tuple(at), list(counts.values()))
-        self.logs = np.log(seen / np.maximum(seen.sum(0), 1))
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each hash, -1 where there is none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
 
 
 class Model:
-    """Tables of words and of n-grams of each size. `gram_counts` are (size, language, n-gram, n); without them they are
-    counted here."""
-
-    def __init__(self, counts: list[tuple[str, str, int]], gram_counts: list[tuple[int, str, str, int]] | None = None):
-        self.languages = sorted({lang for lang, _, _ in counts})
-        at = {x: i for i, x in enumerate(self.languages)}
-        self.words = Table({(w, at[lang]): n for lang, w, n in counts}, len(at))
-        if gram_counts is None:
-            own: Counter = Counter()
-            for k in range(1, LONGEST_GRAM + 1):
-                for lang, w, n in counts:
-                    for g in grams(w, k):
-                        own[k, lang, g] += n
-            gram_counts = [(*x, n) for x, n in own.items()]
-        found: dict[int, dict] = {k: {} for k in range(LONGEST_GRAM, 0, -1)}
-        for k, lang, g, n in gram_counts:
-            found[k][g, at[lang]] = n
-        self.grams = {k: Table(x, len(at)) for k, x in found.items()}
+    """Tables of words and of n-grams of each size, with the languages in the order of their columns."""
+
+    def __init__(self, languages: list[str], words: Table, by_size: dict[int, Table]):
+        self.languages, self.words = languages, words
+        self.grams = {k: by_size[k] for k in range(LONGEST_GRAM, 0, -1)}
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(at)))
+        self.rows = np.zeros((1024, len(languages)))
 
     def scores(self, words: list[str]) -> np.ndarray:
         """A row per word: its scores per language, less the best, since only the differences tell languages apart.
@@ -73,18 +77,21 @@ class Model:
         step down discounts what they say.
         """
         out = np.zeros((len(words), len(self.languages)))
-        at = [self.words.row.get(w, -1) for w in words]
-        open_ = [i for i, k in enumerate(at) if k < 0]
-        own = [i for i, k in enumerate(at) if k >= 0]
-        out[own] = self.words.logs[[at[i] for i in own]]
+        at = self.words.find(hashed(words))
+        out[at >= 0] = self.words.logs[at[at >= 0]]
+        open_ = np.flatnonzero(at < 0)
         for k, table in self.grams.items():
-            hits = [[j for g in grams(words[i], k) if (j := table.row.get(g)) is not None] for i in open_]
-            found = [i for i, h in zip(open_, hits, strict=True) if h]
-            if found:
-                sizes = [len(h) for h in hits if h]
-                flat = table.logs[[j for h in hits for j in h]]
-                out[found] = np.add.reduceat(flat, np.cumsum([0, *sizes[:-1]])) / k * BACKOFF ** (LONGEST_GRAM + 1 - k)
-            open_ = [i for i, h in zip(open_, hits, strict=True) if not h]
+            if not len(open_):
+                break
+            own = [grams(words[i], k) for i in open_]
+            word = np.repeat(np.arange(len(open_)), [len(x) for x in own])
+            rows = table.find(hashed(g for x in own for g in x))
+            word, rows = word[rows >= 0], rows[rows >= 0]
+            hit = np.unique(word)
+            if len(hit):
+                sums = np.add.reduceat(table.logs[rows].astype(float), np.searchsorted(word, hit))
+                out[open_[hit]] = sums / k * BACKOFF ** (LONGEST_GRAM + 1 - k)
+            open_ = np.delete(open_, hit)
         return out - out.max(1, keepdims=True) if len(words) else out
 
     def remember(self, words: set[str]) -> None:
@@ -99,8 +106,9 @@ class Model:
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, score) of each text. The score is the language's share of the posterior, with the log odds over the
-        square root of the number of words: words of one text depend on each other, so all of their odds would claim too much."""
+        """(language, score) of each text. The score is m / (1 + m) of the margin m: how far the best language's log odds are
+        above the next one's, over the square root of the number of words, because words of one text depend on each other. So it
+        ranks texts however sure they are; it is no probability. With one language it is 1."""
         counts = [Counter(WORD.findall(t.lower())) if t else Counter() for t in texts]
         if self.languages:
             self.remember(set().union(*counts))
@@ -111,20 +119,53 @@ class Model:
                 continue
             at = list(map(self.known.__getitem__, words))
             total = np.fromiter(words.values(), float, len(words)) @ self.rows[at]
-            odds = np.exp((total - total.max()) / np.sqrt(words.total()))
-            best = int(odds.argmax())
-            out.append((self.languages[best], float(odds[best] / odds.sum())))
+            best = int(total.argmax())
+            if len(total) == 1:
+                out.append((self.languages[best], 1.0))
+                continue
+            margin = (total[best] - np.partition(total, -2)[-2]) / np.sqrt(words.total())
+            out.append((self.languages[best], float(margin / (1 + margin))))
         return out
 
 
-def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, sample_all: int = SAMPLE_ALL) -> Model:
-    """Word counts per language from about sample_docs documents of each (sample_all of all), chosen by a hash of the id."""
+def counted(rows: DataFrame, key: Column, languages: list[str]) -> Table:
+    """The table of hashes of `key`, from rows with lang and n: a row for each hash with its counts in all languages."""
+    lang = F.array_position(F.lit(languages), F.col("lang")) - 1
+    each = rows.groupBy(F.xxhash64(key).alias("key"), lang.cast("int").alias("lang")).agg(F.sum("n").alias("n")).toArrow()
+    keys, at = np.unique(each.column(0).to_numpy(), return_inverse=True)
+    counts = np.zeros((len(keys), len(languages)))
+    np.add.at(counts, (at, each.column(1).to_numpy()), each.column(2).to_numpy())
+    return Table(keys, counts)
+
+
+def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, sample_all: int = SAMPLE_ALL, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model of about sample_docs documents of each language (sample_all and sample_bytes of all), chosen by a hash of id and
+    text."""
     short_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang).alias("lang"), F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = materialise(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
-    most = min(sample_docs, sample_all / max(1, sizes.count()))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col("id")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.join(sizes, "lang").where(draw * F.col("n") < most).select("lang", "text")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes"))
+    # a row for each language; of more languages than documents may be learned from, those with the most
+    found = sorted(map(tuple, sizes.orderBy(F.desc("n"), "lang").limit(sample_all).collect()))
+    languages = [k for k, _, _ in found]
+    docs, size = min(sample_docs, sample_all / max(1, len(found))), sample_bytes / max(1, len(found))
+    shares = {k: min(docs / n, size / max(1, b)) for k, n, b in found}
+    if not languages:
+        none = Table(np.zeros(0, np.int64), np.zeros((0, 0)))
+        return Model([], none, dict.fromkeys(range(1, LONGEST_GRAM + 1), none))
+    draw = F.pmod(F.xxhash64(F.lit("langid"), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.get(F.lit([shares[k] for k in languages]), F.array_position(F.lit(languages), F.col("lang")).cast("int") - 1)
+    while True:
+        counts = materialise(word_counts(rows.where(draw < share)).groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+        each = materialise(gram_table(counts), "grams")
+        keys = counts.select("word").distinct().count() + each.select("size", "gram").distinct().count()
+        if keys * (8 + 4 * len(languages)) <= MODEL_BYTES:
+            break
+        share = share / 2
+    return Model(languages, counted(counts, F.col("word"), languages), {k: counted(each.where(F.col("size") == k), F.col("gram"), languages) for k in range(1, LONGEST_GRAM + 1)})
+
+
+def word_counts(chosen: DataFrame) -> DataFrame:
+    """(lang, word, n) of texts, batch by batch."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,10 +176,7 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", id_col: s
                 flat = [(k, w, n) for k, c in by.items() for w, n in c.items()]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
-    counts = chosen.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = materialise(counts, "words")
-    listed = lambda df: sorted(zip(*(c.to_pylist() for c in df.toArrow().columns), strict=True))
-    return Model(listed(counts), listed(gram_table(counts)))  # the words of the sample and their n-grams
+    return chosen.select("lang", "text").mapInArrow(count, "lang string, word string, n bigint")
 
 
 def gram_table(counts: DataFrame) -> DataFrame:

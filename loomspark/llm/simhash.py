@@ -126,14 +126,19 @@ def over(counters: list[int], radius: int) -> int:
     return more
 
 
-def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Callable[[int, int], bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Callable[[int, int], bool] | None = None, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Index links (member, representative) that span the groups of close fingerprints in each unit.
 
-    With `verify`, a close pair links only if that agrees; pairs that are linked already are not asked about. Once every unit
-    is one group, no further pair can matter.
+    With `verify`, a close pair links only if that agrees; pairs that are linked already are not asked about, nor are those
+    with the same `known` label. Once every unit is one group, no further pair can matter.
     """
-    label, apart = np.arange(len(fps)), len(fps) - len(np.unique(unit))
-    for i, j in close_pairs(unit, fps, radius):
+    label = np.arange(len(fps))
+    if known is not None:
+        _, first, same = np.unique(np.stack([unit, known]), axis=1, return_index=True, return_inverse=True)
+        label = first[same.reshape(-1)]
+    start = label.copy()
+    apart = len(np.unique(label)) - len(np.unique(unit))
+    for i, j in close_pairs(unit, fps, radius) if apart else ():
         if not apart:
             break
         for x, y in zip(i[m := label[i] != label[j]].tolist(), j[m].tolist(), strict=True):
@@ -147,50 +152,77 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Call
                 apart -= 1
         while (label[label] != label).any():
             label = label[label]
-    at = np.flatnonzero(label != np.arange(len(fps)))
+    at = np.flatnonzero(label != start)
     return at, label[at]
 
 
-def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+def load_of(similarity: float | None) -> Column:
+    """The share of a chunk that a vertex takes."""
+    return F.lit(1.0 / CHUNK) if similarity is None else F.greatest(F.lit(1.0 / CHUNK), F.col("set_bytes") / F.lit(float(CHUNK_SET_BYTES)))
+
+
+def dealt(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(key, unit, v, label): the units of its key, pairs of chunks, in which each vertex is compared.
+
+    A key within one chunk is one unit. A larger one is cut along the labels: a label beyond one chunk has chunks of its own,
+    which never meet each other, since all of it is linked already; the vertices of small labels share chunks, which meet all.
+    So a group that is one label but for a few meets those few, and is not copied once for each of its own chunks.
+    """
+    if sizes.where("chunks > 1").isEmpty():
+        return keyed.join(sizes.select("key"), "key").select("key", F.lit(0).cast("bigint").alias("unit"), "v", "label")
+    whole = keyed.join(sizes.where("chunks <= 1").select("key"), "key").select("key", F.lit(0).cast("bigint").alias("unit"), "v", "label")
+    large = keyed.join(sizes.where("chunks > 1").select("key"), "key")
+    labels = large.groupBy("key", "label").agg(F.sum("load").alias("load"))
+    rest = labels.where("load <= 1").groupBy("key").agg(F.ceil(F.sum("load")).cast("int").alias("parts"))
+    own = labels.where("load > 1").select("key", "label", F.ceil("load").cast("int").alias("own_parts"))
+    spread = lambda n: F.pmod(F.xxhash64("v"), n.cast("bigint")).cast("string")
+    placed = large.join(own, ["key", "label"], "left").join(rest, "key", "left")
+    at = F.when(F.col("own_parts").isNull(), F.concat(F.lit("rest/"), F.pmod(F.xxhash64("label"), F.col("parts").cast("bigint")).cast("string"))).otherwise(F.concat("label", F.lit("/"), spread(F.col("own_parts"))))
+    placed = placed.select("key", "v", "label", at.alias("at"))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1).cast("array<string>")).alias("i")
+    chunks = own.select("key", F.col("label").alias("of"), numbers(F.col("own_parts"))).select("key", "of", F.concat("of", F.lit("/"), "i").alias("at"))
+    chunks = chunks.unionByName(rest.select("key", F.lit(None).cast("bigint").alias("of"), numbers(F.col("parts"))).select("key", "of", F.concat(F.lit("rest/"), "i").alias("at")))
+    other = chunks.select("key", F.col("of").alias("of2"), F.col("at").alias("at2"))
+    # each chunk with every other but those of its own label; chunks of small labels also with themselves
+    meets = chunks.join(other, "key").where("(of IS NULL AND of2 IS NULL) OR NOT (of <=> of2)")
+    meets = meets.select("key", "at", F.xxhash64(F.least("at", "at2"), F.greatest("at", "at2")).alias("unit"))
+    return whole.unionByName(placed.join(meets, ["key", "at"]).select("key", "unit", "v", "label"))
+
+
+def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADIUS, similarity: float | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """(u, v): links that join all fingerprints of one key within `radius` into their components.
 
-    distinct: v (vertex), keys array<bigint>, for a similarity also set_bytes. held: v and words array<bigint> (its
-    fingerprint), for a similarity also `shingles`, the whole set of shingle hashes to which pairs within the radius are
-    held; without it v is the fingerprint. Only vertices whose keys are shared take their words along.
+    distinct: v (vertex), keys array<bigint>, for a similarity also set_bytes; maybe `label`, which vertices share that are
+    linked already. held: v and words array<bigint> (its fingerprint), for a similarity also `shingles`, the whole set of
+    shingle hashes to which pairs within the radius are held; without it v is the fingerprint. Only vertices whose keys are
+    shared take their words along. sizes: (key, n, chunks) of the keys that are shared, where that is known.
     """
-    load = F.lit(1.0 / CHUNK) if similarity is None else F.greatest(F.lit(1.0 / CHUNK), F.col("set_bytes") / F.lit(float(CHUNK_SET_BYTES)))
-    keyed = distinct.select("v", F.explode("keys").alias("key"), load.alias("load"))
-    sized = lambda df: df.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("chunks")).where("n > 1")
-    sizes = sized(keyed)
+    labelled = "label" in distinct.columns
+    keyed = distinct.select("v", (F.col("label") if labelled else F.col("v")).alias("label"), F.explode("keys").alias("key"), load_of(similarity).alias("load"))
+    sized = lambda df: materialise(df.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("chunks")).where("n > 1"), "bucket-sizes")
+    sizes = sized(keyed) if sizes is None else sizes
     if held is None:
         # a bucket beyond one chunk is split by longer keys, of which again no close pair misses all
-        sizes = materialise(sizes, "bucket-sizes")
         hot = sizes.where(F.col("n") > CHUNK).select("key")
         if not hot.isEmpty():
-            again = keyed.join(hot, "key", "left_semi").select("v", F.explode(longer_keys(F.col("v"), F.col("key"))).alias("key"), "load")
-            keyed = keyed.join(hot, "key", "left_anti").select("v", "key", "load").unionByName(again)
+            again = keyed.join(hot, "key", "left_semi").select("v", "label", F.explode(longer_keys(F.col("v"), F.col("key"))).alias("key"), "load")
+            keyed = keyed.join(hot, "key", "left_anti").select("v", "label", "key", "load").unionByName(again)
             sizes = sized(keyed)
-    parts = F.ceil(F.col("chunks")).cast("int")
-    shared = (
-        keyed.join(sizes, "key")
-        .withColumn("own", F.pmod(F.xxhash64("v"), parts.cast("bigint")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "v")
-    )
+    shared = dealt(keyed, sizes)
     wide = shared.withColumn("words", F.array("v")) if held is None else shared.join(held, "v")
-    columns = ["key", "a", "b", "v", "words"] + ["shingles"] * (similarity is not None)
-    units = wide.select(*columns).repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "v")
+    columns = ["key", "unit", "v", "label", "words"] + ["shingles"] * (similarity is not None)
+    units = wide.select(*columns).repartition("key", "unit").sortWithinPartitions("key", "unit", "v")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[np.ndarray] = []
 
         def found(columns: list[np.ndarray]) -> pa.RecordBatch:
             edge = np.zeros(len(columns[0]), bool)
-            for c in columns[:3]:
+            for c in columns[:2]:
                 edge[1:] |= c[1:] != c[:-1]
             verify = None if similarity is None else lambda x, y: similar(columns[5][x], columns[5][y], similarity)
-            i, j = forest(np.cumsum(edge), columns[4], radius, verify)
-            return pa.RecordBatch.from_arrays([pa.array(columns[3][i]), pa.array(columns[3][j])], names=["u", "v"])
+            i, j = forest(np.cumsum(edge), columns[4], radius, verify, columns[3] if labelled else None)
+            return pa.RecordBatch.from_arrays([pa.array(columns[2][i]), pa.array(columns[2][j])], names=["u", "v"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -198,11 +230,9 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
             rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:4]]
             rows.append(batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1))
             if similarity is not None:
-                sets = np.empty(batch.num_rows, object)
-                sets[:] = [np.frombuffer(x, np.uint64) for x in batch.column(5).to_pylist()]
-                rows.append(sets)
+                rows.append(sets_of(batch.column(5)))
             rows = [np.concatenate(x) for x in zip(left, rows, strict=True)] if left else rows
-            last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]) | (rows[2] != rows[2][-1]))
+            last = np.flatnonzero((rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1]))
             cut = last[-1] + 1 if len(last) else 0
             if cut:
                 yield found([c[:cut] for c in rows])
@@ -213,6 +243,13 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
     return units.mapInArrow(compare, "u bigint, v bigint")
 
 
+def sets_of(column: pa.Array) -> np.ndarray:
+    """Shingle sets, as they were written."""
+    sets = np.empty(len(column), object)
+    sets[:] = [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+    return sets
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every vertex but the roots: alternating large and small stars until the links stay as they are."""
 
@@ -380,18 +417,84 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_co
         raise ValueError("similarity must be 0.8 to 1: the bands are made for no less")
     rows = docs.select(F.col(id_col).alias("id"), *row_key(id_col, text), F.col(text).alias("text"))
     own = materialise(map_texts(rows, work, "v bigint, words array<bigint>, bands array<bigint>, set_bytes bigint", "id", *ROW), "sketches")
-    # copies are one vertex; all of its rows have one set, so which of them stands for it does not matter
+    # copies come down to one row before they meet anything: all of them have one set, so which of them stands for it does not
+    # matter, and a set may be that of a third of all rows
+    one = own.groupBy("v").agg(F.min(F.struct(*ROW)).alias("of"), F.first("words").alias("words"), F.first("bands").alias("bands"), F.first("set_bytes").alias("set_bytes"))
+    one = materialise(one.select("v", "words", "bands", "set_bytes", "of.*"), "vertices")
+
+    def sets(vertices: DataFrame, label: str) -> DataFrame:
+        """(v, words, shingles) of some vertices, from their texts."""
+        texts = rows.join(one.join(vertices, "v", "left_semi").select(F.col("v").alias("vertex"), "words", *ROW), ROW)
+        held = map_texts(texts.select("vertex", "words", "text"), whole, "v bigint, shingles binary", "vertex", "words").where("v = vertex")
+        return materialise(held.select("v", "words", "shingles").dropDuplicates(["v"]), label)
+
     radius = reach_of(similarity)
-    near = components(links(own.select("v", F.col("bands").alias("keys")).dropDuplicates(["v"]), own.select("v", "words").dropDuplicates(["v"]), radius))
+    keyed = one.select("v", F.col("bands").alias("keys"), "set_bytes")
+    buckets = keyed.select("v", F.explode("keys").alias("key"), load_of(similarity).alias("load"))
+    sizes = materialise(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("load")).where("n > 1"), "buckets")
+    hot = sizes.where("load > 1").select("key")
+    sure = None if hot.isEmpty() else settled(materialise(buckets.join(hot, "key").select("key", "v"), "hot-buckets"), lambda those: sets(those, "hot-shingles"), similarity)
+    if sure is not None:
+        labels = materialise(components(sure).select("v", F.col("root").alias("label")), "labels")
+        keyed = keyed.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    near = links(keyed, one.select("v", "words"), radius, sizes=sizes.select("key", "n", (F.col("n") / CHUNK).alias("chunks")))
+    near = components(near if sure is None else near.unionByName(sure))
     groups = materialise(near.union(near.select("root", "root")).distinct().toDF("v", "root"), "groups")
-    # copies come down to one row before they meet anything: a vertex may hold a third of all rows
-    one = own.groupBy("v").agg(F.min(F.struct(*ROW)).alias("of"), F.first("words").alias("words"), F.first("set_bytes").alias("set_bytes"))
-    one = materialise(one.join(groups, "v").select("v", "root", "words", "set_bytes", "of.*"), "members")
-    texts = rows.join(one.select(F.col("v").alias("vertex"), "words", *ROW), ROW)
-    held = map_texts(texts.select("vertex", "words", "text"), whole, "v bigint, shingles binary", "vertex", "words").where("v = vertex")
-    held = materialise(held.select("v", "words", "shingles").dropDuplicates(["v"]), "shingles")
-    found = links(one.select("v", F.array("root").alias("keys"), "set_bytes"), held, radius, similarity)
-    return own.select("id", *ROW, "v"), found
+    members = keyed.drop("keys").join(groups, "v").withColumn("keys", F.array("root"))
+    found = links(members, sets(groups, "shingles"), radius, similarity)
+    return own.select("id", *ROW, "v"), found if sure is None else found.unionByName(sure)
+
+
+#: Rounds in which the members of very large buckets are held against one of them, and members that are held to one at a time.
+ROUNDS, STAR = 4, 1024
+
+
+def settled(members: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """(u, v): true links among the members (key, v) of buckets beyond one chunk; `sets` gives (v, shingles) of vertices.
+
+    Most such buckets are copies of one page with small changes. In a round each bucket has a pivot, and each vertex, with its
+    whole set, is held to one pivot of its buckets with which it is not linked yet. A bucket whose members are all linked,
+    over whatever vertices, is done. What is left after the rounds are links that cross labels, for `links` to find; so
+    nothing is lost, but a bucket of a million edits of one page has been through one shuffle of its sets, not through one for
+    each of its chunks.
+    """
+    held = sets(members.select("v").distinct())
+    labels, found = members.select("v", F.col("v").alias("label")).distinct(), None
+    for turn in range(ROUNDS):
+        at = members.join(labels, "v")
+        pivots = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(F.struct("v", "label"), F.xxhash64("v", F.lit(turn))).alias("pivot"))
+        pivots = pivots.where("low <> high").select("key", F.col("pivot.v").alias("pivot"), F.col("pivot.label").alias("taken"))
+        asked = at.join(pivots, "key").where("label <> taken").groupBy("v").agg(F.min("pivot").alias("pivot"))
+        more = materialise(star_links(materialise(asked, "asked"), held, similarity), "star-links")
+        if more.isEmpty():
+            break
+        found = more if found is None else materialise(found.unionByName(more), "sure-links")
+        roots = components(found)
+        labels = materialise(members.select("v").distinct().join(roots, "v", "left").select("v", F.coalesce("root", "v").alias("label")), "labels")
+    return members.sparkSession.createDataFrame([], "u bigint, v bigint") if found is None else found
+
+
+def star_links(asked: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) of the pairs (v, pivot) whose sets resemble each other so much. A pivot's members are dealt out in parts, each
+    with a copy of the pivot's set at its head; of the others none is held longer than it takes."""
+    parts = asked.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("bigint").alias("parts"))
+    own = asked.join(parts, "pivot").select("pivot", F.pmod(F.xxhash64("v"), F.col("parts")).alias("part"), F.lit(1).alias("kind"), "v")
+    heads = parts.select("pivot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.col("pivot").alias("v"))
+    rows = own.unionByName(heads).join(held.select("v", "shingles"), "v")
+    stars = rows.select("pivot", "part", "kind", "v", "shingles").repartition("pivot", "part").sortWithinPartitions("pivot", "part", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for batch in batches:
+            found = []
+            for pivot, kind, v, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), sets_of(batch.column(4)), strict=True):
+                if not kind:
+                    head = own
+                elif similar(head, own, similarity):
+                    found.append((v, pivot))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    return stars.mapInArrow(run, "u bigint, v bigint")
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:

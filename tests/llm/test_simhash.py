@@ -148,3 +148,59 @@ def test_long_texts_are_held_to_the_similarity_exactly(spark):
     truth = [jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(0, 120, 2)]
     assert 15 < sum(truth) < 45
     assert [out[i] == out[i + 1] for i in range(0, 120, 2)] == truth
+
+
+def test_hot_buckets_settle_without_copying(spark, monkeypatch):
+    """Edits of a few pages, far more than a chunk, chains and strangers among them: the groups are those of brute force, and
+    the sets that units are given are few times the sets that there are."""
+    monkeypatch.setattr(S, "CHUNK", 16)
+    monkeypatch.setattr(S, "CHUNK_SET_BYTES", 16 * 8 * 150)
+    monkeypatch.setattr(S, "STAR", 20)
+    given = []
+    real = S.dealt
+    monkeypatch.setattr(S, "dealt", lambda keyed, sizes: given.append(real(keyed, sizes)) or given[-1])
+    rnd, rows = random.Random(1), []
+    for page in range(3):
+        text = prose(150, 4000 + page)
+        for k in range(90):
+            if k % 10 == 9:
+                text = edited(text, 2, k)  # the page itself moves on: a chain
+            rows.append((len(rows), edited(text, rnd.choice([0, 1, 1, 2, 5]), 1000 * page + k), "en", "s", 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = {r["doc_id"]: r["component_id"] for r in S.similar_documents(docs).collect()}
+    sets = {i: set(zip(*(t.lower().split()[k:] for k in range(5)), strict=False)) for i, t, *_ in rows}
+    near = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    want = groups(near, range(len(rows)))
+    assert out == want and 3 <= len(set(want.values())) < 200
+    assert given[-1].count() < 5 * len(rows)
+
+
+def test_radius_holds_for_unlike_sizes(spark):
+    """One set inside the other, and sets of few shingles, where bits are not independent: all pairs at 0.8 are linked."""
+    rnd, rows = random.Random(7), []
+    words = [f"w{i}" for i in range(5000)]
+    for n in (5, 6, 8, 10, 15, 24, 40, 100, 400):
+        for _ in range(12):
+            text = [rnd.choice(words) for _ in range(n + 4)]
+            shorter = text[: max(5, int(np.ceil(0.8 * n)) + 4)]  # n shingles, and 0.8 of them
+            rows += [(len(rows), " ".join(text), "en", "s", 0), (len(rows) + 1, " ".join(shorter), "en", "s", 0)]
+    out = {r["doc_id"]: r["component_id"] for r in S.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(0, len(rows), 2):
+        assert (out[i] == out[i + 1]) == (jaccard(rows[i][1], rows[i + 1][1]) >= 0.8)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_forest_with_labels(seed):
+    """Labels that are known join what they join, and no pair inside one is asked about."""
+    rnd = np.random.default_rng(seed)
+    n = 60
+    unit = np.sort(rnd.integers(0, 3, n))
+    fps = rnd.integers(0, 4, (n, 1)).astype(np.int64)
+    known = rnd.integers(0, 12, n)
+    asked = []
+    member, leader = S.forest(unit, fps, 1, lambda x, y: asked.append((x, y)) or True, known)
+    assert all(known[x] != known[y] for x, y in asked)
+    close = {(i, j) for i in range(n) for j in range(i + 1, n) if unit[i] == unit[j] and int(fps[i, 0] ^ fps[j, 0]).bit_count() <= 1}
+    same = {(i, j) for i in range(n) for j in range(i + 1, n) if unit[i] == unit[j] and known[i] == known[j]}
+    found = set(zip(leader.tolist(), member.tolist(), strict=True)) | same
+    assert groups(found, range(n)) == groups(close | same, range(n))

@@ -40,8 +40,8 @@ BATCHES = 12
 SPAN_HOURS = 72
 LATE_HOURS = 48
 HOUR_MS = 3_600_000
-#: Rows of a bucket over all batches, and rows of a click from which on it is thinned.
-BUCKET_ROWS = 40_000
+#: Rows of a bucket over all batches, buckets of a state store, and rows of a click from which on it is thinned.
+BUCKET_ROWS, STORE_BUCKETS = 40_000, 8
 BUSY_ROWS = 100_000
 
 WINDOW = np.dtype([("click", "<i8"), ("start", "<i8"), ("digest", "V32"), ("repeats", "<i8"), ("conflicts", "<i8"), ("crc", "<i8")])
@@ -197,9 +197,8 @@ def thinned(rows: DataFrame, busy: DataFrame) -> DataFrame:
     return merged.select("batch", "click_id", "hour", "digest", "n", "total")
 
 
-def cut(rows: DataFrame, path: str, clicks: int) -> None:
+def cut(rows: DataFrame, path: str, buckets: int) -> None:
     """Write rows (batch, click_id, hour, digest, crc) as files of the stream's rows, a folder for each batch."""
-    buckets = max(1, -(-clicks // BUCKET_ROWS))
     busy = materialise(rows.groupBy("click_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= BUSY_ROWS).select("click_id"), "busy-clicks")
     plain = rows.withColumns({"n": F.lit(1).cast("bigint"), "total": F.col("crc")})
     if not busy.isEmpty():
@@ -226,10 +225,14 @@ def deduplicate(rows: DataFrame, batches: int = BATCHES, span: int = SPAN_HOURS,
     store.deleteOnExit(at)
     path = lambda *parts: store_of(spark, "/".join([base, *parts]))[1]
     n, newest = rows.agg(F.count(F.lit(1)), F.max("hour")).first()
-    cut(rows, f"{base}/cut", n)
+    buckets = max(1, -(-n // BUCKET_ROWS))
+    cut(rows, f"{base}/cut", buckets)
     store.mkdirs(path("in"))
-    before = {k: spark.conf.get(k, None) for k in SETTINGS}
-    for k, v in SETTINGS.items():
+    # every start opens all stores, so there are as many as the rows ask for, not one for each partition of a shuffle
+    stores = min(max(1, buckets // STORE_BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    settings = SETTINGS | {"spark.sql.streaming.internal.stateStore.partitions": str(stores)}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         for k in range(batches):

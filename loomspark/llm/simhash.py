@@ -433,9 +433,9 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_co
     buckets = keyed.select("v", F.explode("keys").alias("key"), load_of(similarity).alias("load"))
     sizes = materialise(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("load")).where("n > 1"), "buckets")
     hot = sizes.where("load > 1").select("key")
-    sure = None if hot.isEmpty() else settled(materialise(buckets.join(hot, "key").select("key", "v"), "hot-buckets"), lambda those: sets(those, "hot-shingles"), similarity)
-    if sure is not None:
-        labels = materialise(components(sure).select("v", F.col("root").alias("label")), "labels")
+    sure = None
+    if not hot.isEmpty():
+        sure, labels = settled(materialise(buckets.join(hot, "key").select("key", "v"), "hot-buckets"), lambda those: sets(those, "hot-shingles"), similarity)
         keyed = keyed.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     near = links(keyed, one.select("v", "words"), radius, sizes=sizes.select("key", "n", (F.col("n") / CHUNK).alias("chunks")))
     near = components(near if sure is None else near.unionByName(sure))
@@ -445,12 +445,14 @@ def similar_rows(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_co
     return own.select("id", *ROW, "v"), found if sure is None else found.unionByName(sure)
 
 
-#: Rounds in which the members of very large buckets are held against one of them, and members that are held to one at a time.
-ROUNDS, STAR = 4, 1024
+#: Rounds in which the members of very large buckets are held against one of them (a round costs the components of its links,
+#: and the first two settle nearly all), and members that are held to one at a time.
+ROUNDS, STAR = 2, 1024
 
 
-def settled(members: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
-    """(u, v): true links among the members (key, v) of buckets beyond one chunk; `sets` gives (v, shingles) of vertices.
+def settled(members: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(u, v): true links among the members (key, v) of buckets beyond one chunk; (v, label): what they join. `sets` gives
+    (v, shingles) of vertices.
 
     Most such buckets are copies of one page with small changes. In a round each bucket has a pivot, and each vertex, with its
     whole set, is held to one pivot of its buckets with which it is not linked yet. A bucket whose members are all linked,
@@ -471,7 +473,7 @@ def settled(members: DataFrame, sets: Callable[[DataFrame], DataFrame], similari
         found = more if found is None else materialise(found.unionByName(more), "sure-links")
         roots = components(found)
         labels = materialise(members.select("v").distinct().join(roots, "v", "left").select("v", F.coalesce("root", "v").alias("label")), "labels")
-    return members.sparkSession.createDataFrame([], "u bigint, v bigint") if found is None else found
+    return (members.sparkSession.createDataFrame([], "u bigint, v bigint") if found is None else found), labels
 
 
 def star_links(asked: DataFrame, held: DataFrame, similarity: float) -> DataFrame:

@@ -9,6 +9,7 @@ carried inside a struct where they are carried at all, so no name clashes.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 from math import comb
 
 import numpy as np
@@ -126,11 +127,19 @@ def over(counters: list[int], radius: int) -> int:
     return more
 
 
-def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Callable[[int, int], bool] | None = None, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def forest(
+    unit: np.ndarray,
+    fps: np.ndarray,
+    radius: int = RADIUS,
+    verify: Callable[[int, int], bool] | None = None,
+    known: np.ndarray | None = None,
+    may: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """Index links (member, representative) that span the groups of close fingerprints in each unit.
 
     With `verify`, a close pair links only if that agrees; pairs that are linked already are not asked about, nor are those
-    with the same `known` label. Once every unit is one group, no further pair can matter.
+    with the same `known` label, nor those that `may` rules out, which takes many pairs at once. Once every unit is one group,
+    no further pair can matter.
     """
     label = np.arange(len(fps))
     if known is not None:
@@ -141,7 +150,10 @@ def forest(unit: np.ndarray, fps: np.ndarray, radius: int = RADIUS, verify: Call
     for i, j in close_pairs(unit, fps, radius) if apart else ():
         if not apart:
             break
-        for x, y in zip(i[m := label[i] != label[j]].tolist(), j[m].tolist(), strict=True):
+        i, j = i[m := label[i] != label[j]], j[m]
+        if may is not None and len(i):
+            i, j = i[m := may(i, j)], j[m]
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
             a, b = x, y
             while label[a] != a:
                 a = label[a]
@@ -220,8 +232,11 @@ def links(distinct: DataFrame, held: DataFrame | None = None, radius: int = RADI
             edge = np.zeros(len(columns[0]), bool)
             for c in columns[:2]:
                 edge[1:] |= c[1:] != c[:-1]
-            verify = None if similarity is None else lambda x, y: similar(columns[5][x], columns[5][y], similarity)
-            i, j = forest(np.cumsum(edge), columns[4], radius, verify, columns[3] if labelled else None)
+            unit, known = np.cumsum(edge), columns[3] if labelled else None
+            if similarity is None:
+                i, j = forest(unit, columns[4], radius, None, known)
+            else:
+                i, j = verified(unit, columns[4], columns[5], radius, similarity, known)
             return pa.RecordBatch.from_arrays([pa.array(columns[2][i]), pa.array(columns[2][j])], names=["u", "v"])
 
         for batch in batches:
@@ -250,6 +265,57 @@ def sets_of(column: pa.Array) -> np.ndarray:
     return sets
 
 
+#: Members from which a unit has a bitmap of its shared shingles, and how many of those have a bit.
+LARGE, SHARED = 64, 4096
+
+
+def verified(unit: np.ndarray, fps: np.ndarray, sets: np.ndarray, radius: int, similarity: float, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Like `forest`, of pairs whose whole sets resemble each other so much. Large units go one at a time: in a group whose
+    fingerprints are all close and whose sets mostly are not similar, every pair is asked about, and bitmaps answer that."""
+    starts = np.flatnonzero(np.diff(unit, prepend=unit[:1] - 1))
+    large = np.diff(starts, append=len(unit)) > LARGE
+    cuts = starts[large | np.append(True, large[:-1])] if len(starts) else starts
+    links = []
+    for a, b in pairwise([*cuts, len(unit)]):
+        own = sets[a:b]
+        verify = lambda x, y, own=own: similar(own[x], own[y], similarity)
+        may = overlap(own, similarity) if b - a > LARGE and unit[a] == unit[b - 1] else None
+        i, j = forest(unit[a:b], fps[a:b], radius, verify, None if known is None else known[a:b], may)
+        links.append((i + a, j + a))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*links, strict=True) if links else ([], [])))
+
+
+def overlap(sets: np.ndarray, similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether pairs of sets can resemble each other so much, for many pairs at once; it never says no where they do.
+
+    The shingles that most of the sets share have a bit each, so AND and popcount give what two sets have of them in common.
+    Of other shared ones a pair has at most as many as the set with fewer, of shingles in one set alone none.
+    """
+    sizes = np.array([len(x) for x in sets])
+    every = np.sort(np.concatenate(list(sets))) if sizes.sum() else np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    times, values = np.diff(first, append=len(every)), every[first]
+    shared, times = values[times > 1], times[times > 1]
+    often = np.sort(shared[np.argsort(-times, kind="stable")[:SHARED]])
+    words, other = np.zeros((len(sets), -(-len(often) // 64)), np.uint64), np.zeros(len(sets), np.int64)
+
+    def places(of: np.ndarray, x: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(of, x), max(len(of) - 1, 0))
+        return at[of[at] == x] if len(of) else at[:0]
+
+    for k, x in enumerate(sets):
+        bits = np.zeros(words.shape[1] * 64, bool)
+        bits[at := places(often, x)] = True
+        words[k] = np.packbits(bits, bitorder="little").view(np.uint64)
+        other[k] = len(places(shared, x)) - len(at) if len(shared) > len(often) else 0
+
+    def may(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        common = np.bitwise_count(words[i] & words[j]).sum(1, dtype=np.int64) + np.minimum(other[i], other[j])
+        return common >= similarity * (sizes[i] + sizes[j] - common) - 1e-9
+
+    return may
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every vertex but the roots: alternating large and small stars until the links stay as they are."""
 

@@ -204,3 +204,33 @@ def test_forest_with_labels(seed):
     same = {(i, j) for i in range(n) for j in range(i + 1, n) if unit[i] == unit[j] and known[i] == known[j]}
     found = set(zip(leader.tolist(), member.tolist(), strict=True)) | same
     assert groups(found, range(n)) == groups(close | same, range(n))
+
+
+@pytest.mark.parametrize("shared", [S.SHARED, 64])
+def test_verified_against_brute_force(monkeypatch, shared):
+    """A large group of edits of one page around the similarity, among small units and sets that are empty or equal."""
+    monkeypatch.setattr(S, "SHARED", shared)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    change = lambda n: np.unique(np.concatenate([rng.permutation(base)[n:], rng.integers(0, 1 << 63, n, dtype=np.uint64)]))
+    units = [[change(3), change(90)], [change(int(n)) for n in rng.integers(0, 60, 150)], [base[:0], base[:0], base], [np.unique(base)] * 70 + [base[:0]]]
+    unit = np.repeat(np.arange(len(units)), [len(x) for x in units])
+    sets = np.empty(len(unit), object)
+    sets[:] = [s for u in units for s in u]
+    fps = np.zeros((len(unit), 1), np.uint64)
+    pairs = [(i, j) for i in range(len(unit)) for j in range(i + 1, len(unit)) if unit[i] == unit[j]]
+    jaccard = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b)) if len(np.union1d(a, b)) else 1.0
+    near = {(i, j) for i, j in pairs if jaccard(sets[i], sets[j]) >= 0.8}
+    i, j = S.verified(unit, fps, sets, 3, 0.8)
+    nodes = range(len(unit))
+    assert groups(set(zip(i.tolist(), j.tolist(), strict=True)), nodes) == groups(near, nodes)
+    at = np.flatnonzero(unit == 1)
+    may = S.overlap(sets[at], 0.8)
+    said = {(a, b) for a, b in ((x - at[0], y - at[0]) for x, y in pairs if unit[x] == 1) if may(np.array([a]), np.array([b]))[0]}
+    true = {(x - at[0], y - at[0]) for x, y in near if unit[x] == 1}
+    assert true <= said and (shared == 64 or said == true)
+
+
+def test_verified_without_rows():
+    i, j = S.verified(np.zeros(0, int), np.zeros((0, 1), np.uint64), np.zeros(0, object), 3, 0.8)
+    assert not len(i) and not len(j)

@@ -39,9 +39,13 @@ def days_left(end: Column, as_of: Column) -> Column:
 
 
 def age_years(born: Column, as_of: Column) -> Column:
-    """Whole years: the year counts once month and day of birth are reached, so 29 February counts from 1 March."""
-    before = F.struct(F.month(as_of), F.dayofmonth(as_of)) < F.struct(F.month(born), F.dayofmonth(born))
-    return F.year(as_of) - F.year(born) - before.cast("int")
+    """Whole years: the year counts once month and day of birth are reached, so 29 February counts from 1 March. Before the
+    birth they are the whole years up to it, below zero, so the last year before it is 0 and not -1."""
+    past = born <= as_of
+    first, last = F.when(past, born).otherwise(as_of), F.when(past, as_of).otherwise(born)
+    short = F.struct(F.month(last), F.dayofmonth(last)) < F.struct(F.month(first), F.dayofmonth(first))
+    years = F.year(last) - F.year(first) - short.cast("int")
+    return F.when(past, years).otherwise(-years)
 
 
 def parse_date(x: Column) -> Column:

@@ -85,6 +85,11 @@ def test_age(spark, born, day, age):
     assert one(spark, dates.age_years(F.lit(born).cast("date"), F.lit(day).cast("date"))) == age
 
 
+@pytest.mark.parametrize(("born", "age"), [("2000-03-02", 0), ("2001-02-28", 0), ("2001-03-01", -1), ("2004-02-29", -3), ("2017-03-24", -17), (None, None)])
+def test_age_before_birth(spark, born, age):
+    assert one(spark, dates.age_years(F.lit(born).cast("date"), F.lit("2000-03-01").cast("date"))) == age
+
+
 def test_calendar(spark):
     day = lambda s: F.lit(s).cast("date")
     assert one(spark, dates.seoul_date(F.expr("TIMESTAMP_NTZ '2024-01-01 14:59:59'")).cast("string")) == "2024-01-01"

@@ -9,6 +9,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from loomspark.operators import bitmaps as B
 from loomspark.operators import containment as K
 from loomspark.operators import engagement as E
 from loomspark.operators import guarded
@@ -133,6 +134,25 @@ def test_index_of_all_predicates_with_a_hot_value(spark, monkeypatch):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_bitmaps_find_what_the_pairs_do(spark, monkeypatch):
+    """Counts by predicate and pairs are those of a look at every pair, over several blocks and chunks, and no step of the plan
+    has a row for each pair: the join of both tables did."""
+    monkeypatch.setattr(B, "BITS", 400)
+    monkeypatch.setattr(B, "CHUNK", 9)
+    profiles = frame(spark, PROFILE, [{"id": i, "gender": [None, "F", "M"][i % 3], "gpa": [None, 1.0, 2.5, 4.0][i % 4], "school_location": [None, "A"][i % 2], "birth_date": date(1990 + i % 20, 2, 28)} for i in range(50)])
+    offers = frame(
+        spark, OFFER,
+        [{"id": i, "is_verified": i % 7 > 0, "apply_end_date": date(9999, 12, 31), "qual_gender": [None, "F", "X"][i % 3], "qual_gpa_min": [None, 2.0][i % 2], "qual_school_location": [None, [], ["A", "B"]][i % 3], "qual_age_max": [None, 25][i // 5 % 2]} for i in range(40)],
+    )
+    every = M.explain(profiles.select(F.struct("*").alias("p")).join(offers.select(F.struct("*").alias("s"))), "2024-03-01").collect()
+    names = [f"ok_{n}" for n in M.VERSIONS[M.NEWEST]]
+    found = B.explained(profiles, offers, "2024-03-01", "id")
+    want = sorted((r["p"]["id"], r["s"]["id"]) for r in every if all(r[n] for n in names))
+    assert found.first().asDict() == {n: sum(r[n] for r in every) for n in names} | {"matched": len(want)} and len(want) > 100
+    assert sorted(map(tuple, B.pairs(profiles, offers, "2024-03-01", "id", "id").collect())) == want
+    assert B.explained(profiles.limit(0), offers, "2024-03-01", "id").first()["matched"] == 0
+
+
 def test_versions(spark):
     assert passes(spark, {}, {"qual_special_info": ["free text"]}, "optimised") and not passes(spark, {}, {"qual_special_info": ["다자녀"]}, "optimised")
     assert passes(spark, {"academic_year": 2, "semester": 1}, {"qual_min_academic_year": 2}, "admission_types") and not passes(spark, {"academic_year": 1}, {"qual_min_academic_year": 2}, "admission_types")

@@ -75,9 +75,19 @@ def run_items(documents: DataFrame) -> DataFrame:
 
 
 def detect_shapes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, shape) of every document in a folder, by the fields at its top: collector-output, synthetic-compatible,
-    collector-report or candidate-list. Each document is looked at in the task that reads it."""
-    head = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.ltrim(F.regexp_replace("value", f"^{BOM}", "")).alias("t"))
+    """(path, shape) of every document in a folder, a file each. Each document is looked at in the task that reads it."""
+    return shapes(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value"))
+
+
+def detect_packed_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """The same for documents that lie many to a file, a line of JSON (path, value) each: files grow with bytes, not with documents."""
+    return shapes(spark.read.schema("path string, value string").json(path))
+
+
+def shapes(documents: DataFrame) -> DataFrame:
+    """(path, shape) of documents (path, value), by the fields at their top: collector-output, synthetic-compatible,
+    collector-report or candidate-list."""
+    head = documents.select("path", F.ltrim(F.regexp_replace("value", f"^{BOM}", "")).alias("t"))
     is_list = lambda name: F.startswith(F.ltrim(F.coalesce(F.get_json_object("t", f"$.{name}"), F.lit(""))), F.lit("["))
     version = F.coalesce(F.get_json_object("t", "$.collector_output_version"), F.lit("")) != ""
     shape = (

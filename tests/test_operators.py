@@ -382,6 +382,21 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted((r["p"], r["q"] or "", r["r"]) for r in back) == [("a,b", 'say "x"', "two\nlines"), ("é", "", "z")]
 
 
+def test_packed_documents_have_the_shapes_of_files(spark, sf, tmp_path, monkeypatch):
+    """Documents many to a file: a folder with a file for each of them took longer the more there were."""
+    import __spark_entry__ as entry
+
+    texts = [files.BOM + '{"collector_output_version": 2, "sources": [1]}', '{"sources":[]}', ' {"perSource":[]}', '{"sources": {}}', "[]", "no JSON"]
+    (tmp_path / "each").mkdir()
+    for i, t in enumerate(texts):
+        (tmp_path / "each" / f"{i}").write_text(t)
+    spark.createDataFrame([(f"x/{i}", t) for i, t in enumerate(texts)], "path string, value string").write.json(str(tmp_path / "packed"))
+    named = lambda df: {r["path"].rsplit("/", 1)[1]: r["shape"] for r in df.collect()}
+    assert named(files.detect_packed_shapes(spark, str(tmp_path / "packed"))) == named(files.detect_shapes(spark, str(tmp_path / "each"))) and len(texts) == 6
+    monkeypatch.setattr(files, "workspace", lambda _: str(tmp_path / "query"))
+    assert entry.queries()["document_shapes"](spark, sf).count() > len(list((tmp_path / "query").rglob("part-*")))
+
+
 def test_exchanged_files_in_parts(spark, tmp_path):
     """Many parts in order, each with its header; a Word document in parts, the head first and the end last."""
     df = spark.range(400).select((400 - F.col("id")).alias("id"), F.concat(F.lit("a,"), F.col("id").cast("string")).alias("t")).repartition(6)

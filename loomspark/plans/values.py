@@ -241,7 +241,9 @@ def drafts(spark, sf_dir):
             (F.col("p_size") - 1).alias("qual_income_level_min"), F.array("p_brand", F.lit(" "), "p_name").alias("qual_major"), F.lit("  ").alias("note"),
         )
     )
-    d = parts(spark, sf_dir).select("id", J.draft(raw, ("ECONOMY", "PROMO"), ("재학",)).alias("d"))
+    # the text is a column of its own, as every field of the draft reads it; the table is small for the work that a row takes,
+    # so its few splits are dealt out over all cores
+    d = parts(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).select("id", raw.alias("raw")).select("id", J.draft(F.col("raw"), ("ECONOMY", "PROMO"), ("재학",)).alias("d"))
     join = lambda c: F.array_join(F.col(f"d.{c}"), ";")
     return d.select("id", F.col("d.support_amount_text").alias("amount"), join("support_types").alias("kinds"), F.col("d.apply_start_date").alias("day"), F.col("d.selection_count").alias("chosen"), F.coalesce("d.qual_income_level_min", F.lit(-1)).alias("lowest"), join("qual_major").alias("majors"), "d.note")
 

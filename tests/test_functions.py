@@ -213,6 +213,14 @@ def test_draft(spark):
     assert one(spark, documents.settings({"a": F.lit(" "), "b": F.lit("x")})) == '{"b":"x"}' and one(spark, documents.settings({"a": F.lit("")})) is None
 
 
+def test_drafts_are_dealt_out(spark, sf):
+    """The query ran in as many tasks as the file has splits."""
+    import __spark_entry__ as entry
+
+    found = entry.queries()["drafts"](spark, sf)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_wildcards_stay_live(spark):
     assert one(spark, A.contains_either(F.lit("abc"), F.lit("a_c"))) and not one(spark, A.contains_either(F.lit("abc"), F.lit("a_d")))
     assert one(spark, A.allows(F.array(F.lit("a")), F.lit(None).cast("string"))) is False and one(spark, A.allows(F.lit(None).cast("array<string>"), F.lit("x"))) is True

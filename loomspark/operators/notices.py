@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import decisions as D
 from ..functions.text import clean_text
-from .ranks import placed, ranked
+from ..sources.files import written
+from .ranks import placed
 
 
 def first_wins(rows: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
@@ -159,13 +160,21 @@ def missing_parents(selected: DataFrame, item: list[str], operation: str, parent
 
 
 def selected(operations: DataFrame, item: str, order: str, reasons: str, most: int) -> DataFrame:
-    """Operations with their reasons of exclusion; items beyond the first `most` that have none are over the limit."""
-    clear = F.when(F.size(reasons) == 0, F.col(order))
-    firsts = operations.groupBy(item).agg(F.min(clear).alias("_first")).where(F.col("_first").isNotNull())
-    place = ranked(firsts, ["_first"], "_place", dense=True).select(item, "_place")
-    joined = operations.join(place, item, "left")
-    over = (F.size(reasons) == 0) & (F.col("_place") > most)
-    return joined.withColumn(reasons, F.when(over, F.array(F.lit("max_items_limit_reached"))).otherwise(F.col(reasons))).drop("_place")
+    """Operations with their reasons of exclusion; items beyond the first `most` that have none are over the limit.
+
+    Places beyond the limit are all alike, so nothing is ranked: the `most` lowest of the items' first places are kept while
+    they are read, and the last of these is the bound that tells the items apart.
+    """
+    clear = F.size(reasons) == 0
+    firsts = operations.where(clear).groupBy(item).agg(F.min(order).alias("_first"))
+    lowest = firsts.where(F.col("_first").isNotNull()).select("_first").distinct().orderBy("_first").limit(most)
+    last = lowest.agg(F.max("_first").alias("_last"))  # one row
+    # an item without any place is not beyond the limit
+    inside = firsts.crossJoin(F.broadcast(last)).where(F.col("_first").isNull() | (F.col("_first") <= F.col("_last")))
+    inside = written(inside.select(F.col(item).alias("_inside")))
+    joined = operations.join(inside, F.col(item) == F.col("_inside"), "left")
+    over = clear & F.col(item).isNotNull() & F.col("_inside").isNull()
+    return joined.withColumn(reasons, F.when(over, F.array(F.lit("max_items_limit_reached"))).otherwise(F.col(reasons))).drop("_inside")
 
 
 def resolved_names(rows: DataFrame, key: str, variants: str, scope: str, units: DataFrame, unit: str, name: str, stem: str, unit_scope: str, stem_of) -> DataFrame:

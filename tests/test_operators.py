@@ -166,6 +166,23 @@ def test_explain_names_the_reason(spark):
     assert [k for k, v in row.asDict().items() if k.startswith("ok_") and not v] == ["ok_gender"]
 
 
+def test_selection_keeps_the_first_items_only(spark, monkeypatch):
+    """Ties share a place, rows without reasons decide; no more items than the limit are kept, where all were ranked before."""
+    kept = []
+    monkeypatch.setattr(N, "written", lambda df: kept.append(df.count()) or df)
+    rows = [(i, i // 2, [] if i % 3 else ["x"]) for i in range(30)] + [(1, 99, []), (50, None, []), (None, 0, []), (29, None, [])]
+    df = spark.createDataFrame(rows, "item int, at int, reasons array<string>")
+    firsts = {}
+    for item, at, why in rows:
+        if item is not None and at is not None and not why:
+            firsts[item] = min(at, firsts.get(item, at))
+    inside = set(sorted(set(firsts.values()))[:4])
+    want = [(i, at, ["max_items_limit_reached"] if not why and i in firsts and firsts[i] not in inside else why) for i, at, why in rows]
+    got = N.selected(df, "item", "at", "reasons", 4).collect()
+    assert sorted(((r["item"], r["at"], r["reasons"]) for r in got), key=repr) == sorted(want, key=repr)
+    assert kept and max(kept) < 10 < len(firsts)
+
+
 def test_tree(spark):
     nodes = spark.createDataFrame([(1, None, "a", None), (2, 1, "b", "B"), (3, 2, "c", None), (7, 8, "x", None), (8, 7, "y", None)], "id long, parent long, name string, code string")
     found = {r["id"]: r["path_ids"] for r in tree.paths(nodes, "id", "parent").collect()}

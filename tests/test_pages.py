@@ -43,3 +43,8 @@ def test_whole_references_and_closed_bodies():
     assert dom.parse(text, cut_references=False).raw_text() == "a&amp b &lt; &lt \" ' &#x2 &copy &nosuch; &ampD; & x&&y &amp"
     assert dom.parse("a&amp b").raw_text() == "a& b" and dom.parse("<body>x</body>").first("body").closed and not dom.parse("<body>x").first("body").closed
     assert details.dense_text(PAGES[3]).endswith("town.") and details.dense_text(PAGES[2], cut_pages=False, boxes=False) == ""
+
+
+def test_page_details_on_odd_pages(spark, odd):
+    same_as_sql(spark, odd, "page_details")
+    assert details.parse_detail(PAGES[1])["body_selector"] == "heuristic-container" and details.parse_detail(PAGES[1], least=0)["content"] == "ShortShort."

@@ -48,3 +48,7 @@ def test_whole_references_and_closed_bodies():
 def test_page_details_on_odd_pages(spark, odd):
     same_as_sql(spark, odd, "page_details")
     assert details.parse_detail(PAGES[1])["body_selector"] == "heuristic-container" and details.parse_detail(PAGES[1], least=0)["content"] == "ShortShort."
+
+
+def test_title_identity_on_odd_pages(spark, odd):
+    same_as_sql(spark, odd, "title_identity")

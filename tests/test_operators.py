@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,6 +154,25 @@ def test_bitmaps_find_what_the_pairs_do(spark, monkeypatch):
     assert B.explained(profiles.limit(0), offers, "2024-03-01", "id").first()["matched"] == 0
 
 
+def test_pairs_of_lists_are_those_of_rows(spark, monkeypatch):
+    """Short runs and lists, small blocks, offers that ask the same, repeated rows and rows without a key: all pairs, each once."""
+    for name, value in (("BLOCK", 13), ("RUN", 4), ("LIST", 3), ("AT_ONCE", 10), ("CHUNK", 20)):
+        monkeypatch.setattr(B, name, value)
+    profiles = frame(spark, PROFILE, [{"id": None if i == 5 else i // 2, "gender": [None, "F", "M"][i % 3], "gpa": [None, 1.0, 2.5, 4.0][i % 4]} for i in range(50)])
+    offers = frame(spark, OFFER, [OPEN | {"id": None if i == 7 else i // 2, "qual_gender": [None, "F", "X"][i % 3], "qual_gpa_min": [None, 2.0][i // 20 % 2]} for i in range(60)])
+    every = M.explain(profiles.select(F.struct("*").alias("p")).join(offers.select(F.struct("*").alias("s"))), "2024-03-01").collect()
+    want = [(r["p"]["id"], r["s"]["id"]) for r in every if all(r[f"ok_{n}"] for n in M.VERSIONS[M.NEWEST])]
+    assert sorted(map(tuple, B.pairs(profiles, offers, "2024-03-01", "id", "id").collect()), key=repr) == sorted(want, key=repr) and len(want) > 1000
+
+
+def test_pairs_take_little_disk(spark, tmp_path):
+    """Offers that ask the same share a short run of profiles: a file held the whole list of profiles for each offer, 32 MB here."""
+    profiles, offers = (spark.range(n).select("id", *(F.lit(side.get(k)).cast(t).alias(k) for k, t in types.items() if k != "id")) for n, types, side in ((80_000, PROFILE, {}), (100, OFFER, OPEN)))
+    B.pairs(profiles, offers, "2024-03-01", "id", "id").write.parquet(out := str(tmp_path / "pairs"))
+    assert spark.read.parquet(out).count() == 8_000_000
+    assert sum(x.stat().st_size for x in Path(out).glob("*.parquet")) < 4_000_000
+
+
 def test_versions(spark):
     assert passes(spark, {}, {"qual_special_info": ["free text"]}, "optimised") and not passes(spark, {}, {"qual_special_info": ["다자녀"]}, "optimised")
     assert passes(spark, {"academic_year": 2, "semester": 1}, {"qual_min_academic_year": 2}, "admission_types") and not passes(spark, {"academic_year": 1}, {"qual_min_academic_year": 2}, "admission_types")
